@@ -2,7 +2,7 @@
 
 Python's ``json.loads`` is stricter than Spark's JSON reader in some ways
 (no single quotes, no trailing text) and laxer in others (NaN, repeated
-keys).  ``parse_object`` reproduces it with two ``from_json`` calls and no
+keys).  ``with_object`` reproduces it with two ``from_json`` calls and no
 UDF: the text is wrapped once in ``[...]`` and once in ``{"r": ...}``; a
 text is accepted only when both wrappers parse to exactly one object.
 Values stay ``VARIANT`` so key absence, JSON null and the JSON type of a
@@ -11,7 +11,7 @@ value remain distinguishable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OBJ_TYPE = "map<string,variant>"
@@ -41,17 +41,42 @@ def _dedup_last(m: Column) -> Column:
         F.map_from_entries(fixed))
 
 
-def parse_object(text) -> Column:
-    """JSON text -> map<string,variant> when it is a JSON object, else null."""
+def materialize(df: DataFrame, **cols: Column) -> DataFrame:
+    """Adds ``cols`` as outputs of a one-row generator.  Downstream
+    expressions then read plain attributes: the optimizer cannot inline an
+    expensive expression (a JSON parse) into each of its many uses."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def with_object(df: DataFrame, text, out: str = "obj", only_valid: bool = False) -> DataFrame:
+    """Adds ``out`` = map<string,variant> of the JSON text when it is a JSON
+    object (null otherwise; or drops those rows when ``only_valid``).
+
+    The two wrapper parses run once per row (generator outputs); the
+    acceptance test and the repeated-key fix-up read those attributes."""
     t = _col(text)
-    as_array = F.from_json(F.concat(F.lit("["), t, F.lit("]")), f"array<{OBJ_TYPE}>", _STRICT)
-    wrapped = F.from_json(F.concat(F.lit('{"r":'), t, F.lit("}")),
-                          f"r {OBJ_TYPE}, {_CORRUPT} string",
-                          {**_STRICT, "columnNameOfCorruptRecord": _CORRUPT})
-    first = F.get(as_array, 0)
-    ok = ((F.size(as_array) == 1) & first.isNotNull() & wrapped["r"].isNotNull()
-          & wrapped[_CORRUPT].isNull())
-    return F.when(t.isNotNull() & F.coalesce(ok, F.lit(False)), _dedup_last(first))
+    d = materialize(
+        df,
+        _ja=F.from_json(F.concat(F.lit("["), t, F.lit("]")), f"array<{OBJ_TYPE}>", _STRICT),
+        _jw=F.from_json(F.concat(F.lit('{"r":'), t, F.lit("}")),
+                        f"r {OBJ_TYPE}, {_CORRUPT} string",
+                        {**_STRICT, "columnNameOfCorruptRecord": _CORRUPT}),
+        _jn=t.isNotNull())
+    first = F.get(F.col("_ja"), 0)
+    ok = ((F.size("_ja") == 1) & first.isNotNull() & F.col("_jw.r").isNotNull()
+          & F.col(f"_jw.{_CORRUPT}").isNull() & F.col("_jn"))
+    obj = F.when(F.coalesce(ok, F.lit(False)), _dedup_last(first))
+    if only_valid:
+        d = d.select("*", F.explode(F.array_compact(F.array(obj))).alias(out))
+    else:
+        d = materialize(d, **{out: obj})
+    return d.drop("_ja", "_jw", "_jn")
+
+
+def with_nested_object(df: DataFrame, m: str, key: str, out: str) -> DataFrame:
+    """Adds ``out`` = the object stored under ``key`` of map ``m`` as a map
+    (null when absent or not an object), materialized once."""
+    return materialize(df, **{out: F.try_variant_get(value(m, key), "$", OBJ_TYPE)})
 
 
 def has_key(m, key: str) -> Column:

@@ -27,21 +27,20 @@ def literal_map(d: dict) -> Column:
 
 def with_parsed(raw: DataFrame, col: str = "output") -> DataFrame:
     """Adds ``obj`` (map<string,variant>, null unless a JSON object)."""
-    return raw.withColumn("obj", jsonx.parse_object(F.col(col)))
+    return jsonx.with_object(raw, F.col(col), "obj")
 
 
 def keep_parsed(raw: DataFrame, col: str = "output") -> DataFrame:
-    """Rows whose ``col`` is a JSON object, with ``obj`` added.  The parse is
-    a 0-or-1-row generator, so the filter cannot be pushed below it and
-    the JSON of each row is parsed exactly once."""
-    one = F.array_compact(F.array(jsonx.parse_object(F.col(col))))
-    return raw.select("*", F.explode(one).alias("obj"))
+    """Rows whose ``col`` is a JSON object, with ``obj`` added; each JSON
+    text is parsed once (generator outputs, so the filter is not pushed
+    below the parse)."""
+    return jsonx.with_object(raw, F.col(col), "obj", only_valid=True)
 
 
 def parse_counts(raw: DataFrame) -> DataFrame:
     """One row: parsed, parse_errors."""
-    ok = jsonx.parse_object(F.col("output")).isNotNull()
-    return raw.agg(F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("parse_errors"))
+    ok = F.col("obj").isNotNull()
+    return with_parsed(raw).agg(F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("parse_errors"))
 
 
 def parse_tickets(raw: DataFrame) -> DataFrame:

@@ -39,10 +39,12 @@ def raw_distributions(parsed: DataFrame, cols=("ticket_type", "severity",
     """A2: value_counts of several columns from one scan (GROUPING SETS);
     nulls dropped.  Long form (column, value, n, rank)."""
     sets = [[c] for c in cols]
-    g = parsed.groupingSets(sets, *cols).agg(F.count("*").alias("n"))
+    k = len(cols)
+    g = parsed.groupingSets(sets, *cols).agg(F.count("*").alias("n"), F.grouping_id().alias("_gid"))
+    gid_of = {c: (2 ** k - 1) - 2 ** (k - 1 - i) for i, c in enumerate(cols)}
     g = g.select(
-        F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in cols]).alias("column"),
-        F.coalesce(*[F.when(F.grouping(c) == 0, F.col(c)) for c in cols]).alias("value"), "n")
+        F.coalesce(*[F.when(F.col("_gid") == gid_of[c], F.lit(c)) for c in cols]).alias("column"),
+        F.coalesce(*[F.when(F.col("_gid") == gid_of[c], F.col(c)) for c in cols]).alias("value"), "n")
     return g.where(F.col("value").isNotNull())
 
 

@@ -11,9 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom import fixed_values as FV
+from ticketloom.functions import jsonx
+from ticketloom.functions.text import py_strip
 from ticketloom.operators import clean as CL
+from ticketloom.operators import keywords as KW
+from ticketloom.operators import metrics as MT
 from ticketloom.operators import profile as PR
+from ticketloom.operators import records as RC
+from ticketloom.operators import responses as RS
+from ticketloom.operators import sampling as SM
 from ticketloom.sources import fixtures as FX
+from ticketloom.sources import literals as LT
+from ticketloom.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Builder] = {}
@@ -69,3 +79,377 @@ def q_type_distribution(spark, sf):
 @query("severity_distribution")
 def q_severity_distribution(spark, sf):
     return PR.distribution(clean(spark, sf), "severity")
+
+
+# -- filters on parsed / cleaned tickets --------------------------------------
+
+@query("discover_keys")
+def q_discover_keys(spark, sf):
+    return CL.discover_keys(parsed(spark, sf))
+
+
+@query("assistance_tickets")
+def q_assistance_tickets(spark, sf):
+    return CL.assistance_tickets(parsed(spark, sf))
+
+
+@query("high_severity")
+def q_high_severity(spark, sf):
+    return CL.high_severity(clean(spark, sf))
+
+
+@query("non_standard_types")
+def q_non_standard_types(spark, sf):
+    """F4 on the uncleaned type (after cleaning it can never fire)."""
+    return CL.non_standard_types(parsed(spark, sf))
+
+
+@query("very_short_inputs")
+def q_very_short_inputs(spark, sf):
+    return CL.very_short_inputs(parsed(spark, sf))
+
+
+@query("clean_by_lookup_join")
+def q_clean_by_lookup_join(spark, sf):
+    """JN1 at volume: order priorities normalised through the severity
+    spellings as a mapping table (broadcast after a size check)."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
+    key = py_strip(F.lower(F.substring_index(F.col("o_orderpriority"), "-", -1)))
+    m = CL.mapping_frame(spark, FV.SEVERITY_MAPPING)
+    return CL.clean_by_lookup(o, key, m, FV.SEVERITY_DEFAULT, "severity").select("o_orderkey", "severity")
+
+
+# -- profile ------------------------------------------------------------------
+
+@query("dataset_overview")
+def q_dataset_overview(spark, sf):
+    return PR.dataset_overview(raw(spark, sf))
+
+
+@query("raw_distributions")
+def q_raw_distributions(spark, sf):
+    return PR.raw_distributions(parsed(spark, sf))
+
+
+@query("quality_summary")
+def q_quality_summary(spark, sf):
+    return PR.quality_summary(clean(spark, sf))
+
+
+@query("missing_values")
+def q_missing_values(spark, sf):
+    return PR.missing_values(clean(spark, sf))
+
+
+@query("length_stats")
+def q_length_stats(spark, sf):
+    return PR.length_stats(parsed(spark, sf))
+
+
+@query("document_length_stats")
+def q_document_length_stats(spark, sf):
+    d = read_table(spark, sf, "documents", "text")
+    return PR.length_stats(d, "text")
+
+
+@query("duplicate_inputs")
+def q_duplicate_inputs(spark, sf):
+    return PR.duplicate_count(parsed(spark, sf))
+
+
+@query("duplicate_rows")
+def q_duplicate_rows(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return PR.duplicate_rows(d, "text", "doc_id")
+
+
+@query("length_histogram")
+def q_length_histogram(spark, sf):
+    return PR.length_histogram(parsed(spark, sf))
+
+
+@query("top_departments")
+def q_top_departments(spark, sf):
+    c = clean(spark, sf)
+    return PR.distribution(c, "department_impacted", top=FV.TOP_DEPARTMENTS)
+
+
+@query("quality_report")
+def q_quality_report(spark, sf):
+    return PR.quality_report(clean(spark, sf))
+
+
+# -- text mining --------------------------------------------------------------
+
+@query("word_tokens")
+def q_word_tokens(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return KW.word_tokens(d, "doc_id", "text")
+
+
+@query("word_counts")
+def q_word_counts(spark, sf):
+    d = read_table(spark, sf, "documents", "lang", "text")
+    return KW.word_counts(d, "text", "lang")
+
+
+@query("class_keywords")
+def q_class_keywords(spark, sf):
+    return KW.class_keywords(clean(spark, sf))
+
+
+@query("lang_keywords")
+def q_lang_keywords(spark, sf):
+    """T3 over the whole documents table, class = language."""
+    d = read_table(spark, sf, "documents", "lang", "text")
+    return KW.class_keywords(d, "text", "lang", classes=None)
+
+
+@query("high_severity_keywords")
+def q_high_severity_keywords(spark, sf):
+    return KW.high_severity_keywords(clean(spark, sf))
+
+
+@query("class_keywords_top5")
+def q_class_keywords_top5(spark, sf):
+    return KW.printed_keywords(KW.keyword_patterns(clean(spark, sf)))
+
+
+# -- records, loaders, validators ---------------------------------------------
+
+def records(spark, sf) -> DataFrame:
+    return RC.training_records(clean(spark, sf))
+
+
+def validated(spark, sf) -> DataFrame:
+    return RC.validate_samples(FX.raw_samples(spark, sf))
+
+
+def loaded(spark, sf) -> DataFrame:
+    return RC.load_with_defaults(raw(spark, sf))
+
+
+_SAMPLE_OUT = [c for c in RC.SAMPLE_COLUMNS if c != "source"]
+
+
+@query("training_records")
+def q_training_records(spark, sf):
+    return records(spark, sf).select(*_SAMPLE_OUT)
+
+
+@query("assistance_request")
+def q_assistance_request(spark, sf):
+    r = records(spark, sf)
+    return r.where(F.col("assistance_request").isNotNull()).select("sample_id", "assistance_request")
+
+
+@query("load_defaults")
+def q_load_defaults(spark, sf):
+    return loaded(spark, sf).where("_ok").select(*_SAMPLE_OUT)
+
+
+@query("load_defaults_counts")
+def q_load_defaults_counts(spark, sf):
+    return RC.counts_of(loaded(spark, sf), "rows", "loaded", "skipped")
+
+
+@query("validate_samples")
+def q_validate_samples(spark, sf):
+    return validated(spark, sf).where("_ok").select(*_SAMPLE_OUT)
+
+
+@query("validate_counts")
+def q_validate_counts(spark, sf):
+    return RC.counts_of(validated(spark, sf), "loaded", "valid", "skipped")
+
+
+def combined(spark, sf) -> DataFrame:
+    """Validated JSON samples + loader samples + synthetic edge cases."""
+    return RC.combine_samples(validated(spark, sf).where("_ok"), loaded(spark, sf).where("_ok"),
+                              LT.synthetic_samples(spark))
+
+
+@query("combined_samples")
+def q_combined_samples(spark, sf):
+    return combined(spark, sf)
+
+
+@query("chat_messages")
+def q_chat_messages(spark, sf):
+    return RC.chat_messages_long(records(spark, sf)).drop("source")
+
+
+@query("training_prompts")
+def q_training_prompts(spark, sf):
+    r = records(spark, sf)
+    return r.select("sample_id", RC.training_prompt("inst").alias("prompt"))
+
+
+@query("inference_prompts")
+def q_inference_prompts(spark, sf):
+    """P13 over every user turn of the conversations table."""
+    c = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    u = c.where(F.col("role") == "user")
+    return u.select("conv_id", "turn", RC.inference_prompt("text").alias("prompt"))
+
+
+@query("inference_prompts_chat")
+def q_inference_prompts_chat(spark, sf):
+    r = records(spark, sf)
+    return r.select("sample_id", RC.generation_prompt("inst").alias("prompt"))
+
+
+@query("prompt_truncation")
+def q_prompt_truncation(spark, sf):
+    e = FX.eval_pairs(spark, sf)
+    return RC.prompt_budget(e, ["sample_id"], "user_input", FV.EVAL_MAX_TOKENS)
+
+
+@query("sample_preview")
+def q_sample_preview(spark, sf):
+    v = validated(spark, sf).where("_ok")
+    first = v.orderBy("sample_id").limit(3)
+    return first.select("sample_id", F.substring("user_input", 1, 100).alias("preview"),
+                        "ticket_type", "severity",
+                        F.length(RC.training_prompt("inst")).alias("prompt_chars"))
+
+
+# -- balancing, shuffling, splitting ------------------------------------------
+
+@query("balance_classes")
+def q_balance_classes(spark, sf):
+    c = clean(spark, sf).select("row_index", "ticket_type")
+    return SM.balance_classes(c, "ticket_type", "row_index", FV.BALANCE_TARGET)
+
+
+@query("balance_orders")
+def q_balance_orders(spark, sf):
+    """B1 on a real table: orders balanced by priority, 3,000 per class."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
+    return SM.balance_classes(o, "o_orderpriority", "o_orderkey", 3000)
+
+
+@query("balanced_distribution")
+def q_balanced_distribution(spark, sf):
+    b = q_balance_classes(spark, sf)
+    return b.groupBy(F.col("ticket_type").alias("value")).agg(F.count("*").alias("n"))
+
+
+@query("shuffle_rows")
+def q_shuffle_rows(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id")
+    return SM.shuffle_rows(d, "doc_id")
+
+
+def three_way(spark, sf) -> DataFrame:
+    r = records(spark, sf)
+    return SM.split_three_way(r, ["sample_id"], FV.SPLIT_RATIOS, FV.SEED,
+                              extra_test=LT.ood_samples(spark))
+
+
+@query("split_three_way")
+def q_split_three_way(spark, sf):
+    return three_way(spark, sf).select("sample_id", "split")
+
+
+@query("split_distribution")
+def q_split_distribution(spark, sf):
+    return SM.split_distribution(three_way(spark, sf))
+
+
+@query("split_train_eval")
+def q_split_train_eval(spark, sf):
+    s = combined(spark, sf)
+    return SM.split_train_eval(s, ["source", "sample_id"]).select("source", "sample_id", "split")
+
+
+@query("split_leakage")
+def q_split_leakage(spark, sf):
+    return SM.split_leakage(three_way(spark, sf)).select("sample_id")
+
+
+# -- evaluation ---------------------------------------------------------------
+
+def evaluated(spark, sf) -> DataFrame:
+    return RS.outcomes(FX.eval_pairs(spark, sf))
+
+
+@query("parse_responses")
+def q_parse_responses(spark, sf):
+    p = RS.parse_replies(FX.eval_pairs(spark, sf))
+    return p.select("sample_id", "status", "pred_has_error", "pred_error",
+                    jsonx.as_text(jsonx.value("pred", "ticket_type")).alias("ticket_type"),
+                    jsonx.as_text(jsonx.value("pred", "severity")).alias("severity"), "raw")
+
+
+@query("quick_eval_labels")
+def q_quick_eval_labels(spark, sf):
+    return RS.quick_labels(FX.eval_pairs(spark, sf))
+
+
+@query("outcome_labels")
+def q_outcome_labels(spark, sf):
+    return evaluated(spark, sf).select("sample_id", "status", "outcome", "true_label", "pred_label")
+
+
+@query("eval_detailed")
+def q_eval_detailed(spark, sf):
+    e = evaluated(spark, sf).where(F.col("outcome") == "compared")
+    return e.select("sample_id", "true_label", "pred_label", "type_correct", *RS.MATCH_COLUMNS)
+
+
+@query("overall_accuracy")
+def q_overall_accuracy(spark, sf):
+    return MT.overall_accuracy(evaluated(spark, sf))
+
+
+@query("class_metrics")
+def q_class_metrics(spark, sf):
+    return MT.class_metrics(evaluated(spark, sf))
+
+
+@query("avg_metrics")
+def q_avg_metrics(spark, sf):
+    return MT.avg_metrics(MT.class_metrics(evaluated(spark, sf)))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return MT.confusion_matrix(spark, evaluated(spark, sf))
+
+
+@query("label_set")
+def q_label_set(spark, sf):
+    return MT.label_set(evaluated(spark, sf))
+
+
+@query("field_accuracy")
+def q_field_accuracy(spark, sf):
+    return MT.field_accuracy(evaluated(spark, sf)).select("field", "accuracy")
+
+
+@query("error_rates")
+def q_error_rates(spark, sf):
+    return MT.error_rates(evaluated(spark, sf))
+
+
+@query("error_shares")
+def q_error_shares(spark, sf):
+    return MT.error_shares(evaluated(spark, sf))
+
+
+@query("sample_predictions")
+def q_sample_predictions(spark, sf):
+    return MT.sample_predictions(evaluated(spark, sf))
+
+
+@query("labels_class_metrics")
+def q_labels_class_metrics(spark, sf):
+    """A10 on a real join: truth from labels.quality, prediction from the
+    document length (labels JOIN documents on doc_id)."""
+    lab = read_table(spark, sf, "labels", "doc_id", "quality")
+    doc = read_table(spark, sf, "documents", "doc_id", "n_chars")
+    j = lab.join(doc, "doc_id")
+    t = F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("bad"))
+    p = F.when(F.col("n_chars") >= 1000, F.lit("good")).otherwise(F.lit("bad"))
+    return MT.class_metrics(j.select(t.alias("true_label"), p.alias("pred_label")))
