@@ -97,9 +97,11 @@ RAW_TICKETS = f"""raw_tickets AS (
 _RAW_COLS = {k: k.lower().replace(" ", "_") for k in FV.RAW_KEYS}
 
 PARSED = f"""parsed AS (
-  SELECT row_index, input AS original_input, output AS j,
-    {", ".join(f"{jtext('output', k)} AS {c}" for k, c in _RAW_COLS.items())}
-  FROM raw_tickets WHERE {is_object('output')})"""
+  SELECT row_index, original_input, j,
+    {", ".join(f"{jtext('j', k)} AS {c}" for k, c in _RAW_COLS.items())}
+  FROM (SELECT row_index, input AS original_input,
+               CASE WHEN {is_object('output')} THEN output END AS j FROM raw_tickets)
+  WHERE j IS NOT NULL)"""
 
 _COMM_CLEAN = strip(f"lower({jstr('j', 'Preferred Communication')})")
 
@@ -122,7 +124,7 @@ C = with_(RAW_TICKETS, PARSED, CLEAN)
 
 
 def pct(n: str, total: str) -> str:
-    return f"CASE WHEN {total} > 0 THEN round(100.0 * {n} / {total}, 6) END"
+    return f"CASE WHEN {total} > 0 THEN round(CAST(100.0 AS DOUBLE) * {n} / {total}, 6) END"
 
 
 ORACLE: dict[str, str] = {}
@@ -148,3 +150,434 @@ ORACLE["severity_distribution"] = C + f"""
 SELECT severity AS value, count(*) AS n,
        {pct('count(*)', '(SELECT count(*) FROM clean)')} AS pct
 FROM clean WHERE severity IS NOT NULL GROUP BY severity"""
+
+_TOTAL = "(SELECT count(*) FROM clean)"
+
+ORACLE["discover_keys"] = P + """
+SELECT key, count(*) AS n_rows FROM (SELECT unnest(json_keys(j)) AS key FROM parsed) GROUP BY key"""
+
+ORACLE["assistance_tickets"] = P + f"""
+SELECT row_index, ticket_type FROM parsed
+WHERE COALESCE(contains(lower({jstr('j', 'Ticket Type')}), 'assistance'), FALSE)"""
+
+ORACLE["high_severity"] = C + """
+SELECT row_index, severity FROM clean WHERE severity IN ('high', 'critical')"""
+
+ORACLE["non_standard_types"] = P + f"""
+SELECT row_index, ticket_type FROM parsed
+WHERE NOT COALESCE(ticket_type IN ({", ".join(_lit(x) for x in FV.STANDARD_TYPES)}), FALSE)"""
+
+ORACLE["very_short_inputs"] = P + """
+SELECT row_index, CAST(length(original_input) AS BIGINT) AS n_chars FROM parsed
+WHERE length(original_input) < 10"""
+
+ORACLE["clean_by_lookup_join"] = f"""
+SELECT o_orderkey,
+  {case_map(strip("lower(string_split(o_orderpriority, '-')[-1])"), FV.SEVERITY_MAPPING, FV.SEVERITY_DEFAULT)} AS severity
+FROM orders"""
+
+ORACLE["dataset_overview"] = T + """
+SELECT count(*) AS total_records, CAST(2 AS BIGINT) AS n_columns, 'input, output' AS columns
+FROM raw_tickets"""
+
+ORACLE["raw_distributions"] = P + "\n UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM parsed WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in ["ticket_type", "severity", "department_impacted", "service_impacted"])
+
+ORACLE["quality_summary"] = C + """
+SELECT count(*) AS total_records, count(DISTINCT ticket_type) AS unique_ticket_types,
+       count(DISTINCT severity) AS unique_severities FROM clean"""
+
+_MISSING = f"""missing AS (
+  SELECT key AS "column", {_TOTAL} - count(*) FILTER (WHERE nn) AS n_missing FROM (
+    SELECT key, CASE WHEN key IN ('Ticket Type', 'Severity') THEN TRUE
+                     WHEN key = 'Preferred Communication' THEN json_type(j, '$."' || key || '"') = 'VARCHAR'
+                     ELSE json_type(j, '$."' || key || '"') <> 'NULL' END AS nn
+    FROM (SELECT j, unnest(json_keys(j)) AS key FROM clean)) GROUP BY key
+  UNION ALL
+  SELECT 'original_input', count(*) FILTER (WHERE original_input IS NULL) FROM clean)"""
+
+ORACLE["missing_values"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING) + f"""
+SELECT "column", n_missing, {pct('n_missing', _TOTAL)} AS pct FROM missing WHERE n_missing > 0"""
+
+
+def _length_stats(src: str, col: str) -> str:
+    n = f"length({col})"
+    return f"""SELECT round(avg({n}), 6) AS mean, round(CAST(median({n}) AS DOUBLE), 6) AS median,
+       CAST(min({n}) AS BIGINT) AS min, CAST(max({n}) AS BIGINT) AS max,
+       round(stddev_samp({n}), 6) AS std FROM {src}"""
+
+
+ORACLE["length_stats"] = P + _length_stats("parsed", "original_input")
+ORACLE["document_length_stats"] = _length_stats("documents", "text")
+
+ORACLE["duplicate_inputs"] = P + """
+SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS n FROM parsed GROUP BY original_input)"""
+
+ORACLE["duplicate_rows"] = """
+SELECT doc_id, doc_id <> min(doc_id) OVER (PARTITION BY text) AS is_duplicate FROM documents"""
+
+
+def _edge(b: str) -> str:
+    return f"CASE WHEN {b} = 50 THEN hi ELSE CAST({b} AS DOUBLE) * step + lo END"
+
+
+ORACLE["length_histogram"] = with_(RAW_TICKETS, PARSED, """L AS (
+  SELECT CAST(length(original_input) AS DOUBLE) AS x FROM parsed WHERE original_input IS NOT NULL)""",
+  """R AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+                  CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM L)""",
+  """S AS (SELECT lo, hi, (hi - lo) / 50 AS step FROM R)""",
+  """B0 AS (SELECT x, lo, hi, step,
+             LEAST(GREATEST(CAST(floor((x - lo) * (50 / (hi - lo))) AS BIGINT), 0), 49) AS b0 FROM L, S)""",
+  f"""B1 AS (SELECT x, lo, hi, step, CASE WHEN x < {_edge('b0')} THEN b0 - 1 ELSE b0 END AS b1 FROM B0)""",
+  f"""B2 AS (SELECT CASE WHEN b1 <> 49 AND x >= {_edge('b1 + 1')} THEN b1 + 1 ELSE b1 END AS bin FROM B1)""",
+  """CNT AS (SELECT bin, count(*) AS n FROM B2 GROUP BY bin)""") + f"""
+SELECT g.bin, {_edge('g.bin')} AS lo, {_edge('g.bin + 1')} AS hi, CAST(COALESCE(c.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(50)) g CROSS JOIN S LEFT JOIN CNT c ON c.bin = g.bin"""
+
+ORACLE["top_departments"] = C + f"""
+SELECT department_impacted AS value, count(*) AS n, {pct('count(*)', _TOTAL)} AS pct
+FROM clean WHERE department_impacted IS NOT NULL GROUP BY department_impacted
+ORDER BY n DESC, value LIMIT 10"""
+
+_STD = ", ".join(_lit(x) for x in FV.STANDARD_TYPES)
+
+ORACLE["quality_report"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING, f"""sc AS (
+  SELECT count(*) AS total, count(DISTINCT ticket_type) AS ut, count(DISTINCT severity) AS us,
+         avg(len) AS mean, CAST(median(len) AS DOUBLE) AS med, min(len) AS mn, max(len) AS mx,
+         stddev_samp(len) AS sd, count(*) FILTER (WHERE len < 10) AS short,
+         count(*) FILTER (WHERE NOT COALESCE(ticket_type IN ({_STD}), FALSE)) AS nonstd
+  FROM (SELECT *, length(original_input) AS len FROM clean))""",
+  """dup AS (SELECT COALESCE(sum(n - 1), 0) AS d FROM (SELECT count(*) AS n FROM clean GROUP BY original_input))""",
+  f"""dist AS (
+  SELECT 'missing' AS section, "column" AS key, n_missing AS n FROM missing WHERE n_missing > 0
+  UNION ALL SELECT 'ticket_type', ticket_type, count(*) FROM clean GROUP BY ticket_type
+  UNION ALL SELECT 'severity', severity, count(*) FROM clean GROUP BY severity
+  UNION ALL SELECT 'department', department_impacted, count(*) FROM clean
+            WHERE department_impacted IS NOT NULL GROUP BY department_impacted)""",
+  """ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY n DESC, key) AS ord FROM dist)""") + f"""
+SELECT 'overview' AS section, CAST(1 AS BIGINT) AS ord, 'Total Records' AS key, CAST(total AS BIGINT) AS n,
+       CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS value FROM sc
+UNION ALL SELECT 'overview', 2, 'Unique Ticket Types', ut, NULL, NULL FROM sc
+UNION ALL SELECT 'overview', 3, 'Unique Severities', us, NULL, NULL FROM sc
+UNION ALL SELECT 'input_length', 1, 'Mean', NULL, NULL, round(mean, 6) FROM sc
+UNION ALL SELECT 'input_length', 2, 'Median', NULL, NULL, round(med, 6) FROM sc
+UNION ALL SELECT 'input_length', 3, 'Min', NULL, NULL, CAST(mn AS DOUBLE) FROM sc
+UNION ALL SELECT 'input_length', 4, 'Max', NULL, NULL, CAST(mx AS DOUBLE) FROM sc
+UNION ALL SELECT 'input_length', 5, 'Std Dev', NULL, NULL, round(sd, 6) FROM sc
+UNION ALL SELECT 'issues', 1, 'very_short_inputs', short, NULL, NULL FROM sc WHERE short > 0
+UNION ALL SELECT 'issues', 2, 'duplicate_inputs', d, NULL, NULL FROM dup WHERE d > 0
+UNION ALL SELECT 'issues', 3, 'non_standard_types', nonstd, NULL, NULL FROM sc WHERE nonstd > 0
+UNION ALL SELECT section, ord, key, n, {pct('n', _TOTAL)}, NULL FROM ranked
+          WHERE section <> 'department' OR ord <= 10"""
+
+# -- text mining ----------------------------------------------------------------
+
+_WORD_RUN = r"[\p{L}\p{N}_]+"
+
+
+def words(x: str) -> str:
+    return f"list_filter(regexp_extract_all(lower({x}), '{_WORD_RUN}'), lambda w: regexp_full_match(w, '[a-z]+'))"
+
+
+ORACLE["word_tokens"] = f"""
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, md5(array_to_string(w, ' ')) AS words_md5
+FROM (SELECT doc_id, {words('text')} AS w FROM documents)"""
+
+ORACLE["word_counts"] = f"""
+SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest({words('text')}) AS word FROM documents)
+GROUP BY lang, word"""
+
+
+def _stop(words_: list[str]) -> str:
+    return ", ".join(_lit(w) for w in words_)
+
+
+def top_keywords_sql(src: str, group: str | None, top: int, stop: list[str]) -> str:
+    """src has columns (group?, word, n)."""
+    part = f"PARTITION BY {group}" if group else ""
+    g = f"{group}, " if group else ""
+    return f"""(SELECT {g}CAST(row_number() OVER ({part} ORDER BY rk) AS BIGINT) AS "rank", word, n FROM (
+      SELECT * FROM (SELECT *, row_number() OVER ({part} ORDER BY n DESC, word) AS rk FROM {src})
+      WHERE rk <= {top} AND word NOT IN ({_stop(stop)}) AND length(word) >= 3)
+    QUALIFY "rank" <= 10)"""
+
+
+_TYPE_WC = f"""type_wc AS (SELECT ticket_type, word, count(*) AS n FROM (
+  SELECT ticket_type, unnest({words('original_input')}) AS word FROM clean WHERE ticket_type IN ({_STD}))
+  GROUP BY ticket_type, word)"""
+_HIGH_WC = f"""high_wc AS (SELECT word, count(*) AS n FROM (
+  SELECT unnest({words('original_input')}) AS word FROM clean WHERE severity IN ('high', 'critical'))
+  GROUP BY word)"""
+
+ORACLE["class_keywords"] = with_(RAW_TICKETS, PARSED, CLEAN, _TYPE_WC) + "SELECT * FROM " + \
+    top_keywords_sql("type_wc", "ticket_type", 20, FV.TYPE_STOPWORDS)
+
+ORACLE["lang_keywords"] = with_(f"""lang_wc AS (SELECT lang, word, count(*) AS n FROM (
+  SELECT lang, unnest({words('text')}) AS word FROM documents) GROUP BY lang, word)""") + \
+    "SELECT * FROM " + top_keywords_sql("lang_wc", "lang", 20, FV.TYPE_STOPWORDS)
+
+ORACLE["high_severity_keywords"] = with_(RAW_TICKETS, PARSED, CLEAN, _HIGH_WC) + "SELECT * FROM " + \
+    top_keywords_sql("high_wc", None, 15, FV.HIGH_SEVERITY_STOPWORDS)
+
+ORACLE["class_keywords_top5"] = with_(RAW_TICKETS, PARSED, CLEAN, _TYPE_WC, _HIGH_WC,
+    f"""pat AS (
+  SELECT ticket_type || '_keywords' AS pattern, "rank", word FROM {top_keywords_sql("type_wc", "ticket_type", 20, FV.TYPE_STOPWORDS)}
+  UNION ALL
+  SELECT 'high_severity_keywords', "rank", word FROM {top_keywords_sql("high_wc", None, 15, FV.HIGH_SEVERITY_STOPWORDS)})""") + """
+SELECT pattern, string_agg(word, ', ' ORDER BY "rank") AS keywords FROM pat WHERE "rank" <= 5 GROUP BY pattern"""
+
+# -- records, loaders, validators -----------------------------------------------
+
+_FIELDS = FV.TICKET_FIELDS
+_SAMPLE_OUT = ["sample_id", "user_input", *_FIELDS, "assistance_request", "error"]
+_DESC = jstr("j", "Description")
+
+RECORDS = f"""records AS (
+  SELECT 'records' AS source, row_index AS sample_id, original_input AS user_input, ticket_type, title,
+         description, severity, department_impacted, service_impacted, preferred_communication,
+         CASE WHEN ticket_type = 'assistance' THEN
+           CASE WHEN COALESCE(contains(lower({_DESC}), 'loan'), FALSE) THEN 'loan assistance'
+                WHEN COALESCE(contains(lower({_DESC}), 'mortgage'), FALSE) THEN 'mortgage assistance'
+                WHEN COALESCE(contains(lower({_DESC}), 'account'), FALSE) THEN 'account assistance'
+                ELSE 'general assistance' END END AS assistance_request,
+         CAST(NULL AS VARCHAR) AS error
+  FROM clean)"""
+R_ = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS)
+
+ORACLE["training_records"] = R_ + f"SELECT {', '.join(_SAMPLE_OUT)} FROM records"
+
+ORACLE["assistance_request"] = R_ + """
+SELECT sample_id, assistance_request FROM records WHERE assistance_request IS NOT NULL"""
+
+_LD = FV.LOADER_DEFAULTS
+
+
+def _get_or(j: str, key: str, default: str) -> str:
+    return f"CASE WHEN {jhas(j, key)} THEN {jtext(j, key)} ELSE {_lit(default)} END"
+
+
+_LOW3 = ["Ticket Type", "Severity", "Preferred Communication"]
+LOADED = f"""loaded AS (
+  SELECT 'loader' AS source, row_index AS sample_id, input AS user_input,
+    lower({_get_or('j', 'Ticket Type', _LD['Ticket Type'])}) AS ticket_type,
+    {_get_or('j', 'Title', _LD['Title'])} AS title,
+    {_get_or('j', 'Description', _LD['Description'])} AS description,
+    lower({_get_or('j', 'Severity', _LD['Severity'])}) AS severity,
+    {_get_or('j', 'Department Impacted', _LD['Department Impacted'])} AS department_impacted,
+    {_get_or('j', 'Service Impacted', _LD['Service Impacted'])} AS service_impacted,
+    lower({_get_or('j', 'Preferred Communication', _LD['Preferred Communication'])}) AS preferred_communication,
+    CASE WHEN lower({_get_or('j', 'Ticket Type', _LD['Ticket Type'])}) = 'assistance'
+         THEN 'general assistance' END AS assistance_request,
+    CAST(NULL AS VARCHAR) AS error,
+    j IS NOT NULL AND {" AND ".join(f"COALESCE({jtype('j', k)} = 'VARCHAR', {jtype('j', k)} IS NULL)" for k in _LOW3)} AS ok
+  FROM (SELECT row_index, input, CASE WHEN {is_object('output')} THEN output END AS j FROM raw_tickets))"""
+
+ORACLE["load_defaults"] = with_(RAW_TICKETS, LOADED) + f"SELECT {', '.join(_SAMPLE_OUT)} FROM loaded WHERE ok"
+ORACLE["load_defaults_counts"] = with_(RAW_TICKETS, LOADED) + """
+SELECT count(*) AS "rows", count(*) FILTER (WHERE ok) AS loaded, count(*) FILTER (WHERE NOT ok) AS skipped
+FROM loaded"""
+
+_EVAL_TYPES = ["complaint", "inquiry", "assistance"]
+_EVAL_SEV = ["low", "medium", "high", "critical"]
+_OOD_JSON = '{"error": "' + FV.OUT_OF_DOMAIN_ERROR + '"}'
+
+
+def _member(key: str, value_sql: str) -> str:
+    return f"""'"{key}": "' || {value_sql} || '"'"""
+
+
+def _sample_ticket_sql(i: str) -> str:
+    vals = {
+        "ticket_type": f"({_list(_EVAL_TYPES)})[{i} % 3 + 1]",
+        "title": f"'Title ' || CAST({i} AS VARCHAR)",
+        "description": f"'Description ' || CAST({i} AS VARCHAR)",
+        "severity": f"({_list(_EVAL_SEV)})[{i} % 4 + 1]",
+        "department_impacted": f"'Dept ' || CAST({i} % 5 AS VARCHAR)",
+        "service_impacted": f"'Service ' || CAST({i} % 3 AS VARCHAR)",
+        "preferred_communication": "'email'",
+    }
+    members = []
+    for k, f in enumerate(_FIELDS):
+        m = _member(f, vals[f])
+        if f == "title":
+            m = f"""CASE WHEN {i} % 40 = 10 THEN '"title": null' ELSE {m} END"""
+        members.append(f"CASE WHEN {i} % 40 <> {3 + k} THEN {m} END")
+    return (f"CASE WHEN {i} % 12 = 0 THEN {_lit(_OOD_JSON)} "
+            f"ELSE '{{' || concat_ws(', ', {', '.join(members)}) || '}}' END")
+
+
+RAW_SAMPLES = f"""raw_samples AS (
+  SELECT doc_id AS sample_id, '{{' || concat_ws(', ',
+      CASE WHEN doc_id % 40 <> 1 THEN '"user_input": ' || CAST(to_json(text) AS VARCHAR) END,
+      CASE WHEN doc_id % 40 <> 2 THEN '"ticket_data": ' || ({_sample_ticket_sql('doc_id')}) END) || '}}' AS sample_json
+  FROM documents)"""
+
+_TD = "td"
+VALIDATED = f"""validated AS (
+  SELECT 'json' AS source, sample_id, {jtext('sj', 'user_input')} AS user_input,
+    {", ".join(f"json_extract_string(sj, '$.ticket_data.{f}') AS {f}" for f in _FIELDS + ["assistance_request", "error"])},
+    COALESCE(sj IS NOT NULL AND {jhas('sj', 'user_input')} AND json_type(sj, '$.ticket_data') = 'OBJECT'
+      AND (json_type(sj, '$.ticket_data.error') IS NOT NULL OR
+           ({" AND ".join(f"json_type(sj, '$.ticket_data.{f}') IS NOT NULL" for f in _FIELDS)})), FALSE) AS ok
+  FROM (SELECT sample_id, CASE WHEN {is_object('sample_json')} THEN sample_json END AS sj FROM raw_samples))"""
+V_ = with_(RAW_SAMPLES, VALIDATED)
+
+ORACLE["validate_samples"] = V_ + f"SELECT {', '.join(_SAMPLE_OUT)} FROM validated WHERE ok"
+ORACLE["validate_counts"] = V_ + """
+SELECT count(*) AS loaded, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS skipped
+FROM validated"""
+
+
+def _values(source: str, rows, first_id: int) -> str:
+    out = []
+    for k, (text, t) in enumerate(rows):
+        vals = [_lit(source), str(first_id - k), _lit(text)] + [_lit(v) for v in t]
+        out.append("(" + ", ".join(vals) + ")")
+    cols = "source, sample_id, user_input, " + ", ".join(_FIELDS) + ", assistance_request, error"
+    return f"SELECT * FROM (VALUES {', '.join(out)}) AS v({cols})"
+
+
+def _literal_rows(name: str):
+    from ticketloom.sources import literals as L
+    return {"synthetic": (L.SYNTHETIC, -1), "ood": (L.OUT_OF_DOMAIN, -11),
+            "challenge": (L.CHALLENGE, -21)}[name]
+
+
+SYNTHETIC = "synthetic AS (" + _values("synthetic", *_literal_rows("synthetic")) + ")"
+OOD = "ood AS (" + _values("ood", *_literal_rows("ood")) + ")"
+
+_SCOLS = "source, sample_id, user_input, " + ", ".join(_FIELDS) + ", assistance_request, error"
+COMBINED = f"""combined AS (
+  SELECT {_SCOLS} FROM validated WHERE ok
+  UNION ALL SELECT {_SCOLS} FROM loaded WHERE ok
+  UNION ALL SELECT {_SCOLS} FROM synthetic)"""
+U_ = with_(RAW_TICKETS, LOADED, RAW_SAMPLES, VALIDATED, SYNTHETIC, COMBINED)
+
+ORACLE["combined_samples"] = U_ + f"SELECT {_SCOLS} FROM combined"
+
+
+def _q(x: str) -> str:
+    return f"COALESCE(CAST(to_json({x}) AS VARCHAR), 'null')"
+
+
+NL = "chr(10)"
+
+
+def ticket_json_sql(indent: bool = True) -> str:
+    nl = f"{NL} || '  '" if indent else "''"
+    sep = f"',' || {NL} || '  '" if indent else "', '"
+    close = f"{NL} || '}}'" if indent else "'}'"
+    members = [f"""'"{f}": ' || {_q(f)}""" for f in _FIELDS]
+    members.append(f"""CASE WHEN assistance_request IS NOT NULL THEN '"assistance_request": ' || {_q('assistance_request')} END""")
+    normal = f"'{{' || {nl} || concat_ws({sep}, {', '.join(members)}) || {close}"
+    err = f"""'{{' || {nl} || '"error": ' || {_q('error')} || {close}"""
+    return f"(CASE WHEN error IS NOT NULL THEN {err} ELSE {normal} END)"
+
+
+def _sql_text(s: str) -> str:
+    """A SQL expression for a Python string that may contain newlines."""
+    parts = s.split("\n")
+    return f" || {NL} || ".join(_lit(p) for p in parts) if len(parts) > 1 else _lit(s)
+
+
+_TRAIN_SYS = _sql_text(FV.TRAINING_SYSTEM_PROMPT)
+_EVAL_SYS = _sql_text(FV.EVAL_SYSTEM_PROMPT)
+
+
+def train_prompt_sql() -> str:
+    return (f"'<s>[INST] ' || {_TRAIN_SYS} || {NL} || {NL} || user_input || ' [/INST]' || "
+            f"{ticket_json_sql()} || '</s>'")
+
+
+def eval_prompt_sql(user: str) -> str:
+    return (f"'<s>[INST] <<SYS>>' || {NL} || {_EVAL_SYS} || {NL} || '<</SYS>>' || {NL} || {NL} || "
+            f"{user} || ' [/INST]'")
+
+
+ORACLE["chat_messages"] = R_ + f"""
+SELECT sample_id, CAST(0 AS BIGINT) AS msg_index, 'system' AS role, {_TRAIN_SYS} AS content FROM records
+UNION ALL SELECT sample_id, 1, 'user', user_input FROM records
+UNION ALL SELECT sample_id, 2, 'assistant', {ticket_json_sql()} FROM records"""
+
+ORACLE["training_prompts"] = R_ + f"SELECT sample_id, {train_prompt_sql()} AS prompt FROM records"
+
+ORACLE["inference_prompts"] = f"""
+SELECT conv_id, turn, {eval_prompt_sql('text')} AS prompt FROM conversations WHERE role = 'user'"""
+
+ORACLE["inference_prompts_chat"] = R_ + f"""
+SELECT sample_id, '<s>[INST] ' || {_TRAIN_SYS} || {NL} || {NL} || user_input || ' [/INST]' AS prompt FROM records"""
+
+ORACLE["sample_preview"] = V_ + f"""
+SELECT sample_id, substring(user_input, 1, 100) AS preview, ticket_type, severity,
+       CAST(length({train_prompt_sql()}) AS BIGINT) AS prompt_chars
+FROM validated WHERE ok ORDER BY sample_id LIMIT 3"""
+
+# -- balancing, shuffling, splitting --------------------------------------------
+
+
+def _key(*parts: str) -> str:
+    return "md5(concat_ws(':', '42', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "))"
+
+
+def _hash_int(md5_expr: str) -> str:
+    return f"CAST(('0x' || substr({md5_expr}, 1, 15)) AS BIGINT)"
+
+
+def balance_sql(src: str, cls: str, idc: str, target: int) -> str:
+    return f"""ranked AS (
+  SELECT {idc}, {cls}, row_number() OVER (PARTITION BY {cls} ORDER BY {_key(idc)}, {idc}) - 1 AS pos,
+         count(*) OVER (PARTITION BY {cls}) AS n FROM {src}),
+kept AS (SELECT {idc}, {cls}, 0 AS draw FROM ranked WHERE pos < {target}),
+cls AS (SELECT DISTINCT {cls}, n FROM ranked WHERE n < {target}),
+draws AS (SELECT {cls}, n, CAST(unnest(range(1, {target} - n + 1)) AS INTEGER) AS draw FROM cls),
+picked AS (SELECT r.{idc}, d.{cls}, d.draw FROM draws d JOIN ranked r
+           ON r.{cls} = d.{cls} AND r.pos = {_hash_int(_key('d.' + cls, 'd.draw'))} % d.n),
+allrows AS (SELECT * FROM kept UNION ALL SELECT * FROM picked)
+SELECT {idc}, {cls}, draw, row_number() OVER (ORDER BY {_key(cls, idc, 'draw')}, {cls}, {idc}, draw) - 1 AS pos
+FROM allrows"""
+
+
+ORACLE["balance_classes"] = with_(RAW_TICKETS, PARSED, CLEAN, "src AS (SELECT row_index, ticket_type FROM clean)") + \
+    ", " + balance_sql("src", "ticket_type", "row_index", FV.BALANCE_TARGET)
+ORACLE["balance_orders"] = "WITH " + balance_sql("orders", "o_orderpriority", "o_orderkey", 3000)
+
+ORACLE["balanced_distribution"] = with_(
+    RAW_TICKETS, PARSED, CLEAN, "src AS (SELECT row_index, ticket_type FROM clean)") + ", bal AS (WITH " + \
+    balance_sql("src", "ticket_type", "row_index", FV.BALANCE_TARGET) + """)
+SELECT ticket_type AS value, count(*) AS n FROM bal GROUP BY ticket_type"""
+
+ORACLE["shuffle_rows"] = f"""
+SELECT doc_id, row_number() OVER (ORDER BY {_key('doc_id')}, doc_id) - 1 AS pos FROM documents"""
+
+THREE_WAY = f"""three_way AS (
+  SELECT *, CASE WHEN pos < t_end THEN 'train' WHEN pos < v_end THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY {_key('sample_id')}, sample_id) - 1 AS pos,
+               CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS t_end,
+               CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) + floor(count(*) OVER () * CAST(0.1 AS DOUBLE)) AS BIGINT) AS v_end
+        FROM records)
+  UNION ALL SELECT *, NULL, NULL, NULL, 'test' FROM ood)"""
+S3_ = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS, OOD, THREE_WAY)
+
+ORACLE["split_three_way"] = S3_ + "SELECT sample_id, split FROM three_way"
+
+ORACLE["split_distribution"] = S3_ + """
+SELECT split, 'total' AS dim, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM three_way GROUP BY split
+UNION ALL SELECT split, 'ticket_type', COALESCE(ticket_type, 'unknown'), count(*) FROM three_way
+          WHERE error IS NULL GROUP BY split, COALESCE(ticket_type, 'unknown')
+UNION ALL SELECT split, 'severity', COALESCE(severity, 'unknown'), count(*) FROM three_way
+          WHERE error IS NULL GROUP BY split, COALESCE(severity, 'unknown')"""
+
+ORACLE["split_leakage"] = S3_ + """
+SELECT sample_id FROM three_way WHERE split = 'test'
+  AND user_input IN (SELECT user_input FROM three_way WHERE split = 'train')"""
+
+ORACLE["split_train_eval"] = U_ + f""",
+pos AS (SELECT source, sample_id, row_number() OVER (ORDER BY {_key('source', 'sample_id')}, source, sample_id) - 1 AS pos,
+               CAST(floor(count(*) OVER () * CAST(0.9 AS DOUBLE)) AS BIGINT) AS t_end, count(*) OVER () AS n
+        FROM combined),
+seg AS (SELECT *, t_end + CAST(floor((n - t_end) * CAST(0.5 AS DOUBLE)) AS BIGINT) AS v_end FROM pos)
+SELECT source, sample_id, 'train' AS split FROM seg WHERE pos < t_end
+UNION ALL SELECT source, sample_id, 'validation' FROM seg WHERE pos >= t_end AND pos < v_end
+UNION ALL SELECT source, sample_id, 'test' FROM seg WHERE pos >= t_end"""
