@@ -581,3 +581,162 @@ seg AS (SELECT *, t_end + CAST(floor((n - t_end) * CAST(0.5 AS DOUBLE)) AS BIGIN
 SELECT source, sample_id, 'train' AS split FROM seg WHERE pos < t_end
 UNION ALL SELECT source, sample_id, 'validation' FROM seg WHERE pos >= t_end AND pos < v_end
 UNION ALL SELECT source, sample_id, 'test' FROM seg WHERE pos >= t_end"""
+
+# -- evaluation ---------------------------------------------------------------
+
+_REPLIES = [
+    "I cannot help with that.",
+    'Sure: {"ticket_type": "complaint" } extra }',
+    _OOD_JSON,
+    '{"severity": "low"}',
+    '{"ticket_type": "complaint", "severity": "low"}',
+]
+_REPLY5 = f"'Here: ' || {NL} || " + _lit('{"ticket_type": "inquiry",') + f" || {NL} || " + \
+    _lit(' "severity": "high"}') + f" || {NL} || 'Thanks'"
+
+EVAL_PAIRS = f"""eval_pairs AS (
+  SELECT sample_id, user_input, true_json,
+    '[INST] sys [/INST] ' || CASE sample_id % 11
+      {" ".join(f"WHEN {k} THEN {_lit(r)}" for k, r in enumerate(_REPLIES))}
+      WHEN 5 THEN {_REPLY5}
+      ELSE true_json END AS response
+  FROM (SELECT doc_id AS sample_id, text AS user_input,
+    CASE WHEN doc_id % 12 = 0 THEN {_lit(_OOD_JSON)} ELSE '{{' || concat_ws(', ',
+      '"ticket_type": "' || ({_list(_EVAL_TYPES)})[doc_id % 3 + 1] || '"',
+      '"severity": "' || ({_list(_EVAL_SEV)})[doc_id % 4 + 1] || '"',
+      '"department_impacted": "D' || CAST(doc_id % 2 AS VARCHAR) || '"',
+      '"service_impacted": "S' || CAST(doc_id % 3 AS VARCHAR) || '"',
+      CASE WHEN doc_id % 5 <> 0 THEN '"preferred_communication": "email"' END,
+      CASE WHEN doc_id % 3 = 2 THEN '"assistance_request": "loan"' END) || '}}' END AS true_json
+  FROM documents))"""
+
+PRED = f"""pred AS (
+  SELECT *, CASE WHEN blk IS NULL THEN 'no_json' WHEN pj IS NULL THEN 'bad_json' ELSE 'ok' END AS status
+  FROM (SELECT *, CASE WHEN {is_object('blk')} THEN blk END AS pj FROM (
+    SELECT *, NULLIF(regexp_extract(tail, '(?s)\\{{.*\\}}', 0), '') AS blk
+    FROM (SELECT *, {strip("string_split(response, '[/INST]')[-1]")} AS tail FROM eval_pairs))))"""
+
+OUTCOME = f"""outcome AS (
+  SELECT *, CASE WHEN p_err AND NOT t_err THEN 'pred_error' WHEN t_err AND p_err THEN 'both_error'
+                 WHEN NOT t_err AND NOT p_err THEN 'compared' ELSE 'domain_error' END AS outcome
+  FROM (SELECT *, {jhas('true_json', 'error')} AS t_err,
+               (status <> 'ok' OR COALESCE({jhas('pj', 'error')}, FALSE)) AS p_err FROM pred))"""
+
+
+def _t_type(default: str) -> str:
+    return f"CASE WHEN {jhas('true_json', 'ticket_type')} THEN {jtext('true_json', 'ticket_type')} ELSE {_lit(default)} END"
+
+
+LABELS = f"""labels_ AS (
+  SELECT *,
+    CASE outcome WHEN 'pred_error' THEN 'error' WHEN 'both_error' THEN 'out_of_domain'
+      WHEN 'compared' THEN CASE WHEN {jhas('pj', 'ticket_type')} THEN {jtext('pj', 'ticket_type')} ELSE 'unknown' END
+      ELSE 'domain_error' END AS pred_label,
+    CASE outcome WHEN 'pred_error' THEN {_t_type('unknown')} WHEN 'both_error' THEN 'out_of_domain'
+      WHEN 'compared' THEN {_t_type('unknown')} ELSE {_t_type('out_of_domain')} END AS true_label
+  FROM outcome)"""
+
+
+def _match(f: str) -> str:
+    return f"({jjson('true_json', f)} IS NOT DISTINCT FROM {jjson('pj', f)})"
+
+
+DETAILED = f"""detailed AS (
+  SELECT sample_id, true_label, pred_label, (true_label IS NOT DISTINCT FROM pred_label) AS type_correct,
+    {", ".join(f"{_match(f)} AS {f}_match" for f in FV.COMPARED_FIELDS)},
+    CASE WHEN true_label = 'assistance' THEN
+      COALESCE({jtype('pj', 'assistance_request')} IS NOT NULL AND {jtype('pj', 'assistance_request')} <> 'NULL', FALSE)
+    END AS assistance_request_match
+  FROM labels_ WHERE outcome = 'compared')"""
+
+E_ = with_(EVAL_PAIRS, PRED, OUTCOME, LABELS)
+ED_ = with_(EVAL_PAIRS, PRED, OUTCOME, LABELS, DETAILED)
+
+ORACLE["parse_responses"] = with_(EVAL_PAIRS, PRED) + f"""
+SELECT sample_id, status, (status <> 'ok' OR COALESCE({jhas('pj', 'error')}, FALSE)) AS pred_has_error,
+  CASE status WHEN 'no_json' THEN {_lit(FV.REPLY_NO_JSON_ERROR)} WHEN 'bad_json' THEN {_lit(FV.REPLY_BAD_JSON_PREFIX)}
+    ELSE {jtext('pj', 'error')} END AS pred_error,
+  {jtext('pj', 'ticket_type')} AS ticket_type, {jtext('pj', 'severity')} AS severity,
+  CASE WHEN status <> 'ok' THEN tail END AS raw
+FROM pred"""
+
+ORACLE["quick_eval_labels"] = with_(EVAL_PAIRS, PRED) + f"""
+SELECT sample_id, {jtext('true_json', 'ticket_type')} AS true_label,
+  CASE status WHEN 'no_json' THEN 'parse_error' WHEN 'bad_json' THEN 'json_error'
+    ELSE CASE WHEN {jhas('pj', 'ticket_type')} THEN {jtext('pj', 'ticket_type')} ELSE 'parse_error' END END AS pred_label
+FROM pred WHERE NOT {jhas('true_json', 'error')}"""
+
+ORACLE["outcome_labels"] = E_ + "SELECT sample_id, status, outcome, true_label, pred_label FROM labels_"
+
+ORACLE["eval_detailed"] = ED_ + "SELECT * FROM detailed"
+
+ORACLE["overall_accuracy"] = E_ + """
+SELECT count(*) AS n_samples,
+       round(avg(CAST(true_label IS NOT DISTINCT FROM pred_label AS INTEGER)), 6) AS accuracy FROM labels_"""
+
+CLASS_METRICS = """pc AS (SELECT true_label AS t, pred_label AS p, count(*) AS n FROM labels_ GROUP BY ALL),
+lab AS (SELECT t AS label FROM pc UNION SELECT p FROM pc),
+cm AS (
+  SELECT label,
+    COALESCE((SELECT sum(n) FROM pc WHERE t = label AND p = label), 0) AS tp,
+    COALESCE((SELECT sum(n) FROM pc WHERE t = label), 0) AS sup,
+    COALESCE((SELECT sum(n) FROM pc WHERE p = label), 0) AS pr
+  FROM lab),
+cm2 AS (SELECT label, CASE WHEN pr > 0 THEN tp / pr ELSE 0.0 END AS p_,
+               CASE WHEN sup > 0 THEN tp / sup ELSE 0.0 END AS r_, sup FROM cm),
+class_metrics AS (
+  SELECT label, round(p_, 6) AS precision, round(r_, 6) AS recall,
+         round(CASE WHEN p_ + r_ > 0 THEN 2 * p_ * r_ / (p_ + r_) ELSE 0.0 END, 6) AS f1,
+         CAST(sup AS BIGINT) AS support FROM cm2)"""
+
+ORACLE["class_metrics"] = E_ + ", " + CLASS_METRICS + "\nSELECT * FROM class_metrics"
+
+ORACLE["avg_metrics"] = E_ + ", " + CLASS_METRICS + """
+SELECT 'macro avg' AS average, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall,
+       round(avg(f1), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM class_metrics
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM class_metrics"""
+
+ORACLE["confusion_matrix"] = E_ + """,
+pc AS (SELECT true_label AS t, pred_label AS p, count(*) AS n FROM labels_ GROUP BY ALL),
+lab AS (SELECT t AS label FROM pc UNION SELECT p FROM pc)
+SELECT a.label AS true_label, b.label AS pred_label, CAST(COALESCE(pc.n, 0) AS BIGINT) AS n
+FROM lab a CROSS JOIN lab b LEFT JOIN pc ON pc.t = a.label AND pc.p = b.label"""
+
+ORACLE["label_set"] = E_ + """
+SELECT label, row_number() OVER (ORDER BY label) AS ord
+FROM (SELECT true_label AS label FROM labels_ UNION SELECT pred_label FROM labels_)"""
+
+ORACLE["field_accuracy"] = ED_ + " UNION ALL ".join(
+    f"""SELECT '{f}' AS field, round(avg(CAST({f}_match AS INTEGER)), 6) AS accuracy
+FROM detailed WHERE type_correct AND {f}_match IS NOT NULL HAVING count(*) > 0 """
+    for f in FV.FIELD_ACCURACY_ORDER)
+
+_RATES = """rates AS (
+  SELECT count(*) AS n_samples, count(*) FILTER (WHERE pred_label = 'error') AS parse_errors,
+         count(*) FILTER (WHERE pred_label = 'domain_error') AS domain_errors FROM labels_),
+rates2 AS (SELECT *, round(CASE WHEN n_samples > 0 THEN parse_errors / n_samples END, 6) AS parse_error_rate,
+                  round(CASE WHEN n_samples > 0 THEN domain_errors / n_samples END, 6) AS domain_error_rate FROM rates)"""
+
+ORACLE["error_rates"] = E_ + ", " + _RATES + "\nSELECT * FROM rates2"
+
+ORACLE["error_shares"] = E_ + ", " + _RATES + """
+SELECT 'Correct' AS part, round(1.0 - parse_error_rate - domain_error_rate, 6) AS share FROM rates2
+UNION ALL SELECT 'Parse Errors', parse_error_rate FROM rates2
+UNION ALL SELECT 'Domain Errors', domain_error_rate FROM rates2"""
+
+ORACLE["sample_predictions"] = ED_ + """
+SELECT type_correct, CAST(ord AS BIGINT) AS ord, sample_id, true_label, pred_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY type_correct ORDER BY sample_id) AS ord FROM detailed)
+WHERE ord <= 3"""
+
+ORACLE["labels_class_metrics"] = """WITH labels_ AS (
+  SELECT CASE WHEN l.quality = 1 THEN 'good' ELSE 'bad' END AS true_label,
+         CASE WHEN d.n_chars >= 1000 THEN 'good' ELSE 'bad' END AS pred_label
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id), """ + CLASS_METRICS + "\nSELECT * FROM class_metrics"
+
+ORACLE["prompt_truncation"] = with_(EVAL_PAIRS) + f"""
+SELECT sample_id, CAST(n AS BIGINT) AS n_tokens, CAST(LEAST(n, 512) AS BIGINT) AS kept_tokens, n > 512 AS truncated
+FROM (SELECT sample_id, len(regexp_extract_all({eval_prompt_sql('user_input')},
+      '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_ \\t\\n\\r]')) AS n FROM eval_pairs)"""
