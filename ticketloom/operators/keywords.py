@@ -47,7 +47,7 @@ def top_keywords(counts: DataFrame, group_cols: list[str], top: int, stopwords:
     kept = r.where(~F.col("word").isin(stopwords) & (F.length("word") >= min_len))
     w2 = Window.partitionBy(*group_cols).orderBy("_r") if group_cols else Window.orderBy("_r")
     return (kept.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= keep)
-            .select(*group_cols, F.col("rank").cast("int").alias("rank"), "word", "n"))
+            .select(*group_cols, F.col("rank").cast("bigint").alias("rank"), "word", "n"))
 
 
 def class_keywords(clean: DataFrame, text_col: str = "original_input",

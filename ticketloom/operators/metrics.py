@@ -65,7 +65,7 @@ def label_set(labels: DataFrame) -> DataFrame:
     """Sorted distinct union of true and predicted labels."""
     u = labels.select(F.col("true_label").alias("label")).union(
         labels.select(F.col("pred_label").alias("label"))).distinct()
-    return u.withColumn("ord", F.row_number().over(Window.orderBy("label")).cast("int"))
+    return u.withColumn("ord", F.row_number().over(Window.orderBy("label")).cast("bigint"))
 
 
 def confusion_matrix(spark: SparkSession, labels: DataFrame) -> DataFrame:
@@ -121,5 +121,43 @@ def sample_predictions(detailed: DataFrame, k: int = 3) -> DataFrame:
     w = Window.partitionBy("type_correct").orderBy("sample_id")
     return (detailed.where(F.col("type_correct").isNotNull())
             .withColumn("ord", F.row_number().over(w)).where(F.col("ord") <= k)
-            .select("type_correct", F.col("ord").cast("int").alias("ord"), "sample_id",
+            .select("type_correct", F.col("ord").cast("bigint").alias("ord"), "sample_id",
                     "true_label", "pred_label"))
+
+
+def eval_report(labels: DataFrame) -> DataFrame:
+    """K4: the evaluation report as a long table (section, key, metric,
+    value); text is rendered from it on the driver (plans.reports)."""
+    acc = overall_accuracy(labels)
+    cm = class_metrics(labels)
+    overall = acc.select(F.explode(F.array(
+        F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").cast("double").alias("value")),
+        F.struct(F.lit("total_samples").alias("metric"), F.col("n_samples").cast("double").alias("value")),
+    )).alias("x")).select(F.lit("overall").alias("section"), F.lit("all").alias("key"), "x.metric", "x.value")
+    per_class = cm.select("label", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for m in ("precision", "recall", "f1", "support")])).alias("x")).select(
+        F.lit("class").alias("section"), F.col("label").alias("key"), "x.metric", "x.value")
+    macro = avg_metrics(cm).where(F.col("average") == "macro avg").select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for m in ("precision", "recall", "f1")])).alias("x")).select(
+        F.lit("macro").alias("section"), F.lit("macro avg").alias("key"), "x.metric", "x.value")
+    fields = field_accuracy(labels).select(F.lit("field").alias("section"), F.col("field").alias("key"),
+                                           F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    rates = error_rates(labels).select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for m in ("parse_error_rate", "domain_error_rate")])).alias("x")).select(
+        F.lit("errors").alias("section"), F.lit("all").alias("key"), "x.metric", "x.value")
+    return overall.unionByName(per_class).unionByName(macro).unionByName(fields).unionByName(rates)
+
+
+def eval_summary(labels: DataFrame) -> DataFrame:
+    """K6: the console summary as (metric, value) rows."""
+    acc = overall_accuracy(labels).select(F.lit("overall_accuracy").alias("metric"),
+                                          F.col("accuracy").alias("value"))
+    rates = error_rates(labels).select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+        for m in ("parse_error_rate", "domain_error_rate")])).alias("x")).select("x.metric", "x.value")
+    fields = field_accuracy(labels).select(F.concat(F.lit("field:"), F.col("field")).alias("metric"),
+                                           F.col("accuracy").alias("value"))
+    return acc.unionByName(rates).unionByName(fields)

@@ -135,19 +135,19 @@ def length_histogram(df: DataFrame, col: str = "original_input", bins: int = HIS
     lo_hi = df.agg(F.min(n).alias("lo"), F.max(n).alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
+        return df.sparkSession.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     step = (hi - lo) / bins
     x = F.col("_x")
-    b0 = F.floor((x - F.lit(lo)) * F.lit(bins / (hi - lo))).cast("int")
+    b0 = F.floor((x - F.lit(lo)) * F.lit(bins / (hi - lo))).cast("bigint")
     b0 = F.least(F.greatest(b0, F.lit(0)), F.lit(bins - 1))
     edge = lambda b: F.when(b == bins, F.lit(hi)).otherwise(b.cast("double") * F.lit(step) + F.lit(lo))
     b1 = F.when(x < edge(b0), b0 - 1).otherwise(b0)
     b2 = F.when((b1 != bins - 1) & (x >= edge(b1 + 1)), b1 + 1).otherwise(b1)
     counts = (df.select(n.alias("_x")).where(x.isNotNull())
               .groupBy(b2.alias("bin")).agg(F.count("*").alias("n")))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     out = grid.join(F.broadcast(counts), "bin", "left")
     b = F.col("bin")
     return out.select(b, edge(b).alias("lo"), edge(b + 1).alias("hi"),
@@ -179,7 +179,7 @@ def quality_report(clean: DataFrame) -> DataFrame:
     for i, (k, v) in enumerate(issues, 1):
         if v:
             rows.append(("issues", i, k, v, None, None))
-    schema = "section string, ord int, key string, n bigint, pct double, value double"
+    schema = "section string, ord bigint, key string, n bigint, pct double, value double"
     scalars = spark.createDataFrame(rows, schema)
 
     w_rank = lambda: F.row_number().over(
@@ -192,7 +192,7 @@ def quality_report(clean: DataFrame) -> DataFrame:
         F.when(F.col("column") == "department_impacted", F.lit("department"))
         .otherwise(F.col("column")).alias("section"),
         F.col("value").alias("key"), "n", _pct(F.col("n"), total).alias("pct"))
-    ranked = miss.unionByName(dist).withColumn("ord", w_rank())
+    ranked = miss.unionByName(dist).withColumn("ord", w_rank().cast("bigint"))
     ranked = ranked.where((F.col("section") != "department") | (F.col("ord") <= TOP_DEPARTMENTS))
     ranked = ranked.select("section", "ord", "key", "n", "pct", F.lit(None).cast("double").alias("value"))
     return scalars.unionByName(ranked)

@@ -90,7 +90,7 @@ def load_with_defaults(raw: DataFrame) -> DataFrame:
         ok.alias("_ok"))
 
 
-def validate_samples(raw_samples: DataFrame) -> DataFrame:
+def validate_samples(raw_samples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """a sample is kept when both top-level keys are present and the
     ticket holds ``error`` or all seven ticket keys -- presence, not
     non-null.  ``_ok`` marks kept rows."""
@@ -106,7 +106,7 @@ def validate_samples(raw_samples: DataFrame) -> DataFrame:
     return d.select(
         F.lit("json").alias("source"), F.col("sample_id"),
         jsonx.as_text(jsonx.value(m, "user_input")).alias("user_input"), *cols,
-        F.coalesce(ok, F.lit(False)).alias("_ok"))
+        F.coalesce(ok, F.lit(False)).alias("_ok"), *keep)
 
 
 def counts_of(flagged: DataFrame, loaded: str, kept: str, skipped: str) -> DataFrame:
@@ -160,7 +160,7 @@ def chat_messages_long(samples: DataFrame) -> DataFrame:
     """P11 in long form: (source, sample_id, msg_index, role, content)."""
     m = chat_messages(samples)
     return m.select("source", "sample_id", F.posexplode("messages").alias("msg_index", "msg")).select(
-        "source", "sample_id", F.col("msg_index").cast("int").alias("msg_index"),
+        "source", "sample_id", F.col("msg_index").cast("bigint").alias("msg_index"),
         F.col("msg.role").alias("role"), F.col("msg.content").alias("content"))
 
 

@@ -21,6 +21,10 @@ from ticketloom.operators import profile as PR
 from ticketloom.operators import records as RC
 from ticketloom.operators import responses as RS
 from ticketloom.operators import sampling as SM
+from ticketloom.operators import scoring as SC
+from ticketloom.session import scratch_path
+from ticketloom.sources import files as FI
+from ticketloom.streaming import score_stream as ST
 from ticketloom.sources import fixtures as FX
 from ticketloom.sources import literals as LT
 from ticketloom.sources.tables import read_table
@@ -453,3 +457,87 @@ def q_labels_class_metrics(spark, sf):
     t = F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("bad"))
     p = F.when(F.col("n_chars") >= 1000, F.lit("good")).otherwise(F.lit("bad"))
     return MT.class_metrics(j.select(t.alias("true_label"), p.alias("pred_label")))
+
+
+@query("eval_report")
+def q_eval_report(spark, sf):
+    return MT.eval_report(evaluated(spark, sf).persist())
+
+
+@query("eval_summary")
+def q_eval_summary(spark, sf):
+    return MT.eval_summary(evaluated(spark, sf).persist())
+
+
+# -- file sources and sinks ---------------------------------------------------
+
+@query("scan_raw_tickets")
+def q_scan_raw_tickets(spark, sf):
+    """Raw tickets written as CSV to the shared folder, scanned back
+    with pandas' CSV semantics."""
+    path = FI.write_tickets_csv(raw(spark, sf), scratch_path(spark, "raw_tickets_csv"))
+    return FI.read_tickets_csv(spark, path)
+
+
+@query("write_samples")
+def q_write_samples(spark, sf):
+    """K1 + S2: training records written as JSON lines, read back and
+    validated."""
+    path = FI.write_samples_jsonl(records(spark, sf), scratch_path(spark, "training_data"))
+    return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source")
+
+
+@query("write_splits")
+def q_write_splits(spark, sf):
+    """K2: train / validation / test (+ out-of-domain rows) and the
+    challenge set in one write, one folder per split; read back."""
+    splits = three_way(spark, sf).unionByName(
+        LT.challenge_samples(spark).withColumn("split", F.lit("challenge")), allowMissingColumns=True)
+    path = FI.write_samples_jsonl(splits, scratch_path(spark, "data_splits"), partition_by="split")
+    back = FI.read_samples_jsonl(spark, path).where("_ok")
+    return back.select("split", "user_input", "ticket_type", "severity", "error")
+
+
+# -- scoring and streaming ----------------------------------------------------
+
+@query("batch_score")
+def q_batch_score(spark, sf):
+    """V1: every evaluation input scored by a caller-supplied model (here
+    the rule model) in Arrow batches, then parsed (E1)."""
+    e = FX.eval_pairs(spark, sf).select("sample_id", "user_input")
+    scored = SC.score(e, SC.rule_model)
+    p = RS.parse_replies(scored)
+    return p.select("sample_id", "status", jsonx.as_text(jsonx.value("pred", "ticket_type")).alias("ticket_type"))
+
+
+@query("domain_filter")
+def q_domain_filter(spark, sf):
+    """V4: keyword score of every evaluation input against the per-type
+    keyword lists (T3); below 1 -> out of domain."""
+    kw = [r["word"] for r in KW.class_keywords(clean(spark, sf)).select("word").distinct().collect()]
+    e = FX.eval_pairs(spark, sf).select("sample_id", "user_input")
+    return SC.domain_scores(e, kw).select("sample_id", "domain_score", "in_domain")
+
+
+@query("fit_classifier")
+def q_fit_classifier(spark, sf):
+    """V2: a text classifier fitted on the train split of documents (label =
+    language) and scored on the test split."""
+    d = read_table(spark, sf, "documents", "doc_id", "text", "lang")
+    parts = SM.split_three_way(d, ["doc_id"], (0.8, 0.0, 0.2))
+    parts = parts.persist()
+    _, pred = SC.fit_classifier(parts.where(F.col("split") == "train"),
+                                parts.where(F.col("split") == "test"), "text", "lang")
+    return pred.select("doc_id", "true_label", "pred_label")
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """V3: user turns of the conversations table as a stream (availableNow),
+    blank ones dropped, scored and parsed into a parquet sink."""
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    src = f"{sf.rstrip('/')}/conversations*.parquet"
+    out = scratch_path(spark, "stream_out")
+    res = ST.run_available(spark, src, schema, SC.rule_model, "text", out, out + "_ckpt",
+                           where="role = 'user'")
+    return res.select("conv_id", "turn", "status", "pred_has_error")

@@ -740,3 +740,43 @@ ORACLE["prompt_truncation"] = with_(EVAL_PAIRS) + f"""
 SELECT sample_id, CAST(n AS BIGINT) AS n_tokens, CAST(LEAST(n, 512) AS BIGINT) AS kept_tokens, n > 512 AS truncated
 FROM (SELECT sample_id, len(regexp_extract_all({eval_prompt_sql('user_input')},
       '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_ \\t\\n\\r]')) AS n FROM eval_pairs)"""
+
+_NULLS = ", ".join(_lit(x) for x in FV.CSV_NULL_SPELLINGS)
+
+ORACLE["scan_raw_tickets"] = T + f"""
+SELECT row_index, CASE WHEN input IN ({_NULLS}) THEN NULL ELSE input END AS input,
+       CASE WHEN output IN ({_NULLS}) THEN NULL ELSE output END AS output FROM raw_tickets"""
+
+ORACLE["domain_filter"] = with_(RAW_TICKETS, PARSED, CLEAN, _TYPE_WC, EVAL_PAIRS,
+    f"kw AS (SELECT list(DISTINCT word) AS words FROM {top_keywords_sql('type_wc', 'ticket_type', 20, FV.TYPE_STOPWORDS)})") + f"""
+SELECT sample_id, CAST(s AS BIGINT) AS domain_score, s >= 1 AS in_domain FROM (
+  SELECT sample_id, len(list_filter({words('user_input')}, lambda w: list_contains(kw.words, w))) AS s
+  FROM eval_pairs CROSS JOIN kw)"""
+
+_FIELD_ACC = " UNION ALL ".join(
+    f"""SELECT '{f}' AS field, round(avg(CAST({f}_match AS INTEGER)), 6) AS accuracy
+FROM detailed WHERE type_correct AND {f}_match IS NOT NULL HAVING count(*) > 0 """
+    for f in FV.FIELD_ACCURACY_ORDER)
+
+ORACLE["eval_report"] = ED_ + ", " + CLASS_METRICS + ", " + _RATES + f""",
+fa AS ({_FIELD_ACC}),
+acc AS (SELECT count(*) AS n, round(avg(CAST(true_label IS NOT DISTINCT FROM pred_label AS INTEGER)), 6) AS a FROM labels_)
+SELECT 'overall' AS section, 'all' AS key, 'accuracy' AS metric, CAST(a AS DOUBLE) AS value FROM acc
+UNION ALL SELECT 'overall', 'all', 'total_samples', CAST(n AS DOUBLE) FROM acc
+UNION ALL SELECT 'class', label, 'precision', precision FROM class_metrics
+UNION ALL SELECT 'class', label, 'recall', recall FROM class_metrics
+UNION ALL SELECT 'class', label, 'f1', f1 FROM class_metrics
+UNION ALL SELECT 'class', label, 'support', CAST(support AS DOUBLE) FROM class_metrics
+UNION ALL SELECT 'macro', 'macro avg', 'precision', round(avg(precision), 6) FROM class_metrics
+UNION ALL SELECT 'macro', 'macro avg', 'recall', round(avg(recall), 6) FROM class_metrics
+UNION ALL SELECT 'macro', 'macro avg', 'f1', round(avg(f1), 6) FROM class_metrics
+UNION ALL SELECT 'field', field, 'accuracy', accuracy FROM fa
+UNION ALL SELECT 'errors', 'all', 'parse_error_rate', parse_error_rate FROM rates2
+UNION ALL SELECT 'errors', 'all', 'domain_error_rate', domain_error_rate FROM rates2"""
+
+ORACLE["eval_summary"] = ED_ + ", " + _RATES + f""",
+fa AS ({_FIELD_ACC})
+SELECT 'overall_accuracy' AS metric, round(avg(CAST(true_label IS NOT DISTINCT FROM pred_label AS INTEGER)), 6) AS value FROM labels_
+UNION ALL SELECT 'parse_error_rate', parse_error_rate FROM rates2
+UNION ALL SELECT 'domain_error_rate', domain_error_rate FROM rates2
+UNION ALL SELECT 'field:' || field, accuracy FROM fa"""
