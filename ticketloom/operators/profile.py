@@ -8,6 +8,7 @@ SHA-256 digest of the text (32 bytes shuffled instead of the whole text).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,10 +23,6 @@ def _pct(n: Column, total) -> Column:
     return F.when(t > 0, F.round(F.lit(100.0) * n / t, 6))
 
 
-def _total(df: DataFrame) -> int:
-    return df.count()
-
-
 def dataset_overview(raw: DataFrame) -> DataFrame:
     """A1: row count and the column list of the scanned frame."""
     cols = [c for c in raw.columns if c != "row_index"]
@@ -48,13 +45,15 @@ def raw_distributions(parsed: DataFrame, cols=("ticket_type", "severity",
     return g.where(F.col("value").isNotNull())
 
 
-def distribution(df: DataFrame, col: str, total: int | None = None, top: int | None = None) -> DataFrame:
-    """A3/T5: value, n, pct of all rows; ordered by n desc then value."""
-    total = _total(df) if total is None else total
-    g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+def distribution(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
+    """A3/T5: value, n, pct of all rows (nulls dropped from the values, kept
+    in the total); one GROUPING SETS pass yields the groups and the total."""
+    g = df.groupingSets([[col], []], col).agg(F.count("*").alias("n"), F.grouping_id().alias("_g"))
+    total = F.max(F.when(F.col("_g") == 1, F.col("n"))).over(Window.partitionBy())
+    g = g.withColumn("_total", total).where((F.col("_g") == 0) & F.col(col).isNotNull())
     if top is not None:
         g = g.orderBy(F.desc("n"), F.asc(col)).limit(top)
-    return g.select(F.col(col).alias("value"), "n", _pct(F.col("n"), total).alias("pct"))
+    return g.select(F.col(col).alias("value"), "n", _pct(F.col("n"), F.col("_total")).alias("pct"))
 
 
 def quality_summary(clean: DataFrame) -> DataFrame:
@@ -64,34 +63,37 @@ def quality_summary(clean: DataFrame) -> DataFrame:
                      F.countDistinct("severity").alias("unique_severities"))
 
 
-def _non_null_after_cleaning(key: str, v: Column) -> Column:
-    """Whether a present key's value survives as non-null in the cleaned
-    frame: type and severity are always filled, communication keeps only
-    strings, everything else keeps any non-null JSON value."""
-    if key in ("Ticket Type", "Severity"):
-        return F.lit(True)
-    if key == "Preferred Communication":
-        return jsonx.json_type(v) == "STRING"
-    return jsonx.json_type(v) != "VOID"
+_ROWS = "\u0000rows"
+
+
+def missing_counts(clean: DataFrame) -> DataFrame:
+    """(column, n_missing, total) for every key seen in any object plus
+    original_input, from one explode + partial aggregation.  Per present
+    key: whether it survives as non-null in the cleaned frame (type and
+    severity are always filled, communication keeps only strings, other
+    keys any non-null JSON value).  Two sentinel entries per row carry the
+    row count and the input's nullness, so no second pass counts rows."""
+    def nn(e):
+        k, v = e["key"], e["value"]
+        return (F.when(k.isin("Ticket Type", "Severity"), F.lit(True))
+                .when(k == "Preferred Communication", jsonx.json_type(v) == "STRING")
+                .otherwise(jsonx.json_type(v) != "VOID"))
+    entries = F.transform(F.map_entries("obj"), lambda e: F.struct(e["key"].alias("k"), nn(e).alias("nn")))
+    sentinels = F.array(F.struct(F.lit(_ROWS).alias("k"), F.lit(True).alias("nn")),
+                        F.struct(F.lit("original_input").alias("k"),
+                                 F.col("original_input").isNotNull().alias("nn")))
+    e = clean.select(F.explode(F.concat(entries, sentinels)).alias("e"))
+    per = e.groupBy(F.col("e.k").alias("column")).agg(F.count_if("e.nn").alias("non_null"))
+    total = F.max(F.when(F.col("column") == _ROWS, F.col("non_null"))).over(Window.partitionBy())
+    per = per.withColumn("total", total).where(F.col("column") != _ROWS)
+    return per.select("column", (F.col("total") - F.col("non_null")).alias("n_missing"), "total")
 
 
 def missing_values(clean: DataFrame) -> DataFrame:
-    """A5: per column (every key seen in any object, plus original_input and
-    row_index) the count and percent of missing cells; only columns with
-    missing > 0.  Keys are discovered with explode + partial aggregation."""
-    total = _total(clean)
-    e = clean.select(F.explode(F.map_entries("obj")).alias("e"))
-    k, v = F.col("e.key"), F.col("e.value")
-    nn = (F.when(k.isin("Ticket Type", "Severity"), F.lit(True))
-          .when(k == "Preferred Communication", jsonx.json_type(v) == "STRING")
-          .otherwise(jsonx.json_type(v) != "VOID"))
-    per_key = e.groupBy(k.alias("column")).agg(F.count_if(nn).alias("non_null"))
-    keys = per_key.select("column", (F.lit(total) - F.col("non_null")).alias("n_missing"))
-    extra = clean.agg(F.count_if(F.col("original_input").isNull()).alias("n_missing")).select(
-        F.lit("original_input").alias("column"), "n_missing")
-    out = keys.unionByName(extra)
-    return (out.where(F.col("n_missing") > 0)
-            .select("column", "n_missing", _pct(F.col("n_missing"), total).alias("pct")))
+    """A5: count and percent of missing cells per column, only > 0."""
+    m = missing_counts(clean)
+    return (m.where(F.col("n_missing") > 0)
+            .select("column", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
 
 
 def length_stats(df: DataFrame, col: str = "original_input") -> DataFrame:
@@ -156,43 +158,60 @@ def length_histogram(df: DataFrame, col: str = "original_input", bins: int = HIS
 
 def quality_report(clean: DataFrame) -> DataFrame:
     """K3: the data-quality report as a long table
-    (section, ord, key, n, pct, value); text is rendered from it."""
+    (section, ord, key, n, pct, value); text is rendered from it.
+
+    The cleaned rows are reduced once to a narrow projection (lengths,
+    32-byte text digests, the key map, three label columns) that is
+    persisted for the four aggregates below and released before returning;
+    every aggregate combines partially, and only report-sized results (one
+    row per key, type, severity and top department) reach the driver."""
     spark = clean.sparkSession
-    total = _total(clean)
-    ln = F.length("original_input")
-    s = clean.agg(
-        F.countDistinct("ticket_type").alias("ut"), F.countDistinct("severity").alias("us"),
-        F.avg(ln).alias("mean"), F.median(ln).alias("median"), F.min(ln).alias("min"),
-        F.max(ln).alias("max"), F.stddev_samp(ln).alias("std"),
-        F.count_if(ln < SHORT_INPUT_CHARS).alias("short"),
-        F.count_if(~F.coalesce(F.col("ticket_type").isin(STANDARD_TYPES), F.lit(False))).alias("nonstd"),
-    ).first()
-    dup = duplicate_count(clean).first()["duplicates"]
+    base = clean.select(
+        "ticket_type", "severity", "department_impacted", "obj", "original_input",
+        F.length("original_input").alias("_len"), text_digest("original_input").alias("_h"))
+    base = base.select([c for c in base.columns if c != "original_input"]
+                       + [F.col("original_input").isNull().alias("_in_null")])
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ln = F.col("_len")
+        s = base.agg(
+            F.count("*").alias("total"),
+            F.countDistinct("ticket_type").alias("ut"), F.countDistinct("severity").alias("us"),
+            F.avg(ln).alias("mean"), F.median(ln).alias("median"), F.min(ln).alias("min"),
+            F.max(ln).alias("max"), F.stddev_samp(ln).alias("std"),
+            F.count_if(ln < SHORT_INPUT_CHARS).alias("short"),
+            F.count_if(~F.coalesce(F.col("ticket_type").isin(STANDARD_TYPES), F.lit(False))).alias("nonstd"),
+        ).first()
+        total = s["total"]
+        dup = (base.groupBy("_h").agg(F.count("*").alias("n"))
+               .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0])
+        miss = (missing_counts(base.withColumn("original_input",
+                                               F.when(~F.col("_in_null"), F.lit(""))))
+                .where(F.col("n_missing") > 0).collect())
+        dist = raw_distributions(base, ("ticket_type", "severity", "department_impacted"))
+        w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
+        dist = (dist.withColumn("ord", F.row_number().over(w))
+                .where((F.col("column") != "department_impacted") | (F.col("ord") <= TOP_DEPARTMENTS))
+                .collect())
+    finally:
+        base.unpersist()
+
+    pct = (lambda n: None if not total else round(100.0 * n / total, 6))
     rows = [("overview", 1, "Total Records", total, None, None),
             ("overview", 2, "Unique Ticket Types", s["ut"], None, None),
             ("overview", 3, "Unique Severities", s["us"], None, None)]
     for i, (k, v) in enumerate([("Mean", s["mean"]), ("Median", s["median"]), ("Min", s["min"]),
                                 ("Max", s["max"]), ("Std Dev", s["std"])], 1):
         rows.append(("input_length", i, k, None, None, None if v is None else round(float(v), 6)))
-    issues = [("very_short_inputs", s["short"]), ("duplicate_inputs", dup),
-              ("non_standard_types", s["nonstd"])]
-    for i, (k, v) in enumerate(issues, 1):
+    for i, (k, v) in enumerate([("very_short_inputs", s["short"]), ("duplicate_inputs", dup),
+                                ("non_standard_types", s["nonstd"])], 1):
         if v:
             rows.append(("issues", i, k, v, None, None))
+    miss = sorted(miss, key=lambda r: (-r["n_missing"], r["column"]))
+    rows += [("missing", i, r["column"], r["n_missing"], pct(r["n_missing"]), None)
+             for i, r in enumerate(miss, 1)]
+    section = {"department_impacted": "department"}
+    rows += [(section.get(r["column"], r["column"]), r["ord"], r["value"], r["n"], pct(r["n"]), None)
+             for r in dist]
     schema = "section string, ord bigint, key string, n bigint, pct double, value double"
-    scalars = spark.createDataFrame(rows, schema)
-
-    w_rank = lambda: F.row_number().over(
-        Window.partitionBy("section").orderBy(F.desc("n"), F.asc("key")))
-    miss = missing_values(clean).select(
-        F.lit("missing").alias("section"), F.col("column").alias("key"),
-        F.col("n_missing").alias("n"), "pct")
-    dist = raw_distributions(clean, ("ticket_type", "severity", "department_impacted"))
-    dist = dist.select(
-        F.when(F.col("column") == "department_impacted", F.lit("department"))
-        .otherwise(F.col("column")).alias("section"),
-        F.col("value").alias("key"), "n", _pct(F.col("n"), total).alias("pct"))
-    ranked = miss.unionByName(dist).withColumn("ord", w_rank().cast("bigint"))
-    ranked = ranked.where((F.col("section") != "department") | (F.col("ord") <= TOP_DEPARTMENTS))
-    ranked = ranked.select("section", "ord", "key", "n", "pct", F.lit(None).cast("double").alias("value"))
-    return scalars.unionByName(ranked)
+    return spark.createDataFrame(rows, schema)
