@@ -126,7 +126,7 @@ def non_standard_types(df: DataFrame, col: str = "ticket_type") -> DataFrame:
 def very_short_inputs(df: DataFrame, col: str = "original_input") -> DataFrame:
     """inputs shorter than 10 code points."""
     n = F.length(col)
-    return df.where(n < SHORT_INPUT_CHARS).select("row_index", n.alias("n_chars"))
+    return df.where(n < SHORT_INPUT_CHARS).select("row_index", n.cast("bigint").alias("n_chars"))
 
 
 def csv_nulls(df: DataFrame, *cols: str) -> DataFrame:

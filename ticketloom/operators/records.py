@@ -109,6 +109,13 @@ def validate_samples(raw_samples: DataFrame, keep: tuple[str, ...] = ()) -> Data
         F.coalesce(ok, F.lit(False)).alias("_ok"), *keep)
 
 
+def require_rows(df: DataFrame, message: str) -> DataFrame:
+    """fail early when there is nothing to train on (one-row probe)."""
+    if df.isEmpty():
+        raise ValueError(message)
+    return df
+
+
 def counts_of(flagged: DataFrame, loaded: str, kept: str, skipped: str) -> DataFrame:
     """loaded / kept / skipped in one aggregate."""
     return flagged.agg(F.count("*").alias(loaded), F.count_if(F.col("_ok")).alias(kept),

@@ -7,6 +7,8 @@ same in the DuckDB oracle.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,6 +75,9 @@ def split_three_way(samples: DataFrame, id_cols: list[str], ratios=SPLIT_RATIOS,
     int(n*r2), test the rest (r3 unused); ``extra_test`` rows (the
     out-of-domain set) are appended to test (U2)."""
     r1, r2 = float(ratios[0]), float(ratios[1])
+    note = check_ratios(*[float(r) for r in ratios])
+    if note:
+        warnings.warn(note, stacklevel=2)
 
     def cuts(n: int):
         train_end = int(n * r1)

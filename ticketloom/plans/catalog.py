@@ -315,7 +315,7 @@ def q_sample_preview(spark, sf):
     first = v.orderBy("sample_id").limit(3)
     return first.select("sample_id", F.substring("user_input", 1, 100).alias("preview"),
                         "ticket_type", "severity",
-                        F.length(RC.training_prompt("inst")).alias("prompt_chars"))
+                        F.length(RC.training_prompt("inst")).cast("bigint").alias("prompt_chars"))
 
 
 # -- balancing, shuffling, splitting ------------------------------------------
@@ -391,6 +391,12 @@ def q_quick_eval_labels(spark, sf):
     return RS.quick_labels(FX.eval_pairs(spark, sf))
 
 
+@query("quick_eval_metrics")
+def q_quick_eval_metrics(spark, sf):
+    """A9/A10 over the quick check's labels (the training script's report)."""
+    return MT.class_metrics(RS.quick_labels(FX.eval_pairs(spark, sf)))
+
+
 @query("outcome_labels")
 def q_outcome_labels(spark, sf):
     return evaluated(spark, sf).select("sample_id", "status", "outcome", "true_label", "pred_label")
@@ -483,7 +489,8 @@ def q_scan_raw_tickets(spark, sf):
 def q_write_samples(spark, sf):
     """K1 + S2: training records written as JSON lines, read back and
     validated."""
-    path = FI.write_samples_jsonl(records(spark, sf), scratch_path(spark, "training_data"))
+    recs = RC.require_rows(records(spark, sf), "No data loaded. Please provide a data source.")
+    path = FI.write_samples_jsonl(recs, scratch_path(spark, "training_data"))
     return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source")
 
 

@@ -780,3 +780,9 @@ SELECT 'overall_accuracy' AS metric, round(avg(CAST(true_label IS NOT DISTINCT F
 UNION ALL SELECT 'parse_error_rate', parse_error_rate FROM rates2
 UNION ALL SELECT 'domain_error_rate', domain_error_rate FROM rates2
 UNION ALL SELECT 'field:' || field, accuracy FROM fa"""
+
+ORACLE["quick_eval_metrics"] = with_(EVAL_PAIRS, PRED, f"""labels_ AS (
+SELECT sample_id, {jtext('true_json', 'ticket_type')} AS true_label,
+  CASE status WHEN 'no_json' THEN 'parse_error' WHEN 'bad_json' THEN 'json_error'
+    ELSE CASE WHEN {jhas('pj', 'ticket_type')} THEN {jtext('pj', 'ticket_type')} ELSE 'parse_error' END END AS pred_label
+FROM pred WHERE NOT {jhas('true_json', 'error')})""") + ", " + CLASS_METRICS + "\nSELECT * FROM class_metrics"
