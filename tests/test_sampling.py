@@ -76,3 +76,29 @@ def test_partition_count_independent(spark):
 def test_ratio_warning():
     assert SM.check_ratios(0.8, 0.1, 0.1) is None
     assert "not 1.0" in SM.check_ratios(0.8, 0.1, 0.2)
+
+
+def test_balance_hot_and_null_classes(spark):
+    # one class holds a third of all rows, and a null class is a class
+    rows = [(i, "hot" if i % 3 == 0 else ("c%d" % (i % 7))) for i in range(3000)]
+    rows += [(10_000 + i, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, cls string")
+    n = 150
+    out = SM.balance_classes(df, "cls", "id", target=n, digits=2)
+    counts = {r.cls: r["count"] for r in out.groupBy("cls").count().collect()}
+    assert set(counts.values()) == {n}
+    assert None in counts and "hot" in counts
+    # the hot class keeps its first n rows in hash order, the same as a full sort
+    import hashlib
+    hot = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i, c in rows if c == "hot")
+    assert {r.id for r in out.where("cls = 'hot'").collect()} == {i for _, i in hot[:n]}
+
+
+def test_rank_window_is_partitioned_by_bucket(spark):
+    from ticketloom.operators import rank as R
+    df = spark.range(1000).withColumn("cls", (F.col("id") % 2).cast("string"))
+    p = R.positions(df, R.hash_key(42, "id"), ["id"], by=["cls"])
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    got = {(r.cls, r.pos) for r in p.collect()}
+    assert len(got) == 1000 and max(pos for _, pos in got) == 499

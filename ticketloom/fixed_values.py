@@ -219,3 +219,27 @@ CSV_NULL_SPELLINGS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 ]
+
+# Report layout (titles, headings, issue lines).
+QUALITY_REPORT_TITLE = "=== Banking Ticket Data Quality Report ==="
+QUALITY_HEADINGS = {
+    "missing": "Missing Values:",
+    "ticket_type": "Ticket Type Distribution:",
+    "severity": "Severity Distribution:",
+    "department": "Department Distribution:",
+    "input_length": "Input Length Analysis:",
+    "issues": "Potential Data Quality Issues:",
+}
+QUALITY_ISSUE_LINES = {
+    "very_short_inputs": "  - {n} records with very short inputs (<10 chars)",
+    "duplicate_inputs": "  - {n} duplicate inputs found",
+    "non_standard_types": "  - {n} records with non-standard ticket types",
+}
+EVAL_REPORT_TITLE = "=== Banking Ticket Model Evaluation Report ==="
+EVAL_HEADINGS = [
+    "1. OVERALL PERFORMANCE",
+    "2. CLASSIFICATION REPORT",
+    "3. FIELD-LEVEL ACCURACY",
+    "4. ERROR ANALYSIS",
+    "5. SAMPLE PREDICTIONS",
+]

@@ -52,6 +52,20 @@ def bucket_offsets(df: DataFrame, key: Column, by: list[str], digits: int = DEFA
     return d, bounded_broadcast(offsets)
 
 
+def join_offsets(d: DataFrame, offsets: DataFrame, by: list[str]) -> DataFrame:
+    """Rows joined to their bucket's offsets.  Group keys compare null-safe
+    (a null group is a group, as in GROUP BY); ``<=>`` stays an equi-join
+    key, so the bounded offsets table is still a broadcast hash join."""
+    o = offsets
+    for c in by:
+        o = o.withColumnRenamed(c, f"_o_{c}")
+    cond = d["_b"] == o["_b"]
+    for c in by:
+        cond = cond & d[c].eqNullSafe(o[f"_o_{c}"])
+    j = d.join(o, cond)
+    return j.drop(o["_b"]).drop(*[f"_o_{c}" for c in by])
+
+
 def _positions(j: DataFrame, need: Column, by: list[str], tie: list[str], name: str) -> DataFrame:
     """``name`` = exact 0-based position for rows where ``need``; null elsewhere."""
     clear = j.where(~need).withColumn(name, F.lit(None).cast("bigint"))
@@ -66,7 +80,7 @@ def positions(df: DataFrame, key: Column, tie: list[str], by: list[str] | None =
     by = by or []
     d, offsets = bucket_offsets(df, key, by, digits)
     w = Window.partitionBy(*by, "_b").orderBy("_h", *tie)
-    out = d.join(offsets, [*by, "_b"]).withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
+    out = join_offsets(d, offsets, by).withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
     return out.drop("_h", "_b", "_cnt", "_off", "_n")
 
 
@@ -89,7 +103,7 @@ def segments(df: DataFrame, key: Column, tie: list[str], cut_fn, labels: list[st
             e = F.when(pos < F.lit(c), F.lit(lab)).otherwise(e)
         return e
 
-    j = d.join(offsets, "_b")
+    j = join_offsets(d, offsets, [])
     first, last = F.col("_off"), F.col("_off") + F.col("_cnt") - 1
     need = seg(first) != seg(last)
     p = _positions(j, need, [], tie, "_pos")

@@ -31,7 +31,7 @@ def balance_classes(df: DataFrame, class_col: str, id_col: str, target: int = BA
     draw) + ``pos`` (position after the final shuffle)."""
     key = R.hash_key(seed, id_col)
     d, offsets = R.bucket_offsets(df, key, [class_col], digits)
-    j = d.join(offsets, [class_col, "_b"])
+    j = R.join_offsets(d, offsets, [class_col])
     n_, off, cnt = F.col("_n"), F.col("_off"), F.col("_cnt")
     small = n_ < target
     straddle = (off < target) & (off + cnt > target)
@@ -48,7 +48,7 @@ def balance_classes(df: DataFrame, class_col: str, id_col: str, target: int = BA
                                                       .cast("array<int>")).alias("draw"))
     draws = draws.withColumn("_idx", F.pmod(R.hash_int(seed, class_col, "draw"), F.col("_n")))
     picked = ranked.select(*[F.col(c).alias(f"_r_{c}") for c in cols], F.col("_pos").alias("_r_pos"))
-    drawn = (draws.join(picked, (F.col(class_col) == F.col(f"_r_{class_col}"))
+    drawn = (draws.join(picked, F.col(class_col).eqNullSafe(F.col(f"_r_{class_col}"))
                         & (F.col("_idx") == F.col("_r_pos")))
              .select(*[F.col(f"_r_{c}").alias(c) for c in cols], "draw"))
     balanced = kept.unionByName(drawn).checkpoint(eager=True)

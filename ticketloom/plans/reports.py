@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ticketloom.fixed_values import (
+    EVAL_HEADINGS, EVAL_REPORT_TITLE, QUALITY_HEADINGS, QUALITY_ISSUE_LINES, QUALITY_REPORT_TITLE)
+
 
 def _rows(table: DataFrame) -> list[dict]:
     return [r.asDict() for r in table.collect()]
@@ -23,38 +26,34 @@ def render_quality_report(table: DataFrame | list[dict]) -> str:
     for v in by.values():
         v.sort(key=lambda r: r["ord"])
     ov = {r["key"]: r["n"] for r in by.get("overview", [])}
-    out = ["=== Banking Ticket Data Quality Report ===", "",
+    out = [QUALITY_REPORT_TITLE, "",
            f"Total Records: {ov.get('Total Records')}",
            f"Unique Ticket Types: {ov.get('Unique Ticket Types')}",
-           f"Unique Severities: {ov.get('Unique Severities')}", "", "Missing Values:"]
+           f"Unique Severities: {ov.get('Unique Severities')}", "", QUALITY_HEADINGS["missing"]]
     for r in by.get("missing", []):
         out.append(f"  {r['key']}: {r['n']} ({r['pct']:.2f}%)")
-    for title, sec in (("Ticket Type Distribution", "ticket_type"), ("Severity Distribution", "severity"),
-                       ("Department Distribution", "department")):
-        out += ["", f"{title}:"]
+    for sec in ("ticket_type", "severity", "department"):
+        out += ["", QUALITY_HEADINGS[sec]]
         out += [f"  {r['key']}: {r['n']} ({r['pct']:.2f}%)" for r in by.get(sec, [])]
     st = {r["key"]: r["value"] for r in by.get("input_length", [])}
-    out += ["", "Input Length Analysis:",
+    out += ["", QUALITY_HEADINGS["input_length"],
             f"  Mean: {st.get('Mean', 0):.2f} characters",
             f"  Median: {st.get('Median', 0):.2f} characters",
             f"  Min: {int(st['Min']) if st.get('Min') is not None else None} characters",
             f"  Max: {int(st['Max']) if st.get('Max') is not None else None} characters",
-            f"  Std Dev: {st.get('Std Dev') or 0:.2f} characters", "", "Potential Data Quality Issues:"]
-    texts = {"very_short_inputs": "  - {n} records with very short inputs (<10 chars)",
-             "duplicate_inputs": "  - {n} duplicate inputs found",
-             "non_standard_types": "  - {n} records with non-standard ticket types"}
+            f"  Std Dev: {st.get('Std Dev') or 0:.2f} characters", "", QUALITY_HEADINGS["issues"]]
     for r in by.get("issues", []):
-        out.append(texts[r["key"]].format(n=r["n"]))
+        out.append(QUALITY_ISSUE_LINES[r["key"]].format(n=r["n"]))
     return "\n".join(out) + "\n"
 
 
 def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[dict] | None = None) -> str:
     rows = table if isinstance(table, list) else _rows(table)
     get = {(r["section"], r["key"], r["metric"]): r["value"] for r in rows}
-    out = ["=== Banking Ticket Model Evaluation Report ===", "", "1. OVERALL PERFORMANCE", "-" * 50,
+    out = [EVAL_REPORT_TITLE, "", EVAL_HEADINGS[0], "-" * 50,
            f"Overall Accuracy: {get.get(('overall', 'all', 'accuracy')) or 0:.4f}",
            f"Total Samples Evaluated: {int(get.get(('overall', 'all', 'total_samples')) or 0)}", "",
-           "2. CLASSIFICATION REPORT", "-" * 50]
+           EVAL_HEADINGS[1], "-" * 50]
     for label in sorted({k for (s, k, _) in get if s == "class"}):
         out += ["", f"{label}:",
                 f"  Precision: {get[('class', label, 'precision')]:.4f}",
@@ -66,12 +65,12 @@ def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[
         out.append(f"  {name}: {get.get(('macro', 'macro avg', m)) or 0:.4f}")
     fields = [(k, v) for (s, k, _), v in get.items() if s == "field"]
     if fields:
-        out += ["", "3. FIELD-LEVEL ACCURACY", "-" * 50, "(For correctly classified tickets)", ""]
+        out += ["", EVAL_HEADINGS[2], "-" * 50, "(For correctly classified tickets)", ""]
         out += [f"{k}: {v:.4f}" for k, v in fields]
-    out += ["", "4. ERROR ANALYSIS", "-" * 50,
+    out += ["", EVAL_HEADINGS[3], "-" * 50,
             f"Parse Error Rate: {get.get(('errors', 'all', 'parse_error_rate')) or 0:.4f}",
             f"Domain Error Rate: {get.get(('errors', 'all', 'domain_error_rate')) or 0:.4f}",
-            "", "5. SAMPLE PREDICTIONS", "-" * 50]
+            "", EVAL_HEADINGS[4], "-" * 50]
     if samples is not None:
         srows = samples if isinstance(samples, list) else _rows(samples)
         for flag, title in ((True, "Correct Predictions:"), (False, "Incorrect Predictions:")):
