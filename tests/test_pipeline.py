@@ -92,3 +92,21 @@ def test_csv_roundtrip_keeps_texts(spark):
     path = FI.write_tickets_csv(raw, scratch_path(spark, "csv_test"))
     back = {r.row_index: (r.input, r.output) for r in FI.read_tickets_csv(spark, path).collect()}
     assert back == {1: ('a "q", b\nline2', '{"a": 1}'), 2: (None, None), 3: (" pad ", None)}
+
+
+PLAN_QUERIES = ["clean_tickets", "quality_summary", "class_keywords", "balance_classes", "split_three_way",
+                "outcome_labels", "class_metrics", "duplicate_rows", "word_counts", "validate_samples",
+                "training_prompts", "split_leakage"]
+
+
+@pytest.mark.parametrize("name", PLAN_QUERIES)
+def test_plans_stay_in_the_jvm(spark, name):
+    """No Python UDF, cartesian product or nested-loop join in table work."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, (name, bad)
+
+
+def test_keyword_top_k_is_limited_before_the_shuffle(spark):
+    plan = E.queries()["class_keywords"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

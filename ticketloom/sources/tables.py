@@ -15,15 +15,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return spread(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
+# A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by
+# default), so fewer splits than this bounds the input at about 8 GB.
+SMALL_INPUT_SPLITS = 64
+
+
+def spread(df: DataFrame, small_splits: int = SMALL_INPUT_SPLITS) -> DataFrame:
     """Give a small input at least one partition per core.
 
-    A scan already has one task per file split; on a cluster reading large
-    tables that is thousands of tasks and this is a no-op.  Only an input
-    with fewer splits than the default parallelism (a file holding a single
-    row group, say) is redistributed, so per-row work (JSON, regex) does not
-    run on one core."""
+    A scan has one task per file split.  Only an input with fewer splits
+    than both the default parallelism and ``small_splits`` -- at most a few
+    GB, e.g. one file holding a single row group -- is redistributed, so
+    per-row work (JSON, regex) does not run on one core.  Large tables on a
+    cluster keep their scan partitioning untouched (no shuffle)."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    n = df.rdd.getNumPartitions()
+    if n < min(par, small_splits):
         return df.repartition(par)
     return df
