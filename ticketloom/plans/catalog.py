@@ -92,6 +92,22 @@ def q_discover_keys(spark, sf):
     return CL.discover_keys(parsed(spark, sf))
 
 
+def event_props(spark, sf) -> DataFrame:
+    return read_table(spark, sf, "events", "event_id", "props").withColumnRenamed("props", "output")
+
+
+@query("event_props_parse")
+def q_event_props_parse(spark, sf):
+    """P2 at volume: strict JSON parse of every events.props value."""
+    return CL.parse_counts(event_props(spark, sf))
+
+
+@query("event_props_keys")
+def q_event_props_keys(spark, sf):
+    """P3 at volume: keys of every events.props object."""
+    return CL.discover_keys(CL.keep_parsed(event_props(spark, sf)))
+
+
 @query("assistance_tickets")
 def q_assistance_tickets(spark, sf):
     return CL.assistance_tickets(parsed(spark, sf))

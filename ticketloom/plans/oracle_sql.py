@@ -786,3 +786,13 @@ SELECT sample_id, {jtext('true_json', 'ticket_type')} AS true_label,
   CASE status WHEN 'no_json' THEN 'parse_error' WHEN 'bad_json' THEN 'json_error'
     ELSE CASE WHEN {jhas('pj', 'ticket_type')} THEN {jtext('pj', 'ticket_type')} ELSE 'parse_error' END END AS pred_label
 FROM pred WHERE NOT {jhas('true_json', 'error')})""") + ", " + CLASS_METRICS + "\nSELECT * FROM class_metrics"
+
+ORACLE["event_props_parse"] = f"""
+SELECT count(*) FILTER (WHERE {is_object('props')}) AS parsed,
+       count(*) FILTER (WHERE NOT {is_object('props')}) AS parse_errors FROM events"""
+
+ORACLE["event_props_keys"] = f"""
+SELECT key, count(*) AS n_rows FROM (
+  SELECT unnest(json_keys(j)) AS key FROM (
+    SELECT CASE WHEN {is_object('props')} THEN props END AS j FROM events) WHERE j IS NOT NULL)
+GROUP BY key"""
