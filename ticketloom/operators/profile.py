@@ -67,33 +67,43 @@ _ROWS = "\u0000rows"
 
 
 def missing_counts(clean: DataFrame) -> DataFrame:
-    """(column, n_missing, total) for every key seen in any object plus
+    """(column, n_missing, total, ord) for every key seen in any object plus
     original_input, from one explode + partial aggregation.  Per present
     key: whether it survives as non-null in the cleaned frame (type and
     severity are always filled, communication keeps only strings, other
     keys any non-null JSON value).  Two sentinel entries per row carry the
-    row count and the input's nullness, so no second pass counts rows."""
+    row count and the input's nullness, so no second pass counts rows.
+    ``ord`` is the pandas column order: keys by first appearance (row, then
+    position in the object), original_input right after the first row's
+    keys."""
     def nn(e):
         k, v = e["key"], e["value"]
         return (F.when(k.isin("Ticket Type", "Severity"), F.lit(True))
                 .when(k == "Preferred Communication", jsonx.json_type(v) == "STRING")
                 .otherwise(jsonx.json_type(v) != "VOID"))
-    entries = F.transform(F.map_entries("obj"), lambda e: F.struct(e["key"].alias("k"), nn(e).alias("nn")))
-    sentinels = F.array(F.struct(F.lit(_ROWS).alias("k"), F.lit(True).alias("nn")),
+    entries = F.transform(F.map_entries("obj"), lambda e, i: F.struct(
+        e["key"].alias("k"), nn(e).alias("nn"), i.alias("p")))
+    sentinels = F.array(F.struct(F.lit(_ROWS).alias("k"), F.lit(True).alias("nn"), F.lit(0).alias("p")),
                         F.struct(F.lit("original_input").alias("k"),
-                                 F.col("original_input").isNotNull().alias("nn")))
-    e = clean.select(F.explode(F.concat(entries, sentinels)).alias("e"))
-    per = e.groupBy(F.col("e.k").alias("column")).agg(F.count_if("e.nn").alias("non_null"))
+                                 F.col("original_input").isNotNull().alias("nn"),
+                                 F.size("obj").alias("p")))
+    e = clean.select("row_index", F.explode(F.concat(entries, sentinels)).alias("e"))
+    per = e.groupBy(F.col("e.k").alias("column")).agg(
+        F.count_if("e.nn").alias("non_null"),
+        F.min(F.struct(F.col("row_index").alias("r"), F.col("e.p").alias("p"))).alias("_first"))
     total = F.max(F.when(F.col("column") == _ROWS, F.col("non_null"))).over(Window.partitionBy())
     per = per.withColumn("total", total).where(F.col("column") != _ROWS)
-    return per.select("column", (F.col("total") - F.col("non_null")).alias("n_missing"), "total")
+    order = F.row_number().over(Window.orderBy("_first.r", "_first.p"))
+    return per.select("column", (F.col("total") - F.col("non_null")).alias("n_missing"), "total",
+                      order.cast("bigint").alias("ord"))
 
 
 def missing_values(clean: DataFrame) -> DataFrame:
-    """A5: count and percent of missing cells per column, only > 0."""
+    """A5: count and percent of missing cells per column, only > 0, with
+    the column's position in the frame."""
     m = missing_counts(clean)
     return (m.where(F.col("n_missing") > 0)
-            .select("column", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
+            .select("column", "ord", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
 
 
 def length_stats(df: DataFrame, col: str = "original_input") -> DataFrame:
@@ -167,7 +177,7 @@ def quality_report(clean: DataFrame) -> DataFrame:
     row per key, type, severity and top department) reach the driver."""
     spark = clean.sparkSession
     base = clean.select(
-        "ticket_type", "severity", "department_impacted", "obj", "original_input",
+        "row_index", "ticket_type", "severity", "department_impacted", "obj", "original_input",
         F.length("original_input").alias("_len"), text_digest("original_input").alias("_h"))
     base = base.select([c for c in base.columns if c != "original_input"]
                        + [F.col("original_input").isNull().alias("_in_null")])
@@ -207,7 +217,7 @@ def quality_report(clean: DataFrame) -> DataFrame:
                                 ("non_standard_types", s["nonstd"])], 1):
         if v:
             rows.append(("issues", i, k, v, None, None))
-    miss = sorted(miss, key=lambda r: (-r["n_missing"], r["column"]))
+    miss = sorted(miss, key=lambda r: r["ord"])
     rows += [("missing", i, r["column"], r["n_missing"], pct(r["n_missing"]), None)
              for i, r in enumerate(miss, 1)]
     section = {"department_impacted": "department"}

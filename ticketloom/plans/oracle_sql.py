@@ -188,17 +188,22 @@ ORACLE["quality_summary"] = C + """
 SELECT count(*) AS total_records, count(DISTINCT ticket_type) AS unique_ticket_types,
        count(DISTINCT severity) AS unique_severities FROM clean"""
 
-_MISSING = f"""missing AS (
-  SELECT key AS "column", {_TOTAL} - count(*) FILTER (WHERE nn) AS n_missing FROM (
-    SELECT key, CASE WHEN key IN ('Ticket Type', 'Severity') THEN TRUE
+_MISSING = f"""keys_ AS (
+  SELECT row_index, j, unnest(json_keys(j)) AS key, unnest(range(len(json_keys(j)))) AS pos FROM clean),
+missing_all AS (
+  SELECT key AS "column", {_TOTAL} - count(*) FILTER (WHERE nn) AS n_missing, min(row_index) AS fr,
+         arg_min(pos, row_index) AS fp FROM (
+    SELECT key, row_index, pos, CASE WHEN key IN ('Ticket Type', 'Severity') THEN TRUE
                      WHEN key = 'Preferred Communication' THEN json_type(j, '$."' || key || '"') = 'VARCHAR'
                      ELSE json_type(j, '$."' || key || '"') <> 'NULL' END AS nn
-    FROM (SELECT j, unnest(json_keys(j)) AS key FROM clean)) GROUP BY key
+    FROM keys_) GROUP BY key
   UNION ALL
-  SELECT 'original_input', count(*) FILTER (WHERE original_input IS NULL) FROM clean)"""
+  SELECT 'original_input', count(*) FILTER (WHERE original_input IS NULL), min(row_index),
+         arg_min(len(json_keys(j)), row_index) FROM clean),
+missing AS (SELECT "column", n_missing, row_number() OVER (ORDER BY fr, fp) AS ord FROM missing_all)"""
 
 ORACLE["missing_values"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING) + f"""
-SELECT "column", n_missing, {pct('n_missing', _TOTAL)} AS pct FROM missing WHERE n_missing > 0"""
+SELECT "column", ord, n_missing, {pct('n_missing', _TOTAL)} AS pct FROM missing WHERE n_missing > 0"""
 
 
 def _length_stats(src: str, col: str) -> str:
@@ -251,12 +256,12 @@ ORACLE["quality_report"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING, f"""sc AS
   FROM (SELECT *, length(original_input) AS len FROM clean))""",
   """dup AS (SELECT COALESCE(sum(n - 1), 0) AS d FROM (SELECT count(*) AS n FROM clean GROUP BY original_input))""",
   f"""dist AS (
-  SELECT 'missing' AS section, "column" AS key, n_missing AS n FROM missing WHERE n_missing > 0
-  UNION ALL SELECT 'ticket_type', ticket_type, count(*) FROM clean GROUP BY ticket_type
-  UNION ALL SELECT 'severity', severity, count(*) FROM clean GROUP BY severity
-  UNION ALL SELECT 'department', department_impacted, count(*) FROM clean
+  SELECT 'missing' AS section, "column" AS key, n_missing AS n, ord AS o FROM missing WHERE n_missing > 0
+  UNION ALL SELECT 'ticket_type', ticket_type, count(*), NULL FROM clean GROUP BY ticket_type
+  UNION ALL SELECT 'severity', severity, count(*), NULL FROM clean GROUP BY severity
+  UNION ALL SELECT 'department', department_impacted, count(*), NULL FROM clean
             WHERE department_impacted IS NOT NULL GROUP BY department_impacted)""",
-  """ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY n DESC, key) AS ord FROM dist)""") + f"""
+  """ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY o, n DESC, key) AS ord FROM dist)""") + f"""
 SELECT 'overview' AS section, CAST(1 AS BIGINT) AS ord, 'Total Records' AS key, CAST(total AS BIGINT) AS n,
        CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS value FROM sc
 UNION ALL SELECT 'overview', 2, 'Unique Ticket Types', ut, NULL, NULL FROM sc
