@@ -77,10 +77,10 @@ def fit_classifier(train: DataFrame, test: DataFrame, text_col: str, label_col:
 
     indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="keep")
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+")
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=1 << 16)
+    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=1 << 14)
     idf = IDF(inputCol="_tf", outputCol="_features")
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", predictionCol="_pred",
-                            maxIter=20, regParam=0.01)
+                            maxIter=15, regParam=0.01)
     model = Pipeline(stages=[indexer, tok, tf, idf, lr]).fit(train)
     labels = model.stages[0].labels
     back = IndexToString(inputCol="_pred", outputCol="pred_label", labels=labels)
