@@ -481,14 +481,23 @@ def q_labels_class_metrics(spark, sf):
     return MT.class_metrics(j.select(t.alias("true_label"), p.alias("pred_label")))
 
 
+def evaluated_labels(spark, sf) -> DataFrame:
+    """The narrow per-row result every metric reads (labels and match
+    flags), checkpointed once so the five report branches do not re-parse
+    replies; texts and parsed maps are left behind."""
+    e = evaluated(spark, sf).select("sample_id", "true_label", "pred_label", "type_correct",
+                                    *RS.MATCH_COLUMNS)
+    return e.checkpoint(eager=True)
+
+
 @query("eval_report")
 def q_eval_report(spark, sf):
-    return MT.eval_report(evaluated(spark, sf).persist())
+    return MT.eval_report(evaluated_labels(spark, sf))
 
 
 @query("eval_summary")
 def q_eval_summary(spark, sf):
-    return MT.eval_summary(evaluated(spark, sf).persist())
+    return MT.eval_summary(evaluated_labels(spark, sf))
 
 
 # -- file sources and sinks ---------------------------------------------------
