@@ -73,11 +73,11 @@ def confusion_matrix(spark: SparkSession, labels: DataFrame) -> DataFrame:
     zeros kept.  The grid is labels x labels of a label list whose size is
     checked first; above MAX_DENSE_LABELS only non-zero cells are returned."""
     pc = pair_counts(labels).checkpoint(eager=True)
-    names = sorted({r[0] for r in pc.select("t").union(pc.select("p")).distinct().collect()},
-                   key=lambda x: (x is None, x))
     cells = pc.select(F.col("t").alias("true_label"), F.col("p").alias("pred_label"), "n")
-    if len(names) > MAX_DENSE_LABELS:
+    label_df = pc.select("t").union(pc.select("p")).distinct()
+    if label_df.count() > MAX_DENSE_LABELS:     # counted before anything is collected
         return cells
+    names = sorted({r[0] for r in label_df.collect()}, key=lambda x: (x is None, x))
     grid = spark.createDataFrame([(a, b) for a in names for b in names], "true_label string, pred_label string")
     out = grid.join(F.broadcast(cells), ["true_label", "pred_label"], "left")
     return out.select("true_label", "pred_label", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
