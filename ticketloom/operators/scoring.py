@@ -71,18 +71,23 @@ def fit_classifier(train: DataFrame, test: DataFrame, text_col: str, label_col:
     """V2: RegexTokenizer -> HashingTF -> IDF -> LogisticRegression fitted
     on ``train``; returns (model, test predictions with true_label and
     pred_label)."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
 
-    indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="keep")
+    # the label vocabulary of both sides (a distinct over one column), so
+    # every index the model can predict maps back to a label
+    vocab = train.select(label_col).unionByName(test.select(label_col)).where(F.col(label_col).isNotNull())
+    indexer = StringIndexer(inputCol=label_col, outputCol="_label").fit(vocab)
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+")
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=1 << 14)
     idf = IDF(inputCol="_tf", outputCol="_features")
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", predictionCol="_pred",
                             maxIter=15, regParam=0.01)
-    model = Pipeline(stages=[indexer, tok, tf, idf, lr]).fit(train)
-    labels = model.stages[0].labels
+    model = Pipeline(stages=[indexer, tok, tf, idf, lr]).fit(train.where(F.col(label_col).isNotNull()))
+    labels = indexer.labels
     back = IndexToString(inputCol="_pred", outputCol="pred_label", labels=labels)
-    pred = back.transform(model.transform(test))
+    # score with the fitted stages after the label indexer (test labels are
+    # only carried along, never indexed)
+    pred = back.transform(PipelineModel(stages=model.stages[1:]).transform(test))
     return model, pred.withColumn("true_label", F.col(label_col))
