@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ticketloom.fixed_values import OUT_OF_DOMAIN_ERROR
 from ticketloom.functions.text import ascii_words
+from ticketloom.session import ship_package
 
 ModelFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 
@@ -24,6 +25,7 @@ ModelFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 def score(df: DataFrame, model_factory: ModelFactory, text_col: str = "user_input",
           out: str = "response") -> DataFrame:
     """Adds ``out`` = model(text) for every row, batch by batch."""
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType(), True)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
