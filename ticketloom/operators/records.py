@@ -208,16 +208,21 @@ def inference_prompt(user: str = "user_input") -> Column:
 
 def prompt_budget(df: DataFrame, id_cols: list[str], user: str = "user_input",
                   max_tokens: int = EVAL_MAX_TOKENS, template: str = "sys_block",
-                  system: str = EVAL_SYSTEM_PROMPT) -> DataFrame:
+                  system: str = EVAL_SYSTEM_PROMPT, with_reply: bool = False) -> DataFrame:
     """Tokens of the rendered prompt against the budget (512 at
-    evaluation, 2048 in training).  The fixed head and tail of the layout
-    are tokenised once on the driver (they are separated from the user text
-    by whitespace), so each row only tokenises its own text."""
-    head, _ = TEMPLATES[template]
+    evaluation, 2048 in training, where the prompt carries the reply JSON).
+    The fixed parts of the layout are tokenised once on the driver; every
+    junction with a per-row part is whitespace or a one-character token, so
+    the count splits exactly and each row tokenises only its own text (and
+    its reply)."""
+    head, tail = TEMPLATES[template]
     pre, post = head.split("{user}")
     pre = pre.replace("{system}", system)
     const = _count_tokens(pre) + _count_tokens(post)
     n = F.size(tokens(F.col(user))) + F.lit(const)
+    if with_reply:
+        r_pre, r_post = tail.split("{assistant}")
+        n = n + F.size(tokens(ticket_json())) + F.lit(_count_tokens(r_pre) + _count_tokens(r_post))
     return df.select(*id_cols, n.cast("bigint").alias("n_tokens"),
                      F.least(n, F.lit(max_tokens)).cast("bigint").alias("kept_tokens"),
                      (n > max_tokens).alias("truncated"))

@@ -325,6 +325,14 @@ def q_prompt_truncation(spark, sf):
     return RC.prompt_budget(e, ["sample_id"], "user_input", FV.EVAL_MAX_TOKENS)
 
 
+@query("training_prompt_budget")
+def q_training_prompt_budget(spark, sf):
+    """P15 in training: the full chat prompt (system, input, reply JSON)
+    against the 2,048-token budget."""
+    return RC.prompt_budget(records(spark, sf), ["sample_id"], "user_input", FV.TRAIN_MAX_TOKENS,
+                            template="inst", system=FV.TRAINING_SYSTEM_PROMPT, with_reply=True)
+
+
 @query("sample_preview")
 def q_sample_preview(spark, sf):
     v = validated(spark, sf).where("_ok")

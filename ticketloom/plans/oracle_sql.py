@@ -801,3 +801,8 @@ SELECT key, count(*) AS n_rows FROM (
   SELECT unnest(json_keys(j)) AS key FROM (
     SELECT CASE WHEN {is_object('props')} THEN props END AS j FROM events) WHERE j IS NOT NULL)
 GROUP BY key"""
+
+ORACLE["training_prompt_budget"] = R_ + f"""
+SELECT sample_id, CAST(n AS BIGINT) AS n_tokens, CAST(LEAST(n, 2048) AS BIGINT) AS kept_tokens, n > 2048 AS truncated
+FROM (SELECT sample_id, len(regexp_extract_all({train_prompt_sql()},
+      '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_ \\t\\n\\r]')) AS n FROM records)"""
