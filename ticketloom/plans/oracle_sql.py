@@ -4,7 +4,6 @@ a CTE and spells the semantics out independently of the Spark code."""
 
 from __future__ import annotations
 
-import json
 
 from ticketloom import fixed_values as FV
 
