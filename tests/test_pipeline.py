@@ -110,3 +110,26 @@ def test_plans_stay_in_the_jvm(spark, name):
 def test_keyword_top_k_is_limited_before_the_shuffle(spark):
     plan = E.queries()["class_keywords"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_written_samples_are_python_json_with_exact_keys(spark):
+    recs = C.records(spark, SF001)
+    path = FI.write_samples_jsonl(recs, scratch_path(spark, "k1_test"))
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert len(lines) == recs.count() > 0
+    fields = ["ticket_type", "title", "description", "severity", "department_impacted",
+              "service_impacted", "preferred_communication"]
+    for line in lines:
+        obj = json.loads(line)
+        assert list(obj) == ["user_input", "ticket_data"]
+        t = obj["ticket_data"]
+        assert list(t)[:7] == fields
+        assert ("assistance_request" in t) == (t["ticket_type"] == "assistance")
+
+
+def test_split_writer_partitions(spark):
+    df = C.q_write_splits(spark, SF001)
+    got = {r.split: r["count"] for r in df.groupBy("split").count().collect()}
+    assert got["challenge"] == 8
+    assert set(got) == {"train", "validation", "test", "challenge"}
+    assert df.where("split = 'test' AND error IS NOT NULL").count() == 5
