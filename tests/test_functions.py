@@ -97,3 +97,60 @@ def test_token_count_of_constant_parts(spark):
     df = spark.createDataFrame([(s,)], "s string")
     assert df.select(F.size(tokens("s"))).first()[0] == _count_tokens(s)
     assert unicodedata.category(" ") == "Zs"
+
+
+def _fuzz_cases(n, seed=7):
+    """Random JSON objects (nested values, escapes, numbers, whitespace,
+    repeated keys at every level), some of them corrupted."""
+    import random
+    rnd = random.Random(seed)
+
+    def rstr():
+        parts = ['a', 'Z', ' ', '\\n', '\\"', '\\\\', '\\u00e9', 'é', '/', '\\/', '\\t', '1']
+        return '"' + "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 5))) + '"'
+
+    def rval(depth):
+        k = rnd.random()
+        if depth > 2 or k < 0.4:
+            return rstr()
+        if k < 0.6:
+            return rnd.choice(["0", "-1", "3.5", "1e3", "2E-2", "123456789012", "-0"])
+        if k < 0.7:
+            return rnd.choice(["true", "false", "null"])
+        if k < 0.85:
+            return "[" + ", ".join(rval(depth + 1) for _ in range(rnd.randint(0, 3))) + "]"
+        return robj(depth + 1)
+
+    def robj(depth=0):
+        keys = [rnd.choice(["a", "b", "Ticket Type", "é"]) for _ in range(rnd.randint(0, 4))]
+        ws = lambda: rnd.choice(["", " ", "\n", "\t"])
+        return "{" + ws() + ("," + ws()).join(f'"{k}"{ws()}:{ws()}{rval(depth)}' for k in keys) + ws() + "}"
+
+    def corrupt(s):
+        k = rnd.random()
+        if not s or k < 0.35:
+            return s
+        i = rnd.randrange(len(s))
+        if k < 0.55:
+            return s[:i] + s[i + 1:]
+        if k < 0.75:
+            return s[:i] + rnd.choice(list('{}[],:"\' x\\')) + s[i:]
+        if k < 0.85:
+            return s[:i]
+        return s + rnd.choice([" x", "}", "]", ",", " {}", "\n"])
+
+    return [corrupt(robj()) for _ in range(n)]
+
+
+def test_json_fuzz_matches_python(spark):
+    cases = _fuzz_cases(400)
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string")
+    out = jsonx.with_object(df, F.col("s"), "m")
+    rows = out.select("i", F.col("m").isNotNull().alias("ok"), F.map_keys("m").alias("keys"),
+                      F.transform(F.map_values("m"), lambda v: F.to_json(v)).alias("vals")).collect()
+    for r in rows:
+        exp = _py_obj(cases[r.i])
+        assert r.ok == (exp is not None), cases[r.i]
+        if exp is not None:
+            assert r["keys"] == list(exp.keys())
+            assert [json.loads(v) for v in r.vals] == list(exp.values())

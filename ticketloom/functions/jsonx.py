@@ -20,6 +20,7 @@ _STRICT = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false",
            "allowBackslashEscapingAnyCharacter": "false", "allowComments": "false",
            "allowUnquotedFieldNames": "false"}
 _CORRUPT = "_corrupt"
+VARIANT_DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
 
 
 def _col(c) -> Column:
@@ -53,7 +54,11 @@ def with_object(df: DataFrame, text, out: str = "obj", only_valid: bool = False)
     object (null otherwise; or drops those rows when ``only_valid``).
 
     The two wrapper parses run once per row (generator outputs); the
-    acceptance test and the repeated-key fix-up read those attributes."""
+    acceptance test and the repeated-key fix-up read those attributes.
+    Nested values are VARIANT; a repeated key inside a nested object is
+    accepted with its last value, as Python does, which needs
+    ``spark.sql.variant.allowDuplicateKeys`` (set on the session here)."""
+    df.sparkSession.conf.set(VARIANT_DUPLICATES, "true")
     t = _col(text)
     d = materialize(
         df,
