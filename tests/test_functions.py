@@ -154,3 +154,26 @@ def test_json_fuzz_matches_python(spark):
         if exp is not None:
             assert r["keys"] == list(exp.keys())
             assert [json.loads(v) for v in r.vals] == list(exp.values())
+
+
+def test_text_fuzz_matches_python(spark):
+    """strip, \\b[a-z]+\\b words, reply tail and the {...} block against
+    Python on random strings of mixed scripts, combining marks, odd spaces,
+    final sigma and dotted capital I."""
+    import random
+    rnd = random.Random(11)
+    pool = list("abcxyz ABC_019") + ["é", "ß", "İ", "Σ", "ς", "́", "​", " ", " ", "\u0085",
+                                      "\u001c", "\t", "\n", "\x0b", "-", "'", "中", "٣", "²", "😀",
+                                      "ǅ", "ﬁ", "K", "[/INST]", "{", "}", "　", "﻿"]
+    cases = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 25))) for _ in range(600)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string")
+    rows = df.select("i", py_strip("s").alias("st"), ascii_words("s").alias("w"),
+                     reply_tail("s").alias("t"), json_block(reply_tail("s")).alias("b")).collect()
+    for r in rows:
+        s = cases[r.i]
+        assert r.st == s.strip()
+        assert r.w == re.findall(r"\b[a-z]+\b", s.lower())
+        tail = s.split("[/INST]")[-1].strip()
+        assert r.t == tail
+        m = re.search(r"\{.*\}", tail, re.DOTALL)
+        assert r.b == (m.group() if m else None)
