@@ -177,3 +177,67 @@ def test_text_fuzz_matches_python(spark):
         assert r.t == tail
         m = re.search(r"\{.*\}", tail, re.DOTALL)
         assert r.b == (m.group() if m else None)
+
+
+def test_cleaning_and_loader_fuzz_against_python_rules(spark):
+    """P4-P7 on random ticket objects against the rules written in plain
+    Python (lower + strip + lookup with defaults; the loader's defaults on
+    absence and its skip on non-strings)."""
+    import random
+    from ticketloom import fixed_values as FV
+    from ticketloom.operators import clean as CL
+    from ticketloom.operators import records as RC
+
+    rnd = random.Random(5)
+    spellings = list(FV.TICKET_TYPE_MAPPING) + ["refund", "ASSISTANCE", " Inquiry\t", "", "Request For Assistance"]
+    sev = list(FV.SEVERITY_MAPPING) + ["HIGH ", "urgent", " low"]
+    comm = ["Email", " phone", "Not Specified", "not specified ", "chat", "in-person"]
+
+    def pick(values):
+        k = rnd.random()
+        if k < 0.1:
+            return "__absent__"
+        if k < 0.17:
+            return None
+        if k < 0.22:
+            return rnd.choice([5, 2.5, True, [1], {"a": 1}])
+        v = rnd.choice(values)
+        return v.upper() if rnd.random() < 0.2 else v
+
+    rows, objs = [], {}
+    for i in range(300):
+        d = {}
+        for key, values in (("Ticket Type", spellings), ("Severity", sev),
+                            ("Preferred Communication", comm), ("Description", ["Loan help", "x"])):
+            v = pick(values)
+            if v != "__absent__":
+                d[key] = v
+        objs[i] = d
+        rows.append((i, "t", json.dumps(d)))
+    raw = spark.createDataFrame(rows, "row_index long, input string, output string")
+
+    def lower_strip(v):
+        return v.lower().strip() if isinstance(v, str) else None
+
+    got = {r.row_index: r for r in CL.clean_tickets(CL.parse_tickets(raw)).collect()}
+    for i, d in objs.items():
+        r = got[i]
+        assert r.ticket_type == FV.TICKET_TYPE_MAPPING.get(lower_strip(d.get("Ticket Type")), "complaint")
+        assert r.severity == FV.SEVERITY_MAPPING.get(lower_strip(d.get("Severity")), "medium")
+        c = lower_strip(d.get("Preferred Communication"))
+        assert r.preferred_communication == ("email" if c == "not specified" else c)
+
+    loaded = {r.sample_id: r for r in RC.load_with_defaults(raw).collect()}
+    for i, d in objs.items():
+        r = loaded[i]
+        try:
+            tt = d.get("Ticket Type", "inquiry").lower()
+            sv = d.get("Severity", "medium").lower()
+            pc = d.get("Preferred Communication", "email").lower()
+            ok = True
+        except AttributeError:
+            ok = False
+        assert r._ok == ok, d
+        if ok:
+            assert (r.ticket_type, r.severity, r.preferred_communication) == (tt, sv, pc)
+            assert r.assistance_request == ("general assistance" if tt == "assistance" else None)
