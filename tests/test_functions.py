@@ -241,3 +241,73 @@ def test_cleaning_and_loader_fuzz_against_python_rules(spark):
         if ok:
             assert (r.ticket_type, r.severity, r.preferred_communication) == (tt, sv, pc)
             assert r.assistance_request == ("general assistance" if tt == "assistance" else None)
+
+
+def test_outcome_fuzz_against_python_rules(spark):
+    """E1-E4 on random truths and replies against the evaluation rules in
+    plain Python (the decoder's tail, the greedy {...} block, json.loads,
+    the four outcomes and the field comparisons)."""
+    import random
+    from ticketloom.operators import responses as RS
+
+    rnd = random.Random(3)
+    types = ["complaint", "inquiry", "assistance"]
+
+    def truth():
+        if rnd.random() < 0.15:
+            return {"error": "Request outside banking domain"}
+        d = {}
+        for f, vals in (("ticket_type", types), ("severity", ["low", "high"]),
+                        ("department_impacted", ["D0", "D1"]), ("preferred_communication", ["email"]),
+                        ("assistance_request", ["loan"])):
+            k = rnd.random()
+            if k < 0.8:
+                d[f] = rnd.choice(vals)
+            elif k < 0.9:
+                d[f] = None
+        return d
+
+    def reply(t):
+        k = rnd.random()
+        body = json.dumps(truth() if k < 0.5 else t)
+        if k < 0.1:
+            body = "no json here"
+        elif k < 0.2:
+            body = body[:-1] + " } extra }"
+        elif k < 0.25:
+            body = '{"error": "x"}'
+        prefix = rnd.choice(["[INST] q [/INST] ", "[INST] a [/INST] b [/INST]\n", "", "Sure: "])
+        return prefix + body + rnd.choice(["", " thanks", "\n"])
+
+    rows = []
+    for i in range(400):
+        t = truth()
+        rows.append((i, json.dumps(t), reply(t)))
+    df = spark.createDataFrame(rows, "sample_id long, true_json string, response string")
+    got = {r.sample_id: r for r in RS.outcomes(df).collect()}
+
+    def parse(resp):
+        tail = resp.split("[/INST]")[-1].strip()
+        m = re.search(r"\{.*\}", tail, re.DOTALL)
+        if not m:
+            return {"error": "Failed to parse response", "raw": tail}
+        try:
+            return json.loads(m.group())
+        except json.JSONDecodeError:
+            return {"error": "JSON decode error", "raw": tail}
+
+    for i, tj, resp in rows:
+        t, p, r = json.loads(tj), parse(resp), got[i]
+        if "error" in p and "error" not in t:
+            exp = ("error", t.get("ticket_type", "unknown"))
+        elif "error" in t and "error" in p:
+            exp = ("out_of_domain", "out_of_domain")
+        elif "error" not in t and "error" not in p:
+            exp = (p.get("ticket_type", "unknown"), t.get("ticket_type", "unknown"))
+            for f in ("severity", "department_impacted", "service_impacted", "preferred_communication"):
+                assert r[f"{f}_match"] == (t.get(f) == p.get(f)), (tj, resp, f)
+            if t.get("ticket_type", "unknown") == "assistance":
+                assert r.assistance_request_match == ("assistance_request" in p and p["assistance_request"] is not None)
+        else:
+            exp = ("domain_error", t.get("ticket_type", "out_of_domain"))
+        assert (r.pred_label, r.true_label) == exp, (tj, resp)
