@@ -89,3 +89,35 @@ def test_eval_report_text(spark):
         lab = lab.withColumn(c, F.lit(None).cast("boolean"))
     text = render_eval_report(MT.eval_report(lab))
     assert "Overall Accuracy: 0.5000" in text and "Total Samples Evaluated: 2" in text
+
+
+def test_metrics_fuzz_against_python(spark):
+    import random
+    rnd = random.Random(9)
+    labels = ["a", "b", "c", "d", "error"]
+    pairs = [(rnd.choice(labels[:3]), rnd.choice(labels)) for _ in range(500)]
+    lab = _labels(spark, pairs)
+    names = sorted({x for p in pairs for x in p})
+    per = {}
+    for l in names:
+        tp = sum(1 for t, p in pairs if t == l and p == l)
+        sup = sum(1 for t, _ in pairs if t == l)
+        pr = sum(1 for _, p in pairs if p == l)
+        prec = tp / pr if pr else 0.0
+        rec = tp / sup if sup else 0.0
+        f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
+        per[l] = (prec, rec, f1, sup)
+    got = {r.label: r for r in MT.class_metrics(lab).collect()}
+    assert set(got) == set(names)
+    for l, (p, r, f, s) in per.items():
+        g = got[l]
+        assert (round(p, 6), round(r, 6), round(f, 6), s) == (g.precision, g.recall, g.f1, g.support)
+    avg = {r.average: r for r in MT.avg_metrics(MT.class_metrics(lab)).collect()}
+    n = len(pairs)
+    assert abs(avg["macro avg"].f1 - sum(v[2] for v in per.values()) / len(per)) < 1e-5
+    assert abs(avg["weighted avg"].recall - sum(v[1] * v[3] for v in per.values()) / n) < 1e-5
+    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(spark, lab).collect()}
+    assert len(cm) == len(names) ** 2
+    for a in names:
+        for b in names:
+            assert cm[(a, b)] == sum(1 for t, p in pairs if t == a and p == b)
