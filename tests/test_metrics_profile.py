@@ -121,3 +121,14 @@ def test_metrics_fuzz_against_python(spark):
     for a in names:
         for b in names:
             assert cm[(a, b)] == sum(1 for t, p in pairs if t == a and p == b)
+
+
+def test_approximate_profile_options(spark):
+    df = spark.createDataFrame([(i, "x" * (i % 50 + 1), ["a", "b", "c"][i % 3], "low")
+                                for i in range(1000)],
+                               "row_index long, original_input string, ticket_type string, severity string")
+    exact = PR.length_stats(df).first()
+    approx = PR.length_stats(df, approximate=True).first()
+    assert abs(exact.median - approx.median) <= 1 and exact["min"] == approx["min"]
+    q = PR.quality_summary(df, approximate=True).first()
+    assert (q.unique_ticket_types, q.unique_severities) == (3, 1)

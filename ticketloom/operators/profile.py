@@ -56,11 +56,14 @@ def distribution(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     return g.select(F.col(col).alias("value"), "n", _pct(F.col("n"), F.col("_total")).alias("pct"))
 
 
-def quality_summary(clean: DataFrame) -> DataFrame:
-    """A4: rows, distinct types, distinct severities (nulls excluded)."""
+def quality_summary(clean: DataFrame, approximate: bool = False) -> DataFrame:
+    """A4: rows, distinct types, distinct severities (nulls excluded).
+    ``approximate`` uses HyperLogLog++ (approx_count_distinct) instead of an
+    exact distinct, for columns with very many values."""
+    distinct = (lambda c: F.approx_count_distinct(c)) if approximate else (lambda c: F.countDistinct(c))
     return clean.agg(F.count("*").alias("total_records"),
-                     F.countDistinct("ticket_type").alias("unique_ticket_types"),
-                     F.countDistinct("severity").alias("unique_severities"))
+                     distinct("ticket_type").alias("unique_ticket_types"),
+                     distinct("severity").alias("unique_severities"))
 
 
 _ROWS = "\u0000rows"
@@ -106,12 +109,14 @@ def missing_values(clean: DataFrame) -> DataFrame:
             .select("column", "ord", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
 
 
-def length_stats(df: DataFrame, col: str = "original_input") -> DataFrame:
+def length_stats(df: DataFrame, col: str = "original_input", approximate: bool = False) -> DataFrame:
     """Mean, median (interpolated), min, max, sample std of str.len().
-    ``median`` keeps a (value -> count) map per task, bounded by the
-    number of distinct lengths, so it combines map-side."""
+    The exact ``median`` keeps a (value -> count) map per task, bounded by
+    the number of distinct lengths, so it combines map-side; ``approximate``
+    switches to percentile_approx (a fixed-size sketch)."""
     n = F.length(col)
-    return df.agg(F.round(F.avg(n), 6).alias("mean"), F.round(F.median(n), 6).alias("median"),
+    med = F.percentile_approx(n, 0.5, 10000).cast("double") if approximate else F.median(n)
+    return df.agg(F.round(F.avg(n), 6).alias("mean"), F.round(med, 6).alias("median"),
                   F.min(n).cast("bigint").alias("min"), F.max(n).cast("bigint").alias("max"),
                   F.round(F.stddev_samp(n), 6).alias("std"))
 
