@@ -538,6 +538,16 @@ def q_write_splits(spark, sf):
     return back.select("split", "user_input", "ticket_type", "severity", "error")
 
 
+@query("write_eval_results")
+def q_write_eval_results(spark, sf):
+    """K5: detailed evaluation results written as JSON lines, read back."""
+    path = FI.write_eval_results(evaluated(spark, sf), scratch_path(spark, "evaluation_results"))
+    back = spark.read.text(path)
+    m = jsonx.with_object(back, F.col("value"), "r")
+    return m.select(jsonx.as_text(jsonx.value("r", "type_correct")).alias("type_correct"),
+                    jsonx.as_text(jsonx.value("r", "field_match")).alias("field_match"))
+
+
 # -- scoring and streaming ----------------------------------------------------
 
 @query("batch_score")

@@ -70,3 +70,19 @@ def read_sample_array(spark: SparkSession, path: str) -> DataFrame:
     line = F.to_json(F.struct(F.col("user_input"), F.parse_json(F.col("ticket_data")).alias("ticket_data")))
     raw = df.select(F.monotonically_increasing_id().alias("sample_id"), line.alias("sample_json"))
     return validate_samples(raw)
+
+
+def write_eval_results(evaluated: DataFrame, path: str) -> str:
+    """K5: the detailed results of compared rows as JSON lines
+    ({input, true, predicted, type_correct, field_match}); field_match holds
+    only the fields that apply (assistance_request only for assistance)."""
+    from ticketloom.operators.responses import MATCH_COLUMNS
+    fields = [c[: -len("_match")] for c in MATCH_COLUMNS]
+    matches = F.map_from_entries(F.filter(
+        F.array(*[F.struct(F.lit(f).alias("key"), F.col(c).alias("value")) for f, c in zip(fields, MATCH_COLUMNS)]),
+        lambda e: e["value"].isNotNull()))
+    line = F.to_json(F.struct(F.col("user_input").alias("input"), F.col("truth").alias("true"),
+                              F.col("pred").alias("predicted"), F.col("type_correct"),
+                              matches.alias("field_match")))
+    evaluated.where(F.col("outcome") == "compared").select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
