@@ -102,3 +102,55 @@ def test_rank_window_is_partitioned_by_bucket(spark):
     assert "SinglePartition" not in plan
     got = {(r.cls, r.pos) for r in p.collect()}
     assert len(got) == 1000 and max(pos for _, pos in got) == 499
+
+
+def _md5(s):
+    import hashlib
+    return hashlib.md5(s.encode()).hexdigest()
+
+
+def test_split_fuzz_against_python_rule(spark):
+    """Random sizes and ratios, 1-2 hex digit buckets (many rows per bucket,
+    straddling cuts): labels equal a plain sort by md5 cut at int(n*r)."""
+    import random
+    from ticketloom.operators import rank as R
+    rnd = random.Random(4)
+    for _ in range(6):
+        n = rnd.randint(0, 400)
+        r1, r2 = round(rnd.uniform(0.05, 0.7), 3), round(rnd.uniform(0.0, 0.25), 3)
+        digits = rnd.choice([1, 2])
+        df = spark.range(n).withColumnRenamed("id", "sid")
+        t_end = int(n * r1)
+        v_end = t_end + int(n * r2)
+        out, _, _ = R.segments(df, R.hash_key(42, "sid"), ["sid"], lambda m: [int(m * r1), int(m * r1) + int(m * r2)],
+                               ["train", "validation", "test"], name="split", digits=digits)
+        got = {r.sid: r.split for r in out.collect()}
+        order = sorted(range(n), key=lambda i: (_md5(f"42:{i}"), i))
+        exp = {i: ("train" if p < t_end else "validation" if p < v_end else "test") for p, i in enumerate(order)}
+        assert got == exp, (n, r1, r2, digits)
+
+
+def test_balance_fuzz_against_python_rule(spark):
+    import random
+    rnd = random.Random(8)
+    for _ in range(3):
+        sizes = {f"c{k}": rnd.randint(1, 60) for k in range(rnd.randint(1, 4))}
+        target = rnd.randint(1, 50)
+        rows, i = [], 0
+        for c, s in sizes.items():
+            for _ in range(s):
+                rows.append((i, c))
+                i += 1
+        df = spark.createDataFrame(rows, "id long, cls string")
+        out = SM.balance_classes(df, "cls", "id", target=target, digits=1)
+        got = sorted((r.cls, r.id, r.draw, r.pos) for r in out.collect())
+        picked = []
+        for c in sizes:
+            ids = sorted((x for x, cc in rows if cc == c), key=lambda x: (_md5(f"42:{x}"), x))
+            n = len(ids)
+            picked += [(c, x, 0) for x in ids[:target]]
+            for j in range(1, target - n + 1):
+                picked.append((c, ids[int(_md5(f"42:{c}:{j}")[:15], 16) % n], j))
+        order = sorted(picked, key=lambda t: (_md5(f"42:{t[0]}:{t[1]}:{t[2]}"), t[0], t[1], t[2]))
+        exp = sorted((c, x, d, p) for p, (c, x, d) in enumerate(order))
+        assert got == exp, (sizes, target)
