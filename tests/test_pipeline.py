@@ -134,3 +134,9 @@ def test_split_writer_partitions(spark):
     assert got["challenge"] == 8
     assert set(got) == {"train", "validation", "test", "challenge"}
     assert df.where("split = 'test' AND error IS NOT NULL").count() == 5
+
+
+def test_scratch_tables_live_under_the_checkpoint_dir(spark):
+    from ticketloom.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    assert base and scratch_path(spark, "x").startswith(base.rstrip("/") + "/")
