@@ -805,3 +805,13 @@ ORACLE["training_prompt_budget"] = R_ + f"""
 SELECT sample_id, CAST(n AS BIGINT) AS n_tokens, CAST(LEAST(n, 2048) AS BIGINT) AS kept_tokens, n > 2048 AS truncated
 FROM (SELECT sample_id, len(regexp_extract_all({train_prompt_sql()},
       '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_ \\t\\n\\r]')) AS n FROM records)"""
+
+# K5 read back: type_correct as JSON text, field_match as a JSON object whose
+# keys come back sorted (the written object is re-read as a variant)
+_FM_SORTED = sorted(FV.FIELD_ACCURACY_ORDER)
+ORACLE["write_eval_results"] = ED_ + f"""
+SELECT CASE WHEN type_correct THEN 'true' ELSE 'false' END AS type_correct,
+  '{{' || concat_ws(',', {", ".join(
+      f"CASE WHEN {f}_match IS NOT NULL THEN '\"{f}\":' || CASE WHEN {f}_match THEN 'true' ELSE 'false' END END"
+      for f in _FM_SORTED)}) || '}}' AS field_match
+FROM detailed"""
