@@ -524,7 +524,8 @@ def q_write_samples(spark, sf):
     validated."""
     recs = RC.require_rows(records(spark, sf), "No data loaded. Please provide a data source.")
     path = FI.write_samples_jsonl(recs, scratch_path(spark, "training_data"))
-    return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source")
+    # JSON lines carry no key: the read-local row label is dropped
+    return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source", "sample_id")
 
 
 @query("write_splits")

@@ -815,3 +815,10 @@ SELECT CASE WHEN type_correct THEN 'true' ELSE 'false' END AS type_correct,
       f"CASE WHEN {f}_match IS NOT NULL THEN '\"{f}\":' || CASE WHEN {f}_match THEN 'true' ELSE 'false' END END"
       for f in _FM_SORTED)}) || '}}' AS field_match
 FROM detailed"""
+
+ORACLE["write_samples"] = R_ + f"SELECT {', '.join(c for c in _SAMPLE_OUT if c != 'sample_id')} FROM records"
+
+CHALLENGE = "challenge AS (" + _values("challenge", *_literal_rows("challenge")) + ")"
+ORACLE["write_splits"] = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS, OOD, THREE_WAY, CHALLENGE) + """
+SELECT split, user_input, ticket_type, severity, error FROM three_way
+UNION ALL SELECT 'challenge', user_input, ticket_type, severity, error FROM challenge"""
