@@ -822,3 +822,23 @@ CHALLENGE = "challenge AS (" + _values("challenge", *_literal_rows("challenge"))
 ORACLE["write_splits"] = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS, OOD, THREE_WAY, CHALLENGE) + """
 SELECT split, user_input, ticket_type, severity, error FROM three_way
 UNION ALL SELECT 'challenge', user_input, ticket_type, severity, error FROM challenge"""
+
+
+def _rule_reply_type(text: str) -> str:
+    """The stand-in model's ticket type (scoring.rule_model) in SQL; NULL
+    for its out-of-domain reply."""
+    t = f"lower(COALESCE({text}, ''))"
+    has = lambda words: "(" + " OR ".join(f"contains({t}, '{w}')" for w in words) + ")"
+    return (f"CASE WHEN {has(['weather', 'recipe', 'movie', 'joke'])} THEN NULL "
+            f"WHEN {has(['loan', 'mortgage', 'help'])} THEN 'assistance' "
+            f"WHEN {has(['lost', 'fraud', 'declined', 'error', 'hacked', 'not'])} THEN 'complaint' "
+            f"ELSE 'inquiry' END")
+
+
+ORACLE["batch_score"] = with_(EVAL_PAIRS) + f"""
+SELECT sample_id, 'ok' AS status, {_rule_reply_type('user_input')} AS ticket_type FROM eval_pairs"""
+
+ORACLE["stream_score"] = f"""
+SELECT conv_id, turn, 'ok' AS status,
+       ({_rule_reply_type('text')}) IS NULL AS pred_has_error
+FROM conversations WHERE role = 'user' AND length({strip('text')}) > 0"""
