@@ -1,5 +1,5 @@
 """String functions with Python's exact meaning, as built-in Column
-expressions (JVM side, inside whole-stage codegen; no UDF)."""
+expressions (JVM side, no UDF; the regex ones compile once per task)."""
 
 from __future__ import annotations
 

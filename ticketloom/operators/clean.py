@@ -1,7 +1,9 @@
 """Parsing and canonicalising raw tickets (P1-P6, JN1, F1, F3-F5).
 
-All steps are narrow projections/filters over ``raw_tickets``: no shuffle,
-one whole-stage-codegen span per scan.
+All steps are narrow projections/filters over ``raw_tickets``: no shuffle.
+The JSON parse runs in a generator (variant values and lambda functions are
+interpreted, not code-generated); the projections around it are built-in
+expressions.
 """
 
 from __future__ import annotations
