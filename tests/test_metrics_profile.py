@@ -132,3 +132,28 @@ def test_approximate_profile_options(spark):
     assert abs(exact.median - approx.median) <= 1 and exact["min"] == approx["min"]
     q = PR.quality_summary(df, approximate=True).first()
     assert (q.unique_ticket_types, q.unique_severities) == (3, 1)
+
+
+def test_duplicate_rows_with_a_hot_value(spark):
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 50}") for i in range(3000)]
+    rows.append((5000, None))
+    rows.append((5001, None))
+    df = spark.createDataFrame(rows, "row_index long, original_input string")
+    got = {r.row_index: r.is_duplicate for r in PR.duplicate_rows(df).collect()}
+    seen, exp = set(), {}
+    for i, t in sorted(rows):
+        exp[i] = t in seen
+        seen.add(t)
+    assert got == exp
+    # the hot value is spread over every salt (join keys), not one
+    salts = (df.where("original_input = 'hot text'")
+             .select(F.pmod(F.xxhash64("row_index"), F.lit(PR.DUPLICATE_SALTS)).alias("s")).distinct().count())
+    assert salts == PR.DUPLICATE_SALTS
+
+
+def test_null_label_is_one_label(spark):
+    lab = _labels(spark, [(None, None), (None, "a"), ("a", "a")])
+    m = {r.label: r for r in MT.class_metrics(lab).collect()}
+    assert set(m) == {None, "a"} and m[None].support == 2 and m[None].precision == 1.0
+    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(spark, lab).collect()}
+    assert cm == {(None, None): 1, (None, "a"): 1, ("a", None): 0, ("a", "a"): 1}

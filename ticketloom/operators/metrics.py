@@ -32,9 +32,11 @@ def class_metrics(labels: DataFrame) -> DataFrame:
     and support; 0 where undefined."""
     pc = pair_counts(labels)
     by_true = pc.groupBy(F.col("t").alias("label")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("t") == F.col("p"), F.col("n"))).alias("tp"))
-    by_pred = pc.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("predicted"))
-    m = by_true.join(by_pred, "label", "full_outer")
+        F.sum("n").alias("support"), F.sum(F.when(F.col("t").eqNullSafe(F.col("p")), F.col("n"))).alias("tp"))
+    by_pred = pc.groupBy(F.col("p").alias("_plabel")).agg(F.sum("n").alias("predicted"))
+    # null-safe: a null label (a JSON null type) is one label, not two
+    m = by_true.join(by_pred, by_true["label"].eqNullSafe(by_pred["_plabel"]), "full_outer")
+    m = m.withColumn("label", F.coalesce(F.col("label"), F.col("_plabel")))
     tp = F.coalesce(F.col("tp"), F.lit(0))
     sup = F.coalesce(F.col("support"), F.lit(0))
     pr = F.coalesce(F.col("predicted"), F.lit(0))
@@ -79,7 +81,8 @@ def confusion_matrix(spark: SparkSession, labels: DataFrame) -> DataFrame:
         return cells
     names = sorted({r[0] for r in label_df.collect()}, key=lambda x: (x is None, x))
     grid = spark.createDataFrame([(a, b) for a in names for b in names], "true_label string, pred_label string")
-    out = grid.join(F.broadcast(cells), ["true_label", "pred_label"], "left")
+    c = F.broadcast(cells.select(F.col("true_label").alias("_t"), F.col("pred_label").alias("_p"), "n"))
+    out = grid.join(c, grid["true_label"].eqNullSafe(c["_t"]) & grid["pred_label"].eqNullSafe(c["_p"]), "left")
     return out.select("true_label", "pred_label", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 

@@ -132,14 +132,25 @@ def duplicate_count(df: DataFrame, col: str = "original_input") -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
-def duplicate_rows(df: DataFrame, col: str = "original_input", id_col: str = "row_index") -> DataFrame:
-    """``duplicated()`` per row (keep first).  The first row_index per
-    value comes from a partial + final min aggregate; joining it back is an
-    equi-join on the digest that AQE's skew handling splits when one value
-    is hot.  No window over the text, so no single task holds a hot value."""
-    h = text_digest(col)
-    firsts = df.groupBy(h.alias("h")).agg(F.min(id_col).alias("_first"))
-    j = df.select(id_col, h.alias("h")).join(firsts, "h")
+DUPLICATE_SALTS = 64
+
+
+def duplicate_rows(df: DataFrame, col: str = "original_input", id_col: str = "row_index",
+                   salts: int = DUPLICATE_SALTS) -> DataFrame:
+    """``duplicated()`` per row (keep first), salted against hot values.
+
+    Each row gets a salt from a hash of its id.  The minimum id is taken per
+    (digest, salt), then per digest over those at most ``salts`` partial
+    minima, and joined back on (digest, salt).  A value held by a third of
+    all rows is thus spread over ``salts`` join keys and tasks instead of
+    one; no table is replicated, and no window runs over the text."""
+    # null is a value here (as in pandas): '' can never be a SHA-256 hex digest
+    rows = df.select(id_col, F.coalesce(text_digest(col), F.lit("")).alias("h"),
+                     F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).alias("_s"))
+    per_salt = rows.groupBy("h", "_s").agg(F.min(id_col).alias("_m"))
+    per_value = per_salt.groupBy("h").agg(F.min("_m").alias("_first"))
+    keys = per_salt.join(per_value, "h").select("h", "_s", "_first")
+    j = rows.join(keys, ["h", "_s"])
     return j.select(id_col, (F.col(id_col) != F.col("_first")).alias("is_duplicate"))
 
 
