@@ -154,3 +154,16 @@ def test_balance_fuzz_against_python_rule(spark):
         order = sorted(picked, key=lambda t: (_md5(f"42:{t[0]}:{t[1]}:{t[2]}"), t[0], t[1], t[2]))
         exp = sorted((c, x, d, p) for p, (c, x, d) in enumerate(order))
         assert got == exp, (sizes, target)
+
+
+def test_split_leakage_hot_and_null_texts(spark):
+    rows = []
+    for i in range(900):
+        split = "train" if i % 3 else "test"
+        text = "hot" if i % 2 == 0 else (None if i % 7 == 0 else f"t{i % 40}")
+        rows.append((i, split, text))
+    df = spark.createDataFrame(rows, "sample_id long, split string, user_input string")
+    got = {r.sample_id for r in SM.split_leakage(df).collect()}
+    train = {t for _, s, t in rows if s == "train" and t is not None}
+    exp = {i for i, s, t in rows if s == "test" and t is not None and t in train}
+    assert got == exp and len(exp) > 100

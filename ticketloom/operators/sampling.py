@@ -109,12 +109,24 @@ def split_train_eval(samples: DataFrame, id_cols: list[str], train_ratio: float
     return out.withColumn("split", F.explode(member)).drop("_seg")
 
 
-def split_leakage(splits: DataFrame, text_col: str = "user_input") -> DataFrame:
-    """Test rows whose input text also occurs in train (left-semi join on the
-    text digest; AQE splits a hot digest)."""
-    test = splits.where(F.col("split") == "test").withColumn("_h", text_digest(text_col))
-    train = splits.where(F.col("split") == "train").select(text_digest(text_col).alias("_h"))
-    return test.join(train, "_h", "left_semi").drop("_h")
+LEAKAGE_SALTS = 64
+
+
+def split_leakage(splits: DataFrame, text_col: str = "user_input", id_col: str = "sample_id",
+                  salts: int = LEAKAGE_SALTS) -> DataFrame:
+    """Test rows whose input text also occurs in train, salted against hot
+    texts: the distinct (digest, salt) pairs of the test rows meet the
+    distinct train digests on the digest (at most ``salts`` rows per key on
+    one side, one on the other); test rows then semi-join the leaked pairs
+    on (digest, salt), so a text held by a third of the rows is spread over
+    ``salts`` keys.  A null text never leaks (as with SQL ``IN``)."""
+    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).alias("_s")
+    test = splits.where(F.col("split") == "test").withColumn("_h", text_digest(text_col)).withColumn("_s", salt)
+    train = (splits.where(F.col("split") == "train").select(text_digest(text_col).alias("_h"))
+             .where(F.col("_h").isNotNull()).distinct())
+    pairs = test.select("_h", "_s").where(F.col("_h").isNotNull()).distinct()
+    leaked = pairs.join(train, "_h", "left_semi")
+    return test.join(leaked, ["_h", "_s"], "left_semi").drop("_h", "_s")
 
 
 def split_distribution(splits: DataFrame) -> DataFrame:
