@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import exact_dedup, simhash
+from ticketloom.llm import exact_dedup, quality, simhash, toxicity
 
 QUERIES = {
+    "op1_quality_classifier": quality.op1_quality_classifier,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
 }
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
