@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import exact_dedup, quality, simhash, toxicity
+from ticketloom.llm import bpe, exact_dedup, quality, simhash, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_byte_bpe": bpe.op2_byte_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
