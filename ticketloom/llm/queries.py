@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import bpe, exact_dedup, packing, quality, simhash, toxicity
+from ticketloom.llm import bpe, exact_dedup, packing, quality, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_lexical_packing": packing.op6_lexical_packing,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
