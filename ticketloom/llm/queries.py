@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import bpe, exact_dedup, packing, quality, simhash, substrings, toxicity
+from ticketloom.llm import bpe, embeddings, exact_dedup, packing, quality, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_embedding_dedup": embeddings.op3_embedding_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_lexical_packing": packing.op6_lexical_packing,
