@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import bpe, embeddings, exact_dedup, packing, quality, simhash, substrings, toxicity
+from ticketloom.llm import bpe, embeddings, exact_dedup, packing, pii, quality, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_lexical_packing": packing.op6_lexical_packing,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op9_pii_surrogates": pii.op9_pii_surrogates,
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
