@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding.
 
-Python only cuts texts into the pattern's matches and gathers the distinct ones of a block of
-documents ("words").  Spark's higher-order functions encode each distinct word: a fold over its
-byte array merges the adjacent pair of lowest rank, leftmost first, until no pair has a rank.
-Ranks come from a literal map of token pairs, laid out as two cuckoo-hashed arrays so that a
-lookup is two array accesses.  Decoding concatenates the binary pieces of the ids.
-
-A block never needs another block's words, so nothing is shuffled, and what a task holds is
-bounded by ``BLOCK_BYTES`` of text or one document.
+Python only cuts texts into the pattern's matches ("words") and gathers the distinct ones.  Spark's
+higher-order functions encode each distinct word: a fold over its byte array merges the adjacent
+pair of lowest rank, leftmost first, until no pair has a rank.  Ranks come from a literal map of
+token pairs, laid out as two cuckoo-hashed arrays so that a lookup is two array accesses.  Decoding
+concatenates the binary pieces of the ids.
+
+Texts stay in batches.  A batch sends its distinct words to ``parts`` ranges of the hash space,
+where the words of all batches are encoded once, and gets their ids back; a word in every text is
+one word per batch.  The number of ranges follows the input, so a range's size doesn't.
 """
 
 from __future__ import annotations
@@ -18,14 +19,18 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 import regex
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import documents, narrow_input, prepare
+from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, narrow_input, prepare, text_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_BYTES, OUT_BYTES = 32_000_000, 8_000_000
+BATCH_BYTES, OUT_BYTES = 16_000_000, 8_000_000
+PART_BYTES, LEAST_PARTS = 8_000_000, 64        # of text for each hash range
 NONE = (1 << 31) - 1                    # no such pair
 BITS = 20                               # of an id in the fold's state
 MASK, END, REST = (1 << BITS) - 1, NONE << BITS, 1 << 30
@@ -153,99 +158,148 @@ def tables(ranks: dict[bytes, int]) -> Column:
                     F.transform(F.split(F.lit(",".join(n.hex() for n in names)), ","), F.unhex).alias("token"))
 
 
-BLOCK = ("doc_ids array<bigint>, sizes array<bigint>, refs binary, unit_sizes binary, unit_refs binary, "
-         "words array<array<tinyint>>")
-
-
-def _block(ids, texts, pattern):
-    """One row: the block's distinct words as byte arrays, and what its texts are made of."""
-    words, parts, unit_sizes = {}, [], []
-    inner, first = {}, {}                       # units that lost a space, and units that begin a text
-    refs, sizes = [], []
-
-    def add(unit):
-        found = pattern.findall(unit)
-        parts.extend(words.setdefault(w, len(words)) for w in found)
-        unit_sizes.append(len(found))
-        return len(unit_sizes) - 1
-
-    for text in texts:
-        cut = units(text)
-        own = list(map(inner.get, cut))
-        own[0] = first.get(cut[0])
-        if own[0] is None:
-            own[0] = first[cut[0]] = add(cut[0])
-        if None in own:
-            for k, unit in enumerate(cut):
-                if own[k] is None:
-                    if unit not in inner:
-                        inner[unit] = add(" " + unit)
-                    own[k] = inner[unit]
-        refs.append(np.array(own, np.int32))
-        sizes.append(len(own))
-    spelled = [w.encode() for w in words]
-    offsets = np.concatenate([[0], np.cumsum([len(w) for w in spelled])]).astype(np.int32)
-    flat = pa.array(np.frombuffer(b"".join(spelled), np.int8))
-    column = pa.ListArray.from_arrays(pa.array([0, len(spelled)], pa.int32()),
-                                      pa.ListArray.from_arrays(pa.array(offsets), flat))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-         pa.array([np.concatenate(refs).tobytes()], pa.binary()), pa.array([np.array(unit_sizes, np.int32).tobytes()], pa.binary()),
-         pa.array([np.array(parts, np.int32).tobytes()], pa.binary()), column],
-        ["doc_ids", "sizes", "refs", "unit_sizes", "unit_refs", "words"])
-
-
-def _blocks(pattern_text, limit):
+
+class Words:
+    """The distinct words of some texts, in the order of their first places, and what each text is
+    made of."""
+
+    def __init__(self, texts: list[str], pattern):
+        self.words: dict[str, int] = {}
+        self.units: list[tuple[int, ...]] = []
+        inner, first = {}, {}                   # units that lost a space, and units that begin a text
+        self.refs = []
+        for text in texts:
+            cut = units(text)
+            own = list(map(inner.get, cut))
+            own[0] = first.get(cut[0])
+            if own[0] is None:
+                own[0] = first[cut[0]] = self._add(pattern.findall(cut[0]))
+            if None in own:
+                for k, unit in enumerate(cut):
+                    if own[k] is None:
+                        if unit not in inner:
+                            inner[unit] = self._add(self._matches(unit, pattern))
+                        own[k] = inner[unit]
+            self.refs.append(np.array(own, np.int32))
+        self.spelled = [w.encode() for w in self.words]
+
+    @staticmethod
+    def _matches(unit, pattern):
+        if unit.isalpha():                      # letters alone, or before one full stop or comma: plain matches
+            return (" " + unit,)
+        if unit[-1:] in ".," and unit[:-1].isalpha():
+            return " " + unit[:-1], unit[-1]
+        return pattern.findall(" " + unit)
+
+    def _add(self, matches):
+        words = self.words
+        self.units.append(tuple([words.setdefault(w, len(words)) for w in matches]))
+        return len(self.units) - 1
+
+    def by_part(self, parts: int) -> list[tuple[int, np.ndarray]]:
+        """Places of the words of each part of the hash space, ascending."""
+        part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.spelled], np.int64)
+        order = np.argsort(part, kind="stable")
+        cut = np.flatnonzero(np.diff(part[order])) + 1
+        return [(int(part[p[0]]), p) for p in np.split(order, cut)] if len(order) else []
+
+
+def _pack(*arrays) -> bytes:
+    """Some byte strings as one compressed string."""
+    sizes = np.array([len(a) for a in arrays], np.int64)
+    return sizes.tobytes() + zstandard.ZstdCompressor(level=1).compress(b"".join(arrays))
+
+
+def _unpack(body: bytes, n: int) -> list[bytes]:
+    sizes = np.frombuffer(body[:8 * n], np.int64).tolist()
+    data = zstandard.ZstdDecompressor().decompress(body[8 * n:]) if sum(sizes) else b""
+    stops = np.cumsum(sizes).tolist()
+    return [data[b - s:b] for s, b in zip(sizes, stops)]
+
+
+def _slices(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    stops = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [data[b - s:b] for s, b in zip(sizes.tolist(), stops)]
+
+
+def _send(pattern_text, parts):
     def run(batches):
         pattern = regex.compile(pattern_text)
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if texts and size + len(text) > limit:
-                    yield _block(ids, texts, pattern)
-                    ids, texts, size = [], [], 0
-                ids.append(i)
-                texts.append(text)
-                size += len(text)
-        if texts:
-            yield _block(ids, texts, pattern)
+        for row in each_row(batches, ["batch", "doc_ids", "sizes", "body"]):
+            words = Words([t.decode() for t in batch_texts(row)], pattern)
+            cells = [(part, _pack(np.array([len(words.spelled[k]) for k in places], np.uint32).tobytes(),
+                                  b"".join([words.spelled[k] for k in places]))) for part, places in words.by_part(parts)]
+            if cells:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c[0] for c in cells], pa.int64()), pa.array([row["batch"]] * len(cells), pa.int64()),
+                     pa.array([c[1] for c in cells], pa.binary())], ["part", "batch", "body"])
     return run
 
 
-def _per_unit(values: bytes, ends: np.ndarray, parts: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Each unit's bytes, from its words' (``ends``: where each word's bytes end in ``values``)."""
-    starts = np.concatenate([[0], ends[:-1]]).tolist() if len(ends) else []
-    pieces = [values[a:b] for a, b in zip(starts, ends.tolist())]
-    line = [pieces[p] for p in parts.tolist()]
-    stop = np.cumsum(sizes).tolist()
-    return [line[b - n] if n == 1 else b"".join(line[b - n:b]) for n, b in zip(sizes.tolist(), stop)]
+PART = "part bigint, batches array<bigint>, places array<binary>, words array<array<tinyint>>"
+
+
+def _distinct(table: pa.Table) -> pa.Table:
+    """One row: the part's distinct words, and for each batch the places of its words among them."""
+    known, places = {}, []
+    for body in table.column("body").to_pylist():
+        sizes, data = _unpack(body, 2)
+        own = _slices(data, np.frombuffer(sizes, np.uint32))
+        places.append(np.array([known.setdefault(w, len(known)) for w in own], np.uint32).tobytes())
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in known])]).astype(np.int32)
+    words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(known), np.int8)))
+    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()),
+                     "batches": pa.array([table.column("batch").to_pylist()], pa.list_(pa.int64())),
+                     "places": pa.array([places], pa.list_(pa.binary())),
+                     "words": pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), words)})
 
 
-def _texts(batches):
-    """Documents again, from a block's row and its encoded and decoded words."""
+def _return(batches):
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {c: batch.column(c)[k] for c in batch.schema.names}
-            parts, sizes = (np.frombuffer(row[c].as_py(), np.int32) for c in ("unit_refs", "unit_sizes"))
-            ids, plain = row["encoded"].values.field("ids"), row["encoded"].values.field("plain")
-            flat = np.asarray(ids.flatten()).astype("<u4").tobytes()
-            encoded = _per_unit(flat, np.cumsum(np.asarray(ids.value_lengths())) * 4, parts, sizes)
-            decoded = plain.to_pylist()
-            lengths = np.array([len(d) for d in decoded], np.int64)
-            decoded = _per_unit(b"".join(decoded), np.cumsum(lengths), parts, sizes)
-            refs, stops = np.frombuffer(row["refs"].as_py(), np.int32), np.cumsum(row["sizes"].as_py())
+            found = batch.column("encoded")[k].values
+            ids, plain = found.field("ids"), found.field("plain")
+            n_ids, n_plain = np.asarray(ids.value_lengths()).astype(np.uint32), np.asarray(pa.compute.binary_length(plain)).astype(np.uint32)
+            own_ids = _slices(np.asarray(ids.flatten()).astype("<u4").tobytes(), n_ids * 4)
+            own_plain = plain.to_pylist()
+            rows = [[], []]
+            for number, places in zip(batch.column("batches")[k].as_py(), batch.column("places")[k].as_py()):
+                places = np.frombuffer(places, np.uint32)
+                line = places.tolist()
+                rows[0].append(number)
+                rows[1].append(_pack(n_ids[places].tobytes(), b"".join([own_ids[p] for p in line]), n_plain[places].tobytes(),
+                                     b"".join([own_plain[p] for p in line])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0], pa.int64()), pa.array([batch.column("part")[k].as_py()] * len(rows[0]), pa.int64()),
+                 pa.array(rows[1], pa.binary())], ["batch", "part", "body"])
+
+
+def _assemble(pattern_text, parts):
+    def run(batches):
+        pattern = regex.compile(pattern_text)
+        for row in each_row(batches, ["doc_ids", "sizes", "body", "found"]):
+            words = Words([t.decode() for t in batch_texts(row)], pattern)
+            answers = {x["part"]: x["body"] for x in row["found"] or []}
+            encoded, decoded = [b""] * len(words.spelled), [b""] * len(words.spelled)
+            for part, places in words.by_part(parts):
+                n_ids, ids, n_plain, plain = _unpack(answers.pop(part), 4)
+                for k, a, b in zip(places.tolist(), _slices(ids, np.frombuffer(n_ids, np.uint32) * 4),
+                                   _slices(plain, np.frombuffer(n_plain, np.uint32))):
+                    encoded[k], decoded[k] = a, b
+            ids = [encoded[u[0]] if len(u) == 1 else b"".join([encoded[w] for w in u]) for u in words.units]
+            plain = [decoded[u[0]] if len(u) == 1 else b"".join([decoded[w] for w in u]) for u in words.units]
             out, size = ([], [], []), 0
-            for i, a, b in zip(row["doc_ids"].as_py(), [0, *stops[:-1].tolist()], stops.tolist()):
-                own = refs[a:b].tolist()
-                out[0].append(i)
-                out[1].append(b"".join([encoded[r] for r in own]))
-                out[2].append(b"".join([decoded[r] for r in own]))
+            for doc, refs in zip(row["doc_ids"], words.refs):
+                own = refs.tolist()
+                for column, value in zip(out, (doc, b"".join([ids[r] for r in own]), b"".join([plain[r] for r in own]))):
+                    column.append(value)
                 size += len(out[1][-1]) + len(out[2][-1])
                 if size > OUT_BYTES:
                     yield _rows(*out)
                     out, size = ([], [], []), 0
             if out[0]:
                 yield _rows(*out)
+    return run
 
 
 def _rows(doc_id, ids, decoded):
@@ -254,22 +308,30 @@ def _rows(doc_id, ids, decoded):
 
 
 def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",
-                   text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, ids, decoded`` of every row: the ids as little-endian unsigned 32-bit integers,
     and the bytes that they decode to.
 
     Null text is empty text, with no ids.  Repeated rows and ids are rows like others; extra
     columns are left out.  ``ranks`` (at most 2**20 tokens, all single bytes among them) must be
     such that every token is made by merges of lower rank, as BPE training gives; else it raises."""
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     if max(ranks.values()) > MASK:
         raise ValueError("ids over 20 bits")
-    blocks = narrow_input(docs, id_col, text_col).mapInArrow(_blocks(pattern, block_bytes), BLOCK)
+    text = narrow_input(docs, id_col, text_col)
+    size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = LEAST_PARTS
+    while parts * PART_BYTES < size:
+        parts *= 2
+    batches = text.mapInArrow(text_batches(batch_bytes), TEXTS)
+    words = batches.mapInArrow(_send(pattern, parts), "part bigint, batch bigint, body binary").groupBy("part").applyInArrow(_distinct, PART)
     known = F.struct(tables(ranks).alias("t"), F.col("words").alias("words"))
     encoded = _let(known, lambda v: F.transform(v["words"], lambda w: _let(encode_word(v["t"], w), lambda ids: F.struct(
         ids.alias("ids"), decode_ids(v["t"], ids).alias("plain")))))
-    rest = [c for c in blocks.columns if c != "words"]
-    return blocks.select(*rest, encoded.alias("encoded")).mapInArrow(_texts, "doc_id bigint, ids binary, decoded binary")
+    found = words.select("part", "batches", "places", encoded.alias("encoded")).mapInArrow(
+        _return, "batch bigint, part bigint, body binary").groupBy("batch").agg(F.collect_list(F.struct("part", "body")).alias("found"))
+    return batches.join(found, "batch", "left").mapInArrow(_assemble(pattern, parts), "doc_id bigint, ids binary, decoded binary")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

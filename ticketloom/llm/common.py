@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.session import ensure_checkpoint_dir, ship_package, table_path
 
+TEXTS = "batch bigint, doc_ids array<bigint>, sizes array<bigint>, body binary"
+
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -55,10 +59,50 @@ def attach(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFram
     return rows.join(pairs.join(table, key, "inner"), [key, spread], "left")
 
 
-def per_batch(fn: Callable, *args) -> Callable[[Iterator], Iterator]:
-    """A ``mapInArrow`` function that gives each non-empty batch to ``fn(batch, *args)``."""
+def text_batches(limit: int) -> Callable[[Iterator], Iterator]:
+    """A ``mapInArrow`` function that gathers ``(doc_id, text)`` rows into rows of ``TEXTS``: about
+    ``limit`` bytes of compressed texts (or one text), numbered by partition, and so the same when a
+    task or the scan is repeated.  Rows are ordered by id, nulls last, then as they came."""
     def run(batches):
+        number = partition_id() << 32
+        ids, texts, size = [], [], 0
+
+        def row():
+            # in the order in which documents come first; rows of one id stay in their order
+            order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, k))
+            body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts[k] for k in order))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([[ids[k] for k in order]], pa.list_(pa.int64())),
+                 pa.array([[len(texts[k]) for k in order]], pa.list_(pa.int64())), pa.array([body], pa.binary())],
+                ["batch", "doc_ids", "sizes", "body"])
+
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch, *args)
+            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                data = text.encode()
+                if texts and size + len(data) > limit:
+                    yield row()
+                    number += 1
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(data)
+                size += len(data)
+        if texts:
+            yield row()
     return run
+
+
+def batch_texts(row: dict) -> list[bytes]:
+    """The texts of a ``TEXTS`` row."""
+    body = zstandard.ZstdDecompressor().decompress(row["body"]) if sum(row["sizes"]) else b""
+    out, at = [], 0
+    for size in row["sizes"]:
+        out.append(body[at:at + size])
+        at += size
+    return out
+
+
+def each_row(batches: Iterator, columns: list[str]) -> Iterator[dict]:
+    """The rows of Arrow batches, one at a time, for rows that are large."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {c: batch.column(c)[k].as_py() for c in columns}

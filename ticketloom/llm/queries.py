@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ticketloom.llm import bpe, embeddings, exact_dedup, packing, pii, quality, simhash, substrings, toxicity
+import corpus_pipeline
+from ticketloom.llm import bpe, embeddings, exact_dedup, licenses, packing, pii, quality, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -12,8 +13,10 @@ QUERIES = {
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_lexical_packing": packing.op6_lexical_packing,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_pii_surrogates": pii.op9_pii_surrogates,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}

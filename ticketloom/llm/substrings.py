@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import documents, narrow_input, partition_id, prepare
+from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, narrow_input, prepare, text_batches
 
 WINDOW = 20
 BATCH_BYTES = 6_000_000
@@ -35,40 +35,10 @@ PART_BYTES, LEAST_PARTS = 8_000_000, 64        # of text for each hash range
 NULL_ID = np.iinfo(np.int64).max               # null ids come last
 A, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-TEXTS = "batch bigint, doc_ids array<bigint>, sizes array<bigint>, body binary"
 CELL = "part bigint, batch bigint, body binary"
 BITS = "batch bigint, part bigint, bits binary"
 
 
-def _batches(limit):
-    def run(batches):
-        number = partition_id() << 32
-        ids, texts, size = [], [], 0
-
-        def row():
-            # in the order in which documents come first; rows of one id stay in their order
-            order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, k))
-            body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts[k] for k in order))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([[ids[k] for k in order]], pa.list_(pa.int64())),
-                 pa.array([[len(texts[k]) for k in order]], pa.list_(pa.int64())), pa.array([body], pa.binary())],
-                ["batch", "doc_ids", "sizes", "body"])
-
-        for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                data = text.encode()
-                if texts and size + len(data) > limit:
-                    yield row()
-                    number += 1
-                    ids, texts, size = [], [], 0
-                ids.append(i)
-                texts.append(data)
-                size += len(data)
-        if texts:
-            yield row()
-    return run
-
-
 class _Hashes(dict):
     def __missing__(self, word):
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -97,9 +67,7 @@ class Batch:
     def __init__(self, row, window: int, parts: int):
         self.window, self.block, self.shift = window, window // 2, 64 - (parts.bit_length() - 1)
         self.ids, self.number = row["doc_ids"], row["batch"]
-        text = zstandard.ZstdDecompressor().decompress(row["body"]) if sum(row["sizes"]) else b""
-        stops = np.cumsum([0, *row["sizes"]]).tolist()
-        self.words = [text[a:b].split() for a, b in zip(stops, stops[1:])]
+        self.words = [t.split() for t in batch_texts(row)]
         self.n = np.array([len(w) for w in self.words], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.n)])
         known = _Hashes()
@@ -162,12 +130,6 @@ class Batch:
         return np.cumsum(edge)[:len(self.h)] > 0
 
 
-def _each(batches, columns):
-    for batch in batches:
-        for k in range(batch.num_rows):
-            yield {c: batch.column(c)[k].as_py() for c in columns}
-
-
 def _cells(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                                        pa.array([r[2] for r in rows], pa.binary())], ["part", "batch", "body"])
@@ -176,7 +138,7 @@ def _cells(rows):
 def _probes(window, parts):
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for row in _each(batches, ["batch", "doc_ids", "sizes", "body"]):
+        for row in each_row(batches, ["batch", "doc_ids", "sizes", "body"]):
             b, rows = Batch(row, window, parts), []
             short = ((b.keys >> np.uint64(b.shift - 32)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             for part, x, y in b.cells(b.keys):
@@ -219,7 +181,7 @@ def _hits(table: pa.Table) -> pa.Table:
 def _candidates(window, parts):
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for row in _each(batches, ["batch", "doc_ids", "sizes", "body", "hits"]):
+        for row in each_row(batches, ["batch", "doc_ids", "sizes", "body", "hits"]):
             b, rows = Batch(row, window, parts), []
             b.windows([(x["part"], x["bits"]) for x in row["hits"] or []])
             ids = np.array([NULL_ID if i is None else i for i in b.ids], np.int64)
@@ -255,7 +217,7 @@ def _firsts(table: pa.Table) -> pa.Table:
 
 def _kept(window, parts):
     def run(batches):
-        for row in _each(batches, ["batch", "doc_ids", "sizes", "body", "hits", "firsts"]):
+        for row in each_row(batches, ["batch", "doc_ids", "sizes", "body", "hits", "firsts"]):
             b = Batch(row, window, parts)
             b.windows([(x["part"], x["bits"]) for x in row["hits"] or []])
             gone = b.removed([(x["part"], x["bits"]) for x in row["firsts"] or []])
@@ -287,7 +249,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = LEAST_PARTS
     while parts * PART_BYTES < size:
         parts *= 2
-    batches = text.mapInArrow(_batches(batch_bytes), TEXTS)
+    batches = text.mapInArrow(text_batches(batch_bytes), TEXTS)
 
     def by_batch(bits, name):
         return bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias(name))

@@ -29,10 +29,10 @@ from ticketloom.llm.common import documents, held_out, materialize, narrow_input
 
 ORDER, DISCOUNT = 4, 0.75
 PEAK = 50                                 # one in so many positions makes the peak
-GRAM_SLOTS, CONTEXT_SLOTS = 22, 20        # as powers of two
+GRAM_SLOTS, CONTEXT_SLOTS = 20, 18        # as powers of two
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
-STEP = 1 << 20                            # bytes of text worked on at a time
+STEP = 1 << 18                            # bytes of text worked on at a time
 
 
 def plain(text: str) -> bytes:
@@ -218,7 +218,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                         .groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")))
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     taught = (text.where(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-              .join(known.withColumn("y", F.col("y") + 2 * half), "doc_id"))
+              .join(known.withColumn("y", F.col("y") + 2 * half).hint("shuffle_hash"), "doc_id"))    # labels grow with the rows
     parts = "n0", "n1", "h0", "h1"
     counts = materialize(taught.mapInArrow(_count(order), "gram bigint, " + ", ".join(f"{c} bigint" for c in parts))
                          .groupBy("gram").agg(*(F.sum(c).alias(c) for c in parts)))
