@@ -93,13 +93,11 @@ def clean_tickets(parsed: DataFrame) -> DataFrame:
 
 
 def clean_by_lookup(df: DataFrame, key: Column, mapping: DataFrame, default: str,
-                    out: str, max_broadcast_rows: int = 100_000) -> DataFrame:
+                    out: str) -> DataFrame:
     """JN1 with a user's mapping table (columns ``src``, ``dst``): left join on
-    the normalised key, default when unmapped.  The mapping is broadcast only
-    when its row count is under the bound, else a shuffle join is planned."""
+    the normalised key, default when unmapped.  Spark picks the join by the
+    mapping's size in bytes."""
     m = mapping.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"))
-    if m.count() <= max_broadcast_rows:
-        m = F.broadcast(m)
     j = df.withColumn("_key", key).join(m, F.col("_key") == F.col("_src"), "left")
     return j.withColumn(out, F.coalesce(F.col("_dst"), F.lit(default))).drop("_key", "_src", "_dst")
 

@@ -7,16 +7,13 @@ memory per row and nothing but that small table is ever re-read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketloom.fixed_values import FIELD_ACCURACY_ORDER, LABEL_DOMAIN_ERROR, LABEL_ERROR
+from ticketloom.fixed_values import FIELD_ACCURACY_ORDER
 from ticketloom.operators.responses import MATCH_COLUMNS
 
-MAX_DENSE_LABELS = 1000
-
-
 def pair_counts(labels: DataFrame, t: str = "true_label", p: str = "pred_label") -> DataFrame:
     return labels.groupBy(F.col(t).alias("t"), F.col(p).alias("p")).agg(F.count("*").alias("n"))
 
@@ -64,26 +61,18 @@ def avg_metrics(per_class: DataFrame) -> DataFrame:
 
 
 def label_set(labels: DataFrame) -> DataFrame:
-    """Sorted distinct union of true and predicted labels."""
-    u = labels.select(F.col("true_label").alias("label")).union(
-        labels.select(F.col("pred_label").alias("label"))).distinct()
-    return u.withColumn("ord", F.row_number().over(Window.orderBy("label")).cast("bigint"))
-
-
-def confusion_matrix(spark: SparkSession, labels: DataFrame) -> DataFrame:
-    """A12/JN3: (true_label, pred_label, n) over the sorted label grid with
-    zeros kept.  The grid is labels x labels of a label list whose size is
-    checked first; above MAX_DENSE_LABELS only non-zero cells are returned."""
-    pc = pair_counts(labels).checkpoint(eager=True)
-    cells = pc.select(F.col("t").alias("true_label"), F.col("p").alias("pred_label"), "n")
-    label_df = pc.select("t").union(pc.select("p")).distinct()
-    if label_df.count() > MAX_DENSE_LABELS:     # counted before anything is collected
-        return cells
-    names = sorted({r[0] for r in label_df.collect()}, key=lambda x: (x is None, x))
-    grid = spark.createDataFrame([(a, b) for a in names for b in names], "true_label string, pred_label string")
-    c = F.broadcast(cells.select(F.col("true_label").alias("_t"), F.col("pred_label").alias("_p"), "n"))
-    out = grid.join(c, grid["true_label"].eqNullSafe(c["_t"]) & grid["pred_label"].eqNullSafe(c["_p"]), "left")
-    return out.select("true_label", "pred_label", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+    """The distinct union of true and predicted labels, from the pair
+    counts (one pass).  Labels are open-ended, so they are put in order only
+    where a report is printed."""
+    return pair_counts(labels).select(F.explode(F.array("t", "p")).alias("label")).distinct()
+
+
+def confusion_matrix(labels: DataFrame) -> DataFrame:
+    """A12/JN3: the non-zero (true_label, pred_label, n) cells, whatever the
+    number of labels; the axes are ``label_set``, and ``dense_matrix``
+    (plans.reports) fills in the zeros when a matrix is printed."""
+    return pair_counts(labels, "true_label", "pred_label").select(
+        F.col("t").alias("true_label"), F.col("p").alias("pred_label"), "n")
 
 
 def field_accuracy(detailed: DataFrame) -> DataFrame:
@@ -98,10 +87,12 @@ def field_accuracy(detailed: DataFrame) -> DataFrame:
 
 
 def error_rates(labels: DataFrame) -> DataFrame:
-    """Parse and domain error counts and rates (null when empty)."""
+    """Parse and domain error counts and rates (null when empty),
+    by the branch that the comparison took: a reply whose ticket type reads
+    "error" is no parse error."""
     n = F.count("*")
-    pe = F.count_if(F.col("pred_label") == LABEL_ERROR)
-    de = F.count_if(F.col("pred_label") == LABEL_DOMAIN_ERROR)
+    pe = F.count_if(F.col("outcome") == "pred_error")
+    de = F.count_if(F.col("outcome") == "domain_error")
     return labels.agg(n.alias("n_samples"), pe.alias("parse_errors"), de.alias("domain_errors"),
                       F.round(F.when(n > 0, pe / n), 6).alias("parse_error_rate"),
                       F.round(F.when(n > 0, de / n), 6).alias("domain_error_rate"))

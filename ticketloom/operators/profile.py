@@ -8,13 +8,13 @@ SHA-256 digest of the text (32 bytes shuffled instead of the whole text).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketloom.fixed_values import (
-    HISTOGRAM_BINS, SHORT_INPUT_CHARS, STANDARD_TYPES, TOP_DEPARTMENTS)
+    HISTOGRAM_BINS, SEVERITY_DEFAULT, SEVERITY_MAPPING, SHORT_INPUT_CHARS, STANDARD_TYPES,
+    TICKET_TYPE_DEFAULT, TICKET_TYPE_MAPPING, TOP_DEPARTMENTS)
 from ticketloom.functions import jsonx
 
 
@@ -47,13 +47,14 @@ def raw_distributions(parsed: DataFrame, cols=("ticket_type", "severity",
 
 def distribution(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     """A3/T5: value, n, pct of all rows (nulls dropped from the values, kept
-    in the total); one GROUPING SETS pass yields the groups and the total."""
-    g = df.groupingSets([[col], []], col).agg(F.count("*").alias("n"), F.grouping_id().alias("_g"))
-    total = F.max(F.when(F.col("_g") == 1, F.col("n"))).over(Window.partitionBy())
-    g = g.withColumn("_total", total).where((F.col("_g") == 0) & F.col(col).isNotNull())
+    in the total).  The total is a one-row sum over the grouped counts; the
+    top-k is taken before it, so no task gets a row per distinct value."""
+    g = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
+    total = g.agg(F.sum("n")).scalar()
+    g = g.where(F.col("value").isNotNull())
     if top is not None:
-        g = g.orderBy(F.desc("n"), F.asc(col)).limit(top)
-    return g.select(F.col(col).alias("value"), "n", _pct(F.col("n"), F.col("_total")).alias("pct"))
+        g = g.orderBy(F.desc("n"), F.asc("value")).limit(top)
+    return g.select("value", "n", _pct(F.col("n"), total).alias("pct"))
 
 
 def quality_summary(clean: DataFrame, approximate: bool = False) -> DataFrame:
@@ -69,16 +70,12 @@ def quality_summary(clean: DataFrame, approximate: bool = False) -> DataFrame:
 _ROWS = "\u0000rows"
 
 
-def missing_counts(clean: DataFrame) -> DataFrame:
-    """(column, n_missing, total, ord) for every key seen in any object plus
-    original_input, from one explode + partial aggregation.  Per present
-    key: whether it survives as non-null in the cleaned frame (type and
-    severity are always filled, communication keeps only strings, other
-    keys any non-null JSON value).  Two sentinel entries per row carry the
-    row count and the input's nullness, so no second pass counts rows.
-    ``ord`` is the pandas column order: keys by first appearance (row, then
-    position in the object), original_input right after the first row's
-    keys."""
+def key_entries() -> Column:
+    """What ``missing_counts`` needs of a row: per key of the object whether
+    it survives as non-null in the cleaned frame (type and severity are
+    always filled, communication keeps only strings, other keys any non-null
+    JSON value) and its position, plus two sentinel entries with the row
+    count and the input's nullness, so no second pass counts rows."""
     def nn(e):
         k, v = e["key"], e["value"]
         return (F.when(k.isin("Ticket Type", "Severity"), F.lit(True))
@@ -90,15 +87,24 @@ def missing_counts(clean: DataFrame) -> DataFrame:
                         F.struct(F.lit("original_input").alias("k"),
                                  F.col("original_input").isNotNull().alias("nn"),
                                  F.size("obj").alias("p")))
-    e = clean.select("row_index", F.explode(F.concat(entries, sentinels)).alias("e"))
+    return F.concat(entries, sentinels)
+
+
+def missing_counts(clean: DataFrame, entries: Column | None = None) -> DataFrame:
+    """(column, n_missing, total, first_row, first_pos) for every key seen in
+    any object plus original_input, from one explode + partial aggregation.
+    ``first_row, first_pos`` sort the columns as pandas does: keys by first
+    appearance (row, then position in the object), original_input right
+    after the first row's keys.  Keys are open-ended: nothing here puts them
+    all in one task."""
+    e = clean.select("row_index", F.explode(key_entries() if entries is None else entries).alias("e"))
     per = e.groupBy(F.col("e.k").alias("column")).agg(
         F.count_if("e.nn").alias("non_null"),
         F.min(F.struct(F.col("row_index").alias("r"), F.col("e.p").alias("p"))).alias("_first"))
-    total = F.max(F.when(F.col("column") == _ROWS, F.col("non_null"))).over(Window.partitionBy())
-    per = per.withColumn("total", total).where(F.col("column") != _ROWS)
-    order = F.row_number().over(Window.orderBy("_first.r", "_first.p"))
+    total = per.where(F.col("column") == _ROWS).agg(F.max("non_null")).scalar()
+    per = per.where(F.col("column") != _ROWS).withColumn("total", total)
     return per.select("column", (F.col("total") - F.col("non_null")).alias("n_missing"), "total",
-                      order.cast("bigint").alias("ord"))
+                      F.col("_first.r").alias("first_row"), F.col("_first.p").cast("bigint").alias("first_pos"))
 
 
 def missing_values(clean: DataFrame) -> DataFrame:
@@ -106,7 +112,7 @@ def missing_values(clean: DataFrame) -> DataFrame:
     the column's position in the frame."""
     m = missing_counts(clean)
     return (m.where(F.col("n_missing") > 0)
-            .select("column", "ord", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
+            .select("column", "first_row", "first_pos", "n_missing", _pct(F.col("n_missing"), F.col("total")).alias("pct")))
 
 
 def length_stats(df: DataFrame, col: str = "original_input", approximate: bool = False) -> DataFrame:
@@ -159,8 +165,9 @@ def length_histogram(df: DataFrame, col: str = "original_input", bins: int = HIS
     [min, max], last bin closed, every bin listed (zeros kept).  Edges are
     ``lo + i * step`` as numpy builds them; indices are corrected against
     the edges exactly as numpy does."""
-    n = F.length(col).cast("double")
-    lo_hi = df.agg(F.min(n).alias("lo"), F.max(n).alias("hi")).first()
+    by_length = (df.select(F.length(col).cast("double").alias("_x")).where("_x IS NOT NULL")
+                 .groupBy("_x").agg(F.count("*").alias("_c")).checkpoint(eager=True))     # one row per length
+    lo_hi = by_length.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
@@ -173,8 +180,7 @@ def length_histogram(df: DataFrame, col: str = "original_input", bins: int = HIS
     edge = lambda b: F.when(b == bins, F.lit(hi)).otherwise(b.cast("double") * F.lit(step) + F.lit(lo))
     b1 = F.when(x < edge(b0), b0 - 1).otherwise(b0)
     b2 = F.when((b1 != bins - 1) & (x >= edge(b1 + 1)), b1 + 1).otherwise(b1)
-    counts = (df.select(n.alias("_x")).where(x.isNotNull())
-              .groupBy(b2.alias("bin")).agg(F.count("*").alias("n")))
+    counts = by_length.groupBy(b2.alias("bin")).agg(F.sum("_c").alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     out = grid.join(F.broadcast(counts), "bin", "left")
     b = F.col("bin")
@@ -182,64 +188,59 @@ def length_histogram(df: DataFrame, col: str = "original_input", bins: int = HIS
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
+def _section(name: str, rows: DataFrame, ord1, key, n=None, pct=None, value=None, ord2=None) -> DataFrame:
+    null = F.lit(None)
+    return rows.select(
+        F.lit(name).alias("section"), ord1.cast("bigint").alias("ord"),
+        (F.lit(0) if ord2 is None else ord2).cast("bigint").alias("ord2"), key.alias("key"),
+        (null if n is None else n).cast("bigint").alias("n"), (null if pct is None else pct).cast("double").alias("pct"),
+        (null if value is None else value).cast("double").alias("value"))
+
+
 def quality_report(clean: DataFrame) -> DataFrame:
-    """K3: the data-quality report as a long table
-    (section, ord, key, n, pct, value); text is rendered from it.
-
-    The cleaned rows are reduced once to a narrow projection (lengths,
-    32-byte text digests, the key map, three label columns) that is
-    persisted for the four aggregates below and released before returning;
-    every aggregate combines partially, and only report-sized results (one
-    row per key, type, severity and top department) reach the driver."""
-    spark = clean.sparkSession
+    """K3: the data-quality report as a long table (section, ord, ord2, key,
+    n, pct, value), rows of a section sorted by (ord, ord2); text is rendered
+    from it.
+
+    The cleaned rows are reduced once to a narrow table in the shared
+    checkpoint folder (lengths, 32-byte text digests, key entries, three
+    label columns); the sections are lazy aggregates over it.  Types and
+    severities are bounded by their canonical values, departments by the
+    top-k; keys may be any number and stay distributed."""
     base = clean.select(
-        "row_index", "ticket_type", "severity", "department_impacted", "obj", "original_input",
-        F.length("original_input").alias("_len"), text_digest("original_input").alias("_h"))
-    base = base.select([c for c in base.columns if c != "original_input"]
-                       + [F.col("original_input").isNull().alias("_in_null")])
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ln = F.col("_len")
-        s = base.agg(
-            F.count("*").alias("total"),
-            F.avg(ln).alias("mean"), F.median(ln).alias("median"), F.min(ln).alias("min"),
-            F.max(ln).alias("max"), F.stddev_samp(ln).alias("std"),
-            F.count_if(ln < SHORT_INPUT_CHARS).alias("short"),
-            F.count_if(~F.coalesce(F.col("ticket_type").isin(STANDARD_TYPES), F.lit(False))).alias("nonstd"),
-        ).first()
-        total = s["total"]
-        dup = (base.groupBy("_h").agg(F.count("*").alias("n"))
-               .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0])
-        miss = (missing_counts(base.withColumn("original_input",
-                                               F.when(~F.col("_in_null"), F.lit(""))))
-                .where(F.col("n_missing") > 0).collect())
-        dist = raw_distributions(base, ("ticket_type", "severity", "department_impacted"))
-        w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-        dist = (dist.withColumn("ord", F.row_number().over(w))
-                .where((F.col("column") != "department_impacted") | (F.col("ord") <= TOP_DEPARTMENTS))
-                .collect())
-    finally:
-        base.unpersist()
-
-    pct = (lambda n: None if not total else round(100.0 * n / total, 6))
-    # nunique (nulls excluded) = number of value groups of the distribution
-    n_types = sum(1 for r in dist if r["column"] == "ticket_type")
-    n_sev = sum(1 for r in dist if r["column"] == "severity")
-    rows = [("overview", 1, "Total Records", total, None, None),
-            ("overview", 2, "Unique Ticket Types", n_types, None, None),
-            ("overview", 3, "Unique Severities", n_sev, None, None)]
-    for i, (k, v) in enumerate([("Mean", s["mean"]), ("Median", s["median"]), ("Min", s["min"]),
-                                ("Max", s["max"]), ("Std Dev", s["std"])], 1):
-        rows.append(("input_length", i, k, None, None, None if v is None else round(float(v), 6)))
-    for i, (k, v) in enumerate([("very_short_inputs", s["short"]), ("duplicate_inputs", dup),
-                                ("non_standard_types", s["nonstd"])], 1):
-        if v:
-            rows.append(("issues", i, k, v, None, None))
-    miss = sorted(miss, key=lambda r: r["ord"])
-    rows += [("missing", i, r["column"], r["n_missing"], pct(r["n_missing"]), None)
-             for i, r in enumerate(miss, 1)]
-    section = {"department_impacted": "department"}
-    rows += [(section.get(r["column"], r["column"]), r["ord"], r["value"], r["n"], pct(r["n"]), None)
-             for r in dist]
-    schema = "section string, ord bigint, key string, n bigint, pct double, value double"
-    return spark.createDataFrame(rows, schema)
+        "row_index", "ticket_type", "severity", "department_impacted", key_entries().alias("entries"),
+        F.length("original_input").alias("_len"), text_digest("original_input").alias("_h")).checkpoint(eager=True)
+    ln = F.col("_len")
+    s = base.agg(
+        F.count("*").alias("total"), F.countDistinct("ticket_type").alias("types"), F.countDistinct("severity").alias("severities"),
+        F.avg(ln).alias("mean"), F.median(ln).alias("median"), F.min(ln).alias("min"), F.max(ln).alias("max"),
+        F.stddev_samp(ln).alias("std"), F.count_if(ln < SHORT_INPUT_CHARS).alias("short"),
+        F.count_if(~F.coalesce(F.col("ticket_type").isin(STANDARD_TYPES), F.lit(False))).alias("nonstd"))
+    dup = (base.groupBy("_h").agg(F.count("*").alias("n"))
+           .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dup")))
+
+    def lines(row: DataFrame, pairs) -> DataFrame:
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("o"), F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for i, k, c in pairs])).alias("x")).select("x.*")
+
+    overview = lines(s, [(1, "Total Records", "total"), (2, "Unique Ticket Types", "types"), (3, "Unique Severities", "severities")])
+    lengths = lines(s, [(i, k, c) for i, (k, c) in enumerate(
+        [("Mean", "mean"), ("Median", "median"), ("Min", "min"), ("Max", "max"), ("Std Dev", "std")], 1)])
+    issues = lines(s, [(1, "very_short_inputs", "short"), (3, "non_standard_types", "nonstd")]).unionByName(
+        lines(dup, [(2, "duplicate_inputs", "dup")])).where(F.col("v") > 0)
+    missing = missing_counts(base, F.col("entries")).where(F.col("n_missing") > 0)
+    out = [_section("overview", overview, F.col("o"), F.col("k"), n=F.col("v")),
+           _section("input_length", lengths, F.col("o"), F.col("k"), value=F.round("v", 6)),
+           _section("issues", issues, F.col("o"), F.col("k"), n=F.col("v")),
+           _section("missing", missing, F.col("first_row"), F.col("column"), F.col("n_missing"),
+                    _pct(F.col("n_missing"), F.col("total")), ord2=F.col("first_pos"))]
+    canonical = {"ticket_type": len({*TICKET_TYPE_MAPPING.values(), TICKET_TYPE_DEFAULT}),
+                 "severity": len({*SEVERITY_MAPPING.values(), SEVERITY_DEFAULT}), "department_impacted": TOP_DEPARTMENTS}
+    for col, most in canonical.items():
+        top = distribution(base, col, top=most)          # at most ``most`` rows are put in order
+        top = top.withColumn("o", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("value"))))
+        out.append(_section(col.removesuffix("_impacted"), top, F.col("o"), F.col("value"), F.col("n"), F.col("pct")))
+    report = out[0]
+    for part in out[1:]:
+        report = report.unionByName(part)
+    return report

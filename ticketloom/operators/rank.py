@@ -7,8 +7,8 @@ order equals hash order.  One aggregate counts rows per (group, bucket);
 an exclusive prefix sum over those counts (at most groups x 16^digits
 rows) gives each bucket its starting position.  ``row_number`` then runs
 only inside buckets -- never over a whole group, never in one task -- and
-only where an exact position is needed.  md5 is uniform, so a hot group is
-spread over all of its buckets.  Everything is deterministic, so a lost
+only where an exact position is needed; a split needs none, only the keys
+at its cuts.  md5 is uniform, so a hot group is spread over all of its buckets.  Everything is deterministic, so a lost
 executor recomputes the same positions.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DEFAULT_DIGITS = 4
-MAX_BROADCAST_ROWS = 2_000_000
+BOUNDARY_ROWS = 10_000      # rows that are put in order to find a boundary key
 
 
 def hash_key(seed: int, *cols) -> Column:
@@ -33,14 +33,6 @@ def hash_int(seed: int, *cols) -> Column:
     return F.conv(F.substring(hash_key(seed, *cols), 1, 15), 16, 10).cast("bigint")
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Checkpoint a small derived table (cuts lineage, survives executor
-    loss) and broadcast it only when its counted size is under the bound;
-    beyond it the join stays a shuffle join."""
-    small = small.checkpoint(eager=True)
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 def bucket_offsets(df: DataFrame, key: Column, by: list[str], digits: int = DEFAULT_DIGITS):
     """Returns (rows with _h/_b, offsets with by.., _b, _cnt, _off, _n)."""
     d = df.withColumn("_h", key).withColumn("_b", F.substring("_h", 1, digits))
@@ -49,13 +41,13 @@ def bucket_offsets(df: DataFrame, key: Column, by: list[str], digits: int = DEFA
     before = grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("bigint"))
                .withColumn("_n", F.sum("_cnt").over(grp).cast("bigint")))
-    return d, bounded_broadcast(offsets)
+    return d, offsets.checkpoint(eager=True)     # cuts lineage, survives executor loss
 
 
 def join_offsets(d: DataFrame, offsets: DataFrame, by: list[str]) -> DataFrame:
     """Rows joined to their bucket's offsets.  Group keys compare null-safe
     (a null group is a group, as in GROUP BY); ``<=>`` stays an equi-join
-    key, so the bounded offsets table is still a broadcast hash join."""
+    key, and Spark picks the join by the offsets' size in bytes."""
     o = offsets
     for c in by:
         o = o.withColumnRenamed(c, f"_o_{c}")
@@ -66,14 +58,6 @@ def join_offsets(d: DataFrame, offsets: DataFrame, by: list[str]) -> DataFrame:
     return j.drop(o["_b"]).drop(*[f"_o_{c}" for c in by])
 
 
-def _positions(j: DataFrame, need: Column, by: list[str], tie: list[str], name: str) -> DataFrame:
-    """``name`` = exact 0-based position for rows where ``need``; null elsewhere."""
-    clear = j.where(~need).withColumn(name, F.lit(None).cast("bigint"))
-    w = Window.partitionBy(*by, "_b").orderBy("_h", *tie)
-    amb = j.where(need).withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
-    return clear.unionByName(amb)
-
-
 def positions(df: DataFrame, key: Column, tie: list[str], by: list[str] | None = None,
               name: str = "pos", digits: int = DEFAULT_DIGITS) -> DataFrame:
     """Full 0-based rank of every row within ``by`` ordered by (key, tie)."""
@@ -84,28 +68,47 @@ def positions(df: DataFrame, key: Column, tie: list[str], by: list[str] | None =
     return out.drop("_h", "_b", "_cnt", "_off", "_n")
 
 
+def boundary(ids: DataFrame, tie: list[str], position: int, digits: int = DEFAULT_DIGITS):
+    """The row ``(_h, *tie)`` at ``position`` in hash order; null if there are
+    fewer rows.  Rows are counted by ever longer hash prefixes, each time
+    only inside the prefix that holds the position, until few enough are
+    left to be put in order (ids and hashes only)."""
+    prefix, size = "", None
+    while size is None or (size > BOUNDARY_ROWS and len(prefix) < 32):
+        mine = ids.where(F.col("_h").startswith(prefix)) if prefix else ids
+        counts = mine.groupBy(F.substring("_h", 1, len(prefix) + digits).alias("_b")).agg(F.count("*").alias("_cnt"))
+        # at most 16**digits rows, whatever the table's size
+        before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hit = (counts.withColumn("_end", F.sum("_cnt").over(before)).where(F.col("_end") > position)
+               .orderBy("_b").limit(1).collect())
+        if not hit:
+            return None
+        prefix, size = hit[0]["_b"], hit[0]["_cnt"]
+        position -= hit[0]["_end"] - size
+    inside = ids.where(F.col("_h").startswith(prefix)).orderBy("_h", *tie).limit(position + 1).collect()
+    return inside[position]
+
+
 def segments(df: DataFrame, key: Column, tie: list[str], cut_fn, labels: list[str],
              name: str = "segment", digits: int = DEFAULT_DIGITS) -> DataFrame:
-    """Label rows by rank segment without ranking every row.
+    """Label rows by rank segment without ranking them.
 
     ``cut_fn(n) -> [c1, c2, ...]`` gives increasing cut positions from the
     total row count; rows with position < c1 get labels[0], c1 <= pos < c2
-    labels[1], ..., the rest labels[-1].  Buckets that lie inside one
-    segment are labelled from their offsets alone; only rows of buckets that
-    straddle a cut (at most one bucket per cut) are ranked."""
-    d, offsets = bucket_offsets(df, key, [], digits)
-    total = offsets.agg(F.coalesce(F.sum("_cnt"), F.lit(0))).first()[0]
+    labels[1], ..., the rest labels[-1].  Per cut, the key of the row at that
+    position is found from ids alone; all rows are then labelled in one
+    projection by comparing their ``(hash, ids)`` with the boundary keys, so
+    the table is read once for it, with no join, window or shuffle.  The id
+    columns must tell the rows apart."""
+    ids = df.select(key.alias("_h"), *tie)
+    total = ids.count()
     cuts = [int(c) for c in cut_fn(int(total))]
-
-    def seg(pos: Column) -> Column:
-        e = F.lit(labels[-1])
-        for c, lab in reversed(list(zip(cuts, labels))):
-            e = F.when(pos < F.lit(c), F.lit(lab)).otherwise(e)
-        return e
-
-    j = join_offsets(d, offsets, [])
-    first, last = F.col("_off"), F.col("_off") + F.col("_cnt") - 1
-    need = seg(first) != seg(last)
-    p = _positions(j, need, [], tie, "_pos")
-    out = p.withColumn(name, F.when(F.col("_pos").isNull(), seg(first)).otherwise(seg(F.col("_pos"))))
-    return out.drop("_h", "_b", "_cnt", "_off", "_n", "_pos"), total, cuts
+    kind = dict(df.dtypes)
+    mine = F.struct(key.alias("_h"), *tie)
+    label = F.lit(labels[-1])
+    for cut, lab in reversed(list(zip(cuts, labels))):
+        row = boundary(ids, tie, cut, digits) if cut < total else None
+        below = F.lit(cut >= total) if row is None else mine < F.struct(
+            F.lit(row["_h"]).alias("_h"), *(F.lit(row[c]).cast(kind[c]).alias(c) for c in tie))
+        label = F.when(below, F.lit(lab)).otherwise(label)
+    return df.withColumn(name, label), total, cuts

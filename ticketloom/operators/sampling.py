@@ -19,6 +19,9 @@ from ticketloom.operators import rank as R
 from ticketloom.operators.profile import text_digest
 
 
+DRAW_BLOCK = 10_000
+
+
 def balance_classes(df: DataFrame, class_col: str, id_col: str, target: int = BALANCE_TARGET,
                     seed: int = SEED, digits: int = R.DEFAULT_DIGITS) -> DataFrame:
     """B1: exactly ``target`` rows per class, then shuffled (B2).
@@ -44,8 +47,12 @@ def balance_classes(df: DataFrame, class_col: str, id_col: str, target: int = BA
     kept = whole.unionByName(ranked.where(F.col("_pos") < target).select(*cols))
     kept = kept.withColumn("draw", F.lit(0))
     classes = offsets.where(F.col("_n") < target).select(class_col, "_n").distinct()
-    draws = classes.select(class_col, "_n", F.explode(F.sequence(F.lit(1), F.lit(target) - F.col("_n"))
-                                                      .cast("array<int>")).alias("draw"))
+    # draws in blocks, dealt out before they are listed: no task or array holds all of a class
+    last = F.lit(target) - F.col("_n")
+    blocks = classes.select(class_col, "_n", F.explode(F.sequence(F.lit(0), F.floor((last - 1) / DRAW_BLOCK))).alias("_block"))
+    first = F.col("_block") * DRAW_BLOCK
+    draws = blocks.repartition(class_col, "_block").select(class_col, "_n", F.explode(
+        F.sequence(first + 1, F.least(first + DRAW_BLOCK, last)).cast("array<int>")).alias("draw"))
     draws = draws.withColumn("_idx", F.pmod(R.hash_int(seed, class_col, "draw"), F.col("_n")))
     picked = ranked.select(*[F.col(c).alias(f"_r_{c}") for c in cols], F.col("_pos").alias("_r_pos"))
     drawn = (draws.join(picked, F.col(class_col).eqNullSafe(F.col(f"_r_{class_col}"))
@@ -114,19 +121,21 @@ LEAKAGE_SALTS = 64
 
 def split_leakage(splits: DataFrame, text_col: str = "user_input", id_col: str = "sample_id",
                   salts: int = LEAKAGE_SALTS) -> DataFrame:
-    """Test rows whose input text also occurs in train, salted against hot
-    texts: the distinct (digest, salt) pairs of the test rows meet the
-    distinct train digests on the digest (at most ``salts`` rows per key on
-    one side, one on the other); test rows then semi-join the leaked pairs
-    on (digest, salt), so a text held by a third of the rows is spread over
-    ``salts`` keys.  A null text never leaks (as with SQL ``IN``)."""
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).alias("_s")
-    test = splits.where(F.col("split") == "test").withColumn("_h", text_digest(text_col)).withColumn("_s", salt)
-    train = (splits.where(F.col("split") == "train").select(text_digest(text_col).alias("_h"))
-             .where(F.col("_h").isNotNull()).distinct())
-    pairs = test.select("_h", "_s").where(F.col("_h").isNotNull()).distinct()
-    leaked = pairs.join(train, "_h", "left_semi")
-    return test.join(leaked, ["_h", "_s"], "left_semi").drop("_h", "_s")
+    """Ids of the test rows whose input text also occurs in train, salted
+    against hot texts.  The rows are reduced once to (id, split, digest,
+    salt) in the shared checkpoint folder; the distinct (digest, salt) pairs
+    of the test rows meet the distinct train digests on the digest (at most
+    ``salts`` rows per key on one side, one on the other); test rows then
+    semi-join the leaked pairs on (digest, salt), so a text held by a third
+    of the rows is spread over ``salts`` keys.  A null text never leaks (as
+    with SQL ``IN``)."""
+    rows = splits.select(F.col(id_col), "split", text_digest(text_col).alias("_h"),
+                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).alias("_s"))
+    rows = rows.where(F.col("_h").isNotNull() & F.col("split").isin("train", "test")).checkpoint(eager=True)
+    test = rows.where(F.col("split") == "test")
+    train = rows.where(F.col("split") == "train").select("_h").distinct()
+    leaked = test.select("_h", "_s").distinct().join(train, "_h", "left_semi")
+    return test.join(leaked, ["_h", "_s"], "left_semi").select(id_col)
 
 
 def split_distribution(splits: DataFrame) -> DataFrame:

@@ -449,7 +449,7 @@ def q_avg_metrics(spark, sf):
 
 @query("confusion_matrix")
 def q_confusion_matrix(spark, sf):
-    return MT.confusion_matrix(spark, evaluated(spark, sf))
+    return MT.confusion_matrix(evaluated(spark, sf))
 
 
 @query("label_set")
@@ -493,7 +493,7 @@ def evaluated_labels(spark, sf) -> DataFrame:
     """The narrow per-row result every metric reads (labels and match
     flags), checkpointed once so the five report branches do not re-parse
     replies; texts and parsed maps are left behind."""
-    e = evaluated(spark, sf).select("sample_id", "true_label", "pred_label", "type_correct",
+    e = evaluated(spark, sf).select("sample_id", "outcome", "true_label", "pred_label", "type_correct",
                                     *RS.MATCH_COLUMNS)
     return e.checkpoint(eager=True)
 

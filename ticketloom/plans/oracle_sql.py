@@ -199,10 +199,10 @@ missing_all AS (
   UNION ALL
   SELECT 'original_input', count(*) FILTER (WHERE original_input IS NULL), min(row_index),
          arg_min(len(json_keys(j)), row_index) FROM clean),
-missing AS (SELECT "column", n_missing, row_number() OVER (ORDER BY fr, fp) AS ord FROM missing_all)"""
+missing AS (SELECT "column", n_missing, fr AS first_row, CAST(fp AS BIGINT) AS first_pos FROM missing_all)"""
 
 ORACLE["missing_values"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING) + f"""
-SELECT "column", ord, n_missing, {pct('n_missing', _TOTAL)} AS pct FROM missing WHERE n_missing > 0"""
+SELECT "column", first_row, first_pos, n_missing, {pct('n_missing', _TOTAL)} AS pct FROM missing WHERE n_missing > 0"""
 
 
 def _length_stats(src: str, col: str) -> str:
@@ -255,12 +255,12 @@ ORACLE["quality_report"] = with_(RAW_TICKETS, PARSED, CLEAN, _MISSING, f"""sc AS
   FROM (SELECT *, length(original_input) AS len FROM clean))""",
   """dup AS (SELECT COALESCE(sum(n - 1), 0) AS d FROM (SELECT count(*) AS n FROM clean GROUP BY original_input))""",
   f"""dist AS (
-  SELECT 'missing' AS section, "column" AS key, n_missing AS n, ord AS o FROM missing WHERE n_missing > 0
-  UNION ALL SELECT 'ticket_type', ticket_type, count(*), NULL FROM clean GROUP BY ticket_type
-  UNION ALL SELECT 'severity', severity, count(*), NULL FROM clean GROUP BY severity
-  UNION ALL SELECT 'department', department_impacted, count(*), NULL FROM clean
+  SELECT 'ticket_type' AS section, ticket_type AS key, count(*) AS n FROM clean GROUP BY ticket_type
+  UNION ALL SELECT 'severity', severity, count(*) FROM clean GROUP BY severity
+  UNION ALL SELECT 'department', department_impacted, count(*) FROM clean
             WHERE department_impacted IS NOT NULL GROUP BY department_impacted)""",
-  """ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY o, n DESC, key) AS ord FROM dist)""") + f"""
+  """ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY n DESC, key) AS ord FROM dist)""",
+  f"""lines AS (
 SELECT 'overview' AS section, CAST(1 AS BIGINT) AS ord, 'Total Records' AS key, CAST(total AS BIGINT) AS n,
        CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS value FROM sc
 UNION ALL SELECT 'overview', 2, 'Unique Ticket Types', ut, NULL, NULL FROM sc
@@ -273,8 +273,10 @@ UNION ALL SELECT 'input_length', 5, 'Std Dev', NULL, NULL, round(sd, 6) FROM sc
 UNION ALL SELECT 'issues', 1, 'very_short_inputs', short, NULL, NULL FROM sc WHERE short > 0
 UNION ALL SELECT 'issues', 2, 'duplicate_inputs', d, NULL, NULL FROM dup WHERE d > 0
 UNION ALL SELECT 'issues', 3, 'non_standard_types', nonstd, NULL, NULL FROM sc WHERE nonstd > 0
-UNION ALL SELECT section, ord, key, n, {pct('n', _TOTAL)}, NULL FROM ranked
-          WHERE section <> 'department' OR ord <= 10"""
+UNION ALL SELECT section, ord, key, n, {pct('n', _TOTAL)}, NULL FROM ranked WHERE section <> 'department' OR ord <= 10)""") + f"""
+SELECT section, ord, CAST(0 AS BIGINT) AS ord2, key, n, pct, value FROM lines
+UNION ALL SELECT 'missing', first_row, first_pos, "column", n_missing, {pct('n_missing', _TOTAL)}, NULL
+FROM missing WHERE n_missing > 0"""
 
 # -- text mining ----------------------------------------------------------------
 
@@ -702,15 +704,11 @@ UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
        round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM class_metrics"""
 
-ORACLE["confusion_matrix"] = E_ + """,
-pc AS (SELECT true_label AS t, pred_label AS p, count(*) AS n FROM labels_ GROUP BY ALL),
-lab AS (SELECT t AS label FROM pc UNION SELECT p FROM pc)
-SELECT a.label AS true_label, b.label AS pred_label, CAST(COALESCE(pc.n, 0) AS BIGINT) AS n
-FROM lab a CROSS JOIN lab b LEFT JOIN pc ON pc.t = a.label AND pc.p = b.label"""
+ORACLE["confusion_matrix"] = E_ + """
+SELECT true_label, pred_label, count(*) AS n FROM labels_ GROUP BY true_label, pred_label"""
 
 ORACLE["label_set"] = E_ + """
-SELECT label, row_number() OVER (ORDER BY label) AS ord
-FROM (SELECT true_label AS label FROM labels_ UNION SELECT pred_label FROM labels_)"""
+SELECT true_label AS label FROM labels_ UNION SELECT pred_label FROM labels_"""
 
 ORACLE["field_accuracy"] = ED_ + " UNION ALL ".join(
     f"""SELECT '{f}' AS field, round(avg(CAST({f}_match AS INTEGER)), 6) AS accuracy
@@ -718,8 +716,8 @@ FROM detailed WHERE type_correct AND {f}_match IS NOT NULL HAVING count(*) > 0 "
     for f in FV.FIELD_ACCURACY_ORDER)
 
 _RATES = """rates AS (
-  SELECT count(*) AS n_samples, count(*) FILTER (WHERE pred_label = 'error') AS parse_errors,
-         count(*) FILTER (WHERE pred_label = 'domain_error') AS domain_errors FROM labels_),
+  SELECT count(*) AS n_samples, count(*) FILTER (WHERE outcome = 'pred_error') AS parse_errors,
+         count(*) FILTER (WHERE outcome = 'domain_error') AS domain_errors FROM labels_),
 rates2 AS (SELECT *, round(CASE WHEN n_samples > 0 THEN parse_errors / n_samples END, 6) AS parse_error_rate,
                   round(CASE WHEN n_samples > 0 THEN domain_errors / n_samples END, 6) AS domain_error_rate FROM rates)"""
 

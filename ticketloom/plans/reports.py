@@ -18,13 +18,21 @@ def _rows(table: DataFrame) -> list[dict]:
     return [r.asDict() for r in table.collect()]
 
 
+def dense_matrix(cells: list[dict], labels: list) -> tuple[list, list[list[int]]]:
+    """The sorted axis and the full matrix of confusion cells, zeros filled in
+    (for printing; null sorts last)."""
+    axis = sorted(labels, key=lambda x: (x is None, x or ""))
+    n = {(c["true_label"], c["pred_label"]): c["n"] for c in cells}
+    return axis, [[n.get((t, p), 0) for p in axis] for t in axis]
+
+
 def render_quality_report(table: DataFrame | list[dict]) -> str:
     rows = table if isinstance(table, list) else _rows(table)
     by = {}
     for r in rows:
         by.setdefault(r["section"], []).append(r)
     for v in by.values():
-        v.sort(key=lambda r: r["ord"])
+        v.sort(key=lambda r: (r["ord"], r.get("ord2") or 0))
     ov = {r["key"]: r["n"] for r in by.get("overview", [])}
     out = [QUALITY_REPORT_TITLE, "",
            f"Total Records: {ov.get('Total Records')}",

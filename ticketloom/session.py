@@ -4,6 +4,7 @@ folder used to cut lineage (``spark.checkpoint.dir``)."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when nothing is configured -- local tests -- a
-    folder under the system temp directory is set.
+    This is whatever ``spark.checkpoint.dir`` names (on a cluster: a shared
+    file system).  When nothing is configured, a session with a ``local``
+    master gets a folder under the system temp directory; any other session
+    gets an error, as its executors would not share one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ticketloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -9,27 +9,6 @@ from ticketloom.session import table_path
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """``spark.read.parquet`` of one table; only ``columns`` reach the scan's
-    ReadSchema when given."""
+    ReadSchema when given.  Partitioning is the scan's own at every size."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread(df)
-
-
-# A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by
-# default), so fewer splits than this bounds the input at about 8 GB.
-SMALL_INPUT_SPLITS = 64
-
-
-def spread(df: DataFrame, small_splits: int = SMALL_INPUT_SPLITS) -> DataFrame:
-    """Give a small input at least one partition per core.
-
-    A scan has one task per file split.  Only an input with fewer splits
-    than both the default parallelism and ``small_splits`` -- at most a few
-    GB, e.g. one file holding a single row group -- is redistributed, so
-    per-row work (JSON, regex) does not run on one core.  Large tables on a
-    cluster keep their scan partitioning untouched (no shuffle)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n < min(par, small_splits):
-        return df.repartition(par)
-    return df
+    return df.select(*columns) if columns else df
