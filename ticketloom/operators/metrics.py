@@ -115,7 +115,7 @@ def sample_predictions(detailed: DataFrame, k: int = 3) -> DataFrame:
     w = Window.partitionBy("type_correct").orderBy("sample_id")
     return (detailed.where(F.col("type_correct").isNotNull())
             .withColumn("ord", F.row_number().over(w)).where(F.col("ord") <= k)
-            .select("type_correct", F.col("ord").cast("bigint").alias("ord"), "sample_id",
+            .select("type_correct", F.col("ord").cast("bigint").alias("ord"), "sample_id", "user_input",
                     "true_label", "pred_label"))
 
 

@@ -21,6 +21,21 @@ from ticketloom.functions import jsonx
 from ticketloom.functions.text import tokens
 
 SAMPLE_COLUMNS = ["source", "sample_id", "user_input", *TICKET_FIELDS, OPTIONAL_FIELD, "error"]
+# Free fields may hold any JSON value: their columns have its text, and
+# ``typed_values`` (field -> JSON text) has those that are no strings.
+FREE_FIELDS = {"title": "Title", "description": "Description", "department_impacted": "Department Impacted",
+               "service_impacted": "Service Impacted"}
+TYPED = "typed_values"
+
+
+def typed_values(m, keys: dict[str, str]) -> Column:
+    """map<field, JSON text> of the free fields whose value is neither a
+    string nor null."""
+    def entry(field, key):
+        v = jsonx.value(m, key)
+        return F.struct(F.lit(field).alias("key"), F.when(jsonx.json_type(v) != "STRING", jsonx.json_text(v)).alias("value"))
+    entries = F.filter(F.array(*[entry(f, k) for f, k in keys.items()]), lambda e: e["value"].isNotNull())
+    return F.map_from_entries(entries)
 
 # Chat layouts used to render messages (the reference's own layout lives in
 # an external tokenizer; these are named, fixed stand-ins).
@@ -35,13 +50,14 @@ TEMPLATES = {
 # -- builders -----------------------------------------------------------------
 
 def training_records(clean: DataFrame) -> DataFrame:
-    """P9 + P10: cleaned tickets -> samples.  Column defaults apply only when
-    the column is missing from the frame (a schema-time decision), never
-    for a null value."""
+    """P9 + P10: cleaned tickets -> samples.  A column's default applies when
+    no row has its key (pandas then has no such column), never for a null
+    value; which keys occur is one row of flags over the table."""
+    seen = clean.agg(F.struct(*[F.coalesce(F.bool_or(F.map_contains_key("obj", F.lit(k))), F.lit(False)).alias(k.replace(" ", "_"))
+                                for k in RECORD_COLUMN_DEFAULTS])).scalar()
+
     def col_or_default(name: str, raw_key: str) -> Column:
-        if name in clean.columns:
-            return F.col(name)
-        return F.lit(RECORD_COLUMN_DEFAULTS.get(raw_key))
+        return F.when(seen[raw_key.replace(" ", "_")], F.col(name)).otherwise(F.lit(RECORD_COLUMN_DEFAULTS[raw_key])).alias(name)
 
     desc = F.lower(jsonx.as_string(jsonx.value("obj", "Description")))
     assist = F.lit(ASSISTANCE_FALLBACK)
@@ -56,7 +72,7 @@ def training_records(clean: DataFrame) -> DataFrame:
         col_or_default("service_impacted", "Service Impacted"),
         col_or_default("preferred_communication", "Preferred Communication"),
         F.when(F.col("ticket_type") == "assistance", assist).alias(OPTIONAL_FIELD),
-        F.lit(None).cast("string").alias("error"))
+        F.lit(None).cast("string").alias("error"), typed_values("obj", FREE_FIELDS).alias(TYPED))
 
 
 def load_with_defaults(raw: DataFrame) -> DataFrame:
@@ -86,7 +102,7 @@ def load_with_defaults(raw: DataFrame) -> DataFrame:
         F.lower(jsonx.get_or(m, "Preferred Communication", d["Preferred Communication"]))
         .alias("preferred_communication"),
         F.when(ttype == "assistance", F.lit(LOADER_ASSISTANCE_REQUEST)).alias(OPTIONAL_FIELD),
-        F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("string").alias("error"), typed_values(m, FREE_FIELDS).alias(TYPED),
         ok.alias("_ok"))
 
 
@@ -106,6 +122,7 @@ def validate_samples(raw_samples: DataFrame, keep: tuple[str, ...] = ()) -> Data
     return d.select(
         F.lit("json").alias("source"), F.col("sample_id"),
         jsonx.as_text(jsonx.value(m, "user_input")).alias("user_input"), *cols,
+        typed_values(t, {f: f for f in FREE_FIELDS}).alias(TYPED),
         F.coalesce(ok, F.lit(False)).alias("_ok"), *keep)
 
 
@@ -126,20 +143,22 @@ def combine_samples(*parts: DataFrame) -> DataFrame:
     """UNION ALL by name of sample frames (missing columns -> null)."""
     out = None
     for p in parts:
-        p = p.select(*[c for c in SAMPLE_COLUMNS if c in p.columns])
+        p = p.select(*[c for c in [*SAMPLE_COLUMNS, TYPED] if c in p.columns])
         out = p if out is None else out.unionByName(p, allowMissingColumns=True)
-    return out.select(*SAMPLE_COLUMNS)
+    return out.select(*SAMPLE_COLUMNS, *([TYPED] if TYPED in out.columns else []))
 
 
 # -- JSON text and messages ---------------------------------------------------
 
 def ticket_json(indent: bool = True) -> Column:
     """``json.dumps(ticket_data, indent=2)`` layout: canonical field order,
-    nulls kept as null, ``assistance_request`` only when present, error
-    tickets as {"error": ...}.  Non-ASCII stays unescaped (same JSON value)."""
+    nulls kept as null, values of free fields with their JSON type,
+    ``assistance_request`` only when present, error tickets as
+    {"error": ...}.  Non-ASCII stays unescaped (same JSON value)."""
     nl, sep = ("\n  ", ",\n  ") if indent else ("", ", ")
     close = "\n}" if indent else "}"
-    members = [F.concat(F.lit(f'"{f}": '), jsonx.quote(F.col(f))) for f in TICKET_FIELDS]
+    typed = lambda f: [F.try_element_at(TYPED, F.lit(f))] if f in FREE_FIELDS else []
+    members = [F.concat(F.lit(f'"{f}": '), F.coalesce(*typed(f), jsonx.quote(F.col(f)))) for f in TICKET_FIELDS]
     members.append(F.when(F.col(OPTIONAL_FIELD).isNotNull(),
                           F.concat(F.lit(f'"{OPTIONAL_FIELD}": '), jsonx.quote(F.col(OPTIONAL_FIELD)))))
     normal = F.concat(F.lit("{" + nl), F.concat_ws(sep, *members), F.lit(close))

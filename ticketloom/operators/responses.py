@@ -50,6 +50,14 @@ def quick_labels(df: DataFrame, response: str = "response", truth: str = "true_j
                     pred.alias("pred_label")))
 
 
+def join_predictions(truth: DataFrame, predictions: DataFrame, on: str = "sample_id") -> DataFrame:
+    """JN2: truth rows with their replies.  Every truth row is evaluated: one
+    without a prediction has a null reply (counted as unparsable); a
+    prediction without a truth row has nothing to compare with and is left
+    out."""
+    return truth.join(predictions, on, "left")
+
+
 def outcomes(df: DataFrame, response: str = "response", truth: str = "true_json") -> DataFrame:
     """E3 (+E1): adds ``truth`` map, ``true_label``, ``pred_label``,
     ``outcome`` and the E4 comparison columns.
@@ -87,12 +95,19 @@ def _field_equal(f: str) -> Column:
     return a.eqNullSafe(b)
 
 
+def _type_equal() -> Column:
+    """J6 on the ticket types, the default standing for an absent key."""
+    unknown = F.lit(f'"{LABEL_UNKNOWN}"')
+    of = lambda m: F.when(jsonx.has_key(m, "ticket_type"), jsonx.json_text(jsonx.value(m, "ticket_type"))).otherwise(unknown)
+    return of("truth").eqNullSafe(of("pred"))
+
+
 def add_field_matches(p: DataFrame) -> DataFrame:
     """For compared rows: type_correct, one match column per field,
     ``assistance_request_match`` only when the true type is 'assistance'
     (present and non-null in the reply)."""
     cmp_ = F.col("outcome") == "compared"
-    p = p.withColumn("type_correct", F.when(cmp_, F.col("true_label").eqNullSafe(F.col("pred_label"))))
+    p = p.withColumn("type_correct", F.when(cmp_, _type_equal()))
     for f in COMPARED_FIELDS:
         p = p.withColumn(f"{f}_match", F.when(cmp_, _field_equal(f)))
     ar = jsonx.present_non_null("pred", "assistance_request")

@@ -59,37 +59,54 @@ def rule_model() -> Callable[[pd.Series], pd.Series]:
     return lambda s: s.map(reply)
 
 
-def domain_scores(df: DataFrame, keywords: list[str], text_col: str = "user_input",
-                  threshold: int = 1) -> DataFrame:
-    """V4: number of the row's words found in the keyword list (a bounded,
-    literal list: the keyword tables hold at most 10 words per class), and
-    in_domain = score >= threshold."""
-    kw = F.array(*[F.lit(w) for w in sorted(set(keywords))]) if keywords else F.array().cast("array<string>")
-    s = F.size(F.filter(ascii_words(text_col), lambda w: F.array_contains(kw, w)))
-    return df.select("*", s.cast("bigint").alias("domain_score"), (s >= threshold).alias("in_domain"))
-
-
-def fit_classifier(train: DataFrame, test: DataFrame, text_col: str, label_col: str):
-    """V2: RegexTokenizer -> HashingTF -> IDF -> LogisticRegression fitted
-    on ``train``; returns (model, test predictions with true_label and
-    pred_label)."""
-    from pyspark.ml import Pipeline, PipelineModel
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
-
-    # the label vocabulary of both sides (a distinct over one column), so
-    # every index the model can predict maps back to a label
-    vocab = train.select(label_col).unionByName(test.select(label_col)).where(F.col(label_col).isNotNull())
-    indexer = StringIndexer(inputCol=label_col, outputCol="_label").fit(vocab)
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+")
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=1 << 14)
-    idf = IDF(inputCol="_tf", outputCol="_features")
-    lr = LogisticRegression(featuresCol="_features", labelCol="_label", predictionCol="_pred",
-                            maxIter=15, regParam=0.01)
-    model = Pipeline(stages=[indexer, tok, tf, idf, lr]).fit(train.where(F.col(label_col).isNotNull()))
-    labels = indexer.labels
-    back = IndexToString(inputCol="_pred", outputCol="pred_label", labels=labels)
-    # score with the fitted stages after the label indexer (test labels are
-    # only carried along, never indexed)
-    pred = back.transform(PipelineModel(stages=model.stages[1:]).transform(test))
-    return model, pred.withColumn("true_label", F.col(label_col))
+def domain_scores(df: DataFrame, keywords, text_col: str = "user_input", threshold: int = 1) -> DataFrame:
+    """V4: number of the row's words found in ``keywords`` (an array column or
+    scalar subquery; the keyword tables hold at most 10 words per class),
+    in_domain = score >= threshold, and the ``error`` ticket of a rejected
+    row (null for others)."""
+    out = df.withColumn("_keywords", keywords)
+    s = F.size(F.filter(ascii_words(text_col), lambda w: F.array_contains("_keywords", w)))
+    out = out.withColumn("domain_score", s.cast("bigint")).drop("_keywords")
+    return out.withColumn("in_domain", F.col("domain_score") >= threshold).withColumn(
+        "error", F.when(F.col("domain_score") < threshold, F.lit(OUT_OF_DOMAIN_ERROR)))
+
+
+def fit_classifier(train: DataFrame, text_col: str, label_col: str, max_fit_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """V2: multinomial naive Bayes over words, add-one smoothing, as two
+    tables: ``(word, label, weight)`` = ln(count + 1), and per label its
+    ``prior`` = ln(share of rows) and ``base`` = ln(words of the label +
+    vocabulary size).  Vocabulary and labels come from ``train`` alone;
+    ``max_fit_rows`` bounds the labelled rows that are counted (the first in
+    the order of the input)."""
+    rows = train.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"))
+    if max_fit_rows is not None:
+        rows = rows.limit(max_fit_rows)
+    words = (rows.select("label", F.explode(ascii_words("text")).alias("word"))
+             .groupBy("word", "label").agg(F.count("*").alias("n")).checkpoint(eager=True))
+    size = words.agg(F.countDistinct("word")).scalar()
+    per = rows.groupBy("label").agg(F.count("*").alias("n_rows"))
+    labels = (per.join(words.groupBy("label").agg(F.sum("n").alias("n_words")), "label", "left")
+              .select("label", F.log(F.col("n_rows") / per.agg(F.sum("n_rows")).scalar()).alias("prior"),
+                      F.log(F.coalesce(F.col("n_words"), F.lit(0)) + size).alias("base")))
+    return words.select("word", "label", F.log(F.col("n") + 1).alias("weight")), labels
+
+
+def classify(model: tuple[DataFrame, DataFrame], rows: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id, pred_label``: the label with the largest log score (rounded to 9
+    decimals, then the smallest label); words outside the vocabulary say
+    nothing.  Words join the word table; no vocabulary is broadcast or
+    collected."""
+    words, labels = model
+    bag = (rows.select(id_col, F.explode(ascii_words(text_col)).alias("word")).groupBy(id_col, "word").agg(F.count("*").alias("c")))
+    known = words.groupBy("word").agg(F.collect_list(F.struct("label", "weight")).alias("by_label"))   # as many as labels
+    bag = bag.join(known, "word")
+    total = bag.groupBy(id_col).agg(F.sum("c").alias("k"))
+    score = (bag.select(id_col, "c", F.explode("by_label").alias("x"))
+             .groupBy(id_col, F.col("x.label").alias("label")).agg(F.sum(F.col("c") * F.col("x.weight")).alias("s"))
+             .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("s")))
+    every = labels.agg(F.collect_list(F.struct("label", "prior", "base"))).scalar()
+    out = rows.select(id_col).join(total, id_col, "left").join(score, id_col, "left").withColumn("labels", every)
+    scored = F.transform("labels", lambda x: F.struct(
+        (-F.round(x["prior"] + F.coalesce(F.try_element_at("s", x["label"]), F.lit(0.0))
+                  - F.coalesce(F.col("k"), F.lit(0)) * x["base"], 9)).alias("score"), x["label"].alias("label")))
+    return out.select(id_col, F.array_min(scored)["label"].alias("pred_label"))

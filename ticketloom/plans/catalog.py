@@ -257,6 +257,13 @@ def q_training_records(spark, sf):
     return records(spark, sf).select(*_SAMPLE_OUT)
 
 
+@query("records_without_department")
+def q_records_without_department(spark, sf):
+    """P9's column default: no ticket has a department."""
+    r = raw(spark, sf).withColumn("output", F.regexp_replace("output", r'"Department Impacted": "Dept \d+", ', ""))
+    return RC.training_records(CL.clean_tickets(CL.parse_tickets(r))).select(*_SAMPLE_OUT)
+
+
 @query("assistance_request")
 def q_assistance_request(spark, sf):
     r = records(spark, sf)
@@ -268,6 +275,15 @@ def q_load_defaults(spark, sf):
     return loaded(spark, sf).where("_ok").select(*_SAMPLE_OUT)
 
 
+@query("load_defaults_events")
+def q_load_defaults_events(spark, sf):
+    """P7 at volume: every events.props object, whose keys are others, so
+    that each default is filled in."""
+    e = read_table(spark, sf, "events", "event_id", "props")
+    rows = e.select(F.col("event_id").alias("row_index"), F.col("props").alias("input"), F.col("props").alias("output"))
+    return RC.load_with_defaults(rows).where("_ok").select(*_SAMPLE_OUT)
+
+
 @query("load_defaults_counts")
 def q_load_defaults_counts(spark, sf):
     return RC.counts_of(loaded(spark, sf), "rows", "loaded", "skipped")
@@ -291,7 +307,7 @@ def combined(spark, sf) -> DataFrame:
 
 @query("combined_samples")
 def q_combined_samples(spark, sf):
-    return combined(spark, sf)
+    return combined(spark, sf).drop(RC.TYPED)
 
 
 @query("chat_messages")
@@ -518,6 +534,26 @@ def q_scan_raw_tickets(spark, sf):
     return FI.read_tickets_csv(spark, path)
 
 
+@query("scan_keyless_tickets")
+def q_scan_keyless_tickets(spark, sf):
+    """A CSV of only ``input, output``; rows are numbered in file order."""
+    rows = raw(spark, sf).orderBy("row_index").select("input", "output")
+    return FI.read_tickets_csv(spark, FI.write_tickets_csv(rows, scratch_path(spark, "keyless_tickets_csv")))
+
+
+@query("scan_sample_array")
+def q_scan_sample_array(spark, sf):
+    """JSON arrays in several files, with null inputs and tickets that are
+    no objects among them."""
+    r = FX.raw_samples(spark, sf)
+    odd = (F.when(F.col("sample_id") % 37 == 5, F.regexp_replace("sample_json", r'(?s)^\{"user_input": ".*?", "ticket_data"',
+                                                                 '{"user_input": null, "ticket_data"'))
+           .when(F.col("sample_id") % 41 == 7, F.lit('{"user_input": "x", "ticket_data": "plain text"}'))
+           .otherwise(F.col("sample_json")))
+    path = FI.write_sample_arrays(r.select("sample_id", odd.alias("sample_json")), scratch_path(spark, "sample_arrays"))
+    return FI.read_sample_array(spark, path).where("_ok").drop("_ok", "source", "sample_id", RC.TYPED)
+
+
 @query("write_samples")
 def q_write_samples(spark, sf):
     """K1 + S2: training records written as JSON lines, read back and
@@ -525,7 +561,7 @@ def q_write_samples(spark, sf):
     recs = RC.require_rows(records(spark, sf), "No data loaded. Please provide a data source.")
     path = FI.write_samples_jsonl(recs, scratch_path(spark, "training_data"))
     # JSON lines carry no key: the read-local row label is dropped
-    return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source", "sample_id")
+    return FI.read_samples_jsonl(spark, path).where("_ok").drop("_ok", "source", "sample_id", RC.TYPED)
 
 
 @query("write_splits")
@@ -543,12 +579,19 @@ def q_write_splits(spark, sf):
 def q_write_eval_results(spark, sf):
     """K5: detailed evaluation results written as JSON lines, read back."""
     path = FI.write_eval_results(evaluated(spark, sf), scratch_path(spark, "evaluation_results"))
-    back = spark.read.text(path)
+    back = spark.read.text(f"{path}/detailed_results")
     m = jsonx.with_object(back, F.col("value"), "r")
     return m.select(jsonx.as_text(jsonx.value("r", "type_correct")).alias("type_correct"),
                     jsonx.as_text(jsonx.value("r", "field_match")).alias("field_match"))
 
 
+@query("write_eval_metrics")
+def q_write_eval_metrics(spark, sf):
+    """K5: the metrics of the results folder, read back."""
+    path = FI.write_eval_results(evaluated(spark, sf), scratch_path(spark, "evaluation_results"))
+    return spark.read.schema("section string, key string, metric string, value double").json(f"{path}/metrics")
+
+
 # -- scoring and streaming ----------------------------------------------------
 
 @query("batch_score")
@@ -564,22 +607,48 @@ def q_batch_score(spark, sf):
 @query("domain_filter")
 def q_domain_filter(spark, sf):
     """V4: keyword score of every evaluation input against the per-type
-    keyword lists (T3); below 1 -> out of domain."""
-    kw = [r["word"] for r in KW.class_keywords(clean(spark, sf)).select("word").distinct().collect()]
+    keyword lists (T3); below 1 -> out of domain, with its error ticket."""
+    kw = KW.class_keywords(clean(spark, sf)).agg(F.collect_set("word")).scalar()
     e = FX.eval_pairs(spark, sf).select("sample_id", "user_input")
-    return SC.domain_scores(e, kw).select("sample_id", "domain_score", "in_domain")
+    return SC.domain_scores(e, kw).select("sample_id", "domain_score", "in_domain", "error")
 
 
 @query("fit_classifier")
 def q_fit_classifier(spark, sf):
-    """V2: a text classifier fitted on the train split of documents (label =
-    language) and scored on the test split."""
-    d = read_table(spark, sf, "documents", "doc_id", "text", "lang")
-    parts = SM.split_three_way(d, ["doc_id"], (0.8, 0.0, 0.2))
-    parts = parts.persist()
-    _, pred = SC.fit_classifier(parts.where(F.col("split") == "train"),
-                                parts.where(F.col("split") == "test"), "text", "lang")
-    return pred.select("doc_id", "true_label", "pred_label")
+    """V2: a text classifier fitted on the train rows of the cleaned tickets
+    (label = ticket type) and scored on the test rows."""
+    t = clean(spark, sf).select("row_index", "original_input", "ticket_type")
+    parts = SM.split_three_way(t, ["row_index"], (0.8, 0.0, 0.2))
+    test = parts.where(F.col("split") == "test")
+    model = SC.fit_classifier(parts.where(F.col("split") == "train"), "original_input", "ticket_type")
+    pred = SC.classify(model, test, "original_input", "row_index")
+    return test.select("row_index", F.col("ticket_type").alias("true_label")).join(pred, "row_index")
+
+
+@query("classifier_metrics")
+def q_classifier_metrics(spark, sf):
+    """A10 over the classifier's test predictions."""
+    return MT.class_metrics(q_fit_classifier(spark, sf))
+
+
+def scored_evaluation(spark, sf) -> DataFrame:
+    """E5: prompt (P13) -> model (V1) -> replies joined to the truth (JN2) ->
+    outcomes (E1, E3, E4)."""
+    e = FX.eval_pairs(spark, sf)
+    prompts = e.select("sample_id", RC.inference_prompt("user_input").alias("prompt"))
+    replies = SC.score(prompts, SC.rule_model, text_col="prompt").select("sample_id", "response")
+    return RS.outcomes(RS.join_predictions(e.select("sample_id", "user_input", "true_json"), replies))
+
+
+@query("scored_eval_labels")
+def q_scored_eval_labels(spark, sf):
+    return scored_evaluation(spark, sf).select("sample_id", "outcome", "true_label", "pred_label")
+
+
+@query("scored_eval_report")
+def q_scored_eval_report(spark, sf):
+    e = scored_evaluation(spark, sf).select("sample_id", "outcome", "true_label", "pred_label", "type_correct", *RS.MATCH_COLUMNS)
+    return MT.eval_report(e.checkpoint(eager=True))
 
 
 @query("stream_score")

@@ -81,6 +81,7 @@ RAW_TICKETS = f"""raw_tickets AS (
          WHEN doc_id % 89 = 0 THEN '[1, 2]'
          WHEN doc_id % 83 = 0 THEN NULL
          WHEN doc_id % 79 = 0 THEN '{{"Ticket Type": 5, "Severity": "low"}}'
+         WHEN doc_id % 73 = 0 THEN '{{"Ticket Type": "inquiry", "Title": 7, "Description": {{"a":1}}, "Severity": "low", "Department Impacted": true, "Service Impacted": ["x",2]}}'
          ELSE '{{' || concat_ws(', ',
            '"Ticket Type": "' || ({_list(_TYPES)})[doc_id % 10 + 1] || '"',
            '"Title": "Ticket ' || CAST(doc_id AS VARCHAR) || '"',
@@ -340,15 +341,31 @@ _FIELDS = FV.TICKET_FIELDS
 _SAMPLE_OUT = ["sample_id", "user_input", *_FIELDS, "assistance_request", "error"]
 _DESC = jstr("j", "Description")
 
+_FREE = {"title": "Title", "description": "Description", "department_impacted": "Department Impacted",
+         "service_impacted": "Service Impacted"}
+
+
+def _typed(j: str, keys: dict) -> str:
+    """JSON text of values that are neither strings nor null, as f_j columns."""
+    return ", ".join(f"CASE WHEN {jtype(j, k)} NOT IN ('VARCHAR', 'NULL') THEN {jjson(j, k)} END AS {f}_j" for f, k in keys.items())
+
+
+def _seen(col: str, key: str) -> str:
+    """The column, or its default when no ticket has the key."""
+    return (f"CASE WHEN (SELECT COALESCE(bool_or({jhas('j', key)}), FALSE) FROM clean) THEN {col} "
+            f"ELSE {_lit(FV.RECORD_COLUMN_DEFAULTS[key])} END AS {col}")
+
+
 RECORDS = f"""records AS (
-  SELECT 'records' AS source, row_index AS sample_id, original_input AS user_input, ticket_type, title,
-         description, severity, department_impacted, service_impacted, preferred_communication,
+  SELECT 'records' AS source, row_index AS sample_id, original_input AS user_input, ticket_type, {_seen('title', 'Title')},
+         {_seen('description', 'Description')}, severity, {_seen('department_impacted', 'Department Impacted')},
+         {_seen('service_impacted', 'Service Impacted')}, {_seen('preferred_communication', 'Preferred Communication')},
          CASE WHEN ticket_type = 'assistance' THEN
            CASE WHEN COALESCE(contains(lower({_DESC}), 'loan'), FALSE) THEN 'loan assistance'
                 WHEN COALESCE(contains(lower({_DESC}), 'mortgage'), FALSE) THEN 'mortgage assistance'
                 WHEN COALESCE(contains(lower({_DESC}), 'account'), FALSE) THEN 'account assistance'
                 ELSE 'general assistance' END END AS assistance_request,
-         CAST(NULL AS VARCHAR) AS error
+         CAST(NULL AS VARCHAR) AS error, {_typed('j', _FREE)}
   FROM clean)"""
 R_ = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS)
 
@@ -381,6 +398,13 @@ LOADED = f"""loaded AS (
   FROM (SELECT row_index, input, CASE WHEN {is_object('output')} THEN output END AS j FROM raw_tickets))"""
 
 ORACLE["load_defaults"] = with_(RAW_TICKETS, LOADED) + f"SELECT {', '.join(_SAMPLE_OUT)} FROM loaded WHERE ok"
+ORACLE["load_defaults_events"] = with_("raw_tickets AS (SELECT event_id AS row_index, props AS input, props AS output FROM events)", LOADED) + \
+    f"SELECT {', '.join(_SAMPLE_OUT)} FROM loaded WHERE ok"
+ORACLE["records_without_department"] = with_(
+    RAW_TICKETS.replace("raw_tickets AS (", "raw_0 AS (", 1),
+    """raw_tickets AS (SELECT row_index, input,
+  regexp_replace(output, '"Department Impacted": "Dept [0-9]+", ', '') AS output FROM raw_0)""", PARSED, CLEAN, RECORDS) + \
+    f"SELECT {', '.join(_SAMPLE_OUT)} FROM records"
 ORACLE["load_defaults_counts"] = with_(RAW_TICKETS, LOADED) + """
 SELECT count(*) AS "rows", count(*) FILTER (WHERE ok) AS loaded, count(*) FILTER (WHERE NOT ok) AS skipped
 FROM loaded"""
@@ -424,6 +448,7 @@ _TD = "td"
 VALIDATED = f"""validated AS (
   SELECT 'json' AS source, sample_id, {jtext('sj', 'user_input')} AS user_input,
     {", ".join(f"json_extract_string(sj, '$.ticket_data.{f}') AS {f}" for f in _FIELDS + ["assistance_request", "error"])},
+    {", ".join(f"CASE WHEN json_type(sj, '$.ticket_data.{f}') NOT IN ('VARCHAR', 'NULL') THEN CAST(json_extract(sj, '$.ticket_data.{f}') AS VARCHAR) END AS {f}_j" for f in _FREE)},
     COALESCE(sj IS NOT NULL AND {jhas('sj', 'user_input')} AND json_type(sj, '$.ticket_data') = 'OBJECT'
       AND (json_type(sj, '$.ticket_data.error') IS NOT NULL OR
            ({" AND ".join(f"json_type(sj, '$.ticket_data.{f}') IS NOT NULL" for f in _FIELDS)})), FALSE) AS ok
@@ -475,7 +500,7 @@ def ticket_json_sql(indent: bool = True) -> str:
     nl = f"{NL} || '  '" if indent else "''"
     sep = f"',' || {NL} || '  '" if indent else "', '"
     close = f"{NL} || '}}'" if indent else "'}'"
-    members = [f"""'"{f}": ' || {_q(f)}""" for f in _FIELDS]
+    members = [f"""'"{f}": ' || {f'COALESCE({f}_j, {_q(f)})' if f in _FREE else _q(f)}""" for f in _FIELDS]
     members.append(f"""CASE WHEN assistance_request IS NOT NULL THEN '"assistance_request": ' || {_q('assistance_request')} END""")
     normal = f"'{{' || {nl} || concat_ws({sep}, {', '.join(members)}) || {close}"
     err = f"""'{{' || {nl} || '"error": ' || {_q('error')} || {close}"""
@@ -563,7 +588,7 @@ THREE_WAY = f"""three_way AS (
                CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS t_end,
                CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) + floor(count(*) OVER () * CAST(0.1 AS DOUBLE)) AS BIGINT) AS v_end
         FROM records)
-  UNION ALL SELECT *, NULL, NULL, NULL, 'test' FROM ood)"""
+  UNION ALL SELECT *, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'test' FROM ood)"""
 S3_ = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS, OOD, THREE_WAY)
 
 ORACLE["split_three_way"] = S3_ + "SELECT sample_id, split FROM three_way"
@@ -729,8 +754,9 @@ UNION ALL SELECT 'Parse Errors', parse_error_rate FROM rates2
 UNION ALL SELECT 'Domain Errors', domain_error_rate FROM rates2"""
 
 ORACLE["sample_predictions"] = ED_ + """
-SELECT type_correct, CAST(ord AS BIGINT) AS ord, sample_id, true_label, pred_label FROM (
-  SELECT *, row_number() OVER (PARTITION BY type_correct ORDER BY sample_id) AS ord FROM detailed)
+SELECT type_correct, CAST(ord AS BIGINT) AS ord, sample_id, user_input, true_label, pred_label FROM (
+  SELECT d.*, l.user_input, row_number() OVER (PARTITION BY type_correct ORDER BY sample_id) AS ord
+  FROM detailed d JOIN labels_ l USING (sample_id))
 WHERE ord <= 3"""
 
 ORACLE["labels_class_metrics"] = """WITH labels_ AS (
@@ -751,7 +777,8 @@ SELECT row_index, CASE WHEN input IN ({_NULLS}) THEN NULL ELSE input END AS inpu
 
 ORACLE["domain_filter"] = with_(RAW_TICKETS, PARSED, CLEAN, _TYPE_WC, EVAL_PAIRS,
     f"kw AS (SELECT list(DISTINCT word) AS words FROM {top_keywords_sql('type_wc', 'ticket_type', 20, FV.TYPE_STOPWORDS)})") + f"""
-SELECT sample_id, CAST(s AS BIGINT) AS domain_score, s >= 1 AS in_domain FROM (
+SELECT sample_id, CAST(s AS BIGINT) AS domain_score, s >= 1 AS in_domain,
+  CASE WHEN s < 1 THEN {_lit(FV.OUT_OF_DOMAIN_ERROR)} END AS error FROM (
   SELECT sample_id, len(list_filter({words('user_input')}, lambda w: list_contains(kw.words, w))) AS s
   FROM eval_pairs CROSS JOIN kw)"""
 
@@ -840,3 +867,60 @@ ORACLE["stream_score"] = f"""
 SELECT conv_id, turn, 'ok' AS status,
        ({_rule_reply_type('text')}) IS NULL AS pred_has_error
 FROM conversations WHERE role = 'user' AND length({strip('text')}) > 0"""
+
+
+ORACLE["scan_keyless_tickets"] = T + f"""
+SELECT row_number() OVER (ORDER BY row_index) - 1 AS row_index,
+       CASE WHEN input IN ({_NULLS}) THEN NULL ELSE input END AS input,
+       CASE WHEN output IN ({_NULLS}) THEN NULL ELSE output END AS output FROM raw_tickets"""
+
+ORACLE["scan_sample_array"] = with_(
+    RAW_SAMPLES.replace("raw_samples AS (", "raw_0 AS ("),
+    """raw_samples AS (SELECT sample_id,
+  CASE WHEN sample_id % 37 = 5 THEN regexp_replace(sample_json, '^\\{"user_input": ".*?", "ticket_data"',
+                                                   '{"user_input": null, "ticket_data"', 's')
+       WHEN sample_id % 41 = 7 THEN '{"user_input": "x", "ticket_data": "plain text"}'
+       ELSE sample_json END AS sample_json FROM raw_0)""", VALIDATED) + \
+    f"SELECT {', '.join(c for c in _SAMPLE_OUT if c != 'sample_id')} FROM validated WHERE ok"
+
+ORACLE["write_eval_metrics"] = ORACLE["eval_report"]
+
+
+def _rule_reply(text: str) -> str:
+    """The stand-in model's whole reply (scoring.rule_model) in SQL."""
+    kind = _rule_reply_type(text)
+    sev = f"CASE WHEN contains(lower(COALESCE({text}, '')), '!') THEN 'high' ELSE 'medium' END"
+    return (f"('[INST] prompt [/INST] ' || CASE WHEN ({kind}) IS NULL THEN {_lit(_OOD_JSON)} ELSE "
+            f"'{{\"ticket_type\": \"' || ({kind}) || '\", \"severity\": \"' || ({sev}) || "
+            f"'\", \"preferred_communication\": \"email\"' || CASE WHEN ({kind}) = 'assistance' "
+            f"THEN ', \"assistance_request\": \"general assistance\"' ELSE '' END || '}}' END)")
+
+
+_SCORED = with_(
+    EVAL_PAIRS.replace("eval_pairs AS (", "pairs_0 AS (", 1),
+    f"prompts AS (SELECT sample_id, {eval_prompt_sql('user_input')} AS prompt FROM pairs_0)",
+    f"replies AS (SELECT sample_id, {_rule_reply('prompt')} AS response FROM prompts)",
+    "eval_pairs AS (SELECT p.sample_id, p.user_input, p.true_json, r.response FROM pairs_0 p LEFT JOIN replies r USING (sample_id))",
+    PRED, OUTCOME, LABELS, DETAILED)
+ORACLE["scored_eval_labels"] = _SCORED + "SELECT sample_id, outcome, true_label, pred_label FROM labels_"
+ORACLE["scored_eval_report"] = ORACLE["eval_report"].replace(ED_, _SCORED)
+
+_BAYES = with_(RAW_TICKETS, PARSED, CLEAN, f"""seg AS (
+  SELECT row_index, original_input, ticket_type,
+    row_number() OVER (ORDER BY {_key('row_index')}, row_index) - 1 < CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train
+  FROM clean)""", f"""w AS (SELECT row_index, ticket_type, train, unnest({words('original_input')}) AS word FROM seg)""",
+  """cnt AS (SELECT word, ticket_type AS label, count(*) AS n FROM w WHERE train GROUP BY ALL)""",
+  """classes_ AS (SELECT ticket_type AS label, ln(count(*) / (SELECT count(*) FROM seg WHERE train)) AS prior,
+    ln(COALESCE((SELECT sum(n) FROM cnt WHERE cnt.label = ticket_type), 0) + (SELECT count(DISTINCT word) FROM cnt)) AS base
+  FROM seg WHERE train GROUP BY ticket_type)""",
+  """bag AS (SELECT row_index, word, count(*) AS c FROM w WHERE NOT train AND word IN (SELECT word FROM cnt) GROUP BY ALL)""",
+  """known AS (SELECT row_index, sum(c) AS k FROM bag GROUP BY row_index)""",
+  """sums AS (SELECT row_index, label, sum(c * ln(n + 1)) AS s FROM bag JOIN cnt USING (word) GROUP BY ALL)""",
+  """scores AS (SELECT t.row_index, t.ticket_type, l.label,
+    round(l.prior + COALESCE(s.s, 0) - COALESCE(k.k, 0) * l.base, 9) AS score
+  FROM seg t CROSS JOIN classes_ l LEFT JOIN known k USING (row_index)
+  LEFT JOIN sums s ON s.row_index = t.row_index AND s.label = l.label WHERE NOT t.train)""",
+  """labels_ AS (SELECT row_index, any_value(ticket_type) AS true_label, arg_min(label, struct_pack(a := -score, b := label)) AS pred_label
+  FROM scores GROUP BY row_index)""")
+ORACLE["fit_classifier"] = _BAYES + "SELECT row_index, true_label, pred_label FROM labels_"
+ORACLE["classifier_metrics"] = _BAYES.rstrip() + ",\n" + CLASS_METRICS + "\nSELECT * FROM class_metrics"

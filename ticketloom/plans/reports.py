@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ticketloom.fixed_values import (
-    EVAL_HEADINGS, EVAL_REPORT_TITLE, QUALITY_HEADINGS, QUALITY_ISSUE_LINES, QUALITY_REPORT_TITLE)
+    EVAL_HEADINGS, EVAL_REPORT_TITLE, FIELD_ACCURACY_ORDER, QUALITY_HEADINGS, QUALITY_ISSUE_LINES, QUALITY_REPORT_TITLE)
 
 
 def _rows(table: DataFrame) -> list[dict]:
@@ -62,7 +62,7 @@ def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[
            f"Overall Accuracy: {get.get(('overall', 'all', 'accuracy')) or 0:.4f}",
            f"Total Samples Evaluated: {int(get.get(('overall', 'all', 'total_samples')) or 0)}", "",
            EVAL_HEADINGS[1], "-" * 50]
-    for label in sorted({k for (s, k, _) in get if s == "class"}):
+    for label in sorted({k for (s, k, _) in get if s == "class"}, key=lambda k: (k is None, k or "")):
         out += ["", f"{label}:",
                 f"  Precision: {get[('class', label, 'precision')]:.4f}",
                 f"  Recall: {get[('class', label, 'recall')]:.4f}",
@@ -71,7 +71,7 @@ def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[
     out += ["", "Macro Average:"]
     for m, name in (("precision", "Precision"), ("recall", "Recall"), ("f1", "F1-Score")):
         out.append(f"  {name}: {get.get(('macro', 'macro avg', m)) or 0:.4f}")
-    fields = [(k, v) for (s, k, _), v in get.items() if s == "field"]
+    fields = sorted(((k, v) for (s, k, _), v in get.items() if s == "field"), key=lambda f: FIELD_ACCURACY_ORDER.index(f[0]))
     if fields:
         out += ["", EVAL_HEADINGS[2], "-" * 50, "(For correctly classified tickets)", ""]
         out += [f"{k}: {v:.4f}" for k, v in fields]
@@ -84,6 +84,6 @@ def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[
         for flag, title in ((True, "Correct Predictions:"), (False, "Incorrect Predictions:")):
             out += ["", title]
             for r in sorted((r for r in srows if r["type_correct"] == flag), key=lambda r: r["ord"]):
-                out += ["", f"Example {r['ord']}:", f"Sample: {r['sample_id']}",
+                out += ["", f"Example {r['ord']}:", f"Input: {r['user_input']}",
                         f"True Type: {r['true_label']}", f"Predicted Type: {r['pred_label']}"]
     return "\n".join(out) + "\n"

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketloom.operators.clean import csv_nulls
 from ticketloom.operators.records import sample_json_line, validate_samples
 
-TICKETS_CSV_SCHEMA = "row_index bigint, input string, output string"
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
@@ -25,15 +25,41 @@ def write_tickets_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_tickets_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``pd.read_csv`` semantics on a cluster: explicit schema (no
-    inference pass), multi-line quoted fields, and pandas' null spellings
-    mapped to null after the scan.  ``row_index`` comes from the file (a
-    source key), not from read order."""
-    df = (spark.read.schema(TICKETS_CSV_SCHEMA).options(**_CSV).option("multiLine", "true")
+def read_tickets_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``pd.read_csv`` semantics on a cluster: columns by the header's
+    names (no inference pass), multi-line quoted fields, and pandas' null
+    spellings mapped to null after the scan.
+
+    ``row_index`` is the file's own column if it has one; else rows are
+    numbered 0..n-1 by file name and place.  A missing ``input`` or
+    ``output`` column is an error.  ``multi_line`` reads each file in one
+    task, as quoted line breaks need; pass False for one-line records, whose
+    files are split."""
+    df = (spark.read.options(**_CSV).option("multiLine", str(multi_line).lower())
           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
           .csv(path))
-    return csv_nulls(df, "input", "output")
+    lost = [c for c in ("input", "output") if c not in df.columns]
+    if lost:
+        raise ValueError(f"{path} has no column {', '.join(lost)}")
+    if "row_index" in df.columns:
+        df = df.withColumn("row_index", F.col("row_index").cast("bigint"))
+    else:
+        df = _numbered(df)
+    return csv_nulls(df.select("row_index", "input", "output"), "input", "output")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``row_index`` by file name and place.  Rows of one file block come in
+    order in one task, so a row's place is counted from its block's first
+    row; only the blocks (not the rows) are put in order."""
+    block = ["_file", "_start"]
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                     F.monotonically_increasing_id().alias("_id")).checkpoint(eager=True)
+    blocks = rows.groupBy(*block).agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return (rows.join(blocks, block).withColumn("row_index", F.col("_off") + F.col("_id") - F.col("_first"))
+            .drop(*block, "_id", "_first", "_n", "_off"))
 
 
 def write_samples_jsonl(samples: DataFrame, path: str, partition_by: str | None = None) -> str:
@@ -61,21 +87,35 @@ def read_samples_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return validate_samples(raw, keep=tuple(extra))
 
 
+def write_sample_arrays(raw_samples: DataFrame, path: str, per_file: int = 1000) -> str:
+    """K1: samples as JSON arrays, ``per_file`` ids to a file, as ``json.dump``
+    writes a list."""
+    group = F.floor(F.col("sample_id") / per_file).alias("_file")
+    items = F.transform(F.sort_array(F.collect_list(F.struct("sample_id", "sample_json"))), lambda x: x["sample_json"])
+    (raw_samples.groupBy(group).agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]")).alias("value"))
+     .write.mode("overwrite").partitionBy("_file").text(path))
+    return path
+
+
 def read_sample_array(spark: SparkSession, path: str) -> DataFrame:
     """S2 (one JSON array per file, as ``json.dump`` writes it): multi-line
-    JSON scan with ``ticket_data`` kept as raw JSON text, then validated.
-    Top-level absence and null both read as null here."""
-    df = spark.read.option("multiLine", "true").schema(
-        "user_input string, ticket_data string").json(path)
-    line = F.to_json(F.struct(F.col("user_input"), F.parse_json(F.col("ticket_data")).alias("ticket_data")))
+    JSON scan with both keys as VARIANT, so absence (SQL null) and JSON null
+    stay apart, then validated: a present null input is kept, a ticket that
+    is no object is skipped."""
+    df = spark.read.option("multiLine", "true").schema("user_input variant, ticket_data variant").json(path)
+    member = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{c}": '), F.to_json(F.col(c))))
+    line = F.concat(F.lit("{"), F.concat_ws(", ", member("user_input"), member("ticket_data")), F.lit("}"))
     raw = df.select(F.monotonically_increasing_id().alias("sample_id"), line.alias("sample_json"))
     return validate_samples(raw)
 
 
 def write_eval_results(evaluated: DataFrame, path: str) -> str:
-    """K5: the detailed results of compared rows as JSON lines
-    ({input, true, predicted, type_correct, field_match}); field_match holds
-    only the fields that apply (assistance_request only for assistance)."""
+    """K5: the results folder: ``detailed_results`` of compared rows as JSON
+    lines ({input, true, predicted, type_correct, field_match}; field_match
+    holds only the fields that apply, assistance_request only for
+    assistance), ``labels`` (sample_id, true label, prediction) of all rows
+    and ``metrics`` (the report's long table)."""
+    from ticketloom.operators.metrics import eval_report
     from ticketloom.operators.responses import MATCH_COLUMNS
     fields = [c[: -len("_match")] for c in MATCH_COLUMNS]
     matches = F.map_from_entries(F.filter(
@@ -84,5 +124,8 @@ def write_eval_results(evaluated: DataFrame, path: str) -> str:
     line = F.to_json(F.struct(F.col("user_input").alias("input"), F.col("truth").alias("true"),
                               F.col("pred").alias("predicted"), F.col("type_correct"),
                               matches.alias("field_match")))
-    evaluated.where(F.col("outcome") == "compared").select(line.alias("value")).write.mode("overwrite").text(path)
+    evaluated = evaluated.checkpoint(eager=True)
+    evaluated.where(F.col("outcome") == "compared").select(line.alias("value")).write.mode("overwrite").text(f"{path}/detailed_results")
+    evaluated.select("sample_id", "true_label", "pred_label").write.mode("overwrite").json(f"{path}/labels")
+    eval_report(evaluated).write.mode("overwrite").json(f"{path}/metrics")
     return path

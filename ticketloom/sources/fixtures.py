@@ -41,6 +41,11 @@ _COMM_MEMBERS = ['"Preferred Communication": "Email"', '"Preferred Communication
                  '"Preferred Communication": "in-person"', None]
 
 
+# values of other JSON types than strings
+TYPED_TICKET = ('{"Ticket Type": "inquiry", "Title": 7, "Description": {"a":1}, "Severity": "low", '
+                '"Department Impacted": true, "Service Impacted": ["x",2]}')
+
+
 def ticket_output(i: Column) -> Column:
     """The ``output`` JSON text of raw ticket ``i``."""
     full = _obj(
@@ -57,6 +62,7 @@ def ticket_output(i: Column) -> Column:
             .when(F.pmod(i, F.lit(89)) == 0, F.lit("[1, 2]"))
             .when(F.pmod(i, F.lit(83)) == 0, F.lit(None).cast("string"))
             .when(F.pmod(i, F.lit(79)) == 0, F.lit('{"Ticket Type": 5, "Severity": "low"}'))
+            .when(F.pmod(i, F.lit(73)) == 0, F.lit(TYPED_TICKET))
             .otherwise(full))
 
 

@@ -9,6 +9,7 @@ writer).  Negative ids keep them apart from table ids.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketloom.fixed_values import OUT_OF_DOMAIN_ERROR
 
@@ -75,7 +76,7 @@ CHALLENGE = [
 
 def _frame(spark: SparkSession, source: str, rows, first_id: int) -> DataFrame:
     data = [(source, first_id - i, text, *ticket) for i, (text, ticket) in enumerate(rows)]
-    return spark.createDataFrame(data, _SCHEMA)
+    return spark.createDataFrame(data, _SCHEMA).withColumn("typed_values", F.lit(None).cast("map<string,string>"))
 
 
 def synthetic_samples(spark: SparkSession) -> DataFrame:
