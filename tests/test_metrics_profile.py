@@ -1,5 +1,7 @@
 """Metrics edge cases, histogram against numpy, report rendering."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from ticketloom.operators import metrics as MT
 from ticketloom.operators import profile as PR
-from ticketloom.plans.reports import render_eval_report, render_quality_report
+from ticketloom.operators import responses as RS
+from ticketloom.plans.reports import dense_matrix, render_eval_report, render_quality_report
 
 
 def _labels(spark, pairs):
@@ -27,7 +30,7 @@ def test_label_never_predicted_and_only_predicted(spark):
 
 
 def test_empty_metrics(spark):
-    lab = _labels(spark, [])
+    lab = _labels(spark, []).withColumn("outcome", F.lit("compared"))
     assert MT.class_metrics(lab).count() == 0
     r = MT.error_rates(lab).first()
     assert r.n_samples == 0 and r.parse_error_rate is None
@@ -36,11 +39,51 @@ def test_empty_metrics(spark):
 
 def test_confusion_total_equals_rows(spark):
     lab = _labels(spark, [("a", "a"), ("a", "b"), ("c", "a"), ("c", "c"), ("b", "b")])
-    cm = MT.confusion_matrix(spark, lab)
-    assert cm.count() == 9
+    cm = MT.confusion_matrix(lab)
+    assert cm.count() == 5
     assert cm.agg(F.sum("n")).first()[0] == 5
 
 
+def test_confusion_cells_are_of_one_kind_at_every_size(spark):
+    """1,000 and 1,001 labels: the non-zero cells, no zeros, no grid."""
+    for n in (1000, 1001):
+        lab = spark.range(n).select(F.concat(F.lit("l"), "id").alias("true_label"), F.lit("l0").alias("pred_label"))
+        cm = MT.confusion_matrix(lab)
+        assert cm.count() == n and cm.where("n = 0").isEmpty()
+        assert MT.label_set(lab).count() == n
+
+
+def test_dense_matrix_fills_zeros():
+    axis, m = dense_matrix([dict(true_label="a", pred_label="b", n=2), dict(true_label="b", pred_label="b", n=1)], ["b", "a"])
+    assert axis == ["a", "b"] and m == [[0, 2], [0, 1]]
+
+
+def test_errors_are_counted_by_outcome_not_by_label(spark):
+    """A reply whose type reads "error" or "domain_error" is compared, and wrong; it is no error."""
+    truth = '{"ticket_type": "inquiry"}'
+    rows = [(1, truth, '{"ticket_type": "error"}'), (2, truth, '{"ticket_type": "domain_error"}'),
+            (3, truth, "no json"), (4, '{"error": "x"}', '{"ticket_type": "inquiry"}')]
+    e = RS.outcomes(spark.createDataFrame(rows, "sample_id long, true_json string, response string"))
+    r = MT.error_rates(e).first()
+    assert (r.n_samples, r.parse_errors, r.domain_errors) == (4, 1, 1)
+
+
+def test_ticket_types_compare_as_json_values(spark):
+    rows = [(1, '{"ticket_type": 5}', '{"ticket_type": "5"}'), (2, '{"ticket_type": 5}', '{"ticket_type": 5}'),
+            (3, '{"a": 1}', '{"ticket_type": "unknown"}')]
+    e = RS.outcomes(spark.createDataFrame(rows, "sample_id long, true_json string, response string"))
+    assert {r.sample_id: r.type_correct for r in e.collect()} == {1: False, 2: True, 3: True}
+
+
+def test_distribution_keeps_many_values_out_of_one_task(spark):
+    """200,000 departments: the total is one row; no exchange gathers the values."""
+    df = spark.range(200_000).select(F.concat(F.lit("d"), "id").alias("d"))
+    top = PR.distribution(df, "d", top=10)
+    assert [r.value for r in top.collect()] == sorted(f"d{i}" for i in range(200_000))[:10]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "TakeOrderedAndProject" in plan
+
+
 def test_histogram_matches_numpy(spark):
     texts = pq.read_table(f"{SF01}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
     df = spark.createDataFrame([(t["doc_id"], t["text"]) for t in texts], "row_index long, original_input string")
@@ -85,6 +128,7 @@ def test_quality_report_text_layout():
 
 def test_eval_report_text(spark):
     lab = _labels(spark, [("a", "a"), ("a", "b")]).withColumn("type_correct", F.lit(None).cast("boolean"))
+    lab = lab.withColumn("outcome", F.lit("compared"))
     for c in MT.MATCH_COLUMNS:
         lab = lab.withColumn(c, F.lit(None).cast("boolean"))
     text = render_eval_report(MT.eval_report(lab))
@@ -116,11 +160,8 @@ def test_metrics_fuzz_against_python(spark):
     n = len(pairs)
     assert abs(avg["macro avg"].f1 - sum(v[2] for v in per.values()) / len(per)) < 1e-5
     assert abs(avg["weighted avg"].recall - sum(v[1] * v[3] for v in per.values()) / n) < 1e-5
-    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(spark, lab).collect()}
-    assert len(cm) == len(names) ** 2
-    for a in names:
-        for b in names:
-            assert cm[(a, b)] == sum(1 for t, p in pairs if t == a and p == b)
+    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(lab).collect()}
+    assert cm == Counter(pairs)
 
 
 def test_approximate_profile_options(spark):
@@ -155,5 +196,47 @@ def test_null_label_is_one_label(spark):
     lab = _labels(spark, [(None, None), (None, "a"), ("a", "a")])
     m = {r.label: r for r in MT.class_metrics(lab).collect()}
     assert set(m) == {None, "a"} and m[None].support == 2 and m[None].precision == 1.0
-    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(spark, lab).collect()}
-    assert cm == {(None, None): 1, (None, "a"): 1, ("a", None): 0, ("a", "a"): 1}
+    cm = {(r.true_label, r.pred_label): r.n for r in MT.confusion_matrix(lab).collect()}
+    assert cm == {(None, None): 1, (None, "a"): 1, ("a", "a"): 1}
+
+
+GOLDEN = """Overall Accuracy: 0.5000
+Total Samples Evaluated: 2
+
+2. CLASSIFICATION REPORT
+--------------------------------------------------
+
+complaint:
+  Precision: 1.0000
+  Recall: 0.5000
+  F1-Score: 0.6667
+  Support: 2
+
+error:
+  Precision: 0.0000
+  Recall: 0.0000
+  F1-Score: 0.0000
+  Support: 0
+
+Macro Average:
+  Precision: 0.5000
+  Recall: 0.2500
+  F1-Score: 0.3333
+
+3. FIELD-LEVEL ACCURACY
+--------------------------------------------------
+(For correctly classified tickets)
+
+severity: 1.0000
+"""
+
+
+def test_eval_report_golden_text(spark):
+    rows = [(1, "my input", '{"ticket_type": "complaint", "severity": "low"}', '{"ticket_type": "complaint", "severity": "low"}'),
+            (2, "other", '{"ticket_type": "complaint"}', "nothing")]
+    e = RS.outcomes(spark.createDataFrame(rows, "sample_id long, user_input string, true_json string, response string"))
+    text = render_eval_report(MT.eval_report(e), MT.sample_predictions(e))
+    assert GOLDEN in text
+    assert "Parse Error Rate: 0.5000\nDomain Error Rate: 0.0000\n" in text
+    assert text.endswith("Correct Predictions:\n\nExample 1:\nInput: my input\nTrue Type: complaint\n"
+                         "Predicted Type: complaint\n\nIncorrect Predictions:\n")

@@ -11,7 +11,10 @@ import __spark_entry__ as E
 from conftest import SF001, SF01
 from oracle_check import compare, duck
 from ticketloom.operators import responses as RS
+from ticketloom.operators import clean as CL
+from ticketloom.operators import records as RC
 from ticketloom.plans import catalog as C
+from ticketloom.plans.oracle_sql import ORACLE
 from ticketloom.session import scratch_path
 from ticketloom.sources import files as FI
 from ticketloom.sources import literals as LT
@@ -21,12 +24,11 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns == ["section", "ord", "key", "n", "pct", "value"]
+    assert df.columns == ["section", "ord", "ord2", "key", "n", "pct", "value"]
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = {"fit_classifier"}
-    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    assert set(C.CATALOG) == {k for k in ORACLE if k in C.CATALOG}
 
 
 FAST = ["parse_counts", "clean_tickets", "quality_report", "class_keywords", "balance_classes",
@@ -43,7 +45,7 @@ def test_fixture_counts_match_fixtures_md(spark):
     r = C.q_parse_counts(spark, SF01).first()
     assert (r.parsed, r.parse_errors) == (966, 34)
     d = {r.value: r.n for r in C.q_type_distribution(spark, SF01).collect()}
-    assert d == {"complaint": 489, "inquiry": 286, "assistance": 191}
+    assert d == {"complaint": 483, "inquiry": 295, "assistance": 188}
 
 
 def test_outcome_table_matches_fixtures_md(spark):
@@ -86,6 +88,46 @@ def test_sample_array_file_roundtrip(spark, tmp_path):
     assert got.where("_ok").count() == 2 and got.count() == 4
 
 
+def test_sample_array_keeps_null_inputs_and_skips_texts(spark, tmp_path):
+    p = os.path.join(tmp_path, "odd.json")
+    with open(p, "w") as f:
+        json.dump([{"user_input": None, "ticket_data": {"error": "e"}}, {"user_input": "x", "ticket_data": "plain text"},
+                   {"user_input": "y", "ticket_data": [1]}], f)
+    got = FI.read_sample_array(spark, p)
+    assert [(r.user_input, r.error) for r in got.where("_ok").collect()] == [(None, "e")] and got.count() == 3
+
+
+def test_keyless_csv(spark, tmp_path):
+    for k, rows in enumerate((["a", "b"], ["c"], ["d", "e"])):
+        with open(os.path.join(tmp_path, f"part-{k}.csv"), "w") as f:
+            f.write("input,output\n" + "".join(f'"{r} ""q""\nline","{{}}"\n' for r in rows))
+    back = sorted((r.row_index, r.input) for r in FI.read_tickets_csv(spark, str(tmp_path)).collect())
+    assert back == [(i, f'{c} "q"\nline') for i, c in enumerate("abcde")]
+    with open(os.path.join(tmp_path, "part-9.csv"), "w") as f:
+        f.write("text,output\n1,2\n")
+    with pytest.raises(ValueError, match="input"):
+        FI.read_tickets_csv(spark, os.path.join(tmp_path, "part-9.csv"))
+
+
+def test_written_values_keep_their_json_type(spark):
+    raw = spark.createDataFrame([(1, "t", '{"Ticket Type": "inquiry", "Title": 7, "Description": {"a": 1}, "Service Impacted": [true]}')],
+                                "row_index long, input string, output string")
+    recs = RC.training_records(CL.clean_tickets(CL.parse_tickets(raw)))
+    line = spark.read.text(FI.write_samples_jsonl(recs, scratch_path(spark, "typed_test"))).first().value
+    t = json.loads(line)["ticket_data"]
+    assert (t["title"], t["description"], t["service_impacted"]) == (7, {"a": 1}, [True])
+    assert t["department_impacted"] == "Customer Service"          # no row has the key
+
+
+def test_off_local_masters_need_a_shared_folder():
+    from types import SimpleNamespace as N
+    from ticketloom.session import ensure_checkpoint_dir
+    conf = N(get=lambda k, d=None: d)
+    sc = N(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(N(sparkContext=sc, conf=conf))
+
+
 def test_csv_roundtrip_keeps_texts(spark):
     raw = spark.createDataFrame([(1, 'a "q", b\nline2', '{"a": 1}'), (2, "NA", None), (3, " pad ", "")],
                                 "row_index long, input string, output string")
