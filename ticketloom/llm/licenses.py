@@ -107,10 +107,11 @@ def scan(index: Index, text: str, band: int = BAND, coverage: float = COVERAGE)
     found = []
     for t, diagonals in index.hits(line).items():
         template, done = index.texts[t], None
+        width = min(band, max(1, len(template) // 4))        # a short line's next occurrence may be near
         for d in sorted(set(diagonals)):
-            if done is not None and d - done <= band and found and found[-1][5] == t and found[-1][4] > d:
+            if done is not None and d - done <= width and found and found[-1][5] == t and found[-1][4] > d:
                 continue                                     # the same occurrence, seen on a near diagonal
-            matched, a, b = align(template, line, d, band)
+            matched, a, b = align(template, line, d, width)
             done = d
             if matched and matched / len(template) >= coverage:
                 found.append((index.names[t], matched, len(template), a, b, t))
