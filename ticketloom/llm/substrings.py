@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, narrow_input, prepare, text_batches
 
 WINDOW = 20
-BATCH_BYTES = 6_000_000
-PART_BYTES, LEAST_PARTS = 8_000_000, 64        # of text for each hash range
+BATCH_BYTES = 3_000_000
+PART_BYTES, LEAST_PARTS = 8_000_000, 64        # of text for each hash range; raise both with the memory of a task
 NULL_ID = np.iinfo(np.int64).max               # null ids come last
 A, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -64,30 +64,32 @@ def _rolling(h: np.ndarray, size: int, factor: np.uint64) -> np.ndarray:
 class Batch:
     """Word hashes of a batch's documents, one after the other, and its windows."""
 
-    def __init__(self, row, window: int, parts: int):
+    def __init__(self, row, window: int, parts: int, keep_words: bool = False):
         self.window, self.block, self.shift = window, window // 2, 64 - (parts.bit_length() - 1)
         self.ids, self.number = row["doc_ids"], row["batch"]
-        self.words = [t.split() for t in batch_texts(row)]
-        self.n = np.array([len(w) for w in self.words], np.int64)
+        words = [t.split() for t in batch_texts(row)]
+        self.n = np.array([len(w) for w in words], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.n)])
         known = _Hashes()
-        self.h = np.fromiter((known[w] for ws in self.words for w in ws), np.uint64, int(self.start[-1]))
-        self.doc = np.repeat(np.arange(len(self.n)), self.n)
-        self.place = np.arange(len(self.h)) - self.start[self.doc]
-        left = self.n[self.doc] - self.place
+        self.h = np.fromiter((known[w] for ws in words for w in ws), np.uint64, int(self.start[-1]))
+        self.words = words if keep_words else None
+        del words, known
+        kind = np.int32 if len(self.h) < 2 ** 31 else np.int64
+        self.doc = np.repeat(np.arange(len(self.n), dtype=kind), self.n)
+        self.place = np.arange(len(self.h), dtype=kind) - self.start.astype(kind)[self.doc]
+        self.left = self.n.astype(kind)[self.doc] - self.place
         # rolling windows of a block's size, in documents that have a whole window
-        self.probe = np.flatnonzero((left >= self.block) & (self.n[self.doc] >= window))
+        self.probe = np.flatnonzero((self.left >= self.block) & (self.n >= window)[self.doc]).astype(kind)
         keys = _rolling(self.h, self.block, A)[self.probe] if len(self.probe) else np.empty(0, np.uint64)
-        order = np.argsort(keys, kind="stable")
-        self.sorted = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], self.sorted[1:] != self.sorted[:-1]])) if len(keys) else np.empty(0, int)
-        self.keys = self.sorted[first]
+        order = np.argsort(keys, kind="stable").astype(kind)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        size = np.diff(np.concatenate([first, [len(keys)]]))
+        self.keys, self.often = keys[first], size > 1
         anchor = (self.place[self.probe] % self.block == 0)[order]
         self.anchored = np.logical_or.reduceat(anchor, first) if len(first) else np.empty(0, bool)
-        self.often = np.diff(np.concatenate([first, [len(keys)]])) > 1
-        self.group = np.empty(len(keys), np.int64)              # of each probe, its key's place in keys
-        self.group[order] = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(keys)]])))
-        self.left = left
+        self.group = np.empty(len(keys), kind)                  # of each probe, its key's place in keys
+        self.group[order] = np.repeat(np.arange(len(first), dtype=kind), size)
 
     def cells(self, sorted_keys: np.ndarray) -> list[tuple[int, int, int]]:
         """``(part, from, to)`` of the non-empty hash ranges."""
@@ -218,7 +220,7 @@ def _firsts(table: pa.Table) -> pa.Table:
 def _kept(window, parts):
     def run(batches):
         for row in each_row(batches, ["batch", "doc_ids", "sizes", "body", "hits", "firsts"]):
-            b = Batch(row, window, parts)
+            b = Batch(row, window, parts, keep_words=True)
             b.windows([(x["part"], x["bits"]) for x in row["hits"] or []])
             gone = b.removed([(x["part"], x["bits"]) for x in row["firsts"] or []])
             n_removed = np.add.reduceat(np.concatenate([gone, [False]]).astype(np.int64), np.minimum(b.start[:-1], len(gone)))
@@ -232,7 +234,7 @@ def _kept(window, parts):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    batch_bytes: int = BATCH_BYTES) -> DataFrame:
+                    batch_bytes: int = BATCH_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` of every row: without the words that a window of
     ``window`` (even) words covers whose word sequence also starts earlier.
 
@@ -247,7 +249,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = narrow_input(docs, id_col, text_col)
     size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = LEAST_PARTS
-    while parts * PART_BYTES < size:
+    while parts * part_bytes < size:
         parts *= 2
     batches = text.mapInArrow(text_batches(batch_bytes), TEXTS)
 
