@@ -29,18 +29,6 @@ TICKET_FIELDS = [
     "preferred_communication",
 ]
 OPTIONAL_FIELD = "assistance_request"
-ERROR_FIELD = "error"
-
-# Raw key -> canonical field.
-RAW_TO_FIELD = {
-    "Ticket Type": "ticket_type",
-    "Title": "title",
-    "Description": "description",
-    "Severity": "severity",
-    "Department Impacted": "department_impacted",
-    "Service Impacted": "service_impacted",
-    "Preferred Communication": "preferred_communication",
-}
 
 # Ticket type spellings after lower-case + strip.
 TICKET_TYPE_MAPPING = {

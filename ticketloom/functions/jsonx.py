@@ -57,8 +57,9 @@ def with_object(df: DataFrame, text, out: str = "obj", only_valid: bool = False)
     acceptance test and the repeated-key fix-up read those attributes.
     Nested values are VARIANT; a repeated key inside a nested object is
     accepted with its last value, as Python does, which needs
-    ``spark.sql.variant.allowDuplicateKeys`` (set on the session here)."""
-    df.sparkSession.conf.set(VARIANT_DUPLICATES, "true")
+    ``spark.sql.variant.allowDuplicateKeys`` (``session.ensure_settings``)."""
+    if df.sparkSession.conf.get(VARIANT_DUPLICATES, "false") != "true":
+        raise RuntimeError(f"strict JSON needs {VARIANT_DUPLICATES}=true: call ticketloom.session.ensure_settings")
     t = _col(text)
     d = materialize(
         df,
@@ -115,11 +116,6 @@ def json_text(v) -> Column:
     return F.nullif(F.to_json(_col(v)), F.lit("null"))
 
 
-def is_json_null(v) -> Column:
-    v = _col(v)
-    return v.isNotNull() & (json_type(v) == "VOID")
-
-
 def present_non_null(m, key: str) -> Column:
     """Key present with a non-null value (pandas' not-NaN)."""
     v = value(m, key)

@@ -28,10 +28,6 @@ def py_strip(c) -> Column:
     return F.regexp_replace(_col(c), _STRIP, "")
 
 
-def py_lower(c) -> Column:
-    return F.lower(_col(c))
-
-
 def ascii_words(c) -> Column:
     """``re.findall(r'\\b[a-z]+\\b', text.lower())`` as an array.
 

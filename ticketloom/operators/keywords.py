@@ -66,12 +66,19 @@ def high_severity_keywords(clean: DataFrame, text_col: str = "original_input") -
 
 
 def keyword_patterns(clean: DataFrame, text_col: str = "original_input") -> DataFrame:
-    """All four keyword lists in one long table (pattern, rank, word, n)."""
-    by_type = class_keywords(clean, text_col).select(
+    """All four keyword lists in one long table (pattern, rank, word, n).
+    The texts are tokenised once: one count per (type, high, word), from
+    which both kinds of lists are summed."""
+    high = F.col("severity").isin(HIGH_SEVERITIES).alias("high")
+    counts = word_counts(clean.select("ticket_type", high, text_col), text_col, "ticket_type", "high").checkpoint(eager=True)
+    of_type = (counts.where(F.col("ticket_type").isin(list(STANDARD_TYPES)))
+               .groupBy("ticket_type", "word").agg(F.sum("n").alias("n")))
+    of_high = counts.where("high").groupBy("word").agg(F.sum("n").alias("n"))
+    by_type = top_keywords(of_type, ["ticket_type"], TYPE_KEYWORDS_TOP, TYPE_STOPWORDS).select(
         F.concat(F.col("ticket_type"), F.lit("_keywords")).alias("pattern"), "rank", "word", "n")
-    high = high_severity_keywords(clean, text_col).select(
+    high_words = top_keywords(of_high, [], HIGH_SEVERITY_KEYWORDS_TOP, HIGH_SEVERITY_STOPWORDS).select(
         F.lit("high_severity_keywords").alias("pattern"), "rank", "word", "n")
-    return by_type.unionByName(high)
+    return by_type.unionByName(high_words)
 
 
 def printed_keywords(patterns: DataFrame, k: int = KEYWORDS_PRINTED) -> DataFrame:

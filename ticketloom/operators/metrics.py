@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketloom.fixed_values import FIELD_ACCURACY_ORDER
+from ticketloom.functions import jsonx
 from ticketloom.operators.responses import MATCH_COLUMNS
 
 def pair_counts(labels: DataFrame, t: str = "true_label", p: str = "pred_label") -> DataFrame:
@@ -113,10 +114,11 @@ def sample_predictions(detailed: DataFrame, k: int = 3) -> DataFrame:
     """First k correct and first k incorrect compared rows by sample_id
     (row_number <= k per flag; planned as a WindowGroupLimit)."""
     w = Window.partitionBy("type_correct").orderBy("sample_id")
+    shown = lambda m: jsonx.get_or(m, "ticket_type", "N/A")          # what the report prints
     return (detailed.where(F.col("type_correct").isNotNull())
             .withColumn("ord", F.row_number().over(w)).where(F.col("ord") <= k)
             .select("type_correct", F.col("ord").cast("bigint").alias("ord"), "sample_id", "user_input",
-                    "true_label", "pred_label"))
+                    "true_label", "pred_label", shown("truth").alias("true_type"), shown("pred").alias("pred_type")))
 
 
 def eval_report(labels: DataFrame) -> DataFrame:

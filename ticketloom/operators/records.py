@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ticketloom.fixed_values import (
     ASSISTANCE_FALLBACK, ASSISTANCE_KEYWORDS, EVAL_MAX_TOKENS, EVAL_PROMPT_TEMPLATE,
     EVAL_SYSTEM_PROMPT, LOADER_ASSISTANCE_REQUEST, LOADER_DEFAULTS, OPTIONAL_FIELD,
-    RECORD_COLUMN_DEFAULTS, TICKET_FIELDS, TRAIN_MAX_TOKENS, TRAINING_SYSTEM_PROMPT)
+    RECORD_COLUMN_DEFAULTS, TICKET_FIELDS, TRAINING_SYSTEM_PROMPT)
 from ticketloom.functions import jsonx
 from ticketloom.functions.text import tokens
 
@@ -264,6 +264,3 @@ def _count_tokens(s: str) -> int:
             if ch not in " \t\n\r":
                 n += 1
     return n
-
-
-TRAIN_BUDGET = TRAIN_MAX_TOKENS

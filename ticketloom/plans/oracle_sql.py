@@ -754,8 +754,9 @@ UNION ALL SELECT 'Parse Errors', parse_error_rate FROM rates2
 UNION ALL SELECT 'Domain Errors', domain_error_rate FROM rates2"""
 
 ORACLE["sample_predictions"] = ED_ + """
-SELECT type_correct, CAST(ord AS BIGINT) AS ord, sample_id, user_input, true_label, pred_label FROM (
-  SELECT d.*, l.user_input, row_number() OVER (PARTITION BY type_correct ORDER BY sample_id) AS ord
+SELECT type_correct, CAST(ord AS BIGINT) AS ord, sample_id, user_input, true_label, pred_label, true_type, pred_type FROM (
+  SELECT d.*, l.user_input, CASE WHEN """ + jhas('true_json', 'ticket_type') + " THEN " + jtext('true_json', 'ticket_type') + """ ELSE 'N/A' END AS true_type,
+    CASE WHEN """ + jhas('pj', 'ticket_type') + " THEN " + jtext('pj', 'ticket_type') + """ ELSE 'N/A' END AS pred_type, row_number() OVER (PARTITION BY type_correct ORDER BY sample_id) AS ord
   FROM detailed d JOIN labels_ l USING (sample_id))
 WHERE ord <= 3"""
 

@@ -85,5 +85,5 @@ def render_eval_report(table: DataFrame | list[dict], samples: DataFrame | list[
             out += ["", title]
             for r in sorted((r for r in srows if r["type_correct"] == flag), key=lambda r: r["ord"]):
                 out += ["", f"Example {r['ord']}:", f"Input: {r['user_input']}",
-                        f"True Type: {r['true_label']}", f"Predicted Type: {r['pred_label']}"]
+                        f"True Type: {r['true_type']}", f"Predicted Type: {r['pred_type']}"]
     return "\n".join(out) + "\n"

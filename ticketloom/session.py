@@ -17,6 +17,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -35,6 +36,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def ensure_settings(spark: SparkSession) -> None:
+    """The one SQL setting that results depend on, for sessions that were not
+    made by ``build_session``: repeated keys in nested JSON keep the last
+    value, as in Python."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 

@@ -24,14 +24,23 @@ def scoring_stream(stream: DataFrame, model_factory: ModelFactory, text_col: str
 
 
 def run_available(spark: SparkSession, source_path: str, schema: str, model_factory: ModelFactory,
-                  text_col: str, out_path: str, checkpoint: str, where: str | None = None) -> DataFrame:
+                  text_col: str, out_path: str, checkpoint: str, where: str | None = None,
+                  max_files_per_trigger: int | None = 1000, max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Processes everything available in ``source_path`` (trigger
-    availableNow), waits, and returns the sink folder as a DataFrame."""
-    src = spark.readStream.schema(schema).parquet(source_path)
+    availableNow), waits, and returns the sink folder as a DataFrame.  A
+    backlog is worked off in batches of ``max_files_per_trigger`` files (or
+    ``max_bytes_per_trigger``), each committed by itself."""
+    reader = spark.readStream.schema(schema)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(source_path)
     if where:
         src = src.where(where)
-    q = (scoring_stream(src, model_factory, text_col).writeStream.format("parquet")
+    scored = scoring_stream(src, model_factory, text_col)
+    q = (scored.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start(out_path))
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return spark.read.schema(scored.schema).parquet(out_path)
