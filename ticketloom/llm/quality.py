@@ -41,6 +41,16 @@ def _dictionary(texts: list[str]) -> bytes:
         return b"".join(chunks)[-DICT_BYTES:]
 
 
+def _own_lines(taught: list[tuple]) -> list[tuple]:
+    """The taught texts without the lines that several different ones share: a passage found in many
+    documents tells nothing about the class of one, however well a dictionary holds it."""
+    seen: dict[str, int] = {}
+    for text in {t for _, _, t in taught}:
+        for line in set(text.split("\n")):
+            seen[line] = seen.get(line, 0) + 1
+    return [(y, i, "\n".join(x for x in t.split("\n") if seen[x] == 1)) for y, i, t in taught]
+
+
 def _compressor(content: bytes):
     kind = zstandard.DICT_TYPE_AUTO
     options = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -108,6 +118,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     # at most 2 * dictionary_rows ids, so this side is always small enough to broadcast
     taught = sorted(map(tuple, text.join(F.broadcast(chosen), "doc_id").select("y", "doc_id", "text")
                         .dropDuplicates(["doc_id"]).collect()))
+    taught = _own_lines(taught)
     dictionaries = spark.sparkContext.broadcast([_dictionary([t for c, _, t in taught if c == y]) for y in (0, 1)])
     rows = materialize(text.mapInArrow(_features(dictionaries), "doc_id bigint, d double, r double, n double"))
     sample = known.where(~F.col("even")).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(calibration_rows)
