@@ -77,7 +77,8 @@ def check_ratios(r1: float, r2: float, r3: float) -> str | None:
 
 
 def split_three_way(samples: DataFrame, id_cols: list[str], ratios=SPLIT_RATIOS,
-                    seed: int = SEED, extra_test: DataFrame | None = None) -> DataFrame:
+                    seed: int = SEED, extra_test: DataFrame | None = None,
+                    digits: int = R.DEFAULT_DIGITS) -> DataFrame:
     """train = first int(n*r1) rows in hash order, validation the next
     int(n*r2), test the rest (r3 unused); ``extra_test`` rows (the
     out-of-domain set) are appended to test (U2)."""
@@ -91,7 +92,7 @@ def split_three_way(samples: DataFrame, id_cols: list[str], ratios=SPLIT_RATIOS,
         return [train_end, train_end + int(n * r2)]
 
     out, _, _ = R.segments(samples, R.hash_key(seed, *id_cols), list(id_cols), cuts,
-                           ["train", "validation", "test"], name="split")
+                           ["train", "validation", "test"], name="split", digits=digits)
     if extra_test is not None:
         out = out.unionByName(extra_test.withColumn("split", F.lit("test")), allowMissingColumns=True)
     return out

@@ -368,9 +368,10 @@ def q_balance_classes(spark, sf):
 
 @query("balance_orders")
 def q_balance_orders(spark, sf):
-    """B1 on a real table: orders balanced by priority, 3,000 per class."""
+    """B1 on a real table: orders balanced by priority, 3,000 per class, with
+    one-digit buckets, so that the cut buckets hold many rows."""
     o = read_table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
-    return SM.balance_classes(o, "o_orderpriority", "o_orderkey", 3000)
+    return SM.balance_classes(o, "o_orderpriority", "o_orderkey", 3000, digits=1)
 
 
 @query("balanced_distribution")
@@ -396,6 +397,14 @@ def q_split_three_way(spark, sf):
     return three_way(spark, sf).select("sample_id", "split")
 
 
+@query("split_orders")
+def q_split_orders(spark, sf):
+    """B3 on a real table, with one-digit hash prefixes: the cuts lie inside
+    prefixes that hold many rows."""
+    o = read_table(spark, sf, "orders", "o_orderkey")
+    return SM.split_three_way(o, ["o_orderkey"], FV.SPLIT_RATIOS, FV.SEED, digits=1)
+
+
 @query("split_distribution")
 def q_split_distribution(spark, sf):
     return SM.split_distribution(three_way(spark, sf))

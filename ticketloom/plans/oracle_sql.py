@@ -593,6 +593,13 @@ S3_ = with_(RAW_TICKETS, PARSED, CLEAN, RECORDS, OOD, THREE_WAY)
 
 ORACLE["split_three_way"] = S3_ + "SELECT sample_id, split FROM three_way"
 
+ORACLE["split_orders"] = f"""
+SELECT o_orderkey, CASE WHEN pos < t_end THEN 'train' WHEN pos < v_end THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY {_key('o_orderkey')}, o_orderkey) - 1 AS pos,
+             CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS t_end,
+             CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) + floor(count(*) OVER () * CAST(0.1 AS DOUBLE)) AS BIGINT) AS v_end
+      FROM orders)"""
+
 ORACLE["split_distribution"] = S3_ + """
 SELECT split, 'total' AS dim, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM three_way GROUP BY split
 UNION ALL SELECT split, 'ticket_type', COALESCE(ticket_type, 'unknown'), count(*) FROM three_way
