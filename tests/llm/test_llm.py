@@ -432,7 +432,7 @@ def test_pii_formats(spark):
     digits = [int(c) for c in reversed(g[12])]
     assert (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
     assert all(0 <= int(o) <= 255 for ip in g[13:15] for o in ip.split("."))
-    assert new.run == 0 and new.r == 5 and new.__row == 6                            # extra columns keep their values
+    assert new.run == 0 and new.r == 5 and new["__row"] == 6                            # extra columns keep their values
 
 
 def test_pii_people(spark):

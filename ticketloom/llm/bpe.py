@@ -19,17 +19,17 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, narrow_input, prepare, text_batches
+from ticketloom.llm.common import TEXTS, batch_texts, chained, documents, each_row, narrow_input, prepare, text_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BATCH_BYTES, OUT_BYTES = 16_000_000, 8_000_000
+BATCH_BYTES, OUT_BYTES = 8_000_000, 4_000_000
 PART_BYTES, LEAST_PARTS = 8_000_000, 64        # of text for each hash range
 NONE = (1 << 31) - 1                    # no such pair
 BITS = 20                               # of an id in the fold's state
@@ -160,48 +160,43 @@ def tables(ranks: dict[bytes, int]) -> Column:
 
 
 class Words:
-    """The distinct words of some texts, in the order of their first places, and what each text is
-    made of."""
+    """The distinct words of some texts, sorted, and the words of each distinct unit."""
 
     def __init__(self, texts: list[str], pattern):
-        self.words: dict[str, int] = {}
-        self.units: list[tuple[int, ...]] = []
-        inner, first = {}, {}                   # units that lost a space, and units that begin a text
-        self.refs = []
+        inner, first = set(), set()             # units that lost a space, and units that begin a text
         for text in texts:
             cut = units(text)
-            own = list(map(inner.get, cut))
-            own[0] = first.get(cut[0])
-            if own[0] is None:
-                own[0] = first[cut[0]] = self._add(pattern.findall(cut[0]))
-            if None in own:
-                for k, unit in enumerate(cut):
-                    if own[k] is None:
-                        if unit not in inner:
-                            inner[unit] = self._add(self._matches(unit, pattern))
-                        own[k] = inner[unit]
-            self.refs.append(np.array(own, np.int32))
-        self.spelled = [w.encode() for w in self.words]
-
-    @staticmethod
-    def _matches(unit, pattern):
-        if unit.isalpha():                      # letters alone, or before one full stop or comma: plain matches
-            return (" " + unit,)
-        if unit[-1:] in ".," and unit[:-1].isalpha():
-            return " " + unit[:-1], unit[-1]
-        return pattern.findall(" " + unit)
-
-    def _add(self, matches):
-        words = self.words
-        self.units.append(tuple([words.setdefault(w, len(words)) for w in matches]))
-        return len(self.units) - 1
-
-    def by_part(self, parts: int) -> list[tuple[int, np.ndarray]]:
-        """Places of the words of each part of the hash space, ascending."""
-        part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.spelled], np.int64)
+            first.add(cut[0])
+            inner.update(cut[1:])
+        # letters alone, or before one full stop or comma, are plain matches of the pattern
+        self.plain = [u for u in inner if u.isalpha()]
+        self.ended = [u for u in inner if u[-1:] in (".", ",") and u[:-1].isalpha()]
+        inner.difference_update(self.plain, self.ended)
+        self.other = {u: pattern.findall(" " + u) for u in inner}
+        self.first = {u: pattern.findall(u) for u in first}
+        words = {" " + u for u in self.plain}
+        words.update(" " + u[:-1] for u in self.ended)
+        words.update(u[-1] for u in self.ended)
+        for found in (self.other, self.first):
+            for matches in found.values():
+                words.update(matches)
+        self.words = sorted(words)
+
+    def by_part(self, parts: int) -> list[tuple[int, list[bytes], np.ndarray]]:
+        """Each part of the hash space that has words: its number, they, and their places."""
+        spelled = [w.encode() for w in self.words]
+        part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in spelled], np.int64)
         order = np.argsort(part, kind="stable")
         cut = np.flatnonzero(np.diff(part[order])) + 1
-        return [(int(part[p[0]]), p) for p in np.split(order, cut)] if len(order) else []
+        return [(int(part[p[0]]), [spelled[k] for k in p.tolist()], p) for p in np.split(order, cut)] if len(order) else []
+
+    def of_units(self, values: list[bytes]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Bytes of each unit (those that lost a space; those that begin a text) from those of its words."""
+        of = dict(zip(self.words, values))
+        inner = {u: of[" " + u] for u in self.plain}
+        inner.update((u, of[" " + u[:-1]] + of[u[-1]]) for u in self.ended)
+        inner.update((u, b"".join([of[w] for w in m])) for u, m in self.other.items())
+        return inner, {u: b"".join([of[w] for w in m]) for u, m in self.first.items()}
 
 
 def _pack(*arrays) -> bytes:
@@ -227,8 +222,8 @@ def _send(pattern_text, parts):
         pattern = regex.compile(pattern_text)
         for row in each_row(batches, ["batch", "doc_ids", "sizes", "body"]):
             words = Words([t.decode() for t in batch_texts(row)], pattern)
-            cells = [(part, _pack(np.array([len(words.spelled[k]) for k in places], np.uint32).tobytes(),
-                                  b"".join([words.spelled[k] for k in places]))) for part, places in words.by_part(parts)]
+            cells = [(part, _pack(np.array([len(w) for w in own], np.uint32).tobytes(), b"".join(own)))
+                     for part, own, _ in words.by_part(parts)]
             if cells:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[0] for c in cells], pa.int64()), pa.array([row["batch"]] * len(cells), pa.int64()),
@@ -259,7 +254,7 @@ def _return(batches):
         for k in range(batch.num_rows):
             found = batch.column("encoded")[k].values
             ids, plain = found.field("ids"), found.field("plain")
-            n_ids, n_plain = np.asarray(ids.value_lengths()).astype(np.uint32), np.asarray(pa.compute.binary_length(plain)).astype(np.uint32)
+            n_ids, n_plain = np.asarray(ids.value_lengths()).astype(np.uint32), np.asarray(pc.binary_length(plain)).astype(np.uint32)
             own_ids = _slices(np.asarray(ids.flatten()).astype("<u4").tobytes(), n_ids * 4)
             own_plain = plain.to_pylist()
             rows = [[], []]
@@ -278,27 +273,36 @@ def _assemble(pattern_text, parts):
     def run(batches):
         pattern = regex.compile(pattern_text)
         for row in each_row(batches, ["doc_ids", "sizes", "body", "found"]):
-            words = Words([t.decode() for t in batch_texts(row)], pattern)
-            answers = {x["part"]: x["body"] for x in row["found"] or []}
-            encoded, decoded = [b""] * len(words.spelled), [b""] * len(words.spelled)
-            for part, places in words.by_part(parts):
+            texts = [t.decode() for t in batch_texts(row)]
+            del row["body"]
+            words = Words(texts, pattern)
+            answers = {x["part"]: x["body"] for x in row.pop("found") or []}
+            encoded, decoded = [b""] * len(words.words), [b""] * len(words.words)
+            for part, _, places in words.by_part(parts):
                 n_ids, ids, n_plain, plain = _unpack(answers.pop(part), 4)
                 for k, a, b in zip(places.tolist(), _slices(ids, np.frombuffer(n_ids, np.uint32) * 4),
                                    _slices(plain, np.frombuffer(n_plain, np.uint32))):
                     encoded[k], decoded[k] = a, b
-            ids = [encoded[u[0]] if len(u) == 1 else b"".join([encoded[w] for w in u]) for u in words.units]
-            plain = [decoded[u[0]] if len(u) == 1 else b"".join([decoded[w] for w in u]) for u in words.units]
-            out, size = ([], [], []), 0
-            for doc, refs in zip(row["doc_ids"], words.refs):
-                own = refs.tolist()
-                for column, value in zip(out, (doc, b"".join([ids[r] for r in own]), b"".join([plain[r] for r in own]))):
+
+            def whole(values):
+                inner, first = words.of_units(values)
+                for text in texts:
+                    cut = units(text)
+                    yield first[cut[0]] + b"".join(map(inner.__getitem__, cut[1:]))
+
+            out = list(whole(encoded))
+            del encoded
+            rows, size = ([], [], []), 0
+            for k, plain in enumerate(whole(decoded)):
+                for column, value in zip(rows, (row["doc_ids"][k], out[k], plain)):
                     column.append(value)
-                size += len(out[1][-1]) + len(out[2][-1])
+                size += len(out[k]) + len(plain)
+                out[k] = b""
                 if size > OUT_BYTES:
-                    yield _rows(*out)
-                    out, size = ([], [], []), 0
-            if out[0]:
-                yield _rows(*out)
+                    yield _rows(*rows)
+                    rows, size = ([], [], []), 0
+            if rows[0]:
+                yield _rows(*rows)
     return run
 
 
@@ -314,7 +318,9 @@ def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str = publ
 
     Null text is empty text, with no ids.  Repeated rows and ids are rows like others; extra
     columns are left out.  ``ranks`` (at most 2**20 tokens, all single bytes among them) must be
-    such that every token is made by merges of lower rank, as BPE training gives; else it raises."""
+    such that every token is made by merges of lower rank, as BPE training gives; else it raises.
+    ``docs`` is read more than once: it must be a scan of files, or checkpointed, so that a repeated
+    read gives the same partitions."""
     spark = docs.sparkSession
     prepare(spark)
     if max(ranks.values()) > MASK:
@@ -325,7 +331,8 @@ def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str = publ
     while parts * PART_BYTES < size:
         parts *= 2
     batches = text.mapInArrow(text_batches(batch_bytes), TEXTS)
-    words = batches.mapInArrow(_send(pattern, parts), "part bigint, batch bigint, body binary").groupBy("part").applyInArrow(_distinct, PART)
+    words = (text.mapInArrow(chained(text_batches(batch_bytes), _send(pattern, parts)), "part bigint, batch bigint, body binary")
+             .groupBy("part").applyInArrow(_distinct, PART))
     known = F.struct(tables(ranks).alias("t"), F.col("words").alias("words"))
     encoded = _let(known, lambda v: F.transform(v["words"], lambda w: _let(encode_word(v["t"], w), lambda ids: F.struct(
         ids.alias("ids"), decode_ids(v["t"], ids).alias("plain")))))

@@ -77,20 +77,31 @@ def text_batches(limit: int) -> Callable[[Iterator], Iterator]:
                 ["batch", "doc_ids", "sizes", "body"])
 
         for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                data = text.encode()
-                if texts and size + len(data) > limit:
-                    yield row()
-                    number += 1
-                    ids, texts, size = [], [], 0
-                ids.append(i)
-                texts.append(data)
-                size += len(data)
+            for k in range(0, batch.num_rows, 256):        # few texts at a time as Python strings
+                part = batch.slice(k, 256)
+                for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                    data = text.encode()
+                    if texts and size + len(data) > limit:
+                        yield row()
+                        number += 1
+                        ids, texts, size = [], [], 0
+                    ids.append(i)
+                    texts.append(data)
+                    size += len(data)
         if texts:
             yield row()
     return run
 
 
+def chained(*steps: Callable) -> Callable[[Iterator], Iterator]:
+    """Some ``mapInArrow`` functions as one, so that they share a Python worker's memory."""
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        return batches
+    return run
+
+
 def batch_texts(row: dict) -> list[bytes]:
     """The texts of a ``TEXTS`` row."""
     body = zstandard.ZstdDecompressor().decompress(row["body"]) if sum(row["sizes"]) else b""
@@ -106,3 +117,4 @@ def each_row(batches: Iterator, columns: list[str]) -> Iterator[dict]:
     for batch in batches:
         for k in range(batch.num_rows):
             yield {c: batch.column(c)[k].as_py() for c in columns}
+            pa.default_memory_pool().release_unused()      # what a large row took is given back

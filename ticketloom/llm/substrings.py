@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, narrow_input, prepare, text_batches
+from ticketloom.llm.common import TEXTS, batch_texts, chained, documents, each_row, narrow_input, prepare, text_batches
 
 WINDOW = 20
 BATCH_BYTES = 3_000_000
@@ -241,7 +241,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Earlier is a smaller id, or the same document and an earlier start; rows that repeat an id
     come in the order in which they are read, and null ids after all others.  Words are what ASCII
     white space separates; null and empty texts have none, and texts of fewer than ``window`` words
-    lose none.  Extra columns are left out."""
+    lose none.  Extra columns are left out.  ``docs`` is read more than once: it must be a scan of
+    files, or checkpointed, so that a repeated read gives the same partitions."""
     spark = docs.sparkSession
     prepare(spark)
     if window < 2 or window % 2:
@@ -256,7 +257,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def by_batch(bits, name):
         return bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias(name))
 
-    hits = by_batch(batches.mapInArrow(_probes(window, parts), CELL).groupBy("part").applyInArrow(_hits, BITS), "hits")
+    probes = text.mapInArrow(chained(text_batches(batch_bytes), _probes(window, parts)), CELL)
+    hits = by_batch(probes.groupBy("part").applyInArrow(_hits, BITS), "hits")
     hit = batches.join(hits, "batch", "left")
     firsts = by_batch(hit.mapInArrow(_candidates(window, parts), CELL).groupBy("part").applyInArrow(_firsts, BITS), "firsts")
     return hit.join(firsts, "batch", "left").mapInArrow(
