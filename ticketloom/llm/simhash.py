@@ -132,7 +132,7 @@ def simhash_links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """Links ``(a, b)`` that join all distinct fingerprints ``fp`` (bigint) within ``bits``."""
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a set number of partitions: what is small here is 66 times as large after the next step
-    variants = prints.select("fp").repartition(n, "fp").distinct().mapInArrow(_variants(bits // 2), "variant bigint, fp bigint")
+    variants = prints.select("fp").distinct().repartition(n, "fp").mapInArrow(_variants(bits // 2), "variant bigint, fp bigint")
     buckets = variants.repartition("variant").sortWithinPartitions("variant")
     return buckets.mapInArrow(_links(bits), "a bigint, b bigint").distinct()
 
