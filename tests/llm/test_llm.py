@@ -147,6 +147,31 @@ def test_kneser_ney_ratios_by_hand(spark):
     assert rest[ord("a")] == pytest.approx(np.log((0.75 * 1 / 2) / (0.75 * 2 / 4))) and rest[ord("c")] == pytest.approx(0)
 
 
+def test_toxicity_loses_no_n_gram(spark, monkeypatch):
+    """The numbers that the calibration is fitted on, from some 20,000 n-grams, against dictionaries of all ratios."""
+    rng = random.Random(5)
+    docs = [(i, "".join(rng.choices("abcdefghijklmn", k=4000))) for i in range(24)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    half = {r.doc_id: r.h for r in labels.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("h")).collect()}
+    keys = {i: toxicity.grams(toxicity.plain(t), 4).tolist() for i, t in docs if not held(i)}
+    counts = defaultdict(lambda: [0, 0])
+    for i in keys:
+        for g in keys[i] if half[i] == 0 else ():
+            counts[g][i % 2] += 1
+    tables = toxicity._ratios(spark.createDataFrame([(g, *n) for g, n in counts.items()], "gram long, n0 long, n1 long"), 4, 0.75)
+    of_gram, of_context = ({r.gram: r.ratio for r in t.collect()} for t in tables)
+    want = []
+    for i in keys:
+        if half[i] == 1:
+            v = sorted((of_gram.get(g, of_context.get(g >> 8, 0.0)) for g in keys[i]), reverse=True)
+            top = -(-len(v) // toxicity.PEAK)
+            want.append((sum(v) / len(v), sum(v[:top]) / top, np.log1p(len(v))))
+    fitted, fit = [], toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y: fitted.append(x) or fit(x, y))
+    toxicity.toxicity_scores(frame(spark, docs), labels)
+    assert len(want) > 3 and np.array(sorted(fitted[0][:, :3].tolist())) == pytest.approx(np.array(sorted(want)), abs=1e-6)
+
+
 # -- 2: byte-level BPE ---------------------------------------------------------------
 
 @pytest.fixture(scope="module")

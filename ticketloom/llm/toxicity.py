@@ -11,32 +11,35 @@ of the labelled rows; the final model counts them all.
 
 Counts cover all labelled rows that aren't held out, and whole texts.  Scoring looks up, for
 each position, the log ratio of its n-gram, or of the two discounts of its context if no class
-has the n-gram.  These ratios go to the executors in a table of a fixed number of slots
-(``GRAM_SLOTS``, ``CONTEXT_SLOTS``; 6 bytes a slot), so what is broadcast has a bound that
-doesn't depend on the corpus; of n-grams that meet in a slot the most frequent keeps it and the
-others count as unseen.
+has the n-gram.  These ratios stay a table, dealt out by a hash of the context: batches of texts
+send their distinct n-grams to the hash ranges and get the ratios back, so every n-gram counts
+however many there are, and nothing of the table goes to the driver or to all executors.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.calibration import apply_logistic, fit_logistic
-from ticketloom.llm.common import documents, held_out, materialize, narrow_input, prepare
+from ticketloom.llm.common import (
+    TEXTS, batch_texts, chained, documents, each_row, held_out, materialize, narrow_input, prepare, text_batches)
 
 ORDER, DISCOUNT = 4, 0.75
 PEAK = 50                                 # one in so many positions makes the peak
-GRAM_SLOTS, CONTEXT_SLOTS = 20, 18        # as powers of two
+BATCH_BYTES = 16_000_000                  # of text that looks up its n-grams at once
+PART_BYTES, PART_GRAMS, LEAST_PARTS = 64_000_000, 1 << 19, 64     # of text, and n-grams, for each hash range
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 STEP = 1 << 18                            # bytes of text worked on at a time
 
 
-def plain(text: str) -> bytes:
-    return b" " + b" ".join(text.encode().lower().split()) + b" "
+def plain(text: str | bytes) -> bytes:
+    data = text if isinstance(text, bytes) else text.encode()
+    return b" " + b" ".join(data.lower().split()) + b" "
 
 
 def grams(data: bytes, order: int) -> np.ndarray:
@@ -100,7 +103,7 @@ def _count(order):
 
 
 def _ratios(counts: DataFrame, order: int, discount: float) -> tuple[DataFrame, DataFrame]:
-    """``(gram, weight, ratio)`` of every n-gram and of every context of ``order - 1`` bytes."""
+    """``(gram, ratio)`` of every n-gram and of every context of ``order - 1`` bytes."""
     def low(size):
         return (1 << (8 * size)) - 1
 
@@ -132,63 +135,110 @@ def _ratios(counts: DataFrame, order: int, discount: float) -> tuple[DataFrame,
     for c in ("0", "1"):
         seen = F.when(F.col("t" + c) > 0, F.greatest(F.col("n" + c) - discount, F.lit(0.0)) / F.col("t" + c)).otherwise(F.lit(0.0))
         full = full.withColumn("p" + c, seen + F.col("l" + c) * F.col("p"))
-    of_gram = full.select("gram", (F.col("n0") + F.col("n1")).alias("weight"), F.log(F.col("p1") / F.col("p0")).alias("ratio"))
-    of_context = full.groupBy("context").agg(F.max(F.col("t0") + F.col("t1")).alias("weight"), F.max(F.log(F.col("l1") / F.col("l0"))).alias("ratio"))
+    of_gram = full.select("gram", F.log(F.col("p1") / F.col("p0")).alias("ratio"))
+    of_context = full.groupBy("context").agg(F.max(F.log(F.col("l1") / F.col("l0"))).alias("ratio"))
     return of_gram, of_context.withColumnRenamed("context", "gram")
 
 
-def _place(keys: np.ndarray, power: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and 16-bit tag of each key."""
-    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def _part(contexts: np.ndarray, parts: int) -> np.ndarray:
+    """Hash range of each context."""
+    h = contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - power)).astype(np.int64), ((h >> np.uint64(64 - power - 16)) & np.uint64(0xFFFF)).astype(np.uint16)
+    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
 
-def _slots(power):
+def _dealt(parts, shift):
+    """Ratios with their hash range; ``shift`` is 8 for n-grams and 0 for contexts."""
     def run(batches):
         for batch in batches:
-            slot, tag = _place(batch.column("gram").to_numpy(), power)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(tag.astype(np.int64)), batch.column("weight"),
-                                              batch.column("gram"), batch.column("ratio")],
-                                             ["slot", "tag", "weight", "gram", "ratio"])
+            part = _part(batch.column("gram").to_numpy() >> shift, parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), shift > 0)), batch.column("gram"),
+                                              batch.column("ratio")], ["part", "whole", "gram", "ratio"])
     return run
 
 
-def _table(ratios: DataFrame, power: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dense arrays (tag, ratio) of ``2 ** power`` slots; at most one row a slot reaches the driver."""
-    rows = (ratios.mapInArrow(_slots(power), "slot bigint, tag bigint, weight bigint, gram bigint, ratio double")
-            .groupBy("slot").agg(F.max(F.struct("weight", "gram", "tag", "ratio")).alias("top"))
-            .select("slot", "top.tag", "top.ratio").toPandas())
-    tag, ratio = np.zeros(1 << power, np.uint16), np.zeros(1 << power, np.float32)
-    filled = np.zeros(1 << power, bool)
-    filled[rows["slot"]], tag[rows["slot"]], ratio[rows["slot"]] = True, rows["tag"], rows["ratio"]
-    tag[~filled], ratio[~filled] = 0, np.nan
-    return tag, ratio
+def _pack(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
 
 
-def _means(tables, order):
+def _unpack(body: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(body), kind)
+
+
+def _ask(order, parts):
+    """``(part, batch, grams)`` of each batch of texts: its distinct n-grams by hash range."""
     def run(batches):
-        (gram_tag, gram_ratio), (context_tag, context_ratio), powers = tables.value
-        for batch in batches:
-            total, size, peak = np.zeros((3, batch.num_rows))
-            for number, sizes, keys in blocks(batch.column("text").to_pylist(), order):
-                slot, tag = _place(keys, powers[0])
-                value = np.where(gram_tag[slot] == tag, gram_ratio[slot], np.float32(np.nan))
-                gap = np.flatnonzero(np.isnan(value))
-                slot, tag = _place(keys[gap] >> 8, powers[1])
-                value[gap] = np.where(context_tag[slot] == tag, np.nan_to_num(context_ratio[slot]), 0)
+        for row in each_row(batches, ["batch", "sizes", "body"]):
+            known, held, size = np.empty(0, np.int64), [], 0
+            for _, _, keys in blocks(batch_texts(row), order):
+                held.append(np.unique(keys))
+                size += len(held[-1])
+                if size > 4_000_000:
+                    known, held, size = np.unique(np.concatenate([known, *held])), [], 0
+            known = np.unique(np.concatenate([known, *held]))
+            part = _part(known >> 8, parts)
+            by = np.argsort(part, kind="stable")
+            cells = np.split(known[by], np.flatnonzero(np.diff(part[by])) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.unique(part)), pa.array([row["batch"]] * len(cells), pa.int64()),
+                 pa.array([_pack(c) for c in cells], pa.binary())], ["part", "batch", "grams"])
+    return run
+
+
+def _answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+    """``(batch, grams, ratios)``: each n-gram's ratio, or its context's, or zero."""
+    whole = table.column("whole").to_numpy().astype(bool)
+    grams_, ratio = table.column("gram").to_numpy(), table.column("ratio").to_numpy().astype(np.float32)
+
+    def side(mask):
+        by = np.argsort(grams_[mask])
+        return np.append(grams_[mask][by], -1), np.append(ratio[mask][by], np.float32(0))
+
+    (gram, of_gram), (context, of_context) = side(whole), side(~whole)
+    ratios = []
+    for body in asked.column("grams").to_pylist():
+        keys = _unpack(body, np.int64)
+        at, under = np.searchsorted(gram[:-1], keys), np.searchsorted(context[:-1], keys >> 8)
+        ratios.append(_pack(np.where(gram[at] == keys, of_gram[at], np.where(context[under] == keys >> 8, of_context[under], np.float32(0)))))
+    return pa.table({"batch": asked.column("batch"), "grams": asked.column("grams"), "ratios": pa.array(ratios, pa.binary())})
+
+
+def _means(order):
+    def run(batches):
+        for row in each_row(batches, ["doc_ids", "sizes", "body", "found"]):
+            found = row.pop("found") or []
+            grams_ = np.concatenate([_unpack(x["grams"], np.int64) for x in found])
+            by = np.argsort(grams_)
+            grams_, ratios = grams_[by], np.concatenate([_unpack(x["ratios"], np.float32) for x in found])[by]
+            total, size, peak = np.zeros((3, len(row["doc_ids"])))
+            for number, sizes, keys in blocks(batch_texts(row), order):
+                at = np.minimum(np.searchsorted(grams_, keys), len(grams_) - 1)
+                if (grams_[at] != keys).any():
+                    raise RuntimeError("the documents changed between two reads")
+                value = ratios[at]
                 np.add.at(total, number, np.add.reduceat(value.astype(np.float64), np.concatenate([[0], np.cumsum(sizes)[:-1]])))
                 np.add.at(size, number, sizes)
                 for i, part in zip(number.tolist(), np.split(value, np.cumsum(sizes)[:-1])):
                     top = -(-len(part) // PEAK)
                     peak[i] += len(part) * np.partition(part, len(part) - top)[len(part) - top:].mean(dtype=np.float64)
-            size = np.maximum(size, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (total / size, peak / size, np.log1p(size)))],
+            yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), *map(pa.array, (total / size, peak / size, np.log1p(size)))],
                                              ["doc_id", "m", "k", "n"])
     return run
 
 
+def _looked_up(text: DataFrame, ratios: tuple[DataFrame, DataFrame], order: int, parts: int, batch_bytes: int) -> DataFrame:
+    """``doc_id, m, k, n`` of each text: mean ratio, mean of the peak, log length."""
+    kind = "part bigint, whole boolean, gram bigint, ratio double"
+    of_gram, of_context = ratios
+    table = of_gram.mapInArrow(_dealt(parts, 8), kind).unionByName(of_context.mapInArrow(_dealt(parts, 0), kind))
+    asked = text.mapInArrow(chained(text_batches(batch_bytes), _ask(order, parts)), "part bigint, batch bigint, grams binary")
+    found = (asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_answer, "batch bigint, grams binary, ratios binary")
+             .groupBy("batch").agg(F.collect_list(F.struct("grams", "ratios")).alias("found")))
+    return (text.mapInArrow(text_batches(batch_bytes), TEXTS).join(found, "batch", "left")
+            .mapInArrow(_means(order), "doc_id bigint, m double, k double, n double"))
+
+
 def design(m: np.ndarray, k: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.column_stack([m, k, n, m * n, k * n, n * n])
 
@@ -204,15 +254,15 @@ def _score(model):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", order: int = ORDER, discount: float = DISCOUNT,
                     threshold: float = THRESHOLD, calibration_rows: int = CALIBRATION_ROWS,
-                    gram_slots: int = GRAM_SLOTS, context_slots: int = CONTEXT_SLOTS) -> DataFrame:
+                    batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row; ``score`` says how likely label 1 is.
 
     Only labelled rows that aren't held out are learned from; a null label or id teaches
     nothing and a repeated id's labels count once (the largest).  Null and empty texts get the
     score of an empty text.  Without labels every score is 0.5; with one class only, its
-    smoothed share."""
-    spark = docs.sparkSession
-    prepare(spark)
+    smoothed share.  ``docs`` is read more than once: it must be a scan of files, or checkpointed,
+    so that a repeated read gives the same partitions."""
+    prepare(docs.sparkSession)
     text = narrow_input(docs, id_col, text_col)
     known = materialize(labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
                         .groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")))
@@ -223,19 +273,19 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     counts = materialize(taught.mapInArrow(_count(order), "gram bigint, " + ", ".join(f"{c} bigint" for c in parts))
                          .groupBy("gram").agg(*(F.sum(c).alias(c) for c in parts)))
 
-    def model_of(n0, n1):
-        of_gram, of_context = _ratios(counts.select("gram", F.col(n0).alias("n0"), F.col(n1).alias("n1"))
-                                      .where("n0 + n1 > 0"), order, discount)
-        return spark.sparkContext.broadcast((_table(of_gram, gram_slots), _table(of_context, context_slots),
-                                             (gram_slots, context_slots)))
+    taken = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(LEAST_PARTS, -(-taken // PART_BYTES), -(-counts.count() // PART_GRAMS))
+
+    def looked_up(texts, n0, n1):
+        mine = counts.select("gram", F.col(n0).alias("n0"), F.col(n1).alias("n1")).where("n0 + n1 > 0")
+        return _looked_up(texts, _ratios(mine, order, discount), order, parts, batch_bytes)
 
-    numbers = "doc_id bigint, m double, k double, n double"
     sample = known.where(half == 1).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(calibration_rows)
-    fit = (text.join(F.broadcast(sample.select("doc_id")), "doc_id").mapInArrow(_means(model_of("h0", "h1"), order), numbers)
+    sample = materialize(sample)
+    fit = (looked_up(text.join(F.broadcast(sample.select("doc_id")), "doc_id"), "h0", "h1")
            .join(F.broadcast(sample), "doc_id").toPandas())
     model = fit_logistic(design(*(fit[c].to_numpy(float) for c in "mkn")), fit["y"].to_numpy(float))
-    rows = text.mapInArrow(_means(model_of("n0", "n1"), order), numbers)
-    scored = rows.mapInArrow(_score(model), "doc_id bigint, score double")
+    scored = looked_up(text, "n0", "n1").mapInArrow(_score(model), "doc_id bigint, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
