@@ -244,6 +244,30 @@ def test_embedding_links(spark, part):
     assert embeddings.embedding_dedup(df.limit(0)).isEmpty()
 
 
+def test_embedding_groups_are_bounded_on_both_sides(spark, monkeypatch):
+    """A tight cluster of 400 different vectors, all linked, in groups of about 40 by 40."""
+    rng = np.random.default_rng(3)
+    rows = [(k, (np.ones(8) + rng.normal(0, 0.01, 8)).tolist(), "a") for k in range(400)]
+    linked = embeddings._linked
+
+    def bounded(*args):
+        run = linked(*args)
+
+        def checked(key, base, probe):
+            assert base.num_rows <= 100 and probe.num_rows <= 100, (base.num_rows, probe.num_rows)
+            return run(key, base, probe)
+        return checked
+    monkeypatch.setattr(embeddings, "_linked", bounded)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = embeddings.embedding_dedup(df, list_rows=40).collect()
+    assert len(got) == 400 and {(r.n_links, r.component_id) for r in got} == {(399, 0)}
+
+
+def test_embedding_lists_grow_with_the_vectors():
+    x = embeddings.unit([v.tobytes() for v in np.random.default_rng(4).normal(size=(2500, 4))])
+    assert [len(embeddings.fit(x, n)["centroids"]) for n in (10_000, 6_000_000)] == [50, 1225]
+
+
 def test_embedding_query_loses_no_link(spark):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in table("embeddings")]
     got = E.queries()["op3_embedding_dedup"](spark, SF01).collect()

@@ -2,7 +2,8 @@
 
 Equal vectors of a label are collapsed first.  The distinct ones, scaled to length one, go to
 coarse inverted lists, and their residuals to codes of a codebook per subspace; the centroids and
-codebooks are fitted on a bounded sample (``SAMPLE`` vectors), every vector is indexed.
+codebooks are fitted on a sample (``SAMPLE`` vectors, or four for each list if that is more), every
+vector is indexed.  The lists are as many as half the root of the vectors.
 
 For unit vectors, cosine >= t means distance <= d = sqrt(2 - 2t).  A vector probes each list whose
 cell can hold a vector so near, so probes always suffice:  if y lies in the list of c and x in that
@@ -10,8 +11,8 @@ of a, |x-c|^2 - |x-a|^2 <= 2 d |c-a|.  In a list, asymmetric table-lookup distan
 leave the vectors whose distance may be <= d given their own quantisation error, which is stored
 with the code; so no link is lost there either.  What is left is reranked by the exact cosine.
 
-A list over ``LIST_ROWS`` rows is split into parts that its probes all visit.  A task reports, for
-its part, the number of links of each vector and a forest of them, never all pairs.
+A list over ``LIST_ROWS`` rows is split into parts, and its probes, if they are more, into blocks; every
+part meets every block, so a group is bounded on both sides.  A task reports, for its group, the number of links of each vector and a forest of them, never all pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from ticketloom.llm.common import attach, documents, materialize, partition_id,
 from ticketloom.llm.components import components
 
 THRESHOLD = 0.98
-SAMPLE, MOST_LISTS, SUBSPACES, CODES, ROUNDS = 20_000, 1024, 8, 256, 8
+SAMPLE, SUBSPACES, CODES, ROUNDS = 20_000, 8, 256, 8
 LIST_ROWS = 4096
 SLACK = 1e-7           # for rounding; the exact cosine decides
 
@@ -61,11 +62,21 @@ def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :], 0)
 
 
+def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each vector."""
+    step = max(1, (1 << 22) // len(c))
+    return np.concatenate([_distances(x[k:k + step], c).argmin(1) for k in range(0, len(x), step)] or [np.empty(0, np.int64)])
+
+
+def n_lists(n_vectors: int) -> int:
+    return max(1, round(n_vectors ** 0.5 / 2))
+
+
 def kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(ROUNDS):
-        own = _distances(x, c).argmin(1)
+        own = nearest(x, c)
         n = np.bincount(own, minlength=len(c))
         total = np.zeros_like(c)
         np.add.at(total, own, x)
@@ -75,8 +86,8 @@ def kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
 
 def fit(x: np.ndarray, n_vectors: int) -> dict:
     """Centroids and one codebook per subspace, of unit vectors of one dimension."""
-    centroids = kmeans(x, int(min(MOST_LISTS, max(1, round(n_vectors ** 0.5 / 2)))), 1)
-    residual = x - centroids[_distances(x, centroids).argmin(1)]
+    centroids = kmeans(x, n_lists(n_vectors), 1)
+    residual = x - centroids[nearest(x, centroids)]
     cuts = np.linspace(0, x.shape[1], min(SUBSPACES, x.shape[1]) + 1).astype(int)
     books = [kmeans(residual[:, a:b], CODES, 2 + k) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
     return {"centroids": centroids, "cuts": cuts, "books": books}
@@ -84,11 +95,11 @@ def fit(x: np.ndarray, n_vectors: int) -> dict:
 
 def encode(model: dict, x: np.ndarray):
     """List, code and quantisation error of each vector."""
-    own = _distances(x, model["centroids"]).argmin(1)
+    own = nearest(x, model["centroids"])
     residual = x - model["centroids"][own]
     codes, error = np.empty((len(x), len(model["books"])), np.uint8), np.zeros(len(x))
     for k, (a, b, book) in enumerate(zip(model["cuts"], model["cuts"][1:], model["books"])):
-        codes[:, k] = _distances(residual[:, a:b], book).argmin(1)
+        codes[:, k] = nearest(residual[:, a:b], book)
         error += ((residual[:, a:b] - book[codes[:, k]]) ** 2).sum(1)
     return own, codes, np.sqrt(error)
 
@@ -98,7 +109,7 @@ def probes(model: dict, x: np.ndarray, own: np.ndarray, reach: float):
     (The lists before it probe this one.)"""
     c = model["centroids"]
     d = _distances(x, c)
-    gap = np.sqrt(_distances(c, c))[own]
+    gap = np.sqrt(_distances(c[own], c))
     near = d - d[np.arange(len(x)), own][:, None] <= 2 * reach * gap + SLACK
     near[np.arange(len(x)), own] = True
     near &= np.arange(len(c))[None, :] >= own[:, None]
@@ -119,7 +130,7 @@ def _indexed(models):
     return run
 
 
-def _probing(models, reach):
+def _probing(models, reach, places_only=False):
     def run(batches):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
@@ -129,6 +140,9 @@ def _probing(models, reach):
                     rows = part.slice(k, 512)
                     x = unit(rows.column("vec").to_pylist())
                     i, lists = probes(models.value[int(dim)], x, rows.column("list").to_numpy(), reach)
+                    if places_only:
+                        yield rows.select(["label", "dim"]).take(pa.array(i)).append_column("list", pa.array(lists.astype(np.int64)))
+                        continue
                     yield rows.select(["label", "dim", "node", "n", "vec"]).take(pa.array(i)).append_column(
                         "probe", rows.column("list").take(pa.array(i))).append_column("list", pa.array(lists.astype(np.int64)))
     return run
@@ -220,17 +234,23 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     sizes = {r["dim"]: r["count"] for r in distinct.groupBy("dim").count().collect()}
     models = {}
     for dim, size in sizes.items():
-        taken = distinct.where(F.col("dim") == dim).orderBy(F.xxhash64("key"), "node").limit(sample).select("vec").collect()
+        taken = distinct.where(F.col("dim") == dim).orderBy(F.xxhash64("key"), "node").limit(max(sample, 4 * n_lists(size))).select("vec").collect()
         models[dim] = fit(unit([bytes(r["vec"]) for r in taken]), size)
     models = spark.sparkContext.broadcast(models)
     base = materialize(distinct.select("label", "dim", "node", "n", "vec").mapInArrow(
         _indexed(models), "label string, dim bigint, list bigint, node bigint, n bigint, vec binary, code binary, error double"))
     place = ["label", "dim", "list"]
     parts = base.groupBy(*place).agg(F.ceil(F.count("*") / list_rows).cast("bigint").alias("parts"))
-    spread = base.join(parts, place).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
+    blocks = (base.mapInArrow(_probing(models, reach, places_only=True), "label string, dim bigint, list bigint")
+              .groupBy(*place).agg(F.ceil(F.count("*") / list_rows).cast("bigint").alias("blocks")))
+    cells = materialize(parts.join(blocks, place))
+    # a list's part p and block q of its probes meet in the group (list, p, q)
+    spread = (base.join(cells, place).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("parts", "blocks"))
     probe = (base.mapInArrow(_probing(models, reach), "label string, dim bigint, node bigint, n bigint, vec binary, probe bigint, list bigint")
-             .join(parts, place).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
-    keys = [*place, "part"]
+             .join(cells, place).withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "blocks"))
+    keys = [*place, "part", "block"]
     found = materialize(spread.groupBy(*keys).cogroup(probe.groupBy(*keys)).applyInArrow(
         _linked(models, threshold, reach), "a bigint, b bigint, links bigint"))
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
