@@ -12,10 +12,12 @@ from ticketloom.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the classifier predicts to be bad (score under 0.5)."""
-    bad = (quality.quality_scores(docs, documents(spark, sf_dir, "labels")).where("predicted = 0")
-           .select("doc_id").where("doc_id IS NOT NULL").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Drops the rows whose text the classifier predicts to be bad (score under 0.5), whatever their
+    id: rows that share an id, or have none, are judged each by its own text."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    bad = (quality.quality_scores(numbered, documents(spark, sf_dir, "labels"), row_col="__row").where("predicted = 0")
+           .select(F.col("row").alias("__row")))
+    return numbered.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +28,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    gone = (simhash.simhash_dedup(docs).where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies: that of the smallest id (nulls last), and of rows
+    that share it, or if all ids are null, the first."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    gone = simhash.simhash_dedup(numbered, row_col="__row").where(~F.col("kept")).select(F.col("row").alias("__row"))
+    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -618,6 +618,28 @@ def test_repeated_rows_leave_one(spark, tmp_path):
     assert len(out) == len({re.sub(SPACE, "", t or "") for _, t in ODD})
 
 
+def test_stages_act_on_rows_not_on_ids(spark, tmp_path):
+    """Repeated and null ids with different texts: each row stays or goes by its own text."""
+    near = " ".join(f"word{k}" for k in range(200))
+    other = [" ".join(f"{c}{k * k}" for k in range(60)) for c in "xyz"]
+    rows = [(None, near + " a"), (None, near + " A"), (5, other[0]), (5, other[0] + " "), (3, other[1]), (4, other[1].upper()), (4, other[2])]
+    path = f"{tmp_path}/d.parquet"
+    spark.createDataFrame(rows, KIND).coalesce(1).write.parquet(path)
+    out = corpus_pipeline.simhash_duplicates(spark, spark.read.parquet(path), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(i), t) for i, t in (rows[0], rows[2], rows[4], rows[6]))
+
+    known = {r["doc_id"]: r["quality"] for r in table("labels")}
+    scored = {r.doc_id: r for r in E.queries()["op1_quality_classifier"](spark, SF01).collect()}
+    text = {r["doc_id"]: r["text"] for r in table("documents")}
+    good = max((i for i in text if known.get(i) == 1), key=lambda i: scored[i].score)
+    bad = min((i for i in text if known.get(i) == 0), key=lambda i: scored[i].score)
+    path = f"{tmp_path}/q.parquet"
+    more = [(-1, text[good]), (-1, text[bad]), (None, text[good]), (None, text[bad])]
+    spark.createDataFrame([(i, t) for i, t in text.items()] + more, KIND).coalesce(1).write.parquet(path)
+    out = corpus_pipeline.quality_classifier(spark, spark.read.parquet(path), SF01).where("doc_id IS NULL OR doc_id = -1").collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted([("-1", text[good]), ("None", text[good])])
+
+
 def test_text_batches_are_ordered_and_whole():
     import pyarrow as pa
     rows = [(3, "c"), (None, "n"), (1, "a"), (2, "é" * 10), (1, "b"), (5, "")]

@@ -31,10 +31,10 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def narrow_input(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def narrow_input(df: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
     """``(doc_id bigint, text string)``; further columns, whatever their names, are left out
-    and null texts count as empty."""
-    return df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    and null texts count as empty.  ``row_col`` names a bigint column that is kept as ``row``."""
+    return df.select(*([F.col(row_col).alias("row")] if row_col else []), F.col(id_col).cast("bigint").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 

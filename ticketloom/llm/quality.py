@@ -77,8 +77,9 @@ def _features(dictionaries):
         bad, good = (_compressor(c) for c in dictionaries.value)
         for batch in batches:
             rows = np.array([features(t, bad, good) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(rows[:, k]) for k in range(3))],
-                                             ["doc_id", "d", "r", "n"])
+            keep = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), *(pa.array(rows[:, k]) for k in range(3))],
+                                             [*keep, "d", "r", "n"])
     return run
 
 
@@ -91,23 +92,25 @@ def _score(model):
     def run(batches):
         for batch in batches:
             x = design(*(batch.column(c).to_numpy() for c in "drn"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(apply_logistic(model, x))],
-                                             ["doc_id", "score"])
+            keep = [c for c in batch.schema.names if c not in "drn"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(apply_logistic(model, x))], [*keep, "score"])
     return run
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "quality", dictionary_rows: int = DICTIONARY_ROWS,
-                   calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+                   calibration_rows: int = CALIBRATION_ROWS, row_col: str | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row; ``score`` says how likely label 1 is.
 
     Only labelled rows that aren't held out are learned from; a null label or id teaches
     nothing and a repeated id's labels count once (the largest).  The score depends on the
     text alone: null and empty texts get the score of an empty text, repeated rows the same
-    score.  Without labels every score is 0.5; with one class only, its smoothed share."""
+    score.  Without labels every score is 0.5; with one class only, its smoothed share.
+    ``row_col`` names a unique bigint column to be returned as ``row``, first."""
     spark = docs.sparkSession
     prepare(spark)
-    text = narrow_input(docs, id_col, text_col)
+    text = narrow_input(docs, id_col, text_col, row_col)
+    own = "row bigint, doc_id bigint" if row_col else "doc_id bigint"
     known = materialize(labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
                         .groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")))
     order = F.xxhash64("doc_id")
@@ -120,12 +123,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                         .dropDuplicates(["doc_id"]).collect()))
     taught = _own_lines(taught)
     dictionaries = spark.sparkContext.broadcast([_dictionary([t for c, _, t in taught if c == y]) for y in (0, 1)])
-    rows = materialize(text.mapInArrow(_features(dictionaries), "doc_id bigint, d double, r double, n double"))
+    rows = materialize(text.mapInArrow(_features(dictionaries), f"{own}, d double, r double, n double"))
     sample = known.where(~F.col("even")).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(calibration_rows)
     fit = rows.join(F.broadcast(sample.drop("even")), "doc_id").select("y", "d", "r", "n").toPandas()
     model = fit_logistic(design(*(fit[c].to_numpy(float) for c in "drn")), fit["y"].to_numpy(float))
-    scored = rows.mapInArrow(_score(model), "doc_id bigint, score double")
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+    scored = rows.mapInArrow(_score(model), f"{own}, score double")
+    return scored.select(*(["row"] if row_col else []), "doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 

@@ -48,9 +48,10 @@ def _fingerprints(size):
         part = partition_id()
         for batch in batches:
             prints = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64)
+            keep = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), part, np.int64))],
-                ["doc_id", "fp", "run"])
+                [*map(batch.column, keep), pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), part, np.int64))],
+                [*keep, "fp", "run"])
     return run
 
 
@@ -138,17 +139,20 @@ def simhash_links(prints: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  size: int = SHINGLE, bits: int = BITS) -> DataFrame:
+                  size: int = SHINGLE, bits: int = BITS, row_col: str | None = None) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each input row.
 
     Fingerprints of at most ``bits`` differing bits link; ``component_id`` is the smallest id
     reachable.  Texts without words (null too) have fingerprint zero and link like others;
     repeated rows share a fingerprint; null ids never are a component's smallest unless it
-    holds no other."""
+    holds no other.  ``row_col`` names a unique bigint column; with it ``row`` and ``kept`` are
+    returned too: exactly one row of a component is kept, the one of the smallest id (nulls last)
+    and of these the smallest row."""
     prepare(docs.sparkSession)
-    rows = materialize(narrow_input(docs, id_col, text_col)
-                       .mapInArrow(_fingerprints(size), "doc_id bigint, fp bigint, run bigint"))
-    smallest = rows.groupBy("run", "fp").agg(F.min("doc_id").alias("low"))
+    rows = materialize(narrow_input(docs, id_col, text_col, row_col)
+                       .mapInArrow(_fingerprints(size), ("row bigint, " if row_col else "") + "doc_id bigint, fp bigint, run bigint"))
+    least = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row") if row_col else F.col("doc_id")
+    smallest = rows.groupBy("run", "fp").agg(F.min(least).alias("low"))
     found = components(simhash_links(rows, bits))
     of = (smallest.groupBy("fp").agg(F.min("low").alias("low"))
           .join(found.withColumnRenamed("id", "fp"), "fp", "left")
@@ -156,8 +160,11 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lows = of.groupBy("component").agg(F.min("low").alias("component_id"))
     of = of.withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(64)))
     table = attach(of, lows, "component", "part").select("fp", "component_id")
-    return attach(rows, table, "fp", "run").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out, fingerprint = attach(rows, table, "fp", "run"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    if not row_col:
+        return out.select("doc_id", fingerprint, "component_id")
+    return out.select("row", "doc_id", fingerprint, F.col("component_id.doc_id").alias("component_id"),
+                      (F.col("component_id.row") == F.col("row")).alias("kept"))
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
