@@ -1,4 +1,4 @@
-"""Exact dedup: tree-merge of sorted digest runs.
+"""Exact dedup: tree-merge of digest runs, each round a keyed aggregate (no run is sorted).
 
 Texts are equal when they are identical after deleting ASCII white space.  Each scan
 partition makes one run of ``(digest, count, best row)``.  In every round the runs whose
