@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ticketloom.llm import bpe, embeddings, exact_dedup, licenses, packing, pii, quality, simhash, substrings, toxicity
+from ticketloom.llm import (
+    bpe, conversations, embeddings, exact_dedup, licenses, negatives, packing, pii, quality, simhash, substrings, toxicity, urls)
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -16,7 +17,15 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_pii_surrogates": pii.op9_pii_surrogates,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op11_url_rules": urls.op11_url_rules,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op11_url_rules": urls.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
+}
