@@ -305,3 +305,17 @@ def test_messages_make_the_hash(spark):
         assert r.place == len(said.setdefault(r.conv_id, [])) and r.edit in "KRI"
         said[r.conv_id].append(f"{r.role}:{r.text}")
     assert all(sha("\n".join(said.get(r.conv_id, []))) == r.repaired_sha256 for r in conversations.repair_report(rows).collect())
+
+
+# -- calibration ----------------------------------------------------------------
+
+def test_a_score_does_not_depend_on_its_batch():
+    from ticketloom.llm.calibration import apply_logistic
+    rnd = np.random.default_rng(7)
+    for width in (1, 3, 5, 9):
+        model = {"mean": rnd.normal(size=width), "scale": rnd.uniform(0.5, 2, width), "w": rnd.normal(size=width + 1)}
+        x = rnd.normal(size=(257, width))
+        alone = np.array([apply_logistic(model, x[k:k + 1])[0] for k in range(len(x))])
+        for size in (2, 7, 64, 257):
+            parts = np.concatenate([apply_logistic(model, x[k:k + size]) for k in range(0, len(x), size)])
+            assert (parts == alone).all()

@@ -28,5 +28,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
 
 
 def apply_logistic(model: dict, x: np.ndarray) -> np.ndarray:
+    """Scores of rows.  Columns are added one by one, in their order: a matrix product may round a row
+    differently in another batch."""
     z = np.clip((x - model["mean"]) / model["scale"], -20, 20)
-    return 1 / (1 + np.exp(-np.clip(model["w"][0] + z @ model["w"][1:], -30, 30)))
+    total = np.full(len(x), model["w"][0])
+    for column, weight in zip(z.T, model["w"][1:]):
+        total = total + column * weight
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
