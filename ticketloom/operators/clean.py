@@ -47,9 +47,10 @@ def parse_counts(raw: DataFrame) -> DataFrame:
 
 def parse_tickets(raw: DataFrame) -> DataFrame:
     """Rows whose output is a JSON object, with every known key as raw text
-    (JSON null and absence both null) plus ``obj`` for type tests (P1, P3)."""
+    (JSON null and absence both null) plus ``obj`` for type tests and its
+    text ``obj_text`` (P1, P3)."""
     p = keep_parsed(raw)
-    cols = [F.col("row_index"), F.col("input").alias("original_input"), F.col("obj")]
+    cols = [F.col("row_index"), F.col("input").alias("original_input"), F.col("obj"), F.col("output").alias("obj_text")]
     cols += [jsonx.as_text(jsonx.value("obj", k)).alias(c) for k, c in RAW_COLUMNS.items()]
     return p.select(*cols)
 

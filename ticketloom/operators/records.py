@@ -28,12 +28,14 @@ FREE_FIELDS = {"title": "Title", "description": "Description", "department_impac
 TYPED = "typed_values"
 
 
-def typed_values(m, keys: dict[str, str]) -> Column:
+def typed_values(m, keys: dict[str, str], text: Column) -> Column:
     """map<field, JSON text> of the free fields whose value is neither a
-    string nor null."""
+    string nor null.  The text is cut from ``text``, the object's own, so
+    that nested members keep their order."""
     def entry(field, key):
         v = jsonx.value(m, key)
-        return F.struct(F.lit(field).alias("key"), F.when(jsonx.json_type(v) != "STRING", jsonx.json_text(v)).alias("value"))
+        kind = jsonx.json_type(v)
+        return F.struct(F.lit(field).alias("key"), F.when((kind != "STRING") & (kind != "VOID"), jsonx.member_text(text, key)).alias("value"))
     entries = F.filter(F.array(*[entry(f, k) for f, k in keys.items()]), lambda e: e["value"].isNotNull())
     return F.map_from_entries(entries)
 
@@ -72,7 +74,7 @@ def training_records(clean: DataFrame) -> DataFrame:
         col_or_default("service_impacted", "Service Impacted"),
         col_or_default("preferred_communication", "Preferred Communication"),
         F.when(F.col("ticket_type") == "assistance", assist).alias(OPTIONAL_FIELD),
-        F.lit(None).cast("string").alias("error"), typed_values("obj", FREE_FIELDS).alias(TYPED))
+        F.lit(None).cast("string").alias("error"), typed_values("obj", FREE_FIELDS, F.col("obj_text")).alias(TYPED))
 
 
 def load_with_defaults(raw: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def load_with_defaults(raw: DataFrame) -> DataFrame:
         F.lower(jsonx.get_or(m, "Preferred Communication", d["Preferred Communication"]))
         .alias("preferred_communication"),
         F.when(ttype == "assistance", F.lit(LOADER_ASSISTANCE_REQUEST)).alias(OPTIONAL_FIELD),
-        F.lit(None).cast("string").alias("error"), typed_values(m, FREE_FIELDS).alias(TYPED),
+        F.lit(None).cast("string").alias("error"), typed_values(m, FREE_FIELDS, F.col("output")).alias(TYPED),
         ok.alias("_ok"))
 
 
@@ -122,7 +124,7 @@ def validate_samples(raw_samples: DataFrame, keep: tuple[str, ...] = ()) -> Data
     return d.select(
         F.lit("json").alias("source"), F.col("sample_id"),
         jsonx.as_text(jsonx.value(m, "user_input")).alias("user_input"), *cols,
-        typed_values(t, {f: f for f in FREE_FIELDS}).alias(TYPED),
+        typed_values(t, {f: f for f in FREE_FIELDS}, jsonx.member_text("sample_json", "ticket_data")).alias(TYPED),
         F.coalesce(ok, F.lit(False)).alias("_ok"), *keep)
 
 
@@ -150,29 +152,38 @@ def combine_samples(*parts: DataFrame) -> DataFrame:
 
 # -- JSON text and messages ---------------------------------------------------
 
-def ticket_json(indent: bool = True) -> Column:
-    """``json.dumps(ticket_data, indent=2)`` layout: canonical field order,
-    nulls kept as null, values of free fields with their JSON type,
+def ticket_json(indent: bool = True, level: int = 0) -> Column:
+    """The bytes of ``json.dumps(ticket_data, indent=2)`` (as it stands
+    ``level`` levels deep), or without ``indent`` one line: canonical field
+    order, nulls kept as null, values of free fields with their JSON type,
     ``assistance_request`` only when present, error tickets as
-    {"error": ...}.  Non-ASCII stays unescaped (same JSON value)."""
-    nl, sep = ("\n  ", ",\n  ") if indent else ("", ", ")
-    close = "\n}" if indent else "}"
+    {"error": ...}."""
+    nl = "\n" + "  " * (level + 1) if indent else ""
+    sep, close = ("," + nl, "\n" + "  " * level + "}") if indent else (", ", "}")
     typed = lambda f: [F.try_element_at(TYPED, F.lit(f))] if f in FREE_FIELDS else []
-    members = [F.concat(F.lit(f'"{f}": '), F.coalesce(*typed(f), jsonx.quote(F.col(f)))) for f in TICKET_FIELDS]
+    shown = lambda f: [F.when(v.isNotNull(), jsonx.py_dumps(v, level=level + 1) if indent else v) for v in typed(f)]
+    members = [F.concat(F.lit(f'"{f}": '), F.coalesce(*shown(f), jsonx.py_quote(F.col(f)))) for f in TICKET_FIELDS]
     members.append(F.when(F.col(OPTIONAL_FIELD).isNotNull(),
-                          F.concat(F.lit(f'"{OPTIONAL_FIELD}": '), jsonx.quote(F.col(OPTIONAL_FIELD)))))
+                          F.concat(F.lit(f'"{OPTIONAL_FIELD}": '), jsonx.py_quote(F.col(OPTIONAL_FIELD)))))
     normal = F.concat(F.lit("{" + nl), F.concat_ws(sep, *members), F.lit(close))
-    err = F.concat(F.lit("{" + nl + '"error": '), jsonx.quote(F.col("error")), F.lit(close))
+    err = F.concat(F.lit("{" + nl + '"error": '), jsonx.py_quote(F.col("error")), F.lit(close))
     return F.when(F.col("error").isNotNull(), err).otherwise(normal)
 
 
 def sample_json_line() -> Column:
     """K1: one sample as a JSON object (one line), key presence kept."""
     ticket = ticket_json(indent=False)
-    return F.concat(F.lit('{"user_input": '), jsonx.quote(F.col("user_input")),
+    return F.concat(F.lit('{"user_input": '), jsonx.py_quote(F.col("user_input")),
                     F.lit(', "ticket_data": '), ticket, F.lit("}"))
 
 
+def sample_json_element() -> Column:
+    """K1: one sample as ``json.dump(list, indent=2)`` writes an element of
+    the list (its first line has no margin)."""
+    return F.concat(F.lit('{\n    "user_input": '), jsonx.py_quote(F.col("user_input")),
+                    F.lit(',\n    "ticket_data": '), ticket_json(level=2), F.lit("\n  }"))
+
+
 def chat_messages(samples: DataFrame, with_reply: bool = True) -> DataFrame:
     """P11/P14 as an array<struct<role, content>> column ``messages``."""
     msgs = [F.struct(F.lit("system").alias("role"), F.lit(TRAINING_SYSTEM_PROMPT).alias("content")),

@@ -58,6 +58,16 @@ def join_predictions(truth: DataFrame, predictions: DataFrame, on: str = "sample
     return truth.join(predictions, on, "left")
 
 
+def pair_by_position(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """JN2 without a key: line k of the truth with line k of the predictions, as two parallel lists are read.
+    Both are ``splitting.numbered_lines`` (``line``, ``value``); gives ``(sample_id, truth_line,
+    prediction_line)``.  Every truth line stays: beyond the end of the predictions its prediction is
+    null (an unparsable reply); predictions beyond the end of the truth are left out."""
+    lines = predictions.select("line", F.col("value").alias("prediction_line"))
+    return (truth.join(lines, "line", "left")
+            .select(F.col("line").alias("sample_id"), F.col("value").alias("truth_line"), "prediction_line"))
+
+
 def outcomes(df: DataFrame, response: str = "response", truth: str = "true_json") -> DataFrame:
     """E3 (+E1): adds ``truth`` map, ``true_label``, ``pred_label``,
     ``outcome`` and the E4 comparison columns.

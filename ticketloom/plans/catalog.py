@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketloom import fixed_values as FV
 from ticketloom.functions import jsonx
@@ -27,6 +28,7 @@ from ticketloom.sources import files as FI
 from ticketloom.streaming import score_stream as ST
 from ticketloom.sources import fixtures as FX
 from ticketloom.sources import literals as LT
+from ticketloom.sources import splitting as SP
 from ticketloom.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +69,7 @@ def q_parse_counts(spark, sf):
 
 @query("parse_tickets")
 def q_parse_tickets(spark, sf):
-    return parsed(spark, sf).drop("obj")
+    return parsed(spark, sf).drop("obj", "obj_text")
 
 
 @query("clean_tickets")
@@ -563,6 +565,69 @@ def q_scan_sample_array(spark, sf):
     return FI.read_sample_array(spark, path).where("_ok").drop("_ok", "source", "sample_id", RC.TYPED)
 
 
+# small ranges, so that the test tables' files have many of them
+RANGE_BYTES = 64 << 10
+
+
+@query("scan_split_tickets")
+def q_scan_split_tickets(spark, sf):
+    """One CSV file of ``input, output`` with line breaks and quotes in its fields, read in ranges of
+    64 KB; rows are numbered by their place."""
+    rows = raw(spark, sf).orderBy("row_index").select("input", "output").coalesce(1)
+    path = FI.write_tickets_csv(rows, scratch_path(spark, "one_csv"))
+    return FI.read_tickets_csv(spark, path, split=True, range_size=RANGE_BYTES)
+
+
+@query("scan_split_array")
+def q_scan_split_array(spark, sf):
+    """One JSON array in one file (K1), read in ranges of 64 KB; elements are numbered by their place."""
+    recs = records(spark, sf)
+    path = FI.write_sample_array(recs, scratch_path(spark, "one_array"), ["sample_id"], per_file=1 << 40)
+    back = FI.read_sample_array(spark, path, split=True, range_size=RANGE_BYTES)
+    return back.where("_ok").select(*_SAMPLE_OUT)
+
+
+@query("write_training_array")
+def q_write_training_array(spark, sf):
+    """Training records as JSON arrays of 300 elements in the bytes of ``json.dump(list, indent=2)``;
+    number, size and hash of each file in the order of their names."""
+    path = FI.write_sample_array(records(spark, sf), scratch_path(spark, "training_array"), ["sample_id"], per_file=300)
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
+    rank = F.row_number().over(Window.orderBy("name"))        # a row a file
+    facts = files.select("name", F.octet_length("value").cast("bigint").alias("n_bytes"), F.sha2("value", 256).alias("sha256"))
+    return facts.select((rank - 1).cast("bigint").alias("part"), "n_bytes", "sha256")
+
+
+@query("numbered_samples")
+def q_numbered_samples(spark, sf):
+    """JSON lines numbered by file and line, in ranges of 64 KB."""
+    rows = FX.raw_samples(spark, sf).orderBy("sample_id").select(F.col("sample_json").alias("value"))
+    path = scratch_path(spark, "sample_lines")
+    rows.write.text(path)
+    return FI.read_numbered_samples(spark, path, RANGE_BYTES).where("_ok").select(*_SAMPLE_OUT)
+
+
+@query("paired_outcomes")
+def q_paired_outcomes(spark, sf):
+    """JN2/B6/E3: truth and replies in two files without keys, paired by line although the files are cut
+    differently; the last tenth of the truth has no reply, as the replies end before."""
+    e = FX.eval_pairs(spark, sf)
+    t, p = scratch_path(spark, "truth_lines"), scratch_path(spark, "reply_lines")
+    e.orderBy("sample_id").select(F.to_json(F.struct("user_input", "true_json")).alias("value")).write.text(t)
+    top = e.agg(F.max("sample_id")).scalar()
+    (e.where(F.col("sample_id") < top * 9 / 10).orderBy("sample_id").coalesce(1)
+     .select(F.to_json(F.struct("response")).alias("value")).write.text(p))
+    with SP.range_bytes(spark, RANGE_BYTES):
+        truth = SP.numbered_lines(spark, t)
+    with SP.range_bytes(spark, RANGE_BYTES // 4):
+        replies = SP.numbered_lines(spark, p)
+    pairs = RS.pair_by_position(truth, replies)
+    read = lambda line, c: F.get_json_object(line, f"$.{c}")
+    df = pairs.select("sample_id", read("truth_line", "user_input").alias("user_input"), read("truth_line", "true_json").alias("true_json"),
+                      read("prediction_line", "response").alias("response"))
+    return RS.outcomes(df).select("sample_id", "status", "outcome", "true_label", "pred_label")
+
+
 @query("write_samples")
 def q_write_samples(spark, sf):
     """K1 + S2: training records written as JSON lines, read back and

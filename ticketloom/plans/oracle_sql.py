@@ -490,17 +490,38 @@ ORACLE["combined_samples"] = U_ + f"SELECT {_SCOLS} FROM combined"
 
 
 def _q(x: str) -> str:
-    return f"COALESCE(CAST(to_json({x}) AS VARCHAR), 'null')"
+    """``json.dumps`` of a text: ASCII from space to ~ as it is, all else escaped."""
+    unit = lambda n: f"'\\u' || format('{{:04x}}', {n})"
+    cp = "ord(r)"
+    run = (f"CASE WHEN regexp_matches(r, '^[ !#-\\[\\]-~]') THEN r WHEN r = '\"' THEN '\\\"' WHEN r = '\\' THEN '\\\\' "
+           f"WHEN {cp} = 8 THEN '\\b' WHEN {cp} = 9 THEN '\\t' WHEN {cp} = 10 THEN '\\n' WHEN {cp} = 12 THEN '\\f' WHEN {cp} = 13 THEN '\\r' "
+           f"WHEN {cp} < 65536 THEN {unit(cp)} "
+           f"ELSE {unit(f'(({cp} - 65536) >> 10) + 55296')} || {unit(f'(({cp} - 65536) & 1023) + 56320')} END")
+    return (f"CASE WHEN {x} IS NULL THEN 'null' ELSE '\"' || list_aggregate(list_transform("
+            f"regexp_extract_all({x}, '(?s)[ !#-\\[\\]-~]+|.'), lambda r: {run}) || [''], 'string_agg', '') || '\"' END")
 
 
 NL = "chr(10)"
 
 
-def ticket_json_sql(indent: bool = True) -> str:
-    nl = f"{NL} || '  '" if indent else "''"
-    sep = f"',' || {NL} || '  '" if indent else "', '"
-    close = f"{NL} || '}}'" if indent else "'}'"
-    members = [f"""'"{f}": ' || {f'COALESCE({f}_j, {_q(f)})' if f in _FREE else _q(f)}""" for f in _FIELDS]
+def _margin(level: int) -> str:
+    return f"{NL} || '{'  ' * level}'"
+
+
+def _pretty(j: str, level: int) -> str:
+    """``json.dumps(indent=2)`` of a value whose members hold no further members."""
+    inner, outer = _margin(level + 1), _margin(level)
+    return (f"CASE json_type({j}) WHEN 'OBJECT' THEN '{{' || {inner} || array_to_string(list_transform(json_keys({j}), "
+            f"lambda k: '\"' || k || '\": ' || CAST(json_extract({j}, '$.\"' || k || '\"') AS VARCHAR)), ',' || {inner}) || {outer} || '}}' "
+            f"WHEN 'ARRAY' THEN '[' || {inner} || array_to_string(list_transform(range(CAST(json_array_length({j}) AS BIGINT)), "
+            f"lambda k: CAST(json_extract({j}, '$[' || k || ']') AS VARCHAR)), ',' || {inner}) || {outer} || ']' ELSE {j} END")
+
+
+def ticket_json_sql(level: int = 0) -> str:
+    nl, close = _margin(level + 1), f"{_margin(level)} || '}}'"
+    sep = f"',' || {nl}"
+    free = lambda f: f"CASE WHEN {f}_j IS NOT NULL THEN {_pretty(f'{f}_j', level + 1)} ELSE {_q(f)} END"
+    members = [f"""'"{f}": ' || {free(f) if f in _FREE else _q(f)}""" for f in _FIELDS]
     members.append(f"""CASE WHEN assistance_request IS NOT NULL THEN '"assistance_request": ' || {_q('assistance_request')} END""")
     normal = f"'{{' || {nl} || concat_ws({sep}, {', '.join(members)}) || {close}"
     err = f"""'{{' || {nl} || '"error": ' || {_q('error')} || {close}"""
@@ -932,3 +953,28 @@ _BAYES = with_(RAW_TICKETS, PARSED, CLEAN, f"""seg AS (
   FROM scores GROUP BY row_index)""")
 ORACLE["fit_classifier"] = _BAYES + "SELECT row_index, true_label, pred_label FROM labels_"
 ORACLE["classifier_metrics"] = _BAYES.rstrip() + ",\n" + CLASS_METRICS + "\nSELECT * FROM class_metrics"
+
+ORACLE["scan_split_tickets"] = ORACLE["scan_keyless_tickets"]
+
+_PLACE = "row_number() OVER (ORDER BY sample_id) - 1"
+ORACLE["scan_split_array"] = R_ + f"SELECT {_PLACE} AS sample_id, {', '.join(c for c in _SAMPLE_OUT if c != 'sample_id')} FROM records"
+
+ORACLE["write_training_array"] = R_ + f""",
+elements AS (
+  SELECT {_PLACE} AS k, '  {{' || {NL} || '    "user_input": ' || ({_q('user_input')}) || ',' || {NL} || '    "ticket_data": '
+         || {ticket_json_sql(2)} || {NL} || '  }}' AS element FROM records),
+files AS (
+  SELECT k // 300 AS part, '[' || {NL} || string_agg(element, ',' || {NL} ORDER BY k) || {NL} || ']' || {NL} AS content
+  FROM elements GROUP BY part)
+SELECT part, strlen(content) AS n_bytes, sha256(content) AS sha256 FROM files"""
+
+ORACLE["numbered_samples"] = with_(
+    RAW_SAMPLES.replace("raw_samples AS (", "raw_0 AS ("),
+    f"raw_samples AS (SELECT {_PLACE} AS sample_id, sample_json FROM raw_0)", VALIDATED) + \
+    f"SELECT {', '.join(_SAMPLE_OUT)} FROM validated WHERE ok"
+
+ORACLE["paired_outcomes"] = with_(
+    EVAL_PAIRS.replace("eval_pairs AS (", "pairs_0 AS (", 1),
+    f"""eval_pairs AS (SELECT {_PLACE} AS sample_id, user_input, true_json,
+  CASE WHEN sample_id < (SELECT max(sample_id) FROM pairs_0) * 9 / 10 THEN response END AS response FROM pairs_0)""",
+    PRED, OUTCOME, LABELS) + "SELECT sample_id, status, outcome, true_label, pred_label FROM labels_"
