@@ -167,3 +167,22 @@ def test_split_leakage_hot_and_null_texts(spark):
     train = {t for _, s, t in rows if s == "train" and t is not None}
     exp = {i for i, s, t in rows if s == "test" and t is not None and t in train}
     assert got == exp and len(exp) > 100
+
+
+def test_many_cuts_read_the_rows_three_times(spark, monkeypatch):
+    from ticketloom.operators import rank as R
+    monkeypatch.setattr(R, "BOUNDARY_ROWS", 5)
+    n, cuts = 3000, [0, 1, 299, 300, 1500, 2999, 3000, 4000]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(n).withColumnRenamed("id", "k").mapInArrow(count, "k long")
+    out, total, got = R.segments(df, R.hash_key(7, "k"), ["k"], lambda _: cuts, [f"s{i}" for i in range(9)], digits=1)
+    labels = {r.k: r.segment for r in out.collect()}
+    import hashlib
+    order = sorted(range(n), key=lambda k: (hashlib.md5(f"7:{k}".encode()).hexdigest(), k))
+    want = {k: f"s{sum(c <= p for c in cuts)}" for p, k in enumerate(order)}
+    assert labels == want and total == n and got == cuts and seen.value == 3 * n

@@ -58,3 +58,36 @@ def test_naive_bayes_by_hand(spark):
     model = SC.fit_classifier(train, "t", "y")
     got = {r.id: r.pred_label for r in SC.classify(model, test, "t", "id").collect()}
     assert got == {10: "a", 11: "b", 12: "a", 13: "a"}       # without known words the larger prior decides
+
+
+def test_logistic_reaches_the_optimum(spark):
+    """The fit's weights against a plain Newton fit of the same objective on the same features."""
+    import numpy as np
+    rows = [(k, t, l) for k, (t, l) in enumerate([
+        ("loan loan money", "a"), ("loan card", "a"), ("card lost card", "b"), ("lost lost", "b"), ("money card", "a"), ("lost money", "b"),
+        ("loan lost", "c"), ("hello", "c"), ("hello loan money", "c"), ("", "c"), (None, "a"), ("unlabelled", None)])]
+    df = spark.createDataFrame(rows, "k long, t string, l string")
+    model = SC.fit_logistic(df, "t", "l", features=32, regularisation=0.05, tolerance=1e-12, max_iter=1000)
+    lr = model.stages[-2]
+    from pyspark.sql import functions as F
+    from ticketloom.functions.text import ascii_words
+    words = df.where("l IS NOT NULL").select("k", F.col("l").alias("label_text"), F.coalesce(ascii_words("t"), F.array()).alias("words"))
+    feats = sorted((r.k, r.features.toArray(), r.label) for r in model.transform(words).collect())
+    x, y = np.array([f for _, f, _ in feats]), np.array([int(v) for _, _, v in feats])
+    w, b = lr.coefficientMatrix.toArray(), np.array(lr.interceptVector.toArray())
+    z = x @ w.T + b
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    err = (p - np.eye(3)[y]) / len(y)
+    scale = x.std(0, ddof=1)                   # the penalty is on the weights of standardised features
+    grad = err.T @ x + 0.05 * w * scale ** 2
+    assert np.abs(grad[:, scale > 0]).max() < 1e-5 and np.abs(err.sum(0)).max() < 1e-5
+    got = {r.k: r.pred_label for r in SC.classify_logistic(model, df, "t", "k").collect()}
+    assert set(got) == set(range(12)) and all(got[k] == "abc"[z[i].argmax()] for i, (k, _, _) in enumerate(feats))
+
+
+def test_logistic_beside_naive_bayes(spark):
+    import __spark_entry__ as E
+    got = {r.model: r for r in E.queries()["classifier_comparison"](spark, "/root/testdata/sf0.01").collect()}
+    assert got["logistic"].n_rows == got["naive_bayes"].n_rows == 200
+    assert got["logistic"].accuracy > 0.97 and got["logistic"].accuracy >= got["naive_bayes"].accuracy - 0.02

@@ -68,25 +68,38 @@ def positions(df: DataFrame, key: Column, tie: list[str], by: list[str] | None =
     return out.drop("_h", "_b", "_cnt", "_off", "_n")
 
 
-def boundary(ids: DataFrame, tie: list[str], position: int, digits: int = DEFAULT_DIGITS):
-    """The row ``(_h, *tie)`` at ``position`` in hash order; null if there are
-    fewer rows.  Rows are counted by ever longer hash prefixes, each time
-    only inside the prefix that holds the position, until few enough are
-    left to be put in order (ids and hashes only)."""
-    prefix, size = "", None
-    while size is None or (size > BOUNDARY_ROWS and len(prefix) < 32):
-        mine = ids.where(F.col("_h").startswith(prefix)) if prefix else ids
-        counts = mine.groupBy(F.substring("_h", 1, len(prefix) + digits).alias("_b")).agg(F.count("*").alias("_cnt"))
-        # at most 16**digits rows, whatever the table's size
-        before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hit = (counts.withColumn("_end", F.sum("_cnt").over(before)).where(F.col("_end") > position)
-               .orderBy("_b").limit(1).collect())
-        if not hit:
-            return None
-        prefix, size = hit[0]["_b"], hit[0]["_cnt"]
-        position -= hit[0]["_end"] - size
-    inside = ids.where(F.col("_h").startswith(prefix)).orderBy("_h", *tie).limit(position + 1).collect()
-    return inside[position]
+def boundaries(ids: DataFrame, tie: list[str], cuts_of, digits: int = DEFAULT_DIGITS) -> tuple[int, list[int], list]:
+    """``(rows, cuts, keys)``: the number of rows of ``ids`` (``_h`` and the tie columns), the positions
+    ``cuts_of(rows)``, and for each the row ``(_h, *tie)`` at that place in hash order; null at or
+    beyond the end.
+
+    However many cuts there are, the ids are read twice: once to count hash prefixes (at most
+    16**digits rows, which the driver sees), and once to keep the rows whose prefix holds a cut.  Only
+    among those few are rows counted by longer prefixes and, once at most ``BOUNDARY_ROWS`` are
+    left, put in order."""
+    def count(rows, length):
+        return sorted((r["_b"], r["_cnt"]) for r in rows.groupBy(F.substring("_h", 1, length).alias("_b")).agg(F.count("*").alias("_cnt")).collect())
+
+    def find(counts, position):
+        for prefix, size in counts:
+            if position < size:
+                return prefix, size, position
+            position -= size
+
+    counts = count(ids, digits)
+    total = sum(n for _, n in counts)
+    cuts = [int(c) for c in cuts_of(total)]
+    hits = [find(counts, c) for c in cuts]
+    wanted = sorted({h[0] for h in hits if h})
+    if not wanted:
+        return total, cuts, [None] * len(cuts)
+    near = ids.where(F.substring("_h", 1, digits).isin(wanted)).checkpoint(eager=True)
+    keys = []
+    for hit in hits:
+        while hit and hit[1] > BOUNDARY_ROWS and len(hit[0]) < 32:
+            hit = find(count(near.where(F.col("_h").startswith(hit[0])), len(hit[0]) + digits), hit[2])
+        keys.append(near.where(F.col("_h").startswith(hit[0])).orderBy("_h", *tie).limit(hit[2] + 1).collect()[hit[2]] if hit else None)
+    return total, cuts, keys
 
 
 def segments(df: DataFrame, key: Column, tie: list[str], cut_fn, labels: list[str],
@@ -95,19 +108,16 @@ def segments(df: DataFrame, key: Column, tie: list[str], cut_fn, labels: list[st
 
     ``cut_fn(n) -> [c1, c2, ...]`` gives increasing cut positions from the
     total row count; rows with position < c1 get labels[0], c1 <= pos < c2
-    labels[1], ..., the rest labels[-1].  Per cut, the key of the row at that
-    position is found from ids alone; all rows are then labelled in one
-    projection by comparing their ``(hash, ids)`` with the boundary keys, so
-    the table is read once for it, with no join, window or shuffle.  The id
-    columns must tell the rows apart."""
-    ids = df.select(key.alias("_h"), *tie)
-    total = ids.count()
-    cuts = [int(c) for c in cut_fn(int(total))]
+    labels[1], ..., the rest labels[-1].  The keys of the rows at the cuts
+    come from ids alone (``boundaries``, two reads); all rows are then
+    labelled in one projection by comparing their ``(hash, ids)`` with
+    them: three reads in all, with no join, window or shuffle of rows.  The
+    id columns must tell the rows apart."""
+    total, cuts, rows = boundaries(df.select(key.alias("_h"), *tie), tie, cut_fn, digits)
     kind = dict(df.dtypes)
     mine = F.struct(key.alias("_h"), *tie)
     label = F.lit(labels[-1])
-    for cut, lab in reversed(list(zip(cuts, labels))):
-        row = boundary(ids, tie, cut, digits) if cut < total else None
+    for cut, row, lab in reversed(list(zip(cuts, rows, labels))):
         below = F.lit(cut >= total) if row is None else mine < F.struct(
             F.lit(row["_h"]).alias("_h"), *(F.lit(row[c]).cast(kind[c]).alias(c) for c in tie))
         label = F.when(below, F.lit(lab)).otherwise(label)

@@ -14,27 +14,31 @@ from ticketloom.fixed_values import (
     COMPARED_FIELDS, LABEL_DOMAIN_ERROR, LABEL_ERROR, LABEL_JSON_ERROR, LABEL_OUT_OF_DOMAIN,
     LABEL_PARSE_ERROR, LABEL_UNKNOWN, REPLY_BAD_JSON_PREFIX, REPLY_NO_JSON_ERROR)
 from ticketloom.functions import jsonx
+from ticketloom.functions.json_errors import error_text, first_error
 from ticketloom.functions.text import json_block, reply_tail
 
 
 def parse_replies(df: DataFrame, response: str = "response") -> DataFrame:
     """Adds ``pred`` (map<string,variant> of the reply's JSON object),
     ``status`` ('ok', 'no_json', 'bad_json'), ``raw`` (the reply tail when
-    parsing failed) and ``pred_has_error``.  The decoder's message is not
-    reproduced; its prefix is."""
+    parsing failed) and ``pred_has_error``.  ``pred_error`` of bad JSON is
+    the decoder's own message with its line, column and character."""
     out = jsonx.materialize(df, _tail=reply_tail(F.col(response)))
     out = jsonx.materialize(out, _block=json_block(F.col("_tail")))
     out = jsonx.with_object(out, F.col("_block"), "pred")
     status = (F.when(F.col("_block").isNull(), F.lit("no_json"))
               .when(F.col("pred").isNull(), F.lit("bad_json")).otherwise(F.lit("ok")))
     out = jsonx.materialize(out, status=status)
+    # only texts that are no JSON are gone through (a JSON value that is no object has no message)
+    out = jsonx.materialize(out, _fault=F.when(F.col("status") == "bad_json", first_error(F.col("_block"))))
+    message = F.coalesce(error_text(F.col("_block"), F.col("_fault")), F.lit(""))
     err = (F.when(F.col("status") == "no_json", F.lit(REPLY_NO_JSON_ERROR))
-           .when(F.col("status") == "bad_json", F.lit(REPLY_BAD_JSON_PREFIX))
+           .when(F.col("status") == "bad_json", F.concat(F.lit(REPLY_BAD_JSON_PREFIX), message))
            .otherwise(jsonx.as_text(jsonx.value("pred", "error"))))
     return (out.withColumn("pred_error", err)
             .withColumn("pred_has_error", (F.col("status") != "ok") | jsonx.has_key("pred", "error"))
             .withColumn("raw", F.when(F.col("status") != "ok", F.col("_tail")))
-            .drop("_tail", "_block"))
+            .drop("_tail", "_block", "_fault"))
 
 
 def quick_labels(df: DataFrame, response: str = "response", truth: str = "true_json") -> DataFrame:

@@ -1,5 +1,6 @@
-"""Scoring with a caller-supplied model (V1), a ticket-type classifier
-fitted on the table (V2) and keyword-based domain labels (V4).
+"""Scoring with a caller-supplied model (V1), ticket-type classifiers fitted
+on the table (V2: naive Bayes, and TF-IDF with logistic regression) and
+keyword-based domain labels (V4).
 
 V1 is the one place where Python runs per batch: ``mapInPandas`` hands the
 model whole Arrow batches, and the model is built once per task (a model
@@ -11,6 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,3 +114,46 @@ def classify(model: tuple[DataFrame, DataFrame], rows: DataFrame, text_col: str,
         (-F.round(x["prior"] + F.coalesce(F.try_element_at("s", x["label"]), F.lit(0.0))
                   - F.coalesce(F.col("k"), F.lit(0)) * x["base"], 9)).alias("score"), x["label"].alias("label")))
     return out.select(id_col, F.array_min(scored)["label"].alias("pred_label"))
+
+
+# -- V2: TF-IDF and logistic regression ------------------------------------------
+
+HASH_FEATURES = 1 << 16
+
+
+def tf_idf(rows: DataFrame, text_col: str, id_col: str, min_rows: int = 1) -> DataFrame:
+    """``(id, word, tf, df, tfidf)``: words of each row (T1) with the weight tf * ln((n + 1) / (df + 1)), n
+    being the rows and df those with the word; words of fewer than ``min_rows`` rows are left out.
+    Document frequencies are one aggregate; a common word's weight meets its rows by (word, salt)."""
+    spread = F.pmod(F.xxhash64(id_col), F.lit(64))
+    tf = (rows.select(id_col, F.explode(ascii_words(text_col)).alias("word")).groupBy(id_col, "word").agg(F.count("*").alias("tf"))
+          .withColumn("_s", spread).checkpoint(eager=True))
+    df = tf.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_rows)
+    pairs = tf.select("word", "_s").distinct().join(df, "word")
+    n = rows.agg(F.count("*")).scalar()
+    return (tf.join(pairs, ["word", "_s"])
+            .select(id_col, "word", "tf", "df", (F.col("tf") * F.log((n + 1) / (F.col("df") + 1))).alias("tfidf")))
+
+
+def fit_logistic(train: DataFrame, text_col: str, label_col: str, features: int = HASH_FEATURES, regularisation: float = 0.01,
+                 max_iter: int = 100, tolerance: float = 1e-6) -> PipelineModel:
+    """V2: multinomial logistic regression over hashed TF-IDF features, fitted on the labelled rows of
+    ``train`` until the objective changes by less than ``tolerance``.
+
+    Words (T1) are hashed to ``features`` slots, so no vocabulary is gathered; what each fit step sends to
+    the tasks is ``features`` x labels numbers, whatever the rows are.  Gradients are summed by trees of
+    aggregates.  At least two labels are needed."""
+    words = train.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label_text"), F.coalesce(ascii_words(text_col), F.array()).alias("words"))
+    words = words.checkpoint(eager=True)                 # each step reads the rows again
+    indexer = StringIndexer(inputCol="label_text", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error").fit(words)
+    stages = [indexer, HashingTF(inputCol="words", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="features"),
+              LogisticRegression(featuresCol="features", labelCol="label", regParam=regularisation, maxIter=max_iter, tol=tolerance, family="multinomial"),
+              IndexToString(inputCol="prediction", outputCol="pred_label", labels=indexer.labels)]
+    return Pipeline(stages=stages).fit(words)
+
+
+def classify_logistic(model: PipelineModel, rows: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id, pred_label`` of every row; a null or wordless text gets the label that the intercepts favour."""
+    words = rows.select(id_col, F.coalesce(ascii_words(text_col), F.array()).alias("words"))
+    steps = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
+    return steps.transform(words).select(id_col, "pred_label")

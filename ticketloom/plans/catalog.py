@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ticketloom import fixed_values as FV
 from ticketloom.functions import jsonx
+from ticketloom.functions.json_errors import error_text, first_error
 from ticketloom.functions.text import py_strip
 from ticketloom.operators import clean as CL
 from ticketloom.operators import keywords as KW
@@ -437,6 +438,21 @@ def q_parse_responses(spark, sf):
                     jsonx.as_text(jsonx.value("pred", "severity")).alias("severity"), "raw")
 
 
+@query("reply_json_errors")
+def q_reply_json_errors(spark, sf):
+    """The decoder's message for truth texts that are damaged in six ways (every seventh stays whole)."""
+    e = FX.eval_pairs(spark, sf)
+    j, n, kind = F.col("true_json"), F.length("true_json"), F.col("sample_id") % 7
+    colon, comma = F.instr(j, ":"), F.instr(j, '", "')
+    cut = lambda text, at: F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.length(text)))
+    damaged = (F.when(kind == 0, F.concat(j, F.lit(" extra"))).when(kind == 1, F.concat(F.substring(j, F.lit(1), colon - 1), F.lit(";"), F.substring(j, colon + 1, n)))
+               .when(kind == 2, F.substring(j, F.lit(1), n - 1)).when((kind == 3) & (comma > 0), cut(j, comma + 1))
+               .when(kind == 4, F.concat(F.lit("{\n"), F.substring(j, F.lit(3), n))).when(kind == 5, F.concat(F.substring(j, F.lit(1), n - 1), F.lit(", }")))
+               .otherwise(j))
+    e = jsonx.materialize(e.select("sample_id", damaged.alias("text")), fault=first_error(F.col("text")))
+    return e.select("sample_id", error_text(F.col("text"), F.col("fault")).alias("message"))
+
+
 @query("quick_eval_labels")
 def q_quick_eval_labels(spark, sf):
     return RS.quick_labels(FX.eval_pairs(spark, sf))
@@ -566,13 +582,13 @@ def q_scan_sample_array(spark, sf):
 
 
 # small ranges, so that the test tables' files have many of them
-RANGE_BYTES = 64 << 10
+RANGE_BYTES = 256 << 10
 
 
 @query("scan_split_tickets")
 def q_scan_split_tickets(spark, sf):
     """One CSV file of ``input, output`` with line breaks and quotes in its fields, read in ranges of
-    64 KB; rows are numbered by their place."""
+    256 KB; rows are numbered by their place."""
     rows = raw(spark, sf).orderBy("row_index").select("input", "output").coalesce(1)
     path = FI.write_tickets_csv(rows, scratch_path(spark, "one_csv"))
     return FI.read_tickets_csv(spark, path, split=True, range_size=RANGE_BYTES)
@@ -580,7 +596,7 @@ def q_scan_split_tickets(spark, sf):
 
 @query("scan_split_array")
 def q_scan_split_array(spark, sf):
-    """One JSON array in one file (K1), read in ranges of 64 KB; elements are numbered by their place."""
+    """One JSON array in one file (K1), read in ranges of 256 KB; elements are numbered by their place."""
     recs = records(spark, sf)
     path = FI.write_sample_array(recs, scratch_path(spark, "one_array"), ["sample_id"], per_file=1 << 40)
     back = FI.read_sample_array(spark, path, split=True, range_size=RANGE_BYTES)
@@ -600,7 +616,7 @@ def q_write_training_array(spark, sf):
 
 @query("numbered_samples")
 def q_numbered_samples(spark, sf):
-    """JSON lines numbered by file and line, in ranges of 64 KB."""
+    """JSON lines numbered by file and line, in ranges of 256 KB."""
     rows = FX.raw_samples(spark, sf).orderBy("sample_id").select(F.col("sample_json").alias("value"))
     path = scratch_path(spark, "sample_lines")
     rows.write.text(path)
@@ -705,6 +721,40 @@ def q_classifier_metrics(spark, sf):
     return MT.class_metrics(q_fit_classifier(spark, sf))
 
 
+@query("document_tf_idf")
+def q_document_tf_idf(spark, sf):
+    """V2's features: TF-IDF weights of every word of every document."""
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return SC.tf_idf(d, "text", "doc_id").withColumn("tfidf", F.round("tfidf", 9))
+
+
+def _languages(spark, sf):
+    """Documents split by hash, to learn their language from four fifths."""
+    d = read_table(spark, sf, "documents", "doc_id", "text", "lang")
+    parts = SM.split_three_way(d, ["doc_id"], (0.8, 0.0, 0.2))
+    return parts.where(F.col("split") == "train"), parts.where(F.col("split") == "test")
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, sf):
+    """V2: TF-IDF with logistic regression fitted on the train documents' language, scored on the test ones."""
+    train, test = _languages(spark, sf)
+    pred = SC.classify_logistic(SC.fit_logistic(train, "text", "lang"), test, "text", "doc_id")
+    return test.select("doc_id", F.col("lang").alias("true_label")).join(pred, "doc_id")
+
+
+@query("classifier_comparison")
+def q_classifier_comparison(spark, sf):
+    """A9 on held-out documents: logistic regression beside naive Bayes."""
+    train, test = _languages(spark, sf)
+    truth = test.select("doc_id", F.col("lang").alias("true_label"))
+    logistic = SC.classify_logistic(SC.fit_logistic(train, "text", "lang"), test, "text", "doc_id")
+    bayes = SC.classify(SC.fit_classifier(train, "text", "lang"), test, "text", "doc_id")
+    out = logistic.withColumn("model", F.lit("logistic")).unionByName(bayes.withColumn("model", F.lit("naive_bayes")))
+    return (out.join(truth, "doc_id").groupBy("model")
+            .agg(F.count("*").alias("n_rows"), F.round(F.avg((F.col("true_label") == F.col("pred_label")).cast("int")), 6).alias("accuracy")))
+
+
 def scored_evaluation(spark, sf) -> DataFrame:
     """E5: prompt (P13) -> model (V1) -> replies joined to the truth (JN2) ->
     outcomes (E1, E3, E4)."""

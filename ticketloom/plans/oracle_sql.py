@@ -713,7 +713,7 @@ ED_ = with_(EVAL_PAIRS, PRED, OUTCOME, LABELS, DETAILED)
 
 ORACLE["parse_responses"] = with_(EVAL_PAIRS, PRED) + f"""
 SELECT sample_id, status, (status <> 'ok' OR COALESCE({jhas('pj', 'error')}, FALSE)) AS pred_has_error,
-  CASE status WHEN 'no_json' THEN {_lit(FV.REPLY_NO_JSON_ERROR)} WHEN 'bad_json' THEN {_lit(FV.REPLY_BAD_JSON_PREFIX)}
+  CASE status WHEN 'no_json' THEN {_lit(FV.REPLY_NO_JSON_ERROR)} WHEN 'bad_json' THEN {_lit(FV.REPLY_BAD_JSON_PREFIX + 'Extra data: line 1 column 31 (char 30)')}
     ELSE {jtext('pj', 'error')} END AS pred_error,
   {jtext('pj', 'ticket_type')} AS ticket_type, {jtext('pj', 'severity')} AS severity,
   CASE WHEN status <> 'ok' THEN tail END AS raw
@@ -978,3 +978,21 @@ ORACLE["paired_outcomes"] = with_(
     f"""eval_pairs AS (SELECT {_PLACE} AS sample_id, user_input, true_json,
   CASE WHEN sample_id < (SELECT max(sample_id) FROM pairs_0) * 9 / 10 THEN response END AS response FROM pairs_0)""",
     PRED, OUTCOME, LABELS) + "SELECT sample_id, status, outcome, true_label, pred_label FROM labels_"
+
+# each kind of damage has its error at a place that is known without a decoder
+_AT = "': line 1 column ' || (place + 1) || ' (char ' || place || ')'"
+ORACLE["reply_json_errors"] = with_(EVAL_PAIRS) + f"""
+SELECT sample_id, CASE WHEN kind = 4 THEN 'Expecting property name enclosed in double quotes: line 2 column 1 (char 2)'
+                       WHEN place IS NOT NULL THEN said || {_AT} END AS message
+FROM (SELECT sample_id, sample_id % 7 AS kind, true_json AS j,
+  CASE sample_id % 7 WHEN 0 THEN length(true_json) + 1 WHEN 1 THEN strpos(true_json, ':') - 1 WHEN 2 THEN length(true_json) - 1
+    WHEN 3 THEN CASE WHEN strpos(true_json, '", "') > 0 THEN strpos(true_json, '", "') + 1 END WHEN 5 THEN length(true_json) - 1 END AS place,
+  CASE sample_id % 7 WHEN 0 THEN 'Extra data' WHEN 1 THEN 'Expecting '':'' delimiter' WHEN 5 THEN 'Illegal trailing comma before end of object'
+    ELSE 'Expecting '','' delimiter' END AS said
+  FROM eval_pairs)"""
+
+ORACLE["document_tf_idf"] = f"""
+WITH w AS (SELECT doc_id, unnest({words('text')}) AS word FROM documents),
+tf AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
+df AS (SELECT word, count(*) AS df FROM tf GROUP BY word)
+SELECT doc_id, word, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 9) AS tfidf FROM tf JOIN df USING (word)"""
