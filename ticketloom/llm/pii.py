@@ -5,8 +5,10 @@ an address, a valid card number stays valid), of the same format (lengths, separ
 country code) and, for people, of the same gender and script.  Two spellings of one entity share a
 canonical form and hence a replacement, in all documents; surnames and given names are replaced
 each by itself, so that "Ms Anna Smith" and a later "Smith" still agree.  Replacements are checked:
-no two canonical forms of a kind may share one, and none may be another real one; what collides is
-hashed again until nothing does.
+no two canonical forms of a kind may share one, and none may be a real one (for names: no two given
+names or surnames, and no real name of either sort).  What collides is hashed again; where a format
+has too few values left, the replacement becomes longer, and names get more syllables, so that any
+number of forms settles.
 
 Documents without an entity pass unchanged and are never shuffled.
 """
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from ticketloom.llm.common import attach, documents, materialize, prepare
 
 KEY = "surrogate-key"          # production callers pass their own
-ROUNDS = 30
+ROUNDS = 60
+WIDEN = 3                      # attempts in the same format; then a character more each time
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 TITLES = {"m": r"Mr|Herr|Monsieur|Señor|Г-н|Господин", "f": r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Г-жа|Госпожа"}
@@ -56,6 +59,12 @@ SYLLABLES = {
     "cyrillic": ("Б В Г Д З К Л М Н П Р С Т Ф Х".split(), "а е и о у".split(), "л м н р с т в к".split(), "а е о у".split(),
                  "ков лов нов ров тов шин лин нин рин мин".split()),
 }
+# What gives a composed name its gender.
+ENDINGS = {
+    "latin_m": "an en in on us ard rik mund win bert".split(), "latin_f": "a ia ina ela ara ise ette ika lind rid".split(),
+    "latin_n": "y i o is el".split(), "cyrillic_m": "ан ен ин ор ил ей".split(), "cyrillic_f": "а ия ина ара ела".split(),
+    "cyrillic_n": "и я о".split(),
+}
 
 
 def _let(value: Column, body) -> Column:
@@ -96,11 +105,12 @@ def _like(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
 
 
 def _lay_digits(surface: Column, digits: Column) -> Column:
-    """The surface with its digits replaced one by one."""
+    """The surface with its digits replaced one by one; more digits than it has follow at its end."""
     def one(i):
         c = F.substr(surface, i, F.lit(1))
         return F.when(c.rlike("[0-9]"), F.substr(digits, F.length(_digits(F.substr(surface, F.lit(1), i))), F.lit(1))).otherwise(c)
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(surface)), one), "")
+    rest = F.substr(digits, F.length(_digits(surface)) + 1, F.length(digits))
+    return F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.length(surface)), one), ""), rest)
 
 
 def _lay_case(surface: Column, text: Column) -> Column:
@@ -155,28 +165,40 @@ def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
     def made(s):
         def number(i):
             return F.get(s, F.lit(i)) * 65536 + F.get(s, F.lit(i + 1)) * 256 + F.get(s, F.lit(i + 2))
+        # characters beyond the format, once it is crowded
+        more = F.greatest(attempt - (WIDEN - 1), F.lit(0))
+        letters = F.array_join(F.transform(F.sequence(F.lit(1), more + 1), lambda j: F.substr(
+            F.lit("abcdefghijklmnopqrstuvwxyz"), F.get(s, j % 32) % 26 + 1, F.lit(1))), "")
+        numbers = F.array_join(F.transform(F.sequence(F.lit(1), more + 1), lambda j: (F.get(s, j % 32) % 10).cast("string")), "")
+        tail = lambda chars: F.substr(chars, F.lit(1), more)
+        syllables = lambda groups: F.array_join(F.transform(F.slice(F.sequence(F.lit(1), more + 1), F.lit(1), more), lambda j: F.concat(
+            F.get(F.array(*map(F.lit, groups[2])), F.get(s, (7 * j) % 31) % len(groups[2])),
+            F.get(F.array(*map(F.lit, groups[1])), F.get(s, (7 * j + 3) % 31) % len(groups[1])))), "")
         local, domain = F.split_part(canon, F.lit("@"), F.lit(1)), F.split_part(canon, F.lit("@"), F.lit(2))
         host = F.regexp_replace(domain, r"\.[^.]*$", "")
-        email = F.concat(_like(local, s), F.lit("@"), _let(_stream(F.concat_ws("|", F.lit(key), F.lit("domain"), host), F.length(host)),
+        email = F.concat(_like(local, s), tail(letters), F.lit("@"), _let(_stream(F.concat_ws("|", F.lit(key), F.lit("domain"), host), F.length(host)),
                                                            lambda d: _like(host, d)), F.regexp_extract(domain, r"\.[^.]*$", 0))
         first = F.split_part(canon, F.lit("."), F.lit(1))
-        ipv4 = F.concat_ws(".", F.when(first.isin("10", "127"), first).otherwise((F.get(s, F.lit(0)) % 100 + 11).cast("string")),
+        ipv4 = F.concat_ws(".", F.when(first.isin("10", "127") & (more == 0), first).otherwise((F.get(s, F.lit(0)) % 100 + 11).cast("string")),
                            *(F.get(s, F.lit(k)).cast("string") for k in (1, 2, 3)))
         digits = _like(canon, s)
         body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2), F.length(canon) - 2))
         ends = F.filter(F.array(*(F.lit(str(d)) for d in range(10))), lambda d: _luhn(F.concat(body, d)) == _luhn(canon))
         card = F.concat(body, F.get(ends, F.get(s, F.lit(31)) % F.size(ends)))
-        phone = F.concat(F.split_part(canon, F.lit("/"), F.lit(1)), F.lit("/"), _like(F.split_part(canon, F.lit("/"), F.lit(2)), s))
+        phone = F.concat(F.split_part(canon, F.lit("/"), F.lit(1)), F.lit("/"), _like(F.split_part(canon, F.lit("/"), F.lit(2)), s), tail(numbers))
         out = (F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "card", card).when(kind == "phone", phone)
                .when((kind == "hash") | ((kind == "secret") & canon.rlike("^[0-9a-f]+$")), _like(canon, s, hexadecimal=True))
                .when(kind == "cloud_key", F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.substr(digits, F.lit(5), F.length(canon))))
                .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.substr(digits, F.lit(3), F.length(canon)))))
         for name, options in GIVEN.items():
-            out = out.when(kind == f"given_{name}", F.lower(_pick(options.split(), number(0))))
+            groups = SYLLABLES[name.split("_")[0]]
+            composed = F.concat(*(_pick(g, number(3 * k)) for k, g in enumerate(groups[:3])), _pick(groups[3], number(9)),
+                                syllables(groups), _pick(groups[2], number(12)), _pick(ENDINGS[name], number(15)))
+            out = out.when(kind == f"given_{name}", F.lower(F.when(attempt == 0, _pick(options.split(), number(0))).otherwise(composed)))
         for script, groups in SYLLABLES.items():
-            name = F.concat(*(_pick(g, F.get(s, F.lit(3 * k)) + 256 * F.get(s, F.lit(3 * k + 1))) for k, g in enumerate(groups)))
-            out = out.when(kind == f"surname_{script}", F.lower(name))
-        return out.otherwise(digits)
+            name = [_pick(g, F.get(s, F.lit(3 * k)) + 256 * F.get(s, F.lit(3 * k + 1))) for k, g in enumerate(groups)]
+            out = out.when(kind == f"surname_{script}", F.lower(F.concat(*name[:2], syllables(groups), *name[2:])))
+        return out.otherwise(F.concat(digits, F.when(kind.isin("ssn", "secret"), tail(numbers)).otherwise("")))
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
     return _let(_stream(seed, F.length(canon)), made)
 
@@ -198,26 +220,26 @@ def _render(kind: Column, surface: Column, canon: Column) -> Column:
 def surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFrame:
     """``(kind, canon, surrogate)`` of distinct ``(kind, canon)``: keyed, distinct, none of them real.
 
-    A given name only has its pool to choose from: when the pool is used up, later names repeat
-    its entries with a Roman-like suffix letter, so distinctness holds for them too."""
-    base = F.regexp_replace("kind", "_[mfn]$", "")                 # a name must be distinct over all genders
-    now = materialize(entities.withColumn("space", base).withColumn("attempt", F.lit(0)).withColumn(
-        "surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)))
-    real = now.select("space", F.col("canon").alias("surrogate")).distinct().withColumn("real", F.lit(True))
-    for _ in range(rounds):
-        first = now.groupBy("space", "surrogate").agg(F.min(F.struct("attempt", "kind", "canon")).alias("winner"))
-        checked = (now.join(first, ["space", "surrogate"]).join(real, ["space", "surrogate"], "left")
-                   .withColumn("bad", F.col("real").isNotNull() | (F.col("winner") != F.struct("attempt", "kind", "canon"))))
-        if checked.where("bad").isEmpty():
-            return now.select("kind", "canon", "surrogate")
-        attempt = F.col("attempt") + F.col("bad").cast("int")
-        again = _surrogate(F.col("kind"), F.col("canon"), attempt, key)
-        # a used-up pool of names: letters after the attempt's number make the next ones distinct
-        letters = F.when(F.col("kind").startswith("given_") | F.col("kind").startswith("surname_"), F.when(
-            attempt >= 3, F.substr(F.translate(F.sha2(F.concat_ws("|", F.lit(key), "canon", attempt.cast("string")), 256), "0123456789", "ghijklmnop"),
-                                   F.lit(1), (attempt / 2).cast("int"))).otherwise("")).otherwise("")
-        now = materialize(checked.select("kind", "canon", "space", attempt.alias("attempt"),
-                                         F.when(F.col("bad"), F.concat(again, letters)).otherwise(F.col("surrogate")).alias("surrogate")))
+    In each round the smallest of the forms that share a replacement keeps it, if it is no real value
+    and nobody has it from an earlier round; only the others go on.  From the fourth attempt on each
+    adds a character to the format (a syllable to a name), so the values to choose from grow
+    faster than the forms.  Names of all genders, scripts and of both sorts are one space."""
+    name = F.col("kind").startswith("given_") | F.col("kind").startswith("surname_")
+    todo = entities.withColumn("space", F.when(name, "name").otherwise(F.col("kind")))
+    real = materialize(todo.select("space", F.col("canon").alias("surrogate")).distinct())
+    settled = None
+    for attempt in range(rounds):
+        made = materialize(todo.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key)))
+        first = made.groupBy("space", "surrogate").agg(F.min(F.struct("kind", "canon")).alias("winner"))
+        good = (made.join(first, ["space", "surrogate"]).where(F.col("winner") == F.struct("kind", "canon"))
+                .join(real, ["space", "surrogate"], "left_anti"))
+        if settled is not None:
+            good = good.join(settled, ["space", "surrogate"], "left_anti")
+        good = materialize(good.select("kind", "canon", "space", "surrogate"))
+        settled = good if settled is None else settled.unionByName(good)
+        todo = made.join(good, ["kind", "canon"], "left_anti").drop("surrogate")
+        if todo.isEmpty():
+            return settled.select("kind", "canon", "surrogate")
     raise RuntimeError(f"replacements still collide after {rounds} rounds")
 
 
@@ -250,15 +272,20 @@ def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     size = F.aggregate("parts", F.lit(-1), lambda n, p: n + 1 + F.length(p["old"]))
     one = one.withColumn("new", F.concat(F.substr("match", F.lit(1), F.length("match") - size),
                                          F.array_join(F.transform("parts", lambda p: p["new"]), " ")))
-    names = F.flatten(F.collect_list(F.filter("parts", lambda p: p["kind"].startswith("surname_") | p["kind"].startswith("given_"))))
-    per_row = one.groupBy("key").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "new"))), lambda x: x["new"]).alias("new"),
-        F.array_distinct(F.transform(names, lambda p: F.struct(p["old"].alias("old"), p["new"].alias("new")))).alias("names"))
-    between = F.split(text, ENTITY, -1)
-    whole = F.array_join(F.zip_with(between, F.col("new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    # names without a title, of people whom the document names with one
-    later = F.aggregate("names", whole, lambda t, p: F.regexp_replace(
-        t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), p["old"], F.lit(r"\E(?![\p{L}\p{N}])")), p["new"]))
+    per_row = one.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "new", "parts"))).alias("found"))
+    named = F.filter(F.flatten(F.transform("found", lambda x: x["parts"])), lambda p: p["kind"].startswith("surname_") | p["kind"].startswith("given_"))
+    longest = F.array_sort(F.array_distinct(F.transform(named, lambda p: p["old"])), lambda a, b: F.length(b) - F.length(a))
+    per_row = per_row.select("key", F.transform("found", lambda x: x["new"]).alias("new"), named.alias("names"), F.when(F.size(named) > 0, F.concat(
+        F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))).alias("pattern"))
+
+    def renamed(between):
+        """Names without a title, of people whom the document names with one: all in one pass over the
+        original text, so no replacement is replaced.  Of equal names the document's first counts."""
+        found = F.transform(F.regexp_extract_all(between, F.col("pattern"), F.lit(0)), lambda m: F.filter("names", lambda p: p["old"] == m)[0]["new"])
+        return F.when(F.col("pattern").isNull(), between).otherwise(F.array_join(
+            F.zip_with(F.split(between, F.col("pattern"), -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
+    between = F.transform(F.split(text, ENTITY, -1), renamed)
+    later = F.array_join(F.zip_with(between, F.col("new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = dirty.join(per_row, "key")
     fields = [F.col(f"r.`{c}`").alias(c) if c != text_col else later.alias(c) for c in docs.columns]
     extra = ([F.size("new").cast("bigint").alias(count_col)], [F.lit(0).cast("bigint").alias(count_col)]) if count_col else ([], [])
