@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.session import ensure_checkpoint_dir, ship_package, table_path
+from ticketloom.session import ensure_checkpoint_dir, scratch_path, ship_package, table_path
 
 TEXTS = "batch bigint, doc_ids array<bigint>, sizes array<bigint>, body binary"
 
@@ -38,6 +39,32 @@ def narrow_input(df: DataFrame, id_col: str, text_col: str, row_col: str | None
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def numbered_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a bigint that no other row has, and the name of its column, which no input column has.
+
+    The number is a row's file and place in it, so it stays what it was however the files are cut into
+    tasks.  Rows that do not come straight from Parquet files are written to the shared folder first.
+    The list of files, which the driver holds anyway, is broadcast."""
+    spark = docs.sparkSession
+    taken = {c.lower() for c in docs.columns}
+    name, file = "__row", "__file"
+    while name in taken or file in taken:
+        name, file = name + "_", file + "_"
+    place = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(name)]
+    try:
+        if "_metadata" in taken:
+            raise AnalysisException("an own column hides the files' metadata")
+        rows = docs.select("*", *place)
+    except AnalysisException:
+        path = scratch_path(spark, "numbered")
+        docs.withColumnsRenamed({c: f"c{k}" for k, c in enumerate(docs.columns)}).write.parquet(path)
+        rows = spark.read.parquet(path).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)), *place)
+    paths = sorted(r[0] for r in rows.select(file).distinct().collect())
+    numbers = spark.createDataFrame([(p, k << 40) for k, p in enumerate(paths)], f"`{file}` string, __first bigint")
+    numbers = F.broadcast(numbers.withColumnRenamed("__first", file + "_first"))
+    return rows.join(numbers, file).select(*(F.col(f"`{c}`") for c in docs.columns), (F.col(file + "_first") + F.col(name)).alias(name)), name
+
+
 def partition_id() -> int:
     """Number of the running task's partition: the same when the task is repeated."""
     context = TaskContext.get()

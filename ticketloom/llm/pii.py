@@ -36,7 +36,7 @@ KINDS = {  # in the order in which a match is given its kind
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d+\-])(?:(?:\d{4}[ \-]?){3}\d{4}|\d{4}[ \-]?\d{6}[ \-]?\d{5}|\d{13,19})(?!\d)",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[\-. ]\d{4}"
-             r"|\d{3}[\-.]\d{3}[\-.]\d{4})(?!\d)",
+             r"|\d{3}[\-.]\d{3}[\-.]\d{4})(?![.\-]?\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "hash": r"(?<![\p{L}\p{N}])(?=[a-fA-F]{0,40}\d)[0-9a-fA-F]{32,64}(?![\p{L}\p{N}])",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{TITLES['m']}|{TITLES['f']}|Dr)\.? {NAME}(?: {NAME})?",
@@ -138,8 +138,9 @@ def _name_parts(surface: Column) -> Column:
     return F.when(F.size(words) > 2, F.array(given, surname)).otherwise(F.array(surname))
 
 
-def _parts(surface: Column) -> Column:
-    """What of a match is replaced: an array of ``(kind, canon, surface)``."""
+def _parts(surface: Column, check_digits: bool = False) -> Column:
+    """What of a match is replaced: an array of ``(kind, canon, surface)``.  With ``check_digits``, digits that
+    only look like a card number (no issuer's first digits, or a wrong check digit) are ``plain`` and stay."""
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(KINDS.items()):
         kind = F.when(surface.rlike(rf"\A(?:{pattern})\z"), name).otherwise(kind)
@@ -157,6 +158,9 @@ def _parts(surface: Column) -> Column:
                  .when(kind == "secret", F.when(value.rlike("^[0-9a-fA-F]+$"), F.lower(value)).otherwise(value))
                  .otherwise(surface))
         return F.array(F.struct(kind.alias("kind"), canon.alias("canon"), F.when(kind == "secret", value).otherwise(surface).alias("surface")))
+    if check_digits:
+        real = _luhn(_digits(surface)) & _digits(surface).rlike("^([3-6]|2[2-7])")
+        kind = F.when((kind == "card") & ~real, "plain").otherwise(kind)
     return _let(kind, lambda k: F.when(k == "person", _name_parts(surface)).otherwise(simple(k)))
 
 
@@ -243,11 +247,13 @@ def surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> Dat
     raise RuntimeError(f"replacements still collide after {rounds} rounds")
 
 
-def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
+def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY, count_col: str | None = None,
+                  check_digits: bool = False) -> DataFrame:
     """The input rows and columns with the entities of ``text_col`` replaced.
 
     Rows without an entity, null and empty texts among them, are returned as they are; repeated
-    rows and ids are replaced alike.  ``count_col`` adds the number of replaced matches.  Extra
+    rows and ids are replaced alike.  ``check_digits`` leaves numbers alone that only have a card's
+    length.  ``count_col`` adds the number of replaced matches.  Extra
     columns keep their values, whatever their names."""
     prepare(docs.sparkSession)
     if text_col not in docs.columns:
@@ -260,12 +266,13 @@ def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # rows of equal id and text have equal entities; the id spreads the copies of a text
     dirty = dirty.withColumn("key", F.concat_ws(":", F.col(f"r.`{id_col}`").cast("string"), F.xxhash64(text).cast("string"), F.length(text).cast("string")))
     marks = dirty.select("key", F.posexplode(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).alias("place", "match")).distinct()
-    marks = materialize(marks.select("key", "place", "match", F.posexplode(_parts(F.col("match"))).alias("nth", "part")))
+    marks = materialize(marks.select("key", "place", "match", F.posexplode(_parts(F.col("match"), check_digits)).alias("nth", "part")))
     marks = marks.select("*", F.struct("part.kind", "part.canon").alias("entity"), F.pmod(F.xxhash64("key"), F.lit(64)).alias("spread"))
-    known = surrogates(marks.select("entity.kind", "entity.canon").distinct(), key)
+    known = surrogates(marks.where("entity.kind <> 'plain'").select("entity.kind", "entity.canon").distinct(), key)
     table = known.select(F.struct("kind", "canon").alias("entity"), "surrogate")
     made = attach(marks, table, "entity", "spread").withColumn(
-        "shown", _render(F.col("part.kind"), F.col("part.surface"), F.col("surrogate")))
+        "shown", F.when(F.col("part.kind") == "plain", F.col("part.surface")).otherwise(
+            _render(F.col("part.kind"), F.col("part.surface"), F.col("surrogate"))))
     one = made.groupBy("key", "place", "match").agg(F.sort_array(F.collect_list(F.struct("nth", F.col("part.surface").alias("old"), F.col("shown").alias("new"),
                                                                                          F.col("part.kind").alias("kind")))).alias("parts"))
     # the parts stand at the end of the match, in their order, with single spaces between them
@@ -275,7 +282,8 @@ def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     per_row = one.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "new", "parts"))).alias("found"))
     named = F.filter(F.flatten(F.transform("found", lambda x: x["parts"])), lambda p: p["kind"].startswith("surname_") | p["kind"].startswith("given_"))
     longest = F.array_sort(F.array_distinct(F.transform(named, lambda p: p["old"])), lambda a, b: F.length(b) - F.length(a))
-    per_row = per_row.select("key", F.transform("found", lambda x: x["new"]).alias("new"), named.alias("names"), F.when(F.size(named) > 0, F.concat(
+    per_row = per_row.select("key", F.transform("found", lambda x: x["new"]).alias("new"),
+                             F.size(F.filter("found", lambda x: x["parts"][0]["kind"] != "plain")).cast("bigint").alias("n"), named.alias("names"), F.when(F.size(named) > 0, F.concat(
         F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))).alias("pattern"))
 
     def renamed(between):
@@ -288,7 +296,7 @@ def surrogate_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     later = F.array_join(F.zip_with(between, F.col("new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = dirty.join(per_row, "key")
     fields = [F.col(f"r.`{c}`").alias(c) if c != text_col else later.alias(c) for c in docs.columns]
-    extra = ([F.size("new").cast("bigint").alias(count_col)], [F.lit(0).cast("bigint").alias(count_col)]) if count_col else ([], [])
+    extra = ([F.col("n").alias(count_col)], [F.lit(0).cast("bigint").alias(count_col)]) if count_col else ([], [])
     return done.select(*fields, *extra[0]).union(clean.select(*(F.col(f"r.`{c}`").alias(c) for c in docs.columns), *extra[1]))
 
 
