@@ -68,3 +68,16 @@ def test_five_thousand_given_names(spark):
     assert len({s for _, s in given}) == 1
     ends = tuple(pii.ENDINGS["latin_f"])
     assert all(g.endswith(ends) or g in pii.GIVEN["latin_f"].split() for g, _ in given)
+
+
+def test_digits_without_a_check_digit_stay(spark):
+    texts = ["pay 4845168114407329 now", "part 4845168114407328 here", "id 0810992847249404 and 4845 1681 1440 7329", "+1 (843) 555-7672 170.106.47.21"]
+    out = replaced(spark, texts, check_digits=True)
+    assert out[1] == texts[1] and out[2].startswith("id 0810992847249404 and ") and out[2] != texts[2]
+    card = re.fullmatch(r"pay (\d{16}) now", out[0]).group(1)
+    assert re.sub(" ", "", out[2][-19:]) == card and card != "4845168114407329"
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} \d+\.\d+\.\d+\.\d+", out[3]) and "555-7672" not in out[3] and "170.106" not in out[3]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n for r in pii.surrogate_pii(rows, count_col="n", check_digits=True).orderBy("doc_id").collect()] == [1, 0, 1, 2]
+    # without the check every number of a card's length goes
+    assert "4845168114407328" not in replaced(spark, texts)[1]
