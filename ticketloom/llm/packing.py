@@ -1,9 +1,11 @@
 """Packing by lexical retrieval.
 
-Documents become token ids once, in a table of the shared folder.  The BM25 index is sharded: a
-shard is a bounded run of that table's documents, with the postings of its own documents and the
-document frequencies of the whole corpus (at most one number per vocabulary entry).  In a shard
-every window starts with the longest unused document as its seed; the index returns the seed's
+Documents become token ids once, in a table of the shared folder.  The BM25 index is sharded, and
+documents are dealt to shards by content, not by where they were stored: a tree over sketches of their
+weighted terms, fitted on a bounded sample, puts them in an order in which alike ones are near, and a
+shard is a bounded run of it.  A corpus of one shard is searched whole.  A shard has the postings of its
+own documents and the document frequencies of the whole corpus (at most one number per vocabulary
+entry); a query is all terms of its seed.  In a shard every window starts with the longest unused document as its seed; the index returns the seed's
 unused neighbours, which fill the window by rank, and the best one that doesn't fit is cut to
 fill it exactly.  Only what is left at the end of a shard is shorter than a window, and it is cut
 at powers of two, which need no padding.
@@ -27,7 +29,8 @@ from ticketloom.session import scratch_path
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 8192     # what a shard's index holds; not a limit on documents
-QUERY_TERMS = 24                               # of the seed, by BM25 weight
+SEEDS = 32                                     # queries answered at once
+SKETCH, SAMPLE, LEVELS = 128, 8192, 12         # dimensions of a sketch, documents that the tree is fitted on, its depth
 K1, B = 1.2, 0.75
 CACHED = 400_000                               # encoded words that a task keeps
 PIECES = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
@@ -103,34 +106,87 @@ def _frequencies(size):
 
 
 class Shard:
-    """BM25 postings of some documents, and which of them are unused."""
+    """BM25 postings of some documents, and which of them are unused.
+
+    A query is all distinct terms of its document.  Terms that an eighth of the documents hold are kept as
+    columns of a matrix, which a batch of queries multiplies; the others as postings."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        self.ids, self.idf = ids, idf
+        n = len(ids)
         length = np.array([len(x) for x in ids], np.float64)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int64), length.astype(np.int64))
+        doc = np.repeat(np.arange(n, dtype=np.int64), length.astype(np.int64))
         key, tf = np.unique((np.concatenate(ids).astype(np.int64) << 32) | doc, return_counts=True)
-        self.doc = key & 0xFFFFFFFF
-        term = key >> 32
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / mean_length))
-        self.weight = weight
+        doc, term = key & 0xFFFFFFFF, key >> 32
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean_length))
+        df = np.bincount(term, minlength=len(idf))
+        often = np.flatnonzero(df * 8 >= n)
+        column = np.full(len(idf), -1, np.int64)
+        column[often] = np.arange(len(often))
+        dense = column[term] >= 0
+        self.matrix = np.zeros((len(often), n), np.float32)
+        self.matrix[column[term[dense]], doc[dense]] = weight[dense]
+        order = np.argsort(doc, kind="stable")                 # terms by document
+        self.own, self.own_first = term[order], np.searchsorted(doc[order], np.arange(n + 1))
+        self.column = column
+        self.doc, self.weight, term = doc[~dense], weight[~dense], term[~dense]
         self.first = np.searchsorted(term, np.arange(len(idf) + 1))
-        order = np.argsort(self.doc, kind="stable")            # the same postings by document
-        self.own_term, self.own_weight = term[order], weight[order]
-        self.own_first = np.searchsorted(self.doc[order], np.arange(len(ids) + 1))
+        self.n = n
+
+    def scores(self, seeds: list[int]) -> list[np.ndarray]:
+        """For each seed the BM25 score of every document of the shard."""
+        query = np.zeros((len(seeds), len(self.matrix)), np.float32)
+        rare = []
+        for k, seed in enumerate(seeds):
+            terms = self.own[self.own_first[seed]:self.own_first[seed + 1]]
+            columns = self.column[terms]
+            query[k, columns[columns >= 0]] = 1
+            rare.append(terms[columns < 0])
+        out = list((query @ self.matrix).astype(np.float64))
+        for k, terms in enumerate(rare):
+            spans = [(a, b) for a, b in zip(self.first[terms].tolist(), self.first[terms + 1].tolist()) if b > a + 1]    # not the seed alone
+            if spans:
+                docs = np.concatenate([self.doc[a:b] for a, b in spans])
+                out[k] += np.bincount(docs, np.concatenate([self.weight[a:b] for a, b in spans]), minlength=self.n)
+        return out
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best first, ties by place."""
-        mine = slice(self.own_first[seed], self.own_first[seed + 1])
-        terms, weights = self.own_term[mine], self.own_weight[mine]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-weights, kind="stable")[:QUERY_TERMS]]
-        spans = [(self.first[t], self.first[t + 1]) for t in terms.tolist()]
-        docs = np.concatenate([self.doc[a:b] for a, b in spans])
-        score = np.bincount(docs, np.concatenate([self.weight[a:b] for a, b in spans]), minlength=len(unused))
-        score[~unused] = 0
+        """Unused documents that share a term with the seed, best first, ties by place."""
+        return np.array(list(self.ranked(self.scores([seed])[0], unused)), np.int64)
+
+    @staticmethod
+    def ranked(score: np.ndarray, unused: np.ndarray):
+        """The unused documents with a score, best first, ties by place."""
+        score = np.where(unused, score, 0)
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        for few in (64, len(found)):                           # mostly the first ones suffice
+            if few < len(found):
+                least = np.partition(score[found], len(found) - few)[len(found) - few]
+                top = found[score[found] > least]
+            else:
+                top = found
+            yield from top[np.lexsort((top, -score[top]))].tolist()
+            score[top] = 0
+            found = found[score[found] > 0]
+
+
+class Scores:
+    """Scores of seeds, computed for the next ``SEEDS`` unused ones at once."""
+
+    def __init__(self, shard: Shard, order: list[int]):
+        self.shard, self.order, self.at, self.known = shard, order, 0, {}
+
+    def of(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        if seed not in self.known:
+            while self.at < len(self.order) and self.order[self.at] != seed:
+                self.at += 1
+            batch = [seed]
+            for d in self.order[self.at + 1:]:
+                if len(batch) == SEEDS:
+                    break
+                if unused[d]:
+                    batch.append(d)
+            self.known = dict(zip(batch, self.shard.scores(batch)))
+        return self.known.pop(seed)
 
 
 def pack(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int):
@@ -147,8 +203,9 @@ def pack(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int
         return
     shard = Shard(ids, idf, mean_length)
     by_size = np.argsort(-left, kind="stable")
-    seeds = iter(by_size.tolist())
+    seeds, scores = iter(by_size.tolist()), Scores(shard, by_size.tolist())
     spare = by_size[::-1].tolist()                             # the shortest at the end's other side
+    left_least = int(left[unused].min())
     while True:
         seed = next((d for d in seeds if unused[d]), None)
         if seed is None:                                       # only remainders of cut documents may be left
@@ -160,7 +217,7 @@ def pack(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int
         unused[seed] = False
         cut = -1
         if room:
-            for d in shard.neighbours(seed, unused).tolist():
+            for d in shard.ranked(scores.of(seed, unused), unused):
                 if left[d] <= room:
                     line.append((d, int(start[d]), int(left[d])))
                     room -= int(left[d])
@@ -169,6 +226,8 @@ def pack(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int
                         break
                 elif cut < 0:
                     cut = d
+                if room < left_least:                          # no whole document fits any more
+                    break
         while room and (cut >= 0 or unused.any()):             # cut the best neighbour, or whatever is unused
             if cut < 0 or not unused[cut]:
                 while spare and not unused[spare[-1]]:
@@ -230,6 +289,71 @@ def _packed(shared, window, shard_tokens, shard_docs):
     return run
 
 
+def _sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A document's weighted terms, hashed with signs to ``SKETCH`` numbers, of length 1."""
+    terms, tf = np.unique(ids, return_counts=True)
+    h = (terms.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    sign = np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
+    x = np.bincount((h >> np.uint64(50)).astype(np.int64) % SKETCH, sign * idf[terms] * tf / (tf + K1), minlength=SKETCH)
+    norm = np.linalg.norm(x)
+    return x / norm if norm else x
+
+
+def fit_tree(sample: np.ndarray, levels: int) -> list:
+    """For each inner node of a binary tree ``(direction, threshold)``: sketches are halved between two poles of
+    their own, at the median.  Node k has children 2 k + 1 and 2 k + 2."""
+    nodes, rows = [], {0: sample}
+    for k in range(2 ** levels - 1):
+        x = rows.pop(k)
+        direction = np.zeros(SKETCH)
+        if len(x) > 1:
+            a = x[int(np.linalg.norm(x - x.mean(axis=0), axis=1).argmax())]
+            b = x[int(np.linalg.norm(x - a, axis=1).argmax())]
+            for _ in range(5):                                # two means, from two far rows
+                near = np.linalg.norm(x - a, axis=1) <= np.linalg.norm(x - b, axis=1)
+                if near.all() or not near.any():
+                    break
+                a, b = x[near].mean(axis=0), x[~near].mean(axis=0)
+            direction = b - a
+        side = x @ direction if len(x) else np.zeros(0)
+        threshold = float(np.median(side)) if len(x) else 0.0
+        nodes.append((direction, threshold))
+        rows[2 * k + 1], rows[2 * k + 2] = x[side <= threshold], x[side > threshold]
+    return nodes
+
+
+def _leaves(model, levels):
+    def run(batches):
+        idf, nodes = model.value
+        for batch in batches:
+            leaf = []
+            for ids in _ids(batch):
+                x, k = _sketch(ids, idf), 0
+                for _ in range(levels):
+                    direction, threshold = nodes[k]
+                    k = 2 * k + 1 + int(x @ direction > threshold)
+                leaf.append(k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int64())], [*batch.schema.names, "leaf"])
+    return run
+
+
+def by_content(tokens: DataFrame, idf: np.ndarray, n_tokens: int, shard_tokens: int, n_docs: int, shard_docs: int) -> DataFrame:
+    """``tokens`` dealt to partitions of about a shard, alike documents together."""
+    spark = tokens.sparkSession
+    shards = max(1, -(-n_tokens // shard_tokens), -(-n_docs // shard_docs))
+    place = [F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("place")]
+    tokens = tokens.select("doc_id", "ids", "wide", *place)
+    if shards == 1:
+        return tokens.repartition(1).sortWithinPartitions("place").drop("place")
+    # as many leaves as shards, at most 2^LEVELS; a leaf of many documents is cut by the ranges
+    levels = min(LEVELS, (shards - 1).bit_length() + 1)
+    sample = tokens.orderBy("place").limit(SAMPLE).select("ids", "wide").collect()
+    sample = np.array([_sketch(np.frombuffer(r.ids, "<u4" if r.wide else "<u2").astype(np.int64), idf) for r in sample])
+    model = spark.sparkContext.broadcast((idf, fit_tree(sample, levels)))
+    return (tokens.mapInArrow(_leaves(model, levels), "doc_id bigint, ids binary, wide boolean, place bigint, leaf bigint")
+            .repartitionByRange(shards, "leaf", "place").sortWithinPartitions("leaf", "place").drop("place", "leaf"))
+
+
 def pack_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",
                    text_col: str = "text", window: int = WINDOW, end_id: int = END_ID,
                    shard_tokens: int = SHARD_TOKENS, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -238,7 +362,9 @@ def pack_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str = publ
     ``ids`` are the piece's ids as little-endian unsigned 32-bit integers.  A document's ids are
     those of its text and ``end_id``, so null and empty texts are one id long.  Every id of every
     row, repeated rows and null ids included, is in exactly one piece; a sequence's offsets go from
-    0 without a gap, and it is ``window`` long or, at the end of a shard, a power of two."""
+    0 without a gap, and it is ``window`` long or, at the end of a shard, a power of two.  A seed's
+    neighbours are those of its shard, of about ``shard_tokens`` tokens and ``shard_docs`` documents; a
+    document of which many copies exist fills shards of its own."""
     spark = docs.sparkSession
     prepare(spark)
     size = max(max(ranks.values()), end_id) + 1
@@ -256,7 +382,8 @@ def pack_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str = publ
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     mean_length = max(1.0, float(counted["n"][counted["term"] == -2].sum()) / n_docs)
     model = spark.sparkContext.broadcast((idf, mean_length))
-    return tokens.mapInArrow(_packed(model, window, shard_tokens, shard_docs), PIECES)
+    n_tokens = int(counted["n"][counted["term"] == -2].sum())
+    return by_content(tokens, idf, n_tokens, shard_tokens, n_docs, shard_docs).mapInArrow(_packed(model, window, shard_tokens, shard_docs), PIECES)
 
 
 def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
