@@ -88,15 +88,19 @@ def _ids(batch) -> list[np.ndarray]:
             for x, w in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist())]
 
 
+def _distinct_terms(ids: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The distinct ids, by writing each one's place into ``room`` (as long as the vocabulary): the last stays."""
+    places = np.arange(len(ids))
+    room[ids] = places
+    return ids[room[ids] == places]
+
+
 def _frequencies(size):
     def run(batches):
-        df, docs = np.zeros(size, np.int64), 0
-        total = 0
+        df, room, docs, total = np.zeros(size, np.int64), np.empty(size, np.int64), 0, 0
         for batch in batches:
             for ids in _ids(batch):
-                seen = np.zeros(size, bool)
-                seen[ids] = True
-                df += seen
+                df[_distinct_terms(ids, room)] += 1
                 docs += 1
                 total += len(ids)
         terms = np.flatnonzero(df)
@@ -151,22 +155,18 @@ class Shard:
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with the seed, best first, ties by place."""
-        return np.array(list(self.ranked(self.scores([seed])[0], unused)), np.int64)
+        return np.concatenate([np.zeros(0, np.int64), *self.ranked(self.scores([seed])[0], unused)])
 
     @staticmethod
     def ranked(score: np.ndarray, unused: np.ndarray):
-        """The unused documents with a score, best first, ties by place."""
+        """The unused documents with a score, best first, ties by place: the first ones, and then the rest."""
         score = np.where(unused, score, 0)
         found = np.flatnonzero(score)
-        for few in (64, len(found)):                           # mostly the first ones suffice
-            if few < len(found):
-                least = np.partition(score[found], len(found) - few)[len(found) - few]
-                top = found[score[found] > least]
-            else:
-                top = found
-            yield from top[np.lexsort((top, -score[top]))].tolist()
-            score[top] = 0
-            found = found[score[found] > 0]
+        if len(found) > 64:                                    # mostly the first ones suffice
+            high = score[found] > np.partition(score[found], len(found) - 64)[len(found) - 64]
+            top, found = found[high], found[~high]
+            yield top[np.lexsort((top, -score[top]))]
+        yield found[np.lexsort((found, -score[found]))]
 
 
 class Scores:
@@ -217,16 +217,21 @@ def pack(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int
         unused[seed] = False
         cut = -1
         if room:
-            for d in shard.ranked(scores.of(seed, unused), unused):
-                if left[d] <= room:
+            for best in shard.ranked(scores.of(seed, unused), unused):
+                sizes, at = left[best], 0
+                while room:                                    # the next one that fits
+                    fits = np.flatnonzero(sizes[at:] <= room)
+                    if cut < 0 and at < len(best) and not (len(fits) and fits[0] == 0):
+                        cut = int(best[at])
+                    if not len(fits):
+                        break
+                    at += int(fits[0])
+                    d = int(best[at])
                     line.append((d, int(start[d]), int(left[d])))
                     room -= int(left[d])
                     unused[d] = False
-                    if not room:
-                        break
-                elif cut < 0:
-                    cut = d
-                if room < left_least:                          # no whole document fits any more
+                    at += 1
+                if not room or room < left_least:
                     break
         while room and (cut >= 0 or unused.any()):             # cut the best neighbour, or whatever is unused
             if cut < 0 or not unused[cut]:
@@ -289,14 +294,21 @@ def _packed(shared, window, shard_tokens, shard_docs):
     return run
 
 
-def _sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """A document's weighted terms, hashed with signs to ``SKETCH`` numbers, of length 1."""
-    terms, tf = np.unique(ids, return_counts=True)
-    h = (terms.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    sign = np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-    x = np.bincount((h >> np.uint64(50)).astype(np.int64) % SKETCH, sign * idf[terms] * tf / (tf + K1), minlength=SKETCH)
-    norm = np.linalg.norm(x)
-    return x / norm if norm else x
+class Sketcher:
+    """A document's terms, weighted by rarity and hashed with signs to ``SKETCH`` numbers, of length 1."""
+
+    def __init__(self, idf: np.ndarray):
+        h = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        self.signed = np.where((h >> np.uint64(40)) & np.uint64(1), idf, -idf)
+        self.slot, self.room = (h >> np.uint64(50)).astype(np.int64) % SKETCH, np.empty(len(idf), np.int64)
+
+    def of(self, documents: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(documents), SKETCH))
+        for k, ids in enumerate(documents):
+            terms = _distinct_terms(ids, self.room)
+            out[k] = np.bincount(self.slot[terms], self.signed[terms], minlength=SKETCH)
+        norms = np.linalg.norm(out, axis=1)
+        return out / np.where(norms > 0, norms, 1)[:, None]
 
 
 def fit_tree(sample: np.ndarray, levels: int) -> list:
@@ -322,18 +334,24 @@ def fit_tree(sample: np.ndarray, levels: int) -> list:
     return nodes
 
 
+def _sampled(model):
+    def run(batches):
+        sketcher = Sketcher(model.value)
+        for batch in batches:
+            rows = sketcher.of(_ids(batch)).astype("<f4")
+            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array([x.tobytes() for x in rows], pa.binary())], ["place", "sketch"])
+    return run
+
+
 def _leaves(model, levels):
     def run(batches):
-        idf, nodes = model.value
+        idf, directions, thresholds = model.value
+        sketcher = Sketcher(idf)
         for batch in batches:
-            leaf = []
-            for ids in _ids(batch):
-                x, k = _sketch(ids, idf), 0
-                for _ in range(levels):
-                    direction, threshold = nodes[k]
-                    k = 2 * k + 1 + int(x @ direction > threshold)
-                leaf.append(k)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int64())], [*batch.schema.names, "leaf"])
+            x, k = sketcher.of(_ids(batch)), np.zeros(batch.num_rows, np.int64)
+            for _ in range(levels):
+                k = 2 * k + 1 + (np.einsum("ij,ij->i", x, directions[k]) > thresholds[k])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(k, pa.int64())], [*batch.schema.names, "leaf"])
     return run
 
 
@@ -347,9 +365,13 @@ def by_content(tokens: DataFrame, idf: np.ndarray, n_tokens: int, shard_tokens:
         return tokens.repartition(1).sortWithinPartitions("place").drop("place")
     # as many leaves as shards, at most 2^LEVELS; a leaf of many documents is cut by the ranges
     levels = min(LEVELS, (shards - 1).bit_length() + 1)
-    sample = tokens.orderBy("place").limit(SAMPLE).select("ids", "wide").collect()
-    sample = np.array([_sketch(np.frombuffer(r.ids, "<u4" if r.wide else "<u2").astype(np.int64), idf) for r in sample])
-    model = spark.sparkContext.broadcast((idf, fit_tree(sample, levels)))
+    # about SAMPLE documents, by a hash of where they are; their sketches alone go to the driver
+    least = -(1 << 63) + int(min(1.0, SAMPLE / n_docs) * ((1 << 64) - 1))
+    weights = spark.sparkContext.broadcast(idf)
+    sample = tokens.where(F.col("place") <= min(least, (1 << 63) - 1)).mapInArrow(_sampled(weights), "place bigint, sketch binary").collect()
+    sample = np.array([np.frombuffer(r.sketch, "<f4") for r in sorted(sample, key=lambda r: r.place)], np.float64).reshape(len(sample), SKETCH)
+    nodes = fit_tree(sample, levels)
+    model = spark.sparkContext.broadcast((idf, np.array([d for d, _ in nodes]), np.array([t for _, t in nodes])))
     return (tokens.mapInArrow(_leaves(model, levels), "doc_id bigint, ids binary, wide boolean, place bigint, leaf bigint")
             .repartitionByRange(shards, "leaf", "place").sortWithinPartitions("leaf", "place").drop("place", "leaf"))
 
