@@ -29,7 +29,7 @@ from ticketloom.session import scratch_path
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 8192     # what a shard's index holds; not a limit on documents
-SEEDS = 32                                     # queries answered at once
+SEEDS = 64                                     # queries answered at once
 SKETCH, SAMPLE, LEVELS = 128, 8192, 12         # dimensions of a sketch, documents that the tree is fitted on, its depth
 K1, B = 1.2, 0.75
 CACHED = 400_000                               # encoded words that a task keeps
@@ -279,16 +279,18 @@ def _packed(shared, window, shard_tokens, shard_docs):
                                               for n, c in zip(names, out)], names)
 
     def run(batches):
-        docs, ids, size, number = [], [], 0, partition_id() << 36
+        docs, ids, size, number, now = [], [], 0, partition_id() << 36, None
         for batch in batches:
-            for i, x in zip(batch.column("doc_id").to_pylist(), _ids(batch)):
-                docs.append(i)
-                ids.append(x)
-                size += len(x)
-                if size >= shard_tokens or len(ids) >= shard_docs:
+            for i, x, shard in zip(batch.column("doc_id").to_pylist(), _ids(batch), batch.column("shard").to_pylist()):
+                # shards are about as large as planned; one that came out larger is cut
+                if ids and (shard != now or 2 * size >= 3 * shard_tokens or 2 * len(ids) >= 3 * shard_docs):
                     yield from sequences(docs, ids, number)
                     number += size + 1                         # a shard has fewer sequences than tokens
                     docs, ids, size = [], [], 0
+                now = shard
+                docs.append(i)
+                ids.append(x)
+                size += len(x)
         if ids:
             yield from sequences(docs, ids, number)
     return run
@@ -311,9 +313,21 @@ class Sketcher:
         return out / np.where(norms > 0, norms, 1)[:, None]
 
 
+def _gap(values: np.ndarray) -> float:
+    """A value between two different ones, next to the median; the greatest if all are alike."""
+    if not len(values):
+        return 0.0
+    values = np.sort(values)
+    gaps = np.flatnonzero(np.diff(values) > 1e-6)
+    if not len(gaps):
+        return float(values[-1]) + 1e-6
+    k = gaps[np.abs(gaps + 1 - len(values) / 2).argmin()]
+    return float(values[k] + values[k + 1]) / 2
+
+
 def fit_tree(sample: np.ndarray, levels: int) -> list:
     """For each inner node of a binary tree ``(direction, threshold)``: sketches are halved between two poles of
-    their own, at the median.  Node k has children 2 k + 1 and 2 k + 2."""
+    their own, at the gap next to the median, so that copies stay on one side however they are rounded.  Node k has children 2 k + 1 and 2 k + 2."""
     nodes, rows = [], {0: sample}
     for k in range(2 ** levels - 1):
         x = rows.pop(k)
@@ -328,7 +342,7 @@ def fit_tree(sample: np.ndarray, levels: int) -> list:
                 a, b = x[near].mean(axis=0), x[~near].mean(axis=0)
             direction = b - a
         side = x @ direction if len(x) else np.zeros(0)
-        threshold = float(np.median(side)) if len(x) else 0.0
+        threshold = _gap(side)
         nodes.append((direction, threshold))
         rows[2 * k + 1], rows[2 * k + 2] = x[side <= threshold], x[side > threshold]
     return nodes
@@ -343,27 +357,40 @@ def _sampled(model):
     return run
 
 
-def _leaves(model, levels):
+def _leaf(x: np.ndarray, nodes: list, levels: int) -> np.ndarray:
+    """Leaf, from 0, of each sketch."""
+    directions, thresholds = np.array([d for d, _ in nodes]), np.array([t for _, t in nodes])
+    k = np.zeros(len(x), np.int64)
+    for _ in range(levels):
+        k = 2 * k + 1 + (np.einsum("ij,ij->i", x, directions[k]) > thresholds[k])
+    return k - (2 ** levels - 1)
+
+
+def _dealt(model, levels, shards):
     def run(batches):
-        idf, directions, thresholds = model.value
+        idf, nodes, first, share = model.value
         sketcher = Sketcher(idf)
         for batch in batches:
-            x, k = sketcher.of(_ids(batch)), np.zeros(batch.num_rows, np.int64)
-            for _ in range(levels):
-                k = 2 * k + 1 + (np.einsum("ij,ij->i", x, directions[k]) > thresholds[k])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(k, pa.int64())], [*batch.schema.names, "leaf"])
+            leaf = _leaf(sketcher.of(_ids(batch)), nodes, levels)
+            within = (batch.column("place").to_numpy().view(np.uint64) >> np.uint64(11)) / 2.0 ** 53
+            shard = np.minimum(((first[leaf] + share[leaf] * within) * shards).astype(np.int64), shards - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], [*batch.schema.names, "shard"])
     return run
 
 
 def by_content(tokens: DataFrame, idf: np.ndarray, n_tokens: int, shard_tokens: int, n_docs: int, shard_docs: int) -> DataFrame:
-    """``tokens`` dealt to partitions of about a shard, alike documents together."""
+    """``tokens`` with their ``shard``, and sorted by it in partitions that hold whole shards.
+
+    The leaves of the tree stand in their order on a line, each as wide as its share of the sample, and a
+    shard is a stretch of the line; inside a leaf documents are spread by a hash of their place, so a
+    text that a third of the rows hold fills as many shards as it needs."""
     spark = tokens.sparkSession
     shards = max(1, -(-n_tokens // shard_tokens), -(-n_docs // shard_docs))
-    place = [F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("place")]
-    tokens = tokens.select("doc_id", "ids", "wide", *place)
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("place")
+    tokens = tokens.select("doc_id", "ids", "wide", place)
     if shards == 1:
-        return tokens.repartition(1).sortWithinPartitions("place").drop("place")
-    # as many leaves as shards, at most 2^LEVELS; a leaf of many documents is cut by the ranges
+        return tokens.withColumn("shard", F.lit(0).cast("bigint")).repartition(1).sortWithinPartitions("place").drop("place")
+    # as many leaves as shards or a few more, at most 2^LEVELS
     levels = min(LEVELS, (shards - 1).bit_length() + 1)
     # about SAMPLE documents, by a hash of where they are; their sketches alone go to the driver
     least = -(1 << 63) + int(min(1.0, SAMPLE / n_docs) * ((1 << 64) - 1))
@@ -371,9 +398,11 @@ def by_content(tokens: DataFrame, idf: np.ndarray, n_tokens: int, shard_tokens:
     sample = tokens.where(F.col("place") <= min(least, (1 << 63) - 1)).mapInArrow(_sampled(weights), "place bigint, sketch binary").collect()
     sample = np.array([np.frombuffer(r.sketch, "<f4") for r in sorted(sample, key=lambda r: r.place)], np.float64).reshape(len(sample), SKETCH)
     nodes = fit_tree(sample, levels)
-    model = spark.sparkContext.broadcast((idf, np.array([d for d, _ in nodes]), np.array([t for _, t in nodes])))
-    return (tokens.mapInArrow(_leaves(model, levels), "doc_id bigint, ids binary, wide boolean, place bigint, leaf bigint")
-            .repartitionByRange(shards, "leaf", "place").sortWithinPartitions("leaf", "place").drop("place", "leaf"))
+    mass = np.bincount(_leaf(sample, nodes, levels), minlength=2 ** levels) + 0.5
+    share = mass / mass.sum()
+    model = spark.sparkContext.broadcast((idf, nodes, np.cumsum(share) - share, share))
+    return (tokens.mapInArrow(_dealt(model, levels, shards), "doc_id bigint, ids binary, wide boolean, place bigint, shard bigint")
+            .repartition(shards, "shard").sortWithinPartitions("shard", "place").drop("place"))
 
 
 def pack_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",
