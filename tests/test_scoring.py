@@ -87,7 +87,7 @@ def test_logistic_reaches_the_optimum(spark):
 
 
 def test_logistic_beside_naive_bayes(spark):
-    import __spark_entry__ as E
-    got = {r.model: r for r in E.queries()["classifier_comparison"](spark, "/root/testdata/sf0.01").collect()}
+    from ticketloom.plans.catalog import classifier_comparison
+    got = {r.model: r for r in classifier_comparison(spark, "/root/testdata/sf0.01").collect()}
     assert got["logistic"].n_rows == got["naive_bayes"].n_rows == 200
     assert got["logistic"].accuracy > 0.97 and got["logistic"].accuracy >= got["naive_bayes"].accuracy - 0.02

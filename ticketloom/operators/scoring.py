@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,7 +145,10 @@ def fit_logistic(train: DataFrame, text_col: str, label_col: str, features: int
     the tasks is ``features`` x labels numbers, whatever the rows are.  Gradients are summed by trees of
     aggregates.  At least two labels are needed."""
     words = train.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label_text"), F.coalesce(ascii_words(text_col), F.array()).alias("words"))
-    words = words.checkpoint(eager=True)                 # each step reads the rows again
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if words.rdd.getNumPartitions() < cores:             # each step goes over the rows again: by all cores
+        words = words.repartition(cores)
+    words = words.checkpoint(eager=True)
     indexer = StringIndexer(inputCol="label_text", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error").fit(words)
     stages = [indexer, HashingTF(inputCol="words", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="features"),
               LogisticRegression(featuresCol="features", labelCol="label", regParam=regularisation, maxIter=max_iter, tol=tolerance, family="multinomial"),
@@ -157,3 +161,14 @@ def classify_logistic(model: PipelineModel, rows: DataFrame, text_col: str, id_c
     words = rows.select(id_col, F.coalesce(ascii_words(text_col), F.array()).alias("words"))
     steps = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
     return steps.transform(words).select(id_col, "pred_label")
+
+
+def label_mass(model: PipelineModel, rows: DataFrame, text_col: str) -> DataFrame:
+    """``label, mass``: the probabilities that the rows' texts give each label, summed.  At the optimum of the
+    fit, whose intercepts carry no penalty, a label's mass over the training rows is their number."""
+    words = rows.select(F.coalesce(ascii_words(text_col), F.array()).alias("words"))
+    steps = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
+    labels = model.stages[-1].getLabels()
+    share = vector_to_array("probability")
+    sums = steps.transform(words).agg(*(F.sum(F.get(share, F.lit(k))).alias(str(k)) for k in range(len(labels))))
+    return sums.select(F.inline(F.array(*(F.struct(F.lit(x).alias("label"), F.col(f"`{k}`").alias("mass")) for k, x in enumerate(labels)))))

@@ -737,15 +737,15 @@ def _languages(spark, sf):
 
 @query("fit_logistic")
 def q_fit_logistic(spark, sf):
-    """V2: TF-IDF with logistic regression fitted on the train documents' language, scored on the test ones."""
-    train, test = _languages(spark, sf)
-    pred = SC.classify_logistic(SC.fit_logistic(train, "text", "lang"), test, "text", "doc_id")
-    return test.select("doc_id", F.col("lang").alias("true_label")).join(pred, "doc_id")
+    """V2: TF-IDF with logistic regression fitted on the train documents' language, and the optimum's first
+    condition: the probability mass of each label over the train rows, rounded, is their number."""
+    train, _ = _languages(spark, sf)
+    model = SC.fit_logistic(train, "text", "lang", tolerance=1e-7)
+    return SC.label_mass(model, train.where("lang IS NOT NULL"), "text").select("label", F.round("mass").cast("bigint").alias("n_rows"))
 
 
-@query("classifier_comparison")
-def q_classifier_comparison(spark, sf):
-    """A9 on held-out documents: logistic regression beside naive Bayes."""
+def classifier_comparison(spark, sf) -> DataFrame:
+    """A9 on held-out documents: logistic regression beside naive Bayes (a fit has no SQL; tested)."""
     train, test = _languages(spark, sf)
     truth = test.select("doc_id", F.col("lang").alias("true_label"))
     logistic = SC.classify_logistic(SC.fit_logistic(train, "text", "lang"), test, "text", "doc_id")

@@ -996,3 +996,9 @@ WITH w AS (SELECT doc_id, unnest({words('text')}) AS word FROM documents),
 tf AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
 df AS (SELECT word, count(*) AS df FROM tf GROUP BY word)
 SELECT doc_id, word, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 9) AS tfidf FROM tf JOIN df USING (word)"""
+
+ORACLE["fit_logistic"] = f"""
+WITH seg AS (
+  SELECT lang, row_number() OVER (ORDER BY {_key('doc_id')}, doc_id) - 1 < CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train
+  FROM documents)
+SELECT lang AS label, count(*) AS n_rows FROM seg WHERE train AND lang IS NOT NULL GROUP BY lang"""
