@@ -145,10 +145,7 @@ def fit_logistic(train: DataFrame, text_col: str, label_col: str, features: int
     the tasks is ``features`` x labels numbers, whatever the rows are.  Gradients are summed by trees of
     aggregates.  At least two labels are needed."""
     words = train.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label_text"), F.coalesce(ascii_words(text_col), F.array()).alias("words"))
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if words.rdd.getNumPartitions() < cores:             # each step goes over the rows again: by all cores
-        words = words.repartition(cores)
-    words = words.checkpoint(eager=True)
+    words = words.checkpoint(eager=True)                 # each step goes over the rows again
     indexer = StringIndexer(inputCol="label_text", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error").fit(words)
     stages = [indexer, HashingTF(inputCol="words", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="features"),
               LogisticRegression(featuresCol="features", labelCol="label", regParam=regularisation, maxIter=max_iter, tol=tolerance, family="multinomial"),

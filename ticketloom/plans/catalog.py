@@ -740,7 +740,7 @@ def q_fit_logistic(spark, sf):
     """V2: TF-IDF with logistic regression fitted on the train documents' language, and the optimum's first
     condition: the probability mass of each label over the train rows, rounded, is their number."""
     train, _ = _languages(spark, sf)
-    model = SC.fit_logistic(train, "text", "lang", tolerance=1e-7)
+    model = SC.fit_logistic(train, "text", "lang", features=1 << 14, tolerance=1e-7)
     return SC.label_mass(model, train.where("lang IS NOT NULL"), "text").select("label", F.round("mass").cast("bigint").alias("n_rows"))
 
 
