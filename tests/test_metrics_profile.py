@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -240,3 +241,20 @@ def test_eval_report_golden_text(spark):
     assert "Parse Error Rate: 0.5000\nDomain Error Rate: 0.0000\n" in text
     assert text.endswith("Correct Predictions:\n\nExample 1:\nInput: my input\nTrue Type: complaint\n"
                          "Predicted Type: complaint\n\nIncorrect Predictions:\n")
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_dense_grid_has_every_cell(spark, block):
+    import random
+    rnd = random.Random(block)
+    names = [f"label {k}" for k in range(9)] + [None, "", "="]
+    rows = [(rnd.choice(names[:8]), rnd.choice(names[3:])) for _ in range(60)]
+    got = {}
+    for r in MT.dense_grid(spark.createDataFrame(rows, "true_label string, pred_label string"), block).collect():
+        assert len(r.pred_labels) == len(r.counts) and r.pred_labels == sorted(r.pred_labels, key=lambda x: (x is not None, x or ""))
+        for p, n in zip(r.pred_labels, r.counts):
+            assert (r.true_label, p) not in got
+            got[r.true_label, p] = n
+    axis = {x for row in rows for x in row}
+    assert got == {(t, p): rows.count((t, p)) for t in axis for p in axis}
+    assert MT.dense_grid(spark.createDataFrame([], "true_label string, pred_label string")).collect() == []

@@ -76,6 +76,33 @@ def confusion_matrix(labels: DataFrame) -> DataFrame:
         F.col("t").alias("true_label"), F.col("p").alias("pred_label"), "n")
 
 
+AXIS_BLOCK = 1000
+
+
+def dense_grid(labels: DataFrame, block: int = AXIS_BLOCK) -> DataFrame:
+    """JN3: every cell of the confusion matrix with its zeros, as blocks ``(true_label, axis, pred_labels,
+    counts)``: the axis of predicted labels is dealt by hash into pieces of about ``block`` labels,
+    and a matrix row has one block for each, with its labels in order and a count for each.  The
+    axes are the labels of both sides (null is one); no label list leaves the executors and no block
+    is longer than a piece, however many labels there are."""
+    counts = pair_counts(labels).checkpoint(eager=True)
+    axis = counts.select(F.explode(F.array("t", "p")).alias("label")).distinct().checkpoint(eager=True)
+    pieces = max(1, -(-axis.count() // block))
+    piece = lambda c: F.pmod(F.xxhash64(c), F.lit(pieces)).cast("int")
+    # nulls and texts alike as structs, as a list leaves out nulls
+    lists = (axis.groupBy(piece("label").alias("axis"))
+             .agg(F.sort_array(F.collect_list(F.struct("label"))).alias("pred_labels")))
+    cells = (counts.groupBy("t", piece("p").alias("axis"))
+             .agg(F.collect_list(F.struct(F.col("p").alias("label"), "n")).alias("cells")))
+    rows = axis.select(F.col("label").alias("true_label"), F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("axis")).join(lists, "axis")
+    full = rows.join(cells, rows["true_label"].eqNullSafe(cells["t"]) & (rows["axis"] == cells["axis"]), "left")
+    # a cell's label is looked up in a map; a null label has a key that no text has
+    key = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    known = F.map_from_entries(F.transform("cells", lambda c: F.struct(key(c["label"]).alias("key"), c["n"].alias("value"))))
+    found = F.transform("pred_labels", lambda x: F.coalesce(F.try_element_at(known, key(x["label"])), F.lit(0)).cast("bigint"))
+    return full.select("true_label", rows["axis"], F.transform("pred_labels", lambda x: x["label"]).alias("pred_labels"), found.alias("counts"))
+
+
 def field_accuracy(detailed: DataFrame) -> DataFrame:
     """Among type-correct compared rows, matches / relevant per field;
     fields with no relevant row are left out."""

@@ -495,6 +495,13 @@ def q_confusion_matrix(spark, sf):
     return MT.confusion_matrix(evaluated(spark, sf))
 
 
+@query("dense_confusion_matrix")
+def q_dense_confusion_matrix(spark, sf):
+    """JN3: all cells of the matrix, zeros too."""
+    blocks = MT.dense_grid(evaluated(spark, sf))
+    return blocks.select("true_label", F.inline(F.arrays_zip("pred_labels", "counts")).alias("pred_label", "n"))
+
+
 @query("label_set")
 def q_label_set(spark, sf):
     return MT.label_set(evaluated(spark, sf))

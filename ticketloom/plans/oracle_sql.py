@@ -1002,3 +1002,9 @@ WITH seg AS (
   SELECT lang, row_number() OVER (ORDER BY {_key('doc_id')}, doc_id) - 1 < CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train
   FROM documents)
 SELECT lang AS label, count(*) AS n_rows FROM seg WHERE train AND lang IS NOT NULL GROUP BY lang"""
+
+ORACLE["dense_confusion_matrix"] = E_ + """,
+axis_ AS (SELECT true_label AS label FROM labels_ UNION SELECT pred_label FROM labels_)
+SELECT a.label AS true_label, b.label AS pred_label, count(l.true_label) AS n
+FROM axis_ a CROSS JOIN axis_ b LEFT JOIN labels_ l ON l.true_label = a.label AND l.pred_label = b.label
+GROUP BY a.label, b.label"""
