@@ -17,13 +17,16 @@ from ticketloom.functions import jsonx
 from ticketloom.functions.json_errors import error_text, first_error
 from ticketloom.functions.text import py_strip
 from ticketloom.operators import clean as CL
+from ticketloom.operators import heavy as HV
 from ticketloom.operators import keywords as KW
 from ticketloom.operators import metrics as MT
+from ticketloom.operators import phrases as PH
 from ticketloom.operators import profile as PR
 from ticketloom.operators import records as RC
 from ticketloom.operators import responses as RS
 from ticketloom.operators import sampling as SM
 from ticketloom.operators import scoring as SC
+from ticketloom.operators import summaries as SU
 from ticketloom.session import scratch_path
 from ticketloom.sources import files as FI
 from ticketloom.streaming import score_stream as ST
@@ -169,6 +172,19 @@ def q_length_stats(spark, sf):
     return PR.length_stats(parsed(spark, sf))
 
 
+@query("profile_by_day")
+def q_profile_by_day(spark, sf):
+    """A4 and A6 from stored summaries: six days (by id) are stored, a seventh is added without reading the others
+    again, and the merged profile of each language is held against a full run."""
+    d = read_table(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    d = d.withColumn("day", F.pmod("doc_id", F.lit(7)).cast("int")).withColumn("digest", PR.text_digest("text"))
+    path, what = scratch_path(spark, "day_summaries"), (["lang"], "text", ["source", "digest"])
+    for days in ("day < 6", "day = 6"):
+        SU.store_summaries(SU.day_summaries(d.where(days), "day", *what), "day", path)
+    merged = SU.merge_summaries(SU.read_summaries(spark, path), ["lang"])
+    return SU.check_profile(SU.summary_profile(merged, ["lang"]), d, *what)
+
+
 @query("document_length_stats")
 def q_document_length_stats(spark, sf):
     d = read_table(spark, sf, "documents", "text")
@@ -228,6 +244,14 @@ def q_lang_keywords(spark, sf):
     return KW.class_keywords(d, "text", "lang", classes=None)
 
 
+@query("heavy_lang_keywords")
+def q_heavy_lang_keywords(spark, sf):
+    """T2-T6 from bounded summaries and an exact recount of the candidates, class = language."""
+    d = read_table(spark, sf, "documents", "lang", "text")
+    counts = HV.heavy_word_counts(d, "text", ["lang"], FV.TYPE_KEYWORDS_TOP)
+    return KW.top_keywords(counts, ["lang"], FV.TYPE_KEYWORDS_TOP, FV.TYPE_STOPWORDS)
+
+
 @query("high_severity_keywords")
 def q_high_severity_keywords(spark, sf):
     return KW.high_severity_keywords(clean(spark, sf))
@@ -710,6 +734,19 @@ def q_domain_filter(spark, sf):
     return SC.domain_scores(e, kw).select("sample_id", "domain_score", "in_domain", "error")
 
 
+@query("phrase_filter")
+def q_phrase_filter(spark, sf):
+    """V4 with a large list: each document's matches of every one to three words in a row of ``benchmark``, in
+    domain from five different ones."""
+    w = F.col("w")
+    b = read_table(spark, sf, "benchmark", "text").select(PH.ascii_words("text").alias("w"))
+    runs = F.concat(*(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+                      for n in (1, 2, 3)))
+    phrases = b.where(F.size("w") >= 3).select(F.explode(runs).alias("phrase"))
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return PH.phrase_scores(d, phrases, "doc_id", "text", threshold=5)
+
+
 @query("fit_classifier")
 def q_fit_classifier(spark, sf):
     """V2: a text classifier fitted on the train rows of the cleaned tickets

@@ -216,6 +216,13 @@ def _length_stats(src: str, col: str) -> str:
 ORACLE["length_stats"] = P + _length_stats("parsed", "original_input")
 ORACLE["document_length_stats"] = _length_stats("documents", "text")
 
+ORACLE["profile_by_day"] = """
+SELECT lang, count(*) AS n_rows, count(text) AS n_texts, round(avg(length(text)), 6) AS mean,
+       round(stddev_samp(length(text)), 6) AS std, CAST(min(length(text)) AS BIGINT) AS min,
+       CAST(max(length(text)) AS BIGINT) AS max, count(DISTINCT source) AS unique_source,
+       count(DISTINCT text) AS unique_digest, true AS median_within, true AS source_within, true AS digest_within
+FROM documents GROUP BY lang"""
+
 ORACLE["duplicate_inputs"] = P + """
 SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates
 FROM (SELECT count(*) AS n FROM parsed GROUP BY original_input)"""
@@ -325,6 +332,8 @@ ORACLE["lang_keywords"] = with_(f"""lang_wc AS (SELECT lang, word, count(*) AS n
   SELECT lang, unnest({words('text')}) AS word FROM documents) GROUP BY lang, word)""") + \
     "SELECT * FROM " + top_keywords_sql("lang_wc", "lang", 20, FV.TYPE_STOPWORDS)
 
+ORACLE["heavy_lang_keywords"] = ORACLE["lang_keywords"]
+
 ORACLE["high_severity_keywords"] = with_(RAW_TICKETS, PARSED, CLEAN, _HIGH_WC) + "SELECT * FROM " + \
     top_keywords_sql("high_wc", None, 15, FV.HIGH_SEVERITY_STOPWORDS)
 
@@ -1008,3 +1017,21 @@ axis_ AS (SELECT true_label AS label FROM labels_ UNION SELECT pred_label FROM l
 SELECT a.label AS true_label, b.label AS pred_label, count(l.true_label) AS n
 FROM axis_ a CROSS JOIN axis_ b LEFT JOIN labels_ l ON l.true_label = a.label AND l.pred_label = b.label
 GROUP BY a.label, b.label"""
+
+
+def _runs(table: str, keep: str) -> str:
+    """Every run of one to three words of a text, ``keep`` beside it."""
+    return " UNION ALL ".join(f"""
+  SELECT {keep} unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS phrase
+  FROM {table}{' WHERE len(w) >= 3' if not keep else ''}""" for n in (1, 2, 3))
+
+
+ORACLE["phrase_filter"] = f"""
+WITH b AS (SELECT {words('text')} AS w FROM benchmark), d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+phrases AS (SELECT DISTINCT phrase FROM ({_runs('b', '')})),
+hits AS (SELECT doc_id, count(*) AS n_matches, count(DISTINCT phrase) AS n_phrases
+         FROM ({_runs('d', 'doc_id,')}) JOIN phrases USING (phrase) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_matches, 0) AS BIGINT) AS n_matches, CAST(coalesce(n_phrases, 0) AS BIGINT) AS n_phrases,
+       coalesce(n_phrases, 0) >= 5 AS in_domain,
+       CASE WHEN coalesce(n_phrases, 0) < 5 THEN {_lit(FV.OUT_OF_DOMAIN_ERROR)} END AS error
+FROM d LEFT JOIN hits USING (doc_id)"""
