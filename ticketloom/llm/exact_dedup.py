@@ -1,27 +1,29 @@
-"""Exact dedup: tree-merge of digest runs, each round a keyed aggregate (no run is sorted).
-
-Texts are equal when they are identical after deleting ASCII white space.  Each scan
-partition makes one run of ``(digest, count, best row)``.  In every round the runs whose
-numbers differ in one base-``FAN`` digit exchange their rows: a row goes to the run whose digit
-is that of its digest's range, and rows of the same digest merge.  After the last round each
-run holds one digest range, with one row per distinct text.  A digest held by a third of the
-rows is one row per run from the start, so no task ever gathers its copies.
+"""Exact dedup by a tree-merge of sorted digest runs.
+
+Texts are equal when they are identical after deleting ASCII white space.  Each scan partition
+sorts its digests into one run, one row per distinct text: ``(digest, count, best row)``.  In
+round r runs whose numbers differ in bit r exchange the halves of their digests (a binomial
+tree: partners are 2^r apart), and each task merges the sorted runs it gets, keeping of equal
+digests - verified by SHA-256, XXH3 and length at every level - the count and the best row.
+After the last round every run holds one digest range.  A digest held by a third of the rows is
+one row per run from the start, so no task ever gathers its copies.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import attach, documents, materialize, partition_id, prepare
 
-FAN = 8
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
+MAX_RUNS = 4096                         # partitions of a round; more runs are merged into as many first
 SCHEMA = "row bigint, doc_id bigint, run bigint, digest binary, check bigint, n_bytes bigint, n_chars bigint"
 SAME = ["digest", "check", "n_bytes"]   # rows merge only if both hashes and the length agree
 
@@ -43,15 +45,48 @@ def _digests(batches):
             ["row", "doc_id", "run", "digest", "check", "n_bytes", "n_chars"])
 
 
-def tree_merge(runs: DataFrame, n_runs: int, fan: int = FAN) -> DataFrame:
-    """Merge ``(run, digest..., n, best)`` rows until each digest is in one run only."""
-    rounds = max(1, math.ceil(math.log(max(2, n_runs), fan)))
+def _merge(batches):
+    """Rows in order of run and digest, best first, with equal digests of a run merged into their best row."""
+    held = None                                 # the last digest so far, which the next batch may go on with
+    for batch in batches:
+        part = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        if not part.num_rows:
+            continue
+        new = np.ones(part.num_rows, bool)
+        new[1:] = False
+        for column in ("run", *SAME):
+            c = part.column(column)
+            new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy()
+        starts = np.flatnonzero(new)
+        counts = np.add.reduceat(part.column("n").to_numpy(), starts)
+        best = part.take(pa.array(starts))
+        best = best.set_column(best.schema.get_field_index("n"), "n", pa.array(counts)).combine_chunks()
+        yield from best.slice(0, len(starts) - 1).to_batches()
+        held = best.slice(len(starts) - 1).to_batches()[0]
+    if held is not None:
+        yield held
+
+
+def merge_runs(runs: DataFrame) -> DataFrame:
+    """Each task's sorted runs as one, equal digests merged; the sort spills, the merge holds one batch."""
+    return runs.sortWithinPartitions("run", *SAME, F.desc("best")).mapInArrow(_merge, runs.schema)
+
+
+def tree_merge(runs: DataFrame, n_runs: int, max_runs: int = MAX_RUNS) -> DataFrame:
+    """Merge ``(run, digest, check, n_bytes, n, best)`` rows, the largest ``best`` stays, until each digest is in
+    one run only; runs are numbered from 0.
+
+    More than ``max_runs`` (a power of two) are first merged, many at a time, into that many."""
+    rounds = max(1, min(n_runs - 1, max_runs - 1).bit_length())
     prefix = F.conv(F.substring(F.hex("digest"), 1, 12), 16, 10).cast("bigint")
+    runs = merge_runs(runs)
+    if n_runs > 1 << rounds:
+        fewer = runs.withColumn("run", F.col("run").bitwiseAND((1 << rounds) - 1))
+        runs = merge_runs(fewer.repartitionById(1 << rounds, F.col("run").cast("int")))
     for r in range(rounds):
-        unit = fan ** r
-        digit, wanted = F.floor(F.col("run") / unit) % fan, F.floor(prefix / unit) % fan
-        runs = (runs.withColumn("run", (F.col("run") + (wanted - digit) * unit).cast("bigint"))
-                .groupBy("run", *SAME).agg(F.sum("n").alias("n"), F.max("best").alias("best")))
+        wanted = F.shiftright(prefix, r).bitwiseAND(1)
+        other = F.col("run").bitwiseAND(~(1 << r)).bitwiseOR(F.shiftleft(wanted, r)).cast("bigint")
+        runs = merge_runs(runs.withColumn("run", other).repartitionById(1 << rounds, F.col("run").cast("int")))
     return runs
 
 
@@ -69,11 +104,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = docs.select(row.alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = materialize(text.mapInArrow(_digests, SCHEMA))
-    # larger is better; the bitwise complement reverses an order without overflow
-    rows = rows.withColumn("best", F.struct("n_chars", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row")))
     n_runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
-    first = rows.groupBy("run", *SAME).agg(F.count("*").alias("n"), F.max("best").alias("best"))
-    merged = tree_merge(first, n_runs).select(F.struct(*SAME).alias("key"), "n", F.col("best").alias("won"))
+    # larger is better; the bitwise complement reverses an order without overflow
+    best = F.struct("n_chars", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row"))
+    runs = rows.select("run", *SAME, F.lit(1).cast("bigint").alias("n"), best.alias("best"))
+    merged = tree_merge(runs, n_runs).select(F.struct(*SAME).alias("key"), "n", F.col("best").alias("won"))
     out = attach(rows.withColumn("key", F.struct(*SAME)), merged, "key", "run")
     return out.select("row", "doc_id", F.bitwise_not(F.col("won.id")).alias("keep_id"),
                       F.col("n").alias("group_size"), (F.col("won.row") == F.bitwise_not("row")).alias("kept"),
