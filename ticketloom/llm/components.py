@@ -1,22 +1,32 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by alternating large-star and small-star steps.
+
+A node may have any number of edges: its smallest neighbour is sent to ``PARTS`` keys a node, over which
+its edges are spread by their other end, so that a hub's edges never meet in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import materialize
+from ticketloom.llm.common import attach, materialize
+
+PARTS = 64
+
+
+def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """The edges with their node's row of ``low``."""
+    return attach(edges.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS))), low, "a", "part")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return _with_low(both, low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("a").agg(F.min("b").alias("m"))
-    linked = edges.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    linked = _with_low(edges, low).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -5,7 +5,9 @@ Two fingerprints within ``2k + 1`` bits have a 32-bit half in which they differ
 for each half, all variants of that half within ``k = radius // 2`` bits (half the radius,
 rounded down); linked fingerprints collide on at least one variant.  The variants are
 shuffled, and a bucket's members are verified by the bit distance of the whole fingerprint.
-A bucket only reports the links that join its members (a forest), never all pairs.
+A bucket of more than ``HOT`` members is cut into blocks by a hash of the fingerprint, and every
+pair of blocks is a group of its own.  A group only reports the links that join its members (a
+forest), never all pairs.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from ticketloom.llm.common import attach, documents, materialize, narrow_input,
 from ticketloom.llm.components import components
 
 SHINGLE, BITS, SEED = 3, 3, 42
+HOT = 8192             # members of a variant beyond which its block pairs are spread over tasks
 BLOCK = 1024           # members compared at a time; a matter of memory, all blocks are compared
 
 
@@ -129,12 +132,25 @@ def _links(bits):
     return run
 
 
-def simhash_links(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` (bigint) within ``bits``."""
+def simhash_links(prints: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
+    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` (bigint) within ``bits``.
+
+    Groups hold about ``2 * hot`` members at most, however many share a variant."""
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a set number of partitions: what is small here is 66 times as large after the next step
-    variants = prints.select("fp").distinct().repartition(n, "fp").mapInArrow(_variants(bits // 2), "variant bigint, fp bigint")
-    buckets = variants.repartition("variant").sortWithinPartitions("variant")
+    # a set number of partitions, by a key of its own, as Spark leaves out a shuffle on the key that rows already
+    # lie by: what is small here is 66 times as large after the next step
+    spread = prints.select("fp").distinct().repartition(n, F.xxhash64("fp"))
+    variants = spread.mapInArrow(_variants(bits // 2), "variant bigint, fp bigint")
+    full = materialize(variants.groupBy("variant").agg(F.count("*").alias("size")).where(F.col("size") > hot))
+    groups = variants
+    if not full.isEmpty():
+        blocks = F.ceil(F.col("size") / hot).cast("bigint")
+        own = F.pmod(F.xxhash64("fp", F.lit(1)), blocks)
+        pair = lambda other: F.xxhash64("variant", F.least(own, other), F.greatest(own, other))
+        cut = variants.join(full, "variant").select(
+            F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), blocks - 1), pair)).alias("variant"), "fp")
+        groups = variants.join(full, "variant", "left_anti").unionByName(cut)
+    buckets = groups.repartition("variant").sortWithinPartitions("variant")
     return buckets.mapInArrow(_links(bits), "a bigint, b bigint").distinct()
 
 
