@@ -60,7 +60,8 @@ def _merge(batches):
         starts = np.flatnonzero(new)
         counts = np.add.reduceat(part.column("n").to_numpy(), starts)
         best = part.take(pa.array(starts))
-        best = best.set_column(best.schema.get_field_index("n"), "n", pa.array(counts)).combine_chunks()
+        # the column's own field: a held row has the schema of the next batch
+        best = best.set_column(best.schema.get_field_index("n"), best.schema.field("n"), pa.array(counts)).combine_chunks()
         yield from best.slice(0, len(starts) - 1).to_batches()
         held = best.slice(len(starts) - 1).to_batches()[0]
     if held is not None:
