@@ -13,11 +13,13 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketloom.session import scratch_path
+from ticketloom.session import scratch_path, ship_package
 
 _RANGE = ["file", "block"]
 _STRICT = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false", "allowNumericLeadingZeros": "false",
@@ -72,7 +74,38 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     ranges = rows.groupBy(*_RANGE).agg(F.min("id").alias("first"), F.count("*").alias("n"))
     ranges = prefix(ranges, before="n").join(file_offsets(ranges, "n"), "file")
     ranges = ranges.select(*_RANGE, (F.col("offset") + F.col("before") - F.col("first")).alias("shift"))
-    return rows.join(ranges, _RANGE).select((F.col("id") + F.col("shift")).alias("line"), "value")
+    return rows.join(F.broadcast(ranges), _RANGE).select((F.col("id") + F.col("shift")).alias("line"), "value")
+
+
+_LINES = "file string, block bigint, id bigint, value string, odd int, inside int, starts0 bigint, starts1 bigint"
+
+
+def _running(batches):
+    """Lines with ``inside``, the parity of the quotes before them in their range, and ``starts0``, ``starts1``, the
+    records that start in the range up to them if it starts outside or inside quotes.  Ranges come
+    whole and in order, so three numbers are carried from batch to batch."""
+    now, sums = None, (0, 0, 0)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        odd, line = batch.column("odd").to_numpy().astype(np.int64), ~batch.column("blank").to_numpy(zero_copy_only=False)
+        file, block = batch.column("file").dictionary_encode(), batch.column("block").to_numpy()
+        new = np.flatnonzero((np.diff(file.indices.to_numpy()) != 0) | (np.diff(block) != 0)) + 1
+        columns = ([], [], [])
+        for a, b in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
+            key = (file[a].as_py(), int(block[a]))
+            if key != now:
+                now, sums = key, (0, 0, 0)
+            quotes = sums[0] + np.cumsum(odd[a:b])
+            inside = (quotes - odd[a:b]) % 2
+            starts = [sums[k + 1] + np.cumsum((inside == k) & line[a:b]) for k in (0, 1)]
+            sums = (int(quotes[-1]), int(starts[0][-1]), int(starts[1][-1]))
+            for column, part in zip(columns, (inside, *starts)):
+                column.append(part)
+        inside, *starts = map(np.concatenate, columns)
+        kept = [batch.column(c) for c in ("file", "block", "id", "value", "odd")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(inside.astype(np.int32)), *(pa.array(x.astype(np.int64)) for x in starts)],
+                                         ["file", "block", "id", "value", "odd", "inside", "starts0", "starts1"])
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
@@ -81,35 +114,35 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     whose ``row`` is null.  Blank lines between records count for nothing.
 
     A line break ends a record if the quotes before it in the file are even in number.  Each range counts
-    its quotes, and its records if it starts outside or inside quotes; prefixes over ranges say which
-    holds.  Lines of records that span several are gathered by (file, record), the others stay."""
+    its quotes, and its records if it starts outside or inside quotes, as its lines are read; they are
+    written once, with these counts.  Prefixes over ranges, which are broadcast, say which holds.  Lines
+    of records that span several are gathered by (file, record), the only shuffle of text; the others stay."""
+    ship_package(spark)
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2
-    rows = pieces(spark, path, odd=odd, blank=F.col("value").rlike(r"^[ \t\r]*$"))
-    back = _before("id", by=_RANGE)
-    upto = Window.partitionBy(*_RANGE).orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("odd").over(back), F.lit(0)) % 2)
-    # starts of records so far, if the range starts outside (0) or inside quotes (1)
-    for state in (0, 1):
-        starts = ((F.col("inside") == state) & ~F.col("blank")).cast("int")
-        rows = rows.withColumn(f"starts{state}", F.sum(starts).over(upto))
     out = scratch_path(spark, "lines")
-    rows.write.parquet(out)
+    (spark.read.option("lineSep", "\n").text(path)
+     .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+             F.monotonically_increasing_id().alias("id"), "value", odd.cast("int").alias("odd"),
+             F.col("value").rlike(r"^[ \t\r]*$").alias("blank"))
+     .mapInArrow(_running, _LINES).write.parquet(out))
     rows = spark.read.parquet(out)
     ranges = rows.groupBy(*_RANGE).agg(F.sum("odd").alias("odds"), F.max("starts0").alias("n0"), F.max("starts1").alias("n1"))
     ranges = prefix(ranges, odds_before="odds").withColumn("state", F.col("odds_before") % 2)
     ranges = ranges.withColumn("n", F.when(F.col("state") == 0, F.col("n0")).otherwise(F.col("n1")))
     # files without a record have no header; others have one record that is no row
     per_file = ranges.groupBy("file").agg(F.greatest(F.sum("n") - 1, F.lit(0)).alias("n"))
-    offsets = per_file.select("file", F.coalesce(F.sum("n").over(_before("file")), F.lit(0)).alias("offset"))
-    ranges = prefix(ranges, records_before="n").join(offsets, "file").select(*_RANGE, "state", "records_before", "offset")
-    rows = rows.join(ranges, _RANGE)
+    offsets = per_file.select("file", F.coalesce(F.sum("n").over(_before("file")), F.lit(0)).alias("offset"),
+                              F.row_number().over(Window.orderBy("file")).alias("number"))
+    # a row a range: small beside the lines, which stay where they are
+    ranges = prefix(ranges, records_before="n").join(offsets, "file").select(*_RANGE, "state", "records_before", "offset", "number")
+    rows = rows.join(F.broadcast(ranges), _RANGE)
     inside = (F.col("inside") + F.col("state")) % 2 == 1
     record = F.col("records_before") + F.when(F.col("state") == 0, F.col("starts0")).otherwise(F.col("starts1"))
-    rows = rows.where(inside | ~F.col("blank")).select(*_RANGE, "id", "value", "offset", record.alias("record"),
-                                                       (~inside & (F.col("odd") == 0)).alias("whole"))
-    whole = rows.where("whole").select("file", "record", "offset", "value")
+    rows = rows.where(inside | ~F.col("value").rlike(r"^[ \t\r]*$")).select("number", "block", "id", "value", "offset", record.alias("record"),
+                                                                           (~inside & (F.col("odd") == 0)).alias("whole"))
+    whole = rows.where("whole").select("number", "record", "offset", "value")
     lines = F.transform(F.sort_array(F.collect_list(F.struct("block", "id", "value"))), lambda x: x["value"])
-    spread = rows.where("NOT whole").groupBy("file", "record").agg(F.any_value("offset").alias("offset"), F.array_join(lines, "\n").alias("value"))
+    spread = rows.where("NOT whole").groupBy("number", "record").agg(F.any_value("offset").alias("offset"), F.array_join(lines, "\n").alias("value"))
     records = whole.unionByName(spread).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
     text = F.when(F.col("record") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
     row = F.when(F.col("record") > 1, F.col("offset") + F.col("record") - 2)
@@ -140,7 +173,7 @@ def json_array_elements(spark: SparkSession, path: str) -> DataFrame:
     last = Window.partitionBy("file").orderBy(F.desc("block"), F.desc("id"))
     tails = (rows.groupBy(*_RANGE).agg(F.max("id").alias("id")).withColumn("k", F.row_number().over(last)).where("k = 1")
              .select("file", "block", "id", F.lit(1).alias("tail")))
-    rows = rows.join(tails, [*_RANGE, "id"], "left").withColumn("tail", F.coalesce("tail", F.lit(0)))
+    rows = rows.join(F.broadcast(tails), [*_RANGE, "id"], "left").withColumn("tail", F.coalesce("tail", F.lit(0)))
     back = _before("id", by=_RANGE)
     upto = Window.partitionBy(*_RANGE).orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("inside", F.coalesce(F.sum("flip").over(back), F.lit(0)) % 2)
@@ -159,13 +192,13 @@ def json_array_elements(spark: SparkSession, path: str) -> DataFrame:
     wrong = ranges.groupBy("file").agg(F.sum("flips").alias("flips"), F.sum("d").alias("d")).where("flips % 2 = 1 OR d <> 0").limit(1).collect()
     if wrong:
         raise ValueError(f"{wrong[0].file} is no JSON array: " + ("a string" if wrong[0].flips % 2 else "a bracket") + " has no end")
-    rows = rows.join(ranges.select(*_RANGE, "state", "depth_before"), _RANGE)
+    rows = rows.join(F.broadcast(ranges.select(*_RANGE, "state", "depth_before")), _RANGE)
     depth = F.col("depth_before") + F.when(F.col("state") == 0, F.col("depth0")).otherwise(F.col("depth1"))
     outside = (F.col("inside") + F.col("state") + F.col("flip")) % 2 == 0
     rows = rows.withColumn("ends", ((depth == 1) & outside & (F.col("tail") == 0)).cast("int"))
     rows = rows.withColumn("done", F.coalesce(F.sum("ends").over(back), F.lit(0)))
     counts = prefix(rows.groupBy(*_RANGE).agg(F.sum("ends").alias("n")), ends_before="n").select(*_RANGE, "ends_before")
-    rows = rows.join(counts, _RANGE).withColumn("part", F.col("ends_before") + F.col("done"))
+    rows = rows.join(F.broadcast(counts), _RANGE).withColumn("part", F.col("ends_before") + F.col("done"))
     texts = F.transform(F.sort_array(F.collect_list(F.struct("block", "id", "value", "tail"))),
                         lambda x: F.concat(x["value"], F.when(x["tail"] == 0, F.lit("}")).otherwise(F.lit(""))))
     parts = rows.groupBy("file", "part").agg(F.array_join(texts, "").alias("text"), F.max("tail").alias("tail"))
