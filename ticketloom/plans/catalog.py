@@ -627,7 +627,7 @@ def q_scan_split_tickets(spark, sf):
 
 @query("scan_split_array")
 def q_scan_split_array(spark, sf):
-    """One JSON array in one file (K1), read in ranges of 256 KB; elements are numbered by their place."""
+    """JSON arrays in files of about 64 MB (K1), read in ranges of 256 KB; elements are numbered by their place."""
     recs = records(spark, sf)
     path = FI.write_sample_array(recs, scratch_path(spark, "one_array"), ["sample_id"], per_file=1 << 40)
     back = FI.read_sample_array(spark, path, split=True, range_size=RANGE_BYTES)

@@ -18,6 +18,7 @@ from ticketloom.session import scratch_path
 from ticketloom.sources.splitting import csv_records, file_offsets, json_array_elements, numbered_lines, range_bytes
 
 MAX_WRITE_TASKS = 10_000         # a task writes as many files as it has parts
+FILE_BYTES = 64 << 20            # of a file whose rows one task gathers
 
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -141,9 +142,16 @@ def write_sample_arrays(raw_samples: DataFrame, path: str, per_file: int = 1000)
     return path
 
 
-def write_json_array(elements: DataFrame, path: str, order: list[str], text: str = "element", per_file: int = 100_000) -> str:
+def files_for(df: DataFrame, *cols: str) -> int:
+    """In how many files of about ``FILE_BYTES`` the text of ``cols`` fits; at least one."""
+    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in cols), F.lit(0)))).first()[0]
+    return max(1, -(-(size or 0) // FILE_BYTES))
+
+
+def write_json_array(elements: DataFrame, path: str, order: list[str], text: str = "element", per_file: int | None = 100_000) -> str:
     """K1: JSON arrays in the bytes of ``json.dump(list, indent=2)`` (and a line break at the end of a file),
-    from element texts rendered at level 1; ``per_file`` elements to a file, the last has the rest.
+    from element texts rendered at level 1; ``per_file`` elements to a file, the last has the rest (None: as
+    many as make about ``FILE_BYTES``).
     Files by name hold the elements by ``order``; no elements give one file with ``[]``.
 
     The elements are sorted once into the shared folder, where a row's file and place give its position
@@ -157,6 +165,8 @@ def write_json_array(elements: DataFrame, path: str, order: list[str], text: str
     if not total:
         spark.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
         return path
+    if per_file is None:
+        per_file = -(-total // files_for(rows, "text"))
     rows = rows.select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("k"))
     offsets = file_offsets(rows.groupBy("file").agg(F.count("*").alias("n")), "n")
     at = F.col("offset") + F.col("k")
@@ -170,7 +180,7 @@ def write_json_array(elements: DataFrame, path: str, order: list[str], text: str
     return path
 
 
-def write_sample_array(samples: DataFrame, path: str, order: list[str], per_file: int = 100_000) -> str:
+def write_sample_array(samples: DataFrame, path: str, order: list[str], per_file: int | None = 100_000) -> str:
     """K1: samples as the training script's list of {user_input, ticket_data}."""
     return write_json_array(samples.select(*order, sample_json_element().alias("element")), path, order, per_file=per_file)
 
