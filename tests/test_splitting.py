@@ -6,9 +6,11 @@ import json
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from ticketloom.plans import catalog as C
 from ticketloom.sources import files as FI
 from ticketloom.sources import splitting as SP
 
@@ -167,3 +169,42 @@ def test_pairs_by_position(spark, tmp_path):
     assert got == {k: (t, replies[k] if k < 25 else None) for k, t in enumerate(truth)}
     swapped = {x.sample_id: x.prediction_line for x in pair_by_position(r, t).collect()}
     assert swapped == dict(enumerate(truth[:25]))
+
+
+def test_running_counts_carry_over_batches():
+    """Quotes and starts of records of each range, however its lines are cut into batches."""
+    rnd = random.Random(5)
+    lines, want = [], []
+    for file, block in (("a", 0), ("a", 90), ("b", 90), ("c", 0)):
+        quotes, starts = 0, [0, 0]
+        for _ in range(rnd.randrange(1, 30)):
+            value = rnd.choice(["", " ", "x", '"x', 'x"', '"x"', '"'])
+            odd, blank = value.count('"') % 2, not value.strip()
+            for k in (0, 1):
+                starts[k] += quotes % 2 == k and not blank
+            want.append((quotes % 2, *starts))
+            quotes += odd
+            lines.append((file, block, len(lines), value, odd, blank))
+    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("id", pa.int64()), ("value", pa.string()), ("odd", pa.int32()), ("blank", pa.bool_())])
+    for size in (1, 4, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*lines[k:k + size]), schema)], schema=schema)
+                   for k in range(0, len(lines), size)]
+        batches.insert(1, batches[0].slice(0, 0))
+        got = pa.Table.from_batches(list(SP._running(iter(batches)))).to_pylist()
+        assert [(r["inside"], r["starts0"], r["starts1"]) for r in got] == want
+        assert [r["value"] for r in got] == [x[3] for x in lines]
+
+
+@pytest.mark.parametrize("name,folder", [("scan_split_tickets", "large_csv"), ("scan_split_array", "large_array")])
+def test_large_inputs_are_several_files(spark, tmp_path, monkeypatch, name, folder):
+    """No task writes all rows: the files follow the bytes, and the numbers and rows are those of one file."""
+    docs = [(k, f"help with {k}\n\"loan\" " + "x" * (k % 50)) for k in range(1, 401)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    results = []
+    for size in (1 << 30, 8000):
+        monkeypatch.setattr(FI, "FILE_BYTES", size)
+        monkeypatch.setattr(C, "scratch_path", lambda _, part: str(tmp_path / f"{size}-{part}"))
+        results.append(sorted(map(str, C.CATALOG[name](spark, str(tmp_path)).collect())))
+    assert results[0] == results[1] and len(results[0]) > 300
+    files = [len(list((tmp_path / f"{size}-{folder}").glob("part-*"))) for size in (1 << 30, 8000)]
+    assert files[0] == 1 and files[1] > 5

@@ -618,10 +618,11 @@ RANGE_BYTES = 256 << 10
 
 @query("scan_split_tickets")
 def q_scan_split_tickets(spark, sf):
-    """One CSV file of ``input, output`` with line breaks and quotes in its fields, read in ranges of
-    256 KB; rows are numbered by their place."""
-    rows = raw(spark, sf).orderBy("row_index").select("input", "output").coalesce(1)
-    path = FI.write_tickets_csv(rows, scratch_path(spark, "one_csv"))
+    """CSV files of ``input, output`` with line breaks and quotes in their fields, one for each 64 MB of
+    text, read in ranges of 256 KB; rows are numbered by their place."""
+    rows = raw(spark, sf)
+    rows = rows.repartitionByRange(FI.files_for(rows, "input", "output"), "row_index").sortWithinPartitions("row_index")
+    path = FI.write_tickets_csv(rows.select("input", "output"), scratch_path(spark, "large_csv"))
     return FI.read_tickets_csv(spark, path, split=True, range_size=RANGE_BYTES)
 
 
@@ -629,7 +630,7 @@ def q_scan_split_tickets(spark, sf):
 def q_scan_split_array(spark, sf):
     """JSON arrays in files of about 64 MB (K1), read in ranges of 256 KB; elements are numbered by their place."""
     recs = records(spark, sf)
-    path = FI.write_sample_array(recs, scratch_path(spark, "one_array"), ["sample_id"], per_file=1 << 40)
+    path = FI.write_sample_array(recs, scratch_path(spark, "large_array"), ["sample_id"], per_file=None)
     back = FI.read_sample_array(spark, path, split=True, range_size=RANGE_BYTES)
     return back.where("_ok").select(*_SAMPLE_OUT)
 
