@@ -91,3 +91,16 @@ def test_logistic_beside_naive_bayes(spark):
     got = {r.model: r for r in classifier_comparison(spark, "/root/testdata/sf0.01").collect()}
     assert got["logistic"].n_rows == got["naive_bayes"].n_rows == 200
     assert got["logistic"].accuracy > 0.97 and got["logistic"].accuracy >= got["naive_bayes"].accuracy - 0.02
+
+
+def test_score_slices_batches_by_bytes(spark):
+    """A model never sees a whole batch of long texts at once, and rows and nulls stay what they are."""
+    def factory():
+        return lambda s: s.map(lambda x: f"{len(s)}:{x[:3] if x else x}")
+
+    rows = [(k, None if k % 10 == 0 else f"{k:03d}" + "x" * 100_000) for k in range(100)]
+    df = spark.createDataFrame(rows, "id long, user_input string").coalesce(1)
+    got = sorted(SC.score(df, factory).collect())
+    assert [(r.id, r.user_input) for r in got] == rows
+    assert [r.response.split(":")[1] for r in got] == [t[:3] if t else "None" for _, t in rows]
+    assert max(int(r.response.split(":")[0]) for r in got) <= 20

@@ -2,9 +2,9 @@
 on the table (V2: naive Bayes, and TF-IDF with logistic regression) and
 keyword-based domain labels (V4).
 
-V1 is the one place where Python runs per batch: ``mapInPandas`` hands the
-model whole Arrow batches, and the model is built once per task (a model
-load is expensive), never per row.
+V1 is the one place where Python runs per batch: ``mapInArrow`` hands the
+model the texts of Arrow batches, cut by bytes, and the model is built once
+per task (a model load is expensive), never per row.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -24,22 +25,32 @@ from ticketloom.fixed_values import OUT_OF_DOMAIN_ERROR
 from ticketloom.functions.text import ascii_words
 from ticketloom.session import ship_package
 
+SLICE_BYTES = 1 << 20       # of rows that are Python objects at once
+
 ModelFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 
 
 def score(df: DataFrame, model_factory: ModelFactory, text_col: str = "user_input",
           out: str = "response") -> DataFrame:
-    """Adds ``out`` = model(text) for every row, batch by batch."""
+    """Adds ``out`` = model(text) for every row, batch by batch.  A batch, which Spark fills by number of
+    rows, is cut into slices of about ``SLICE_BYTES``, and the texts alone become Python objects, so
+    long texts and other columns don't add up in the worker."""
     ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_factory()
-        for pdf in batches:
-            pdf[out] = model(pdf[text_col]).astype(object)
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+            for k in range(0, batch.num_rows, rows):
+                part = batch.slice(k, rows)
+                texts = pd.DataFrame({"text": part.column(text_col).to_pandas()})
+                texts["out"] = model(texts["text"]).astype(object)
+                replies = pa.array(texts["out"], pa.string(), from_pandas=True)
+                yield pa.RecordBatch.from_arrays([*part.columns, replies], [*batch.schema.names, out])
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def rule_model() -> Callable[[pd.Series], pd.Series]:
