@@ -1,6 +1,7 @@
 """Phrase lists, heavy words and day summaries against plain Python."""
 
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -46,6 +47,21 @@ def test_many_phrases_equal_brute_force(spark):
                for i, c in want.items())
 
 
+def test_runs_are_read_off_rows(spark):
+    """Short runs need no function per word, and each text is cut once; long runs give the same rows."""
+    texts = [(1, "one two  THREE four x1 five"), (2, "a"), (3, ""), (4, None), (None, "b a"), (5, " ".join(f"w{chr(97 + k)}" for k in range(20)))]
+    rows = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+
+    def want(lengths):
+        cut = [(i, [x for x in re.findall(r"\w+", (t or "").lower()) if re.fullmatch("[a-z]+", x)]) for i, t in texts]
+        return Counter((i, k, " ".join(w[k:k + n])) for i, w in cut for n in lengths for k in range(len(w) - n + 1))
+
+    for lengths in ([1], [2, 3], [1, 8], [1, 3, 12]):
+        assert Counter(map(tuple, PH.word_runs(rows, "id", "text", lengths).collect())) == want(lengths)
+    plan = PH.word_runs(rows, "id", "text", [1, 2, 3])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("regexp_extract_all") == 1
+
+
 def test_phrases_without_list_or_rows(spark):
     rows = spark.createDataFrame([(1, "a b")], "id long, text string")
     none = spark.createDataFrame([(None,), ("12 !",)], "phrase string")

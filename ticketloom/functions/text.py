@@ -15,7 +15,8 @@ _STRIP = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 WORD_RUN = r"[\p{L}\p{N}_]+"
 # A token of the length budget: a word run or any single other visible char.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\r]"
-_ASCII_WORD = r"^[a-z]+$"
+# A whole word run; the group is empty unless the run has ASCII lower-case letters alone.
+_ASCII_RUN = r"([a-z]++)(?![\p{L}\p{N}_])|[\p{L}\p{N}_]++"
 _JSON_BLOCK = r"(?s)\{.*\}"
 
 
@@ -33,10 +34,10 @@ def ascii_words(c) -> Column:
 
     A match of ``\\b[a-z]+\\b`` is exactly a maximal word run that consists of
     ASCII lower-case letters only; Java's ``\\b`` differs from Python's on
-    combining marks, so word runs are cut first and filtered second.
+    combining marks, so the pattern takes whole word runs, and those with
+    anything else leave an empty group behind, which is removed.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(WORD_RUN), 0)
-    return F.filter(runs, lambda w: w.rlike(_ASCII_WORD))
+    return F.array_remove(F.regexp_extract_all(F.lower(_col(c)), F.lit(_ASCII_RUN), 1), "")
 
 
 def tokens(c) -> Column:
