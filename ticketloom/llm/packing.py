@@ -22,7 +22,6 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.bpe import units
 from ticketloom.llm.common import documents, narrow_input, partition_id, prepare
 from ticketloom.session import scratch_path
 
@@ -32,7 +31,6 @@ SHARD_TOKENS, SHARD_DOCS = 4_000_000, 8192     # what a shard's index holds; not
 SEEDS = 64                                     # queries answered at once
 SKETCH, SAMPLE, LEVELS = 128, 8192, 12         # dimensions of a sketch, documents that the tree is fitted on, its depth
 K1, B = 1.2, 0.75
-CACHED = 400_000                               # encoded words that a task keeps
 PIECES = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 _ENCODERS: dict[int, tiktoken.Encoding] = {}
@@ -55,28 +53,17 @@ def _encoder(ranks, pattern) -> tiktoken.Encoding:
     return _ENCODERS[key]
 
 
+def _with_end(ids: list[int], end_id: int) -> np.ndarray:
+    ids.append(end_id)
+    return np.fromiter(ids, "<u4", len(ids))
+
+
 def _tokens(shared, end_id):
     def run(batches):
         encode = _encoder(*shared.value).encode_ordinary
-        kind, known = np.dtype("<u4"), {}
-        end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            out, sizes = [], []
-            for text in batch.column("text").to_pylist():
-                cut = units(text)
-                if len(known) > CACHED:
-                    known.clear()
-                ids = list(map(known.get, cut))
-                ids[0] = np.array(encode(cut[0]), kind).tobytes()
-                if None in ids:
-                    for k, unit in enumerate(cut):
-                        if ids[k] is None:
-                            if unit not in known:
-                                known[unit] = np.array(encode(" " + unit), kind).tobytes()
-                            ids[k] = known[unit]
-                out.append(b"".join(ids) + end)
-            table = [np.frombuffer(x, kind) for x in out]
-            wide = any(len(x) and x.max() > 0xFFFF for x in table)
+            table = [_with_end(encode(text), end_id) for text in batch.column("text").to_pylist()]
+            wide = any(x.max() > 0xFFFF for x in table)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x.tobytes() if wide else x.astype("<u2").tobytes() for x in table], pa.binary()),
                  pa.array([wide] * len(table), pa.bool_())], ["doc_id", "ids", "wide"])
