@@ -15,6 +15,9 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import public_tokenizers
@@ -160,26 +163,42 @@ def tables(ranks: dict[bytes, int]) -> Column:
 
 
 class Words:
-    """The distinct words of some texts, sorted, and the words of each distinct unit."""
-
-    def __init__(self, texts: list[str], pattern):
-        inner, first = set(), set()             # units that lost a space, and units that begin a text
-        for text in texts:
-            cut = units(text)
-            first.add(cut[0])
-            inner.update(cut[1:])
+    """The distinct words of some texts, sorted, and how the texts are made of them.
+
+    Units that lost a space are numbered: words alone first, then words with a full stop or comma, then
+    others; ``lines``, if asked for, holds the numbers of each text's units, but for its first one (``begins``)."""
+
+    def __init__(self, texts: list[str], pattern, lines: bool = False):
+        self.begins, self.lines, number = [], [], set()
+        if lines:
+            number = defaultdict(count().__next__)              # as they come
+            for text in texts:
+                cut = units(text)
+                self.begins.append(cut[0])
+                self.lines.append(np.fromiter(map(number.__getitem__, islice(cut, 1, None)), np.uint32, len(cut) - 1))
+        else:
+            for text in texts:
+                cut = units(text)
+                self.begins.append(cut[0])
+                number.update(islice(cut, 1, None))
         # letters alone, or before one full stop or comma, are plain matches of the pattern
-        self.plain = [u for u in inner if u.isalpha()]
-        self.ended = [u for u in inner if u[-1:] in (".", ",") and u[:-1].isalpha()]
-        inner.difference_update(self.plain, self.ended)
-        self.other = {u: pattern.findall(" " + u) for u in inner}
-        self.first = {u: pattern.findall(u) for u in first}
-        words = {" " + u for u in self.plain}
-        words.update(" " + u[:-1] for u in self.ended)
-        words.update(u[-1] for u in self.ended)
-        for found in (self.other, self.first):
-            for matches in found.values():
-                words.update(matches)
+        self.plain, self.ended, self.other = [], [], []
+        kind = bytearray(len(number))
+        for k, unit in enumerate(number):
+            if unit.isalpha():
+                self.plain.append(" " + unit)
+            elif unit[-1:] in (".", ",") and unit[:-1].isalpha():
+                self.ended.append((" " + unit[:-1], unit[-1]))
+                kind[k] = 1
+            else:
+                self.other.append(pattern.findall(" " + unit))
+                kind[k] = 2
+        self.numbers = np.empty(len(number), np.uint32)
+        self.numbers[np.argsort(np.frombuffer(kind, np.uint8), kind="stable")] = np.arange(len(number), dtype=np.uint32)
+        self.first = {u: pattern.findall(u) for u in set(self.begins)}
+        words = set(self.plain)
+        for found in (self.ended, self.other, self.first.values()):
+            words.update(chain.from_iterable(found))
         self.words = sorted(words)
 
     def by_part(self, parts: int) -> list[tuple[int, list[bytes], np.ndarray]]:
@@ -190,13 +209,23 @@ class Words:
         cut = np.flatnonzero(np.diff(part[order])) + 1
         return [(int(part[p[0]]), [spelled[k] for k in p.tolist()], p) for p in np.split(order, cut)] if len(order) else []
 
-    def of_units(self, values: list[bytes]) -> tuple[dict[str, bytes], dict[str, bytes]]:
-        """Bytes of each unit (those that lost a space; those that begin a text) from those of its words."""
-        of = dict(zip(self.words, values))
-        inner = {u: of[" " + u] for u in self.plain}
-        inner.update((u, of[" " + u[:-1]] + of[u[-1]]) for u in self.ended)
-        inner.update((u, b"".join([of[w] for w in m])) for u, m in self.other.items())
-        return inner, {u: b"".join([of[w] for w in m]) for u, m in self.first.items()}
+    def texts_of(self, *columns: list[bytes]) -> Iterator[tuple[bytes, ...]]:
+        """Each text with its words replaced by their values, once for each column of values."""
+        place = dict(zip(self.words, range(len(self.words))))
+        plain = [place[w] for w in self.plain]
+        ended = [(place[w], place[end]) for w, end in self.ended]
+        other = [[place[w] for w in found] for found in self.other]
+        first = {u: [place[w] for w in found] for u, found in self.first.items()}
+        del place
+        made = []
+        for of in columns:
+            made.append([of[k] for k in plain])
+            made[-1] += [of[k] + of[end] for k, end in ended]
+            made[-1] += [b"".join([of[k] for k in found]) for found in other]
+        for begin, line in zip(self.begins, self.lines):
+            line = self.numbers[line].tolist()
+            yield tuple(b"".join([of[k] for k in first[begin]]) + b"".join([values[k] for k in line])
+                        for of, values in zip(columns, made))
 
 
 def _pack(*arrays) -> bytes:
@@ -273,9 +302,8 @@ def _assemble(pattern_text, parts):
     def run(batches):
         pattern = regex.compile(pattern_text)
         for row in each_row(batches, ["doc_ids", "sizes", "body", "found"]):
-            texts = [t.decode() for t in batch_texts(row)]
+            words = Words([t.decode() for t in batch_texts(row)], pattern, lines=True)
             del row["body"]
-            words = Words(texts, pattern)
             answers = {x["part"]: x["body"] for x in row.pop("found") or []}
             encoded, decoded = [b""] * len(words.words), [b""] * len(words.words)
             for part, _, places in words.by_part(parts):
@@ -284,20 +312,11 @@ def _assemble(pattern_text, parts):
                                    _slices(plain, np.frombuffer(n_plain, np.uint32))):
                     encoded[k], decoded[k] = a, b
 
-            def whole(values):
-                inner, first = words.of_units(values)
-                for text in texts:
-                    cut = units(text)
-                    yield first[cut[0]] + b"".join(map(inner.__getitem__, cut[1:]))
-
-            out = list(whole(encoded))
-            del encoded
             rows, size = ([], [], []), 0
-            for k, plain in enumerate(whole(decoded)):
-                for column, value in zip(rows, (row["doc_ids"][k], out[k], plain)):
+            for doc_id, (ids, plain) in zip(row["doc_ids"], words.texts_of(encoded, decoded)):
+                for column, value in zip(rows, (doc_id, ids, plain)):
                     column.append(value)
-                size += len(out[k]) + len(plain)
-                out[k] = b""
+                size += len(ids) + len(plain)
                 if size > OUT_BYTES:
                     yield _rows(*rows)
                     rows, size = ([], [], []), 0
