@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import TEXTS, batch_texts, chained, documents, each_row, narrow_input, prepare, text_batches
+from ticketloom.llm.common import TEXTS, batch_texts, documents, each_row, gathered, narrow_input, prepare, text_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BATCH_BYTES, OUT_BYTES = 8_000_000, 4_000_000
@@ -209,23 +209,41 @@ class Words:
         cut = np.flatnonzero(np.diff(part[order])) + 1
         return [(int(part[p[0]]), [spelled[k] for k in p.tolist()], p) for p in np.split(order, cut)] if len(order) else []
 
-    def texts_of(self, *columns: list[bytes]) -> Iterator[tuple[bytes, ...]]:
-        """Each text with its words replaced by their values, once for each column of values."""
+    def joined(self, *columns: pa.BinaryArray) -> list[pa.BinaryArray]:
+        """The texts with their words replaced by each column's values; ``take`` gathers them, first by unit, then by text."""
         place = dict(zip(self.words, range(len(self.words))))
-        plain = [place[w] for w in self.plain]
-        ended = [(place[w], place[end]) for w, end in self.ended]
-        other = [[place[w] for w in found] for found in self.other]
-        first = {u: [place[w] for w in found] for u, found in self.first.items()}
+        begins = dict(zip(self.first, count(len(self.numbers))))                        # numbered after the other units
+        several = [*self.other, *self.first.values()]
+        flat = [np.fromiter(map(place.__getitem__, words), np.int32)
+                for words in (self.plain, chain.from_iterable(self.ended), chain.from_iterable(several))]
+        size = np.concatenate([np.ones(len(self.plain), np.int64), np.full(len(self.ended), 2), np.fromiter(map(len, several), np.int64)])
         del place
-        made = []
-        for of in columns:
-            made.append([of[k] for k in plain])
-            made[-1] += [of[k] + of[end] for k, end in ended]
-            made[-1] += [b"".join([of[k] for k in found]) for found in other]
-        for begin, line in zip(self.begins, self.lines):
-            line = self.numbers[line].tolist()
-            yield tuple(b"".join([of[k] for k in first[begin]]) + b"".join([values[k] for k in line])
-                        for of, values in zip(columns, made))
+        flat = pa.array(np.concatenate(flat))
+        lines = [np.concatenate([[begins[begin]], self.numbers[line]]).astype(np.int32) for begin, line in zip(self.begins, self.lines)]
+        length = np.fromiter(map(len, lines), np.int64)
+        lines = pa.array(np.concatenate(lines or [np.zeros(0, np.int32)]))
+        return [_runs(_runs(of.take(flat), size).take(lines), length) for of in columns]
+
+    def texts_of(self, *columns: list[bytes]) -> Iterator[tuple[bytes, ...]]:
+        """Each text with its words replaced by their values, once for each column of values."""
+        return zip(*(texts.to_pylist() for texts in self.joined(*(pa.array(of, pa.binary()) for of in columns))))
+
+
+def _binaries(sizes: np.ndarray, data: bytes) -> pa.BinaryArray:
+    """Values of these sizes, which lie one after the other."""
+    stops = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    if stops[-1] >= 1 << 31:
+        raise ValueError("over 2 GB of values in a batch")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _runs(values: pa.Array, sizes: np.ndarray) -> pa.BinaryArray:
+    """Each run of so many values as one value; no byte moves."""
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    stops = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, 4 * values.offset)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(stops[first]), values.buffers()[2]])
 
 
 def _pack(*arrays) -> bytes:
@@ -246,16 +264,17 @@ def _slices(data: bytes, sizes: np.ndarray) -> list[bytes]:
     return [data[b - s:b] for s, b in zip(sizes.tolist(), stops)]
 
 
-def _send(pattern_text, parts):
+def _send(pattern_text, parts, batch_bytes):
     def run(batches):
         pattern = regex.compile(pattern_text)
-        for row in each_row(batches, ["batch", "doc_ids", "sizes", "body"]):
-            words = Words([t.decode() for t in batch_texts(row)], pattern)
+        for number, _, texts in gathered(batches, batch_bytes):
+            words = Words([t.decode() for t in texts], pattern)
+            del texts
             cells = [(part, _pack(np.array([len(w) for w in own], np.uint32).tobytes(), b"".join(own)))
                      for part, own, _ in words.by_part(parts)]
             if cells:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([c[0] for c in cells], pa.int64()), pa.array([row["batch"]] * len(cells), pa.int64()),
+                    [pa.array([c[0] for c in cells], pa.int64()), pa.array([number] * len(cells), pa.int64()),
                      pa.array([c[1] for c in cells], pa.binary())], ["part", "batch", "body"])
     return run
 
@@ -305,31 +324,24 @@ def _assemble(pattern_text, parts):
             words = Words([t.decode() for t in batch_texts(row)], pattern, lines=True)
             del row["body"]
             answers = {x["part"]: x["body"] for x in row.pop("found") or []}
-            encoded, decoded = [b""] * len(words.words), [b""] * len(words.words)
-            for part, _, places in words.by_part(parts):
-                n_ids, ids, n_plain, plain = _unpack(answers.pop(part), 4)
-                for k, a, b in zip(places.tolist(), _slices(ids, np.frombuffer(n_ids, np.uint32) * 4),
-                                   _slices(plain, np.frombuffer(n_plain, np.uint32))):
-                    encoded[k], decoded[k] = a, b
-
-            rows, size = ([], [], []), 0
-            for doc_id, (ids, plain) in zip(row["doc_ids"], words.texts_of(encoded, decoded)):
-                for column, value in zip(rows, (doc_id, ids, plain)):
-                    column.append(value)
-                size += len(ids) + len(plain)
-                if size > OUT_BYTES:
-                    yield _rows(*rows)
-                    rows, size = ([], [], []), 0
-            if rows[0]:
-                yield _rows(*rows)
+            cells = [(places, *_unpack(answers.pop(part), 4)) for part, _, places in words.by_part(parts)]
+            place = np.empty(len(words.words), np.int32)                # of each word among the answers
+            place[np.concatenate([c[0] for c in cells] or [np.zeros(0, np.int64)])] = np.arange(len(place))
+            place = pa.array(place)
+            known = [_binaries(np.frombuffer(b"".join(c[n] for c in cells), np.uint32) * np.uint32(width),
+                               b"".join(c[n + 1] for c in cells)).take(place) for n, width in ((1, 4), (3, 1))]
+            del answers, cells
+            encoded, decoded = words.joined(*known)
+            del words, known
+            ids = pa.array(row["doc_ids"], pa.int64())
+            size = np.cumsum(np.asarray(pc.add(pc.binary_length(encoded), pc.binary_length(decoded))), dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(size // OUT_BYTES)) + 1).tolist(), len(ids)]
+            for a, b in zip(cuts, cuts[1:]):
+                yield pa.RecordBatch.from_arrays([x.slice(a, b - a) for x in (ids, encoded, decoded)], ["doc_id", "ids", "decoded"])
+            del ids, encoded, decoded
     return run
 
 
-def _rows(doc_id, ids, decoded):
-    return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
-                                      ["doc_id", "ids", "decoded"])
-
-
 def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",
                    text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, ids, decoded`` of every row: the ids as little-endian unsigned 32-bit integers,
@@ -350,7 +362,7 @@ def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str = publ
     while parts * PART_BYTES < size:
         parts *= 2
     batches = text.mapInArrow(text_batches(batch_bytes), TEXTS)
-    words = (text.mapInArrow(chained(text_batches(batch_bytes), _send(pattern, parts)), "part bigint, batch bigint, body binary")
+    words = (text.mapInArrow(_send(pattern, parts, batch_bytes), "part bigint, batch bigint, body binary")
              .groupBy("part").applyInArrow(_distinct, PART))
     known = F.struct(tables(ranks).alias("t"), F.col("words").alias("words"))
     encoded = _let(known, lambda v: F.transform(v["words"], lambda w: _let(encode_word(v["t"], w), lambda ids: F.struct(

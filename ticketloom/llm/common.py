@@ -86,37 +86,40 @@ def attach(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFram
     return rows.join(pairs.join(table, key, "inner"), [key, spread], "left")
 
 
+def gathered(batches: Iterator, limit: int) -> Iterator[tuple[int, list, list[bytes]]]:
+    """``(doc_id, text)`` rows of Arrow batches in groups of about ``limit`` bytes of text (or one text): the group's
+    number, ids and texts as they came.  Groups are numbered by partition, and so the same when a task or the scan is repeated."""
+    number = partition_id() << 32
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for k in range(0, batch.num_rows, 256):        # few texts at a time as Python strings
+            part = batch.slice(k, 256)
+            for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                data = text.encode()
+                if texts and size + len(data) > limit:
+                    yield number, ids, texts
+                    number += 1
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(data)
+                size += len(data)
+    if texts:
+        yield number, ids, texts
+
+
 def text_batches(limit: int) -> Callable[[Iterator], Iterator]:
     """A ``mapInArrow`` function that gathers ``(doc_id, text)`` rows into rows of ``TEXTS``: about
     ``limit`` bytes of compressed texts (or one text), numbered by partition, and so the same when a
     task or the scan is repeated.  Rows are ordered by id, nulls last, then as they came."""
     def run(batches):
-        number = partition_id() << 32
-        ids, texts, size = [], [], 0
-
-        def row():
+        for number, ids, texts in gathered(batches, limit):
             # in the order in which documents come first; rows of one id stay in their order
             order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, k))
             body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts[k] for k in order))
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([[ids[k] for k in order]], pa.list_(pa.int64())),
                  pa.array([[len(texts[k]) for k in order]], pa.list_(pa.int64())), pa.array([body], pa.binary())],
                 ["batch", "doc_ids", "sizes", "body"])
-
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):        # few texts at a time as Python strings
-                part = batch.slice(k, 256)
-                for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    data = text.encode()
-                    if texts and size + len(data) > limit:
-                        yield row()
-                        number += 1
-                        ids, texts, size = [], [], 0
-                    ids.append(i)
-                    texts.append(data)
-                    size += len(data)
-        if texts:
-            yield row()
     return run
 
 
