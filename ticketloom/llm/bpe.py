@@ -15,9 +15,8 @@ from __future__ import annotations
 
 import base64
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count, islice
+from itertools import chain, count
 
 import numpy as np
 import public_tokenizers
@@ -40,6 +39,7 @@ MASK, END, REST = (1 << BITS) - 1, NONE << BITS, 1 << 30
 
 INNER_SPACE = re.compile(r" \s| \Z")
 CUT = re.compile(r" (?=\S)")
+SPACE, NO_WORDS = ord(" "), pa.array([], pa.string())
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,10 +47,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def units(text: str) -> list[str]:
-    """The text cut at each space before a visible character; all but the first part lose that
-    space.  No match of the pattern spans such a cut, so the parts can be encoded alone."""
-    return CUT.split(text) if INNER_SPACE.search(text) else text.split(" ")
+def units(text: str) -> pa.StringArray:
+    """The text cut before each space that a visible character follows, its bytes where they were.
+    No match of the pattern spans such a cut, so the parts can be encoded alone."""
+    data = text.encode()
+    if INNER_SPACE.search(text):
+        at = np.cumsum([len(part.encode()) + 1 for part in CUT.split(text)[:-1]]) - 1
+    else:
+        at = np.flatnonzero(np.frombuffer(data, np.uint8) == SPACE)
+    stops = np.concatenate([[0], at, [len(data)]]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(stops) - 1, pa.py_buffer(stops), pa.py_buffer(data))
 
 
 def pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
@@ -165,70 +171,97 @@ def tables(ranks: dict[bytes, int]) -> Column:
 class Words:
     """The distinct words of some texts, sorted, and how the texts are made of them.
 
-    Units that lost a space are numbered: words alone first, then words with a full stop or comma, then
-    others; ``lines``, if asked for, holds the numbers of each text's units, but for its first one (``begins``)."""
+    Units that begin with a space are numbered: words alone first, then words with a full stop or comma, then
+    others; ``lines``, if asked for, holds the numbers of all texts' units, with each text's first one
+    (``begins``) numbered after the others."""
 
     def __init__(self, texts: list[str], pattern, lines: bool = False):
-        self.begins, self.lines, number = [], [], set()
-        if lines:
-            number = defaultdict(count().__next__)              # as they come
-            for text in texts:
-                cut = units(text)
-                self.begins.append(cut[0])
-                self.lines.append(np.fromiter(map(number.__getitem__, islice(cut, 1, None)), np.uint32, len(cut) - 1))
-        else:
-            for text in texts:
-                cut = units(text)
-                self.begins.append(cut[0])
-                number.update(islice(cut, 1, None))
+        cut = [units(text) for text in texts]
+        begins = [c[0].as_py() for c in cut]
+        self.lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+        rest = pa.concat_arrays([NO_WORDS, *(c[1:] for c in cut)])
+        del cut
+        rest = rest.dictionary_encode() if lines else rest.unique()
+        distinct = rest.dictionary if lines else rest
         # letters alone, or before one full stop or comma, are plain matches of the pattern
-        self.plain, self.ended, self.other = [], [], []
-        kind = bytearray(len(number))
-        for k, unit in enumerate(number):
-            if unit.isalpha():
-                self.plain.append(" " + unit)
-            elif unit[-1:] in (".", ",") and unit[:-1].isalpha():
-                self.ended.append((" " + unit[:-1], unit[-1]))
-                kind[k] = 1
-            else:
-                self.other.append(pattern.findall(" " + unit))
-                kind[k] = 2
-        self.numbers = np.empty(len(number), np.uint32)
-        self.numbers[np.argsort(np.frombuffer(kind, np.uint8), kind="stable")] = np.arange(len(number), dtype=np.uint32)
-        self.first = {u: pattern.findall(u) for u in set(self.begins)}
-        words = set(self.plain)
-        for found in (self.ended, self.other, self.first.values()):
-            words.update(chain.from_iterable(found))
-        self.words = sorted(words)
-
-    def by_part(self, parts: int) -> list[tuple[int, list[bytes], np.ndarray]]:
+        kind = np.full(len(distinct), 2, np.uint8)
+        kind[np.asarray(pc.match_substring_regex(distinct, r"^ [A-Za-z]+[.,]\z"))] = 1
+        kind[np.asarray(pc.match_substring_regex(distinct, r"^ [A-Za-z]+\z"))] = 0
+        ended = distinct.filter(pa.array(kind == 1))
+        other = [self._matches(unit, pattern) for unit in _objects(distinct.filter(pa.array(kind == 2)))]
+        first = {u: pattern.findall(u) for u in dict.fromkeys(begins)}
+        several = [*other, *first.values()]
+        del other
+        found = pa.concat_arrays([
+            distinct.filter(pa.array(kind == 0)), pc.utf8_slice_codeunits(ended, 0, -1),
+            pc.utf8_slice_codeunits(ended, -1), pa.array(chain.from_iterable(several), pa.string())]).dictionary_encode()
+        order = np.asarray(pc.array_sort_indices(found.dictionary))
+        self.distinct = found.dictionary.take(pa.array(order))
+        if not lines:
+            return
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        place = place[np.asarray(found.indices)]
+        n, e = int(np.count_nonzero(kind == 0)), len(ended)
+        self.flat = np.concatenate([place[:n], np.stack([place[n:n + e], place[n + e:n + 2 * e]], 1).ravel(), place[n + 2 * e:]])
+        self.size = np.concatenate([np.ones(n, np.int64), np.full(e, 2), np.fromiter(map(len, several), np.int64, len(several))])
+        numbers = np.empty(len(kind), np.int32)
+        numbers[np.argsort(kind, kind="stable")] = np.arange(len(kind), dtype=np.int32)
+        begin_numbers = dict(zip(first, count(len(kind))))
+        inner = np.ones(int(self.lengths.sum()), bool)
+        starts = np.cumsum(self.lengths) - self.lengths
+        inner[starts] = False
+        self.lines = np.empty(len(inner), np.int32)
+        self.lines[inner] = numbers[np.asarray(rest.indices)]
+        self.lines[starts] = [begin_numbers[begin] for begin in begins]
+
+    @staticmethod
+    def _matches(unit: str, pattern) -> list[str]:
+        if unit[1:].isalpha():
+            return [unit]
+        if unit[-1] in ".," and unit[1:-1].isalpha():
+            return [unit[:-1], unit[-1]]
+        return pattern.findall(unit)
+
+    @property
+    def words(self) -> list[str]:
+        return _objects(self.distinct)
+
+    def by_part(self, parts: int) -> list[tuple[int, pa.BinaryArray, np.ndarray]]:
         """Each part of the hash space that has words: its number, they, and their places."""
-        spelled = [w.encode() for w in self.words]
-        part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in spelled], np.int64)
+        spelled = self.distinct.cast(pa.binary())
+        part = (np.fromiter(map(xxhash.xxh3_64_intdigest, _objects(spelled)), np.uint64, len(spelled)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        cut = np.flatnonzero(np.diff(part[order])) + 1
-        return [(int(part[p[0]]), [spelled[k] for k in p.tolist()], p) for p in np.split(order, cut)] if len(order) else []
+        spelled = spelled.take(pa.array(order))
+        cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)] if len(order) else []
+        return [(int(part[order[a]]), spelled[a:b], order[a:b]) for a, b in zip(cuts, cuts[1:])]
 
     def joined(self, *columns: pa.BinaryArray) -> list[pa.BinaryArray]:
         """The texts with their words replaced by each column's values; ``take`` gathers them, first by unit, then by text."""
-        place = dict(zip(self.words, range(len(self.words))))
-        begins = dict(zip(self.first, count(len(self.numbers))))                        # numbered after the other units
-        several = [*self.other, *self.first.values()]
-        flat = [np.fromiter(map(place.__getitem__, words), np.int32)
-                for words in (self.plain, chain.from_iterable(self.ended), chain.from_iterable(several))]
-        size = np.concatenate([np.ones(len(self.plain), np.int64), np.full(len(self.ended), 2), np.fromiter(map(len, several), np.int64)])
-        del place
-        flat = pa.array(np.concatenate(flat))
-        lines = [np.concatenate([[begins[begin]], self.numbers[line]]).astype(np.int32) for begin, line in zip(self.begins, self.lines)]
-        length = np.fromiter(map(len, lines), np.int64)
-        lines = pa.array(np.concatenate(lines or [np.zeros(0, np.int32)]))
-        return [_runs(_runs(of.take(flat), size).take(lines), length) for of in columns]
+        flat, lines = pa.array(self.flat), pa.array(self.lines)
+        return [_runs(_runs(of.take(flat), self.size).take(lines), self.lengths) for of in columns]
 
     def texts_of(self, *columns: list[bytes]) -> Iterator[tuple[bytes, ...]]:
         """Each text with its words replaced by their values, once for each column of values."""
         return zip(*(texts.to_pylist() for texts in self.joined(*(pa.array(of, pa.binary()) for of in columns))))
 
 
+def _objects(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _sizes(values: pa.BinaryArray) -> np.ndarray:
+    return np.asarray(pc.binary_length(values)).astype(np.uint32)
+
+
+def _data(values: pa.BinaryArray) -> bytes:
+    """The values' bytes, one after the other."""
+    if not len(values):
+        return b""
+    stops = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, 4 * values.offset)
+    return values.buffers()[2][int(stops[0]):int(stops[-1])].to_pybytes() if stops[-1] > stops[0] else b""
+
+
 def _binaries(sizes: np.ndarray, data: bytes) -> pa.BinaryArray:
     """Values of these sizes, which lie one after the other."""
     stops = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
@@ -253,10 +286,8 @@ def _pack(*arrays) -> bytes:
 
 
 def _unpack(body: bytes, n: int) -> list[bytes]:
-    sizes = np.frombuffer(body[:8 * n], np.int64).tolist()
-    data = zstandard.ZstdDecompressor().decompress(body[8 * n:]) if sum(sizes) else b""
-    stops = np.cumsum(sizes).tolist()
-    return [data[b - s:b] for s, b in zip(sizes, stops)]
+    sizes = np.frombuffer(body[:8 * n], np.int64)
+    return _slices(zstandard.ZstdDecompressor().decompress(body[8 * n:]) if sizes.sum() else b"", sizes)
 
 
 def _slices(data: bytes, sizes: np.ndarray) -> list[bytes]:
@@ -270,8 +301,7 @@ def _send(pattern_text, parts, batch_bytes):
         for number, _, texts in gathered(batches, batch_bytes):
             words = Words([t.decode() for t in texts], pattern)
             del texts
-            cells = [(part, _pack(np.array([len(w) for w in own], np.uint32).tobytes(), b"".join(own)))
-                     for part, own, _ in words.by_part(parts)]
+            cells = [(part, _pack(_sizes(own).tobytes(), _data(own))) for part, own, _ in words.by_part(parts)]
             if cells:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[0] for c in cells], pa.int64()), pa.array([number] * len(cells), pa.int64()),
@@ -284,11 +314,19 @@ PART = "part bigint, batches array<bigint>, places array<binary>, words array<ar
 
 def _distinct(table: pa.Table) -> pa.Table:
     """One row: the part's distinct words, and for each batch the places of its words among them."""
-    known, places = {}, []
-    for body in table.column("body").to_pylist():
-        sizes, data = _unpack(body, 2)
-        own = _slices(data, np.frombuffer(sizes, np.uint32))
-        places.append(np.array([known.setdefault(w, len(known)) for w in own], np.uint32).tobytes())
+    known, places, held, size = {}, [], [], 0
+    bodies = table.column("body")
+    for k in range(len(bodies)):
+        sizes, data = _unpack(bodies[k].as_py(), 2)
+        held.append(_binaries(np.frombuffer(sizes, np.uint32), data))
+        size += len(sizes) + len(data)
+        if k + 1 == len(bodies) or size > BATCH_BYTES:              # few at a time: words may be long
+            found = pa.concat_arrays(held).dictionary_encode()
+            number = np.array([known.setdefault(w, len(known)) for w in _objects(found.dictionary)], np.uint32)
+            number = number[np.asarray(found.indices)]
+            stops = np.cumsum([0, *map(len, held)]).tolist()
+            places += [number[a:b].tobytes() for a, b in zip(stops, stops[1:])]
+            held, size = [], 0
     offsets = np.concatenate([[0], np.cumsum([len(w) for w in known])]).astype(np.int32)
     words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(known), np.int8)))
     return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()),
@@ -302,16 +340,13 @@ def _return(batches):
         for k in range(batch.num_rows):
             found = batch.column("encoded")[k].values
             ids, plain = found.field("ids"), found.field("plain")
-            n_ids, n_plain = np.asarray(ids.value_lengths()).astype(np.uint32), np.asarray(pc.binary_length(plain)).astype(np.uint32)
-            own_ids = _slices(np.asarray(ids.flatten()).astype("<u4").tobytes(), n_ids * 4)
-            own_plain = plain.to_pylist()
+            ids = _binaries(np.asarray(ids.value_lengths()) * 4, np.asarray(ids.flatten()).astype("<u4").tobytes())
             rows = [[], []]
             for number, places in zip(batch.column("batches")[k].as_py(), batch.column("places")[k].as_py()):
-                places = np.frombuffer(places, np.uint32)
-                line = places.tolist()
+                places = pa.array(np.frombuffer(places, np.uint32))
+                own_ids, own_plain = ids.take(places), plain.take(places)
                 rows[0].append(number)
-                rows[1].append(_pack(n_ids[places].tobytes(), b"".join([own_ids[p] for p in line]), n_plain[places].tobytes(),
-                                     b"".join([own_plain[p] for p in line])))
+                rows[1].append(_pack((_sizes(own_ids) // 4).tobytes(), _data(own_ids), _sizes(own_plain).tobytes(), _data(own_plain)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[0], pa.int64()), pa.array([batch.column("part")[k].as_py()] * len(rows[0]), pa.int64()),
                  pa.array(rows[1], pa.binary())], ["batch", "part", "body"])
@@ -325,7 +360,7 @@ def _assemble(pattern_text, parts):
             del row["body"]
             answers = {x["part"]: x["body"] for x in row.pop("found") or []}
             cells = [(places, *_unpack(answers.pop(part), 4)) for part, _, places in words.by_part(parts)]
-            place = np.empty(len(words.words), np.int32)                # of each word among the answers
+            place = np.empty(len(words.distinct), np.int32)                # of each word among the answers
             place[np.concatenate([c[0] for c in cells] or [np.zeros(0, np.int64)])] = np.arange(len(place))
             place = pa.array(place)
             known = [_binaries(np.frombuffer(b"".join(c[n] for c in cells), np.uint32) * np.uint32(width),
