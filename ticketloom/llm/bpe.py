@@ -306,6 +306,8 @@ def _send(pattern_text, parts, batch_bytes):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[0] for c in cells], pa.int64()), pa.array([number] * len(cells), pa.int64()),
                      pa.array([c[1] for c in cells], pa.binary())], ["part", "batch", "body"])
+            del words, cells
+            pa.default_memory_pool().release_unused()           # what a batch took is given back
     return run
 
 
